@@ -7,7 +7,7 @@ pairs two open documents and randomly moves words (p * size) from one to the oth
 for certain; expectations and the source's words stay the same. Documents are dealt to buckets of about `bucket_rows`
 by hash, each bucket is rounded as a sorted stream that leaves one open document, and these residuals are combined
 bucket by bucket, `fan_in` at a time, up a reduction tree to one for each source: the mix misses a target by less than
-one document. All draws are hashes of (seed, level, place, doc_id), so reruns agree.
+one document, as a rule a short one, since each stream runs from long to short. All draws are hashes of (seed, level, place, doc_id), so reruns agree.
 
 Cases: null text has size 0; an empty document is drawn by itself (it moves no words); null source is a source of its
 own; rows that are equal in doc_id, source and size are interchangeable; an empty table gives an empty result; other
@@ -155,7 +155,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: int = SEED, buck
         last = level == levels - 1
         if level:
             open_rows = open_rows.withColumn("bucket", F.floor(F.col("bucket") / fan_in).cast("long"))
-        dealt = open_rows.repartition("source", "bucket").sortWithinPartitions("source", "bucket", "place", "doc_id", "size")
+        dealt = open_rows.repartition("source", "bucket").sortWithinPartitions("source", "bucket", F.desc("size"), "place", "doc_id")
         out = stored(dealt.mapInArrow(lambda it, k=level, z=last: _round(it, arrow, k, z, seed), schema), f"level{level}")
         parts.append(out.where("extra is not null"))
         open_rows = out.where("extra is null")

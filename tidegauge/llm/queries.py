@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidegauge.llm import licences, mixing, sharding, simhash, urls
+from tidegauge.llm import ann, html, langid, licences, media, mixing, packing, sharding, simhash, urls
 
 
 def queries() -> dict:
@@ -12,6 +12,11 @@ def queries() -> dict:
         "op3_url_filter": urls.op3_url_filter,
         "op4_mixing": mixing.op4_mixing,
         "op5_sharding": sharding.op5_sharding,
+        "op6_html_text": html.op6_html_text,
+        "op7_language_id": langid.op7_language_id,
+        "op8_packing": packing.op8_packing,
+        "op9_media": media.op9_media,
+        "op10_ann": ann.op10_ann,
     }
 
 
