@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.common import batches
 
-SAMPLE, DRAWN, SEED = 200, 500, 11
+SAMPLE, DRAWN, SEED = 300, 600, 11
 
 # Element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -137,12 +137,30 @@ def _hash(token: str, size: int) -> int:
     return zlib.crc32(token.encode("utf-8", "surrogatepass")) % size
 
 
+#: Multipliers of the bytes of a word, and the bytes that don't count.
+POWERS = np.cumprod(np.r_[np.uint32(1), np.full(63, 2654435761, np.uint32)], dtype=np.uint32)
+STOPS = np.isin(np.arange(256), list(b".,;:!?"))
+
+
+def hash_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the blank-separated words of non-empty texts, lower-cased and without stops; words in each text."""
+    raw = np.frombuffer("\n".join(texts).encode("utf-8", "surrogatepass").lower(), np.uint8)
+    ends_text, gap = raw == 10, (raw == 32) | (raw == 10)
+    starts = np.r_[0, np.flatnonzero(gap) + 1]
+    sizes = np.diff(np.r_[starts, len(raw) + 1])
+    place = np.arange(len(raw)) - np.repeat(starts, sizes)[: len(raw)]
+    value = np.where(gap | STOPS[raw], 0, (raw.astype(np.uint32) + 1) * POWERS[place % 64])
+    h = np.add.reduceat(value, starts, dtype=np.uint32)
+    h = (h ^ (h >> np.uint32(15))) * np.uint32(2246822519)
+    counts = np.diff(np.r_[0, np.cumsum(gap)[np.flatnonzero(ends_text)], len(starts)])
+    return ((h >> np.uint32(16)) % WORDS).astype(np.int64), counts
+
+
 class Reader:
-    """Leaves to hashed features, remembering paths and words."""
+    """Leaves to hashed features, remembering paths."""
 
     def __init__(self):
         self.paths: dict[tuple, np.ndarray] = {}
-        self.words: dict[str, int] = {}
 
     def path(self, path: tuple[str, ...]) -> np.ndarray:
         got = self.paths.get(path)
@@ -152,32 +170,19 @@ class Reader:
                 self.paths[path] = got
         return got
 
-    def bag(self, text: str) -> list[int]:
-        words, seen = text.split(" "), self.words
-        out = list(map(seen.get, words))
-        if None in out:
-            for i, h in enumerate(out):
-                if h is None:
-                    out[i] = _hash(words[i].lower().strip(".,;:!?"), WORDS)
-                    if len(seen) < 200_000:
-                        seen[words[i]] = out[i]
-        return out
-
-    def page(self, blocks: list[Leaf]) -> tuple[list, list, np.ndarray]:
-        bags = [self.bag(t) for _, t, _ in blocks]
+    def page(self, blocks: list[Leaf]) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
+        """Path hashes by block, word hashes of all blocks, words in each block, numbers by block."""
+        words, count = hash_words([t for _, t, _ in blocks])
         n = np.array([len(t) for _, t, _ in blocks], np.float32)
         linked = np.array([k for _, _, k in blocks], np.float32)
-        count = np.array([len(b) for b in bags], np.float32)
         stops = np.array([t.count(".") + t.count(",") for _, t, _ in blocks], np.float32)
         at = np.arange(len(blocks), dtype=np.float32) / max(1, len(blocks))
         numbers = np.stack([np.log1p(n) / 6, np.log1p(count) / 5, np.minimum(1, linked / n), np.minimum(1, stops / count), at, 1 - at], axis=1)
-        return [self.path(p) for p, _, _ in blocks], bags, numbers.astype(np.float32)
+        return [self.path(p) for p, _, _ in blocks], words, count, numbers.astype(np.float32)
 
 
-def _means(table: np.ndarray, rows: list) -> np.ndarray:
-    sizes = np.array([len(r) for r in rows])
-    flat = table[np.concatenate([np.asarray(r, np.int64) for r in rows])]
-    return np.add.reduceat(flat, np.r_[0, np.cumsum(sizes)[:-1]], axis=0) / sizes[:, None]
+def _means(table: np.ndarray, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(table[rows], np.r_[0, np.cumsum(sizes)[:-1]], axis=0) / sizes[:, None]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -197,15 +202,16 @@ class Labeller:
         self.w = {k: v.astype(np.float32) for k, v in self.w.items()}
 
     def inputs(self, pages: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        """Pages (paths, bags, numbers) to (time, page, width) and a mask."""
+        """Pages as Reader.page gives them to (time, page, width) and a mask."""
         steps = max(len(p[0]) for p in pages)
         x = np.zeros((steps, len(pages), PATH_DIM + WORD_DIM + NUMBERS), np.float32)
         mask = np.zeros((steps, len(pages), 1), np.float32)
-        path = _means(self.w["path"], [r for p in pages for r in p[0]])
-        word = _means(self.w["word"], [r for p in pages for r in p[1]])
+        paths = [r for p in pages for r in p[0]]
+        path = _means(self.w["path"], np.concatenate(paths), np.array([len(r) for r in paths]))
+        word = _means(self.w["word"], np.concatenate([p[1] for p in pages]), np.concatenate([p[2] for p in pages]))
         at = 0
-        for k, (paths, _, numbers) in enumerate(pages):
-            n = len(paths)
+        for k, (own, _, _, numbers) in enumerate(pages):
+            n = len(own)
             x[:n, k] = np.concatenate([path[at : at + n], word[at : at + n], numbers], axis=1)
             mask[:n, k] = 1
             at += n
@@ -266,13 +272,14 @@ class Labeller:
             grad[f"x{way}"] = np.einsum("tbi,tbo->io", x, dz_all)
             dx += dz_all @ self.w[f"x{way}"].T
         gp, gw = np.zeros_like(self.w["path"]), np.zeros_like(self.w["word"])
-        for k, (paths, bags, _) in enumerate(pages):
-            for t in range(len(paths)):
-                np.add.at(gp, paths[t], dx[t, k, :PATH_DIM] / len(paths[t]))
-                np.add.at(gw, bags[t], dx[t, k, PATH_DIM : PATH_DIM + WORD_DIM] / len(bags[t]))
+        for k, (paths, words, count, _) in enumerate(pages):
+            own = dx[: len(paths), k]
+            sizes = np.array([len(r) for r in paths])
+            np.add.at(gp, np.concatenate(paths), np.repeat(own[:, :PATH_DIM] / sizes[:, None], sizes, axis=0))
+            np.add.at(gw, words, np.repeat(own[:, PATH_DIM : PATH_DIM + WORD_DIM] / count[:, None], count, axis=0))
         return grad | {"path": gp, "word": gw}, loss
 
-    def fit(self, pages: list[tuple], labels: list[np.ndarray], rounds: int = 10, group: int = 24, rate: float = 0.02, seed: int = SEED) -> float:
+    def fit(self, pages: list[tuple], labels: list[np.ndarray], rounds: int = 12, group: int = 24, rate: float = 0.02, seed: int = SEED) -> float:
         """Adam over shuffled groups of pages of like length; returns the last mean loss."""
         rng, loss = np.random.default_rng(seed), 0.0
         m, v, step = {k: np.zeros_like(x) for k, x in self.w.items()}, {k: np.zeros_like(x) for k, x in self.w.items()}, 0
@@ -285,7 +292,7 @@ class Labeller:
                 losses.append(one)
                 step += 1
                 size = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
-                now = rate * 0.5 ** (turn / 4)
+                now = rate * 0.5 ** (turn / 3)
                 for name, g in grad.items():
                     g = g.astype(np.float32) * min(1.0, 5 / (size + 1e-9))
                     m[name], v[name] = 0.9 * m[name] + 0.1 * g, 0.99 * v[name] + 0.01 * g * g
@@ -308,7 +315,7 @@ LAYOUT = {
     "comment": [("div", "c:comments", "p"), ("section", "i:comments", "p"), ("div", "c:comment", "p"), ("ol", "c:comment", "c:list", "li", "p"), ("section", "c:comments", "h2"), ("div", "i:disqus", "c:thread", "p"), ("div", "c:reply", "p"), ("section", "c:comments", "article", "p"), ("ul", "c:comments", "li"), ("section", "c:comments", "div", "c:comment", "p"), ("div", "i:respond", "h3"), ("section", "c:reader", "c:comments", "p"), ("div", "c:comments", "article", "c:comment", "p")],
     "share": [("div", "c:share"), ("div", "c:social", "ul", "li"), ("ul", "c:share", "li"), ("div", "c:pagination"), ("div", "c:toolbar")],
 }
-MAIN_AREA = [("article",), ("main",), ("main", "article"), ("div", "c:content"), ("div", "c:post"), ("div", "c:entry", "c:content"), ("div", "i:content"), ("article", "c:post"), ("section", "c:story"), ("div", "c:article", "c:body"), ("main", "div"), ("div", "r:main"), ("table", "tr", "td"), ("div", "i:main", "c:content"), ("article", "div", "c:post", "c:content"), ("div",), ("section",), ("article", "section"), ("article", "header"), ("main", "i:content", "article", "c:entry")]
+MAIN_AREA = [("article",), ("main",), ("main", "article"), ("div", "c:content"), ("div", "c:post"), ("div", "c:entry", "c:content"), ("div", "i:content"), ("article", "c:post"), ("section", "c:story"), ("div", "c:article", "c:body"), ("main", "div"), ("div", "r:main"), ("table", "tr", "td"), ("div", "i:main", "c:content"), ("article", "div", "c:post", "c:content"), ("article", "section"), ("article",), ("article",), ("article", "header"), ("main", "i:content", "article", "c:entry")]
 MAIN_LEAF = [("p",)] * 8 + [("h1",), ("h2",), ("h3",), ("ul", "li"), ("ol", "li"), ("blockquote",), ("blockquote", "p"), ("pre",), ("table", "tr", "td"), ("figure", "figcaption"), ("div",), (), ("dl", "dd")]
 WRAPPERS = ["wrapper", "container", "page", "row", "col", "site", "layout", "inner", "outer", "root", "app", "grid", "section", "box", "block", "x", "clearfix", "left", "right"]
 STOCK = "home about contact login sign in subscribe newsletter accept all cookies privacy policy terms of use copyright all rights reserved menu search comments reply posted by share tweet more related read next previous page top advertisement sponsored we use register password email".split()
@@ -353,7 +360,7 @@ def draw_page(rng: np.random.Generator, texts: list[list[str]]) -> tuple[list[Le
     return [leaf for leaf, _ in out], np.array([y for _, y in out], np.float32)
 
 
-def train(pages: list[str], drawn: int = DRAWN, seed: int = SEED, rounds: int = 10) -> Labeller:
+def train(pages: list[str], drawn: int = DRAWN, seed: int = SEED, rounds: int = 12) -> Labeller:
     """The labeller of a bounded list of pages; nothing in it depends on the rest of the table."""
     rng, reader, net = np.random.default_rng(seed), Reader(), Labeller(seed)
     seqs, labels, texts = [], [], []
