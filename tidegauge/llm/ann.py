@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tidegauge.llm.common import stored
+from tidegauge.llm.common import hash_sample, stored
 
 K, TREES, DEPTH, SHARE, SAMPLE, SEED = 20, 3, 6, 0.35, 16384, 7
 
@@ -103,7 +103,7 @@ def nearest(table: DataFrame, is_query, k: int = K, trees: int = TREES, depth: i
     same = W.partitionBy(F.xxhash64("embedding"), "embedding").orderBy("vec_id")
     kept = stored(rows.withColumn("place", F.row_number().over(same)).where(F.col("place") <= k + 1).drop("place"), "distinct-vectors")
     queries = rows.where(is_query(F.col("vec_id")))
-    got = kept.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(sample).collect()
+    got = hash_sample(kept, "vec_id", sample, seed)
     if not got:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     width, count = len(got[0].embedding), kept.count()

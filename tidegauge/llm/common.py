@@ -65,6 +65,15 @@ def words_count(text) -> F.Column:
     return F.size(F.filter(F.split(spaced, " "), lambda w: w != "")).cast("long")
 
 
+def hash_sample(rows: DataFrame, key: str, size: int, seed: int) -> list:
+    """At most `size` rows, the first by hash of their key. A threshold on the hash, set from the row count so that
+    about twice as many pass, keeps what each task sends to the driver to its share of the sample."""
+    total = rows.count()
+    unit = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 40))
+    most = int((1 << 40) * min(1.0, (2 * size + 100) / total)) if total else 0
+    return rows.where(unit < most).orderBy(unit, key).limit(size).collect()
+
+
 def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 20000) -> Iterator[pa.RecordBatch]:
     """Tuples to Arrow batches of bounded size."""
     held: list[tuple] = []

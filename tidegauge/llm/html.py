@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import batches
+from tidegauge.llm.common import batches, hash_sample
 
 SAMPLE, DRAWN, SEED = 300, 600, 11
 
@@ -406,7 +406,7 @@ def extract_pages(net: Labeller, rows: list[tuple], reader: Reader, cells: int =
 
 def extract(table: DataFrame, sample: int = SAMPLE, drawn: int = DRAWN, seed: int = SEED) -> DataFrame:
     """table (page_id, url, html) -> page_id, url, text, n_chars, blocks, kept."""
-    some = table.where("html is not null").select("page_id", "html").orderBy(F.xxhash64(F.lit(seed), "page_id"), "page_id", "html").limit(sample).collect()
+    some = hash_sample(table.where("html is not null").select("page_id", "html"), "page_id", sample, seed)
     net = train([r.html for r in some], drawn, seed)
 
     def rows(stream):
