@@ -157,8 +157,8 @@ def volume_indicators(df: DataFrame, p: str = "close", v: str = "volume") -> Dat
 
 def pivots(df: DataFrame) -> DataFrame:
     h, low, c = col("high"), col("low"), col("close")
-    df = df.withColumn("pivot", (h + low + c) / 3)
-    p, span = col("pivot"), h - low
+    df = df.withColumn("pivot_point", (h + low + c) / 3)
+    p, span = col("pivot_point"), h - low
     df = df.withColumns({"r1": 2 * p - low, "s1": 2 * p - h, "r2": p + span, "s2": p - span, "fib_r1": p + 0.382 * span, "fib_s1": p - 0.382 * span, "fib_r2": p + 0.618 * span, "fib_s2": p - 0.618 * span})
     df = df.withColumns({"_pad": pad("close")}).withColumns({"_pct": pct("_pad"), "_dc": diff("close"), "_hl": span})
     df = df.withColumns({"currency_strength": roll(F.avg, "_pct", 14) * 100, "rvi": roll(F.avg, "_dc", 10) / (roll(F.avg, "_hl", 10) + EPS)})

@@ -41,8 +41,9 @@ def random_series(spark: SparkSession, start: str, end: str, columns: list[str],
 
 
 def daily_last(quotes: DataFrame, at: str, key: str, value: str) -> DataFrame:
-    """The last quote of each day and key."""
-    return quotes.where(F.col(value).isNotNull()).groupBy(F.col(key), F.to_date(at).alias("date")).agg(F.max_by(F.col(value), F.col(at)).alias(value))
+    """The last quote of each day and key; `at` is a timestamp or a struct that starts with `ts` and breaks ties."""
+    day = F.to_date(f"{at}.ts") if dict(quotes.dtypes)[at].startswith("struct") else F.to_date(at)
+    return quotes.where(F.col(value).isNotNull()).groupBy(F.col(key), day.alias("date")).agg(F.max_by(F.col(value), F.col(at)).alias(value))
 
 
 def wide(long: DataFrame, name: str, value: str, names: list[str]) -> DataFrame:
