@@ -74,6 +74,13 @@ def hash_sample(rows: DataFrame, key: str, size: int, seed: int) -> list:
     return rows.where(unit < most).orderBy(unit, key).limit(size).collect()
 
 
+def rows_of(stream: Iterable[pa.RecordBatch], size: int = 256) -> Iterator[tuple]:
+    """Rows of Arrow batches as tuples; only `size` of them are Python objects at a time."""
+    for b in stream:
+        for part in range(0, b.num_rows, size):
+            yield from zip(*(c.to_pylist() for c in b.slice(part, size).columns), strict=True)
+
+
 def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 20000) -> Iterator[pa.RecordBatch]:
     """Tuples to Arrow batches of bounded size."""
     held: list[tuple] = []

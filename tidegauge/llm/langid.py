@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from tidegauge.llm.common import rows_of
+
 TOP, UNDECIDED = 400, "und"
 BITS, WIDE = 20, 48  # bits of a code point in an n-gram's code; alphabets up to WIDE are counted in a dense table
 
@@ -96,14 +98,13 @@ def train(rows: DataFrame, top: int = TOP) -> dict[str, np.ndarray]:
             codes, where = np.unique(np.concatenate([c for c, _ in held[lang]]), return_inverse=True)
             return codes, np.bincount(where, np.concatenate([n for _, n in held[lang]])).astype(np.int64)
 
-        for b in batches:
-            for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                grams = ngrams(text)
-                if len(grams[0]):
-                    mine = held.setdefault(lang, [])
-                    mine.append(grams)
-                    if len(mine) >= 1000:
-                        held[lang] = [summed(lang)]
+        for text, lang in rows_of(batches):
+            grams = ngrams(text)
+            if len(grams[0]):
+                mine = held.setdefault(lang, [])
+                mine.append(grams)
+                if len(mine) >= 500:
+                    held[lang] = [summed(lang)]
         for lang in held:
             codes, counts = summed(lang)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes), pa.array(counts)], ["lang", "gram", "n"])

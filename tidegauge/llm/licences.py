@@ -2,9 +2,9 @@
 
 The templates (short phrases and whole notices) are indexed by word: word -> (template, position). One pass over
 the corpus counts in how many documents each template word occurs (a table bounded by the templates' vocabulary).
-A second pass looks up each file's rarest licence words, intersects the template postings by relative position
-(file position - template position) and verifies each alignment: phrases must stand word for word, notices need
-their mandatory key phrases and enough of their idf mass.
+A second pass looks up each file's licence words of highest idf (the rarest of every phrase and of every mandatory key
+phrase), intersects the template postings by relative position (file position - template position) and verifies
+each alignment: phrases must stand word for word, notices need their key phrases and enough of their idf mass.
 
 Cases: null or empty text has no words, no label and score 0; repeated rows and ties give equal rows; an empty
 table gives an empty result; other columns are not read.
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import alnum_words, batches
+from tidegauge.llm.common import alnum_words, batches, rows_of
 
 #: Phrases and their labels.
 PHRASES = {
@@ -85,21 +85,23 @@ def templates(phrases: dict[str, str] = PHRASES, notices=NOTICES) -> list[Templa
     return base + [Template(n, alnum_words(t), [alnum_words(k) for k in keys], False) for n, t, keys in notices]
 
 
-def build_index(known: list[Template], n_docs: int, df: dict[bytes, int], anchors: int = 6) -> Index:
-    """anchors: how many of a notice's rarest words that occur in the corpus are looked up; a phrase needs one."""
+def build_index(known: list[Template], n_docs: int, df: dict[bytes, int]) -> Index:
+    """A phrase is looked up by its rarest word, a notice by the rarest word of each mandatory key phrase. What needs a
+    word that is nowhere in the corpus has no postings: it cannot stand in any file."""
     vocabulary = {w for t in known for w in t.words}
     idf = {w: math.log1p((n_docs - df.get(w, 0) + 0.5) / (df.get(w, 0) + 0.5)) for w in vocabulary}
-    index, postings = Index(known, idf), defaultdict(list)
+    index, postings = Index(known, idf), defaultdict(set)
     for k, t in enumerate(known):
         index.mass.append(sum(idf[w] for w in t.words))
-        there = [w for w in set(t.words) if df.get(w, 0)]
-        if t.base and len(there) < len(set(t.words)):
-            continue  # one of its words is nowhere in the corpus
-        rare = sorted(there, key=lambda w: (-idf[w], w))[: 1 if t.base else anchors]
-        for w in rare:
-            at = [i for i, x in enumerate(t.words) if x == w]
-            postings[w] += [(k, i) for i in (at[:1] if t.base else at)]
-    index.postings = dict(postings)
+        musts = [t.words] if t.base else t.keys
+        if any(not df.get(w, 0) for m in musts for w in m):
+            continue
+        for m in musts:
+            rare = min(range(len(m)), key=lambda i: (-idf[m[i]], m[i]))
+            for at in range(len(t.words) - len(m) + 1):
+                if t.words[at : at + len(m)] == m:
+                    postings[m[rare]].add((k, at + rare))
+    index.postings = {w: sorted(found) for w, found in postings.items()}
     return index
 
 
@@ -148,11 +150,10 @@ def corpus_counts(docs: DataFrame, vocabulary: set[bytes]) -> tuple[int, dict[by
 
     def count(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, seen = 0, dict.fromkeys(wanted, 0)
-        for b in batches_in:
-            for text in b.column(0).to_pylist():
-                n += 1
-                for w in wanted.intersection(alnum_words(text)):
-                    seen[w] += 1
+        for (text,) in rows_of(batches_in):
+            n += 1
+            for w in wanted.intersection(alnum_words(text)):
+                seen[w] += 1
         rows = [(w, c) for w, c in seen.items() if c] + [(b"", n)]
         yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in rows], pa.binary()), pa.array([c for _, c in rows], pa.int64())], ["word", "n"])
 
@@ -169,16 +170,15 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices=NOTICES, en
     of_base = set(phrases.values())
 
     def rows(batches_in):
-        for b in batches_in:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                words = alnum_words(text)
-                starts, spans = scan_words(index, words, enough)
-                labels = {s[0] for s in spans}
-                yield (
-                    doc_id, len(words), len(starts), min(starts, default=None), max(starts, default=None),
-                    ",".join(sorted(labels & of_base)), ",".join(sorted(labels)), max((s[3] for s in spans), default=0.0),
-                    [{"label": a, "start": s, "end": e, "score": v} for a, s, e, v in spans],
-                )
+        for doc_id, text in rows_of(batches_in):
+            words = alnum_words(text)
+            starts, spans = scan_words(index, words, enough)
+            labels = {s[0] for s in spans}
+            yield (
+                doc_id, len(words), len(starts), min(starts, default=None), max(starts, default=None),
+                ",".join(sorted(labels & of_base)), ",".join(sorted(labels)), max((s[3] for s in spans), default=0.0),
+                [{"label": a, "start": s, "end": e, "score": v} for a, s, e, v in spans],
+            )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: batches(rows(it), RESULT), DDL)
 

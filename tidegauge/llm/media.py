@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import batches
+from tidegauge.llm.common import batches, rows_of
 
 UNIT = 576
 UNKNOWN = "application/octet-stream"
@@ -250,13 +250,12 @@ def carve(files: DataFrame) -> DataFrame:
     validates at its start), whether that corrects it, and the embedded media as structs of type, start, end, data."""
 
     def rows(stream):
-        for b in stream:
-            for key, declared, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                found = sniff(data or b"")
-                top = found[0] if found and found[0][1] == 0 else None
-                kind = top[0] if top else declared or UNKNOWN
-                inner = [{"type": k, "start": s, "end": e, "data": data[s:e]} for k, s, e, _ in found if not top or s]
-                yield key, declared, kind, kind != declared, inner
+        for key, declared, data in rows_of(stream, 16):
+            found = sniff(data or b"")
+            top = found[0] if found and found[0][1] == 0 else None
+            kind = top[0] if top else declared or UNKNOWN
+            inner = [{"type": k, "start": s, "end": e, "data": data[s:e]} for k, s, e, _ in found if not top or s]
+            yield key, declared, kind, kind != declared, inner
 
     item = pa.struct([("type", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("data", pa.binary())])
     schema = pa.schema([("id", pa.int64()), ("declared", pa.string()), ("type", pa.string()), ("corrected", pa.bool_()), ("embedded", pa.list_(item))])
@@ -276,17 +275,17 @@ def digests(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) -> sizes and digests of the payload as read back from the stored form, and its features."""
 
     def rows(stream):
-        for b in stream:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                samples, n = payload(text)
-                stored = store(samples)
-                kind, _, end, (at, size) = sniff(stored)[0]
-                back = stored[at : at + size]
-                feature = describe(back, kind, len(stored) - end)
-                yield (
-                    doc_id, n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(stored),
-                    hashlib.sha256(stored).hexdigest(), feature,
-                )
+        for doc_id, text in rows_of(stream):
+            samples, n = payload(text)
+            stored = store(samples)
+            found = sniff(stored)
+            kind, _, end, (at, size) = found[0]
+            back = stored[at : at + size]
+            feature = describe(back, kind, len(found) - 1)
+            yield (
+                doc_id, n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(stored),
+                hashlib.sha256(stored).hexdigest(), feature,
+            )
 
     ddl = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: batches(rows(it), DIGEST, 5000), ddl)

@@ -11,7 +11,7 @@ one document, as a rule a short one, since each stream runs from long to short.
 
 Cases: null text has size 0; an empty document is drawn by itself (it moves no words); null source is a source of its
 own; rows that are equal in doc_id, source and size are interchangeable; an empty table gives an empty result; other
-columns are carried along in one struct, so their names cannot clash.
+columns are not read here, and mixed() packs them into one struct, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
@@ -132,11 +132,11 @@ def _round(batches: Iterator[pa.RecordBatch], schema: pa.Schema, level: int, las
         yield settle()
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: int = SEED, bucket_rows: int = 16384, fan_in: int = 16, carry: bool = False) -> DataFrame:
-    """docs (doc_id, text, source) -> doc_id, source, size, source_size, target, copies; with carry also `row`, the whole row."""
-    spark = docs.sparkSession
-    own = [F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")] if carry else []
+def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: int = SEED, bucket_rows: int = 16384, fan_in: int = 16, key: Column | None = None) -> DataFrame:
+    """docs (doc_id, text, source) -> doc_id, source, size, source_size, target, copies, and key (a long) if one is given."""
+    own = [key.cast("long").alias("key")] if key is not None else []
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words_count(F.col("text")).alias("size"), *own)
+    rows = stored(rows, "sizes")
     sums = stored(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), "sources")
     most = sums.agg(F.max("n")).first()[0]
     goal = stored(targets(sums.select("source", "source_size"), weights, cap), "targets").join(sums.select(F.col("source").alias("s"), "n"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
@@ -164,8 +164,17 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: int = SEED, buck
         done = done.union(p)
     copies = F.least(F.col("whole") + F.col("extra"), F.lit(cap)).cast("int")
     keep = ["doc_id", "source", "size", "source_size", "target", copies.alias("copies")]
-    assert spark is docs.sparkSession
-    return done.select(*keep, *(["row"] if carry else []))
+    return done.select(*keep, *(["key"] if own else []))
+
+
+def mixed(docs: DataFrame, **how) -> DataFrame:
+    """The rows of docs as often as the mix takes them. Texts do not go through the rounding: equal rows are collapsed
+    by a hash of the whole row before the shuffle, and joined with the copies that all of them together are taken."""
+    key = F.xxhash64(*[docs[f"`{c}`"] for c in docs.columns])
+    taken = stored(mix(docs, key=key, **how).groupBy("key").agg(F.sum("copies").cast("int").alias("copies")).where("copies > 0"), "taken")
+    rows = docs.select(key.alias("key"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    once = rows.groupBy("key").agg(F.first("row").alias("row"))
+    return once.join(taken, "key").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def _arrow_schema(schema: T.StructType) -> pa.Schema:

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import batches
+from tidegauge.llm.common import batches, rows_of
 
 WINDOW, END = 1024, 0
 K1, B = 1.2, 0.75
@@ -126,14 +126,13 @@ def pack(docs: DataFrame, window: int = WINDOW, shard_docs: int = 192, shard_tok
             for i in chain([ids for _, ids in shard]):
                 yield from packer.place(*shard[i])
 
-        for b in stream:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = encode(text or "")
-                shard.append((doc_id, ids))
-                held += len(ids)
-                if len(shard) >= shard_docs or held >= shard_tokens:
-                    yield from packed()
-                    shard, held = [], 0
+        for doc_id, text in rows_of(stream):
+            ids = encode(text or "")
+            shard.append((doc_id, ids))
+            held += len(ids)
+            if len(shard) >= shard_docs or held >= shard_tokens:
+                yield from packed()
+                shard, held = [], 0
         yield from packed()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: batches(pieces(it), SCHEMA), DDL)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import space_words, stored
+from tidegauge.llm.common import rows_of, space_words, stored
 from tidegauge.llm.graph import components
 
 #: Shingle width, hash seed and threshold in bits of the near-duplicate contract.
@@ -191,7 +191,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE, seed: int = SEED) -> Dat
 
     def run(batches):
         for b in batches:
-            fp = np.array([fingerprint(t, width, seed) for t in b.column(1).to_pylist()], np.uint64)
+            fp = np.fromiter((fingerprint(t, width, seed) for _, t in rows_of([b])), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
