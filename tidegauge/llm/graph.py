@@ -20,7 +20,7 @@ def _state(edges: DataFrame) -> tuple:
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """edges (u long, v long) -> (node long, root long); root is the smallest node reachable.
 
-    Only nodes that have an edge are returned. The smallest neighbour of each node is aggregated before the
+    A row for every node that has a smaller one in its component; roots and lone nodes have none. The smallest neighbour of each node is aggregated before the
     shuffle and stored, so the join on a hub is between two plain exchanges and can be split at run time. Steps
     repeat until the edge set stays the same (a logarithmic number of rounds); `rounds` only guards against a fault.
     """

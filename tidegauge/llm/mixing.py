@@ -132,7 +132,7 @@ def _round(batches: Iterator[pa.RecordBatch], schema: pa.Schema, level: int, las
         yield settle()
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: int = SEED, bucket_rows: int = 16384, fan_in: int = 16, key: Column | None = None) -> DataFrame:
+def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: int = SEED, bucket_rows: int = 2048, fan_in: int = 16, key: Column | None = None) -> DataFrame:
     """docs (doc_id, text, source) -> doc_id, source, size, source_size, target, copies, and key (a long) if one is given."""
     own = [key.cast("long").alias("key")] if key is not None else []
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words_count(F.col("text")).alias("size"), *own)
