@@ -38,14 +38,14 @@ GAPS = [None, 1.0, None, 2.0, 4.0, None, None, None, None, None, None, 3.0, 5.0,
 
 
 @pytest.mark.parametrize("name,build,expect", [
-    ("ewm", w.ewm("x", 5), lambda s: s.ewm(span=5, adjust=False).mean()),
-    ("std", w.ewm_std("x", 5), lambda s: s.ewm(span=5).std()),
-    ("roll", w.roll(F.avg, "x", 3), lambda s: s.rolling(3).mean()),
-    ("sd", w.roll(F.stddev_samp, "x", 3), lambda s: s.rolling(3).std()),
-    ("ffill", w.ffill("x", 5), lambda s: s.ffill(limit=5)),
+    ("ewm", lambda: w.ewm("x", 5), lambda s: s.ewm(span=5, adjust=False).mean()),
+    ("std", lambda: w.ewm_std("x", 5), lambda s: s.ewm(span=5).std()),
+    ("roll", lambda: w.roll(F.avg, "x", 3), lambda s: s.rolling(3).mean()),
+    ("sd", lambda: w.roll(F.stddev_samp, "x", 3), lambda s: s.rolling(3).std()),
+    ("ffill", lambda: w.ffill("x", 5), lambda s: s.ffill(limit=5)),
 ])
 def test_kernels(spark, name, build, expect):
-    got = column(series(spark, GAPS).withColumn("y", build), "y")
+    got = column(series(spark, GAPS).withColumn("y", build()), "y")
     assert close(got, expect(pd.Series(GAPS, dtype=float)).tolist(), 1e-8)
 
 
@@ -96,7 +96,7 @@ def test_name_clash_is_an_error(spark):
 
 def test_sinks(spark, tmp_path):
     df = series(spark, [1.0, 2.5, None]).withColumn("n", F.lit(7))
-    assert dict(sinks.narrow_types(df).dtypes)["n"] == "short" and dict(sinks.narrow_types(df).dtypes)["x"] == "float"
+    assert dict(sinks.narrow_types(df).dtypes)["n"] == "smallint" and dict(sinks.narrow_types(df).dtypes)["x"] == "float"
     sinks.export(df, str(tmp_path / "c"), "csv", single=True, compression="gzip")
     assert spark.read.csv(str(tmp_path / "c"), header=True).where("x = '2.500000'").count() == 1
     sinks.export(df, str(tmp_path / "p"), "parquet")

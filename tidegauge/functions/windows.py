@@ -11,7 +11,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-W = Window.partitionBy("series_id").orderBy("date")
+
+def by_date():
+    """The window of all helpers: each series in date order."""
+    return Window.partitionBy("series_id").orderBy("date")
 
 
 def col(x) -> Column:
@@ -19,7 +22,7 @@ def col(x) -> Column:
 
 
 def rows(n: int):
-    return W.rowsBetween(-(n - 1), 0)
+    return by_date().rowsBetween(-(n - 1), 0)
 
 
 def roll(f, x, n: int, least: int | None = None) -> Column:
@@ -29,7 +32,7 @@ def roll(f, x, n: int, least: int | None = None) -> Column:
 
 
 def shift(x, k: int) -> Column:
-    return F.lag(col(x), k).over(W) if k >= 0 else F.lead(col(x), -k).over(W)
+    return F.lag(col(x), k).over(by_date()) if k >= 0 else F.lead(col(x), -k).over(by_date())
 
 
 def diff(x, k: int = 1) -> Column:
@@ -37,15 +40,15 @@ def diff(x, k: int = 1) -> Column:
 
 
 def pad(x) -> Column:
-    return F.last(col(x), ignorenulls=True).over(W.rowsBetween(Window.unboundedPreceding, 0))
+    return F.last(col(x), ignorenulls=True).over(by_date().rowsBetween(Window.unboundedPreceding, 0))
 
 
 def ffill(x, limit: int) -> Column:
-    return F.last(col(x), ignorenulls=True).over(W.rowsBetween(-limit, 0))
+    return F.last(col(x), ignorenulls=True).over(by_date().rowsBetween(-limit, 0))
 
 
 def bfill(x, limit: int | None = None) -> Column:
-    return F.first(col(x), ignorenulls=True).over(W.rowsBetween(0, Window.unboundedFollowing if limit is None else limit))
+    return F.first(col(x), ignorenulls=True).over(by_date().rowsBetween(0, Window.unboundedFollowing if limit is None else limit))
 
 
 def flag(c: Column) -> Column:
@@ -86,7 +89,7 @@ def ewm_rows(span: float) -> int:
 def ewm(x, span: float) -> Column:
     """Recursive mean with alpha = 2 / (span + 1); a null only ages the state. A fold over a bounded frame."""
     a = 2 / (span + 1)
-    frame = F.collect_list(F.struct(col(x).alias("x"))).over(W.rowsBetween(-ewm_rows(span), 0))
+    frame = F.collect_list(F.struct(col(x).alias("x"))).over(by_date().rowsBetween(-ewm_rows(span), 0))
     none = F.struct(F.lit(None).cast("double").alias("avg"), F.lit(1.0).alias("w"))
 
     def step(s, v):
@@ -103,14 +106,14 @@ def wilder(x, p: int) -> Column:
     a = F.collect_list(col(x)).over(rows(k))
     start = F.aggregate(F.slice(a, 1, p), F.lit(0.0), lambda s, v: s + v) / p
     later = F.slice(a, p + 1, F.greatest(F.size(a) - p, F.lit(0)))
-    return F.when(F.row_number().over(W) >= p, F.aggregate(later, start, lambda s, v: (s * (p - 1) + v) / p))
+    return F.when(F.row_number().over(by_date()) >= p, F.aggregate(later, start, lambda s, v: (s * (p - 1) + v) / p))
 
 
 def ewm_std(x, span: float) -> Column:
     """Bias-corrected standard deviation with weights (1 - alpha) ** age over the values that are there."""
     a = 2 / (span + 1)
     n = ewm_rows(span)
-    frame = F.collect_list(F.struct(col(x).alias("x"))).over(W.rowsBetween(-n, 0))
+    frame = F.collect_list(F.struct(col(x).alias("x"))).over(by_date().rowsBetween(-n, 0))
     size = F.size(frame)
     parts = F.transform(frame, lambda v, i: F.when(v["x"].isNotNull(), F.struct(F.pow(F.lit(1 - a), size - 1 - i).alias("w"), v["x"].alias("x"))))
     parts = F.filter(parts, lambda v: v.isNotNull())

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidegauge.functions.windows import W, bfill, col, ffill, pad
+from tidegauge.functions.windows import by_date, bfill, col, ffill, pad
 
 
 def fill(df: DataFrame, xs: list[str]) -> DataFrame:
@@ -59,9 +59,9 @@ def fill_missing(df: DataFrame, xs: list[str], method: str = "forward_fill", lim
         return df.na.drop("any", subset=xs)
     if method != "interpolate":
         raise ValueError(f"unknown method {method!r}")
-    df = df.withColumn("_at", F.row_number().over(W))
+    df = df.withColumn("_at", F.row_number().over(by_date()))
     there = {x: F.when(col(x).isNotNull(), col("_at")) for x in xs}
-    df = df.withColumns({f"_p_{x}": F.last(there[x], True).over(W.rowsBetween(Window.unboundedPreceding, 0)) for x in xs} | {f"_n_{x}": F.first(there[x], True).over(W.rowsBetween(0, Window.unboundedFollowing)) for x in xs})
+    df = df.withColumns({f"_p_{x}": F.last(there[x], True).over(by_date().rowsBetween(Window.unboundedPreceding, 0)) for x in xs} | {f"_n_{x}": F.first(there[x], True).over(by_date().rowsBetween(0, Window.unboundedFollowing)) for x in xs})
     out = {}
     for x in xs:
         before, after = pad(x), bfill(x)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidegauge.functions.windows import W, col, diff, ewm_std, flag, pad, pct, pct_rank, ratio, roll, rows, scorr, shift
+from tidegauge.functions.windows import by_date, col, diff, ewm_std, flag, pad, pct, pct_rank, ratio, roll, rows, scorr, shift
 
 YEAR = 252**0.5
 LAGS, WINDOWS = (1, 2, 5, 10, 22, 44, 66), (5, 10, 22, 44, 66)
@@ -49,7 +49,7 @@ def level_flags(df: DataFrame, x: str, means=(5, 22), above=(20, 30)) -> DataFra
 
 
 def first_valid(x: str) -> Column:
-    return F.first(col(x), ignorenulls=True).over(W.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return F.first(col(x), ignorenulls=True).over(by_date().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
 
 
 def weighted_index(df: DataFrame, weights: dict[str, float], name: str = "commodity_index") -> DataFrame:
@@ -180,4 +180,4 @@ def drop_sparse(df: DataFrame, keys=("series_id", "date"), limit: int = 5, most:
 
 
 def _fill(x: str, limit: int) -> Column:
-    return F.last(col(x), ignorenulls=True).over(W.rowsBetween(-limit, 0))
+    return F.last(col(x), ignorenulls=True).over(by_date().rowsBetween(-limit, 0))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidegauge.functions.windows import W, col, cross_down, cross_up, diff, ewm, flag, hull, mean_dev, pad, pct, ratio, roll, rows, shift, wilder, wma
+from tidegauge.functions.windows import by_date, col, cross_down, cross_up, diff, ewm, flag, hull, mean_dev, pad, pct, ratio, roll, rows, shift, wilder, wma
 
 EPS = 1e-10
 
@@ -78,7 +78,7 @@ def true_range(h: str = "high", low: str = "low", c: str = "close"):
 def atr(df: DataFrame, n: int = 14) -> DataFrame:
     """Seeded at the first row with n true ranges, so a warm-up without highs and lows does not spoil the series."""
     df = df.withColumn("true_range", true_range())
-    there = W.rowsBetween(Window.unboundedPreceding, 0)
+    there = by_date().rowsBetween(Window.unboundedPreceding, 0)
     smooth = F.when(col("true_range").isNotNull(), F.count("true_range").over(there))
     k = math.ceil(36.84 / -math.log(1 - 1 / n)) + n
     a = F.collect_list("true_range").over(rows(k))
@@ -145,7 +145,7 @@ def momentum(df: DataFrame, p: str = "close") -> DataFrame:
 
 
 def volume_indicators(df: DataFrame, p: str = "close", v: str = "volume") -> DataFrame:
-    up_to = W.rowsBetween(Window.unboundedPreceding, 0)
+    up_to = by_date().rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumns({"_pad": pad(p), "_v": col(v).cast("double")})
     move = F.coalesce(F.signum(diff(p)), F.lit(0.0))
     df = df.withColumns({"_signed": move * col("_v"), "_vp": col("_v") * pct("_pad"), "_flow": col(p) * col("_v"), "volume_sma_20": roll(F.avg, "_v", 20)})

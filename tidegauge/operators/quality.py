@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidegauge.functions.windows import W, col, scorr, shift
+from tidegauge.functions.windows import by_date, col, scorr, shift
 
 
 def as_rows(wide: DataFrame, check: str) -> DataFrame:
@@ -79,7 +79,7 @@ def autocorrelation(df: DataFrame, x: str) -> DataFrame:
 
 def _halves(df: DataFrame) -> DataFrame:
     n = F.count("*").over(Window.partitionBy("series_id"))
-    return df.withColumn("_half", F.when(F.row_number().over(W) <= F.floor(n / 2), 1).otherwise(2))
+    return df.withColumn("_half", F.when(F.row_number().over(by_date()) <= F.floor(n / 2), 1).otherwise(2))
 
 
 def halves_t_test(df: DataFrame, x: str) -> DataFrame:
