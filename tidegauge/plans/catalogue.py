@@ -279,3 +279,7 @@ ORACLES["q12_drift"] = f"""WITH {s.BARS}, {_half}, g AS (SELECT series_id, stdde
     SELECT series_id, round(abs(b - a), 6) AS drift_score, (abs(b - a) > 0.2)::INTEGER AS drifted FROM g"""
 QUERIES["q14_extreme_values"] = lambda spark, sf: _m(qu.extreme_values(src.bars(spark, sf), ["close", "volume"], 2.5))
 ORACLES["q14_extreme_values"] = _metrics("extreme_values", {f"extreme_{x}": f"count(*) FILTER (abs({x} - m_{x}) > 2.5 * s_{x})" for x in ("close", "volume")}, "(SELECT * FROM bars, (SELECT " + ", ".join(f"avg({x}) m_{x}, stddev_samp({x}) s_{x}" for x in ("close", "volume")) + " FROM bars))")
+QUERIES["c05_standardize"] = lambda spark, sf: cl.standardize(src.table(spark, sf, "events").withColumnRenamed("event_type", "series_id").withColumn("seq", F.struct("ts", "event_id")), "ts", "seq").select("series_id", "date", "event_id", "value")
+ORACLES["c05_standardize"] = "SELECT event_type AS series_id, CAST(ts AS DATE) AS date, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1"
+QUERIES["a05_gaps"] = lambda spark, sf: qu.gaps(src.bars(spark, sf)).where("gap_days > 2")
+ORACLES["a05_gaps"] = f"WITH {s.BARS}, g AS (SELECT series_id, {s.lag('date', 1)} AS start, date AS \"end\" FROM bars) SELECT series_id, start, \"end\", (\"end\" - start)::INTEGER AS gap_days FROM g WHERE \"end\" - start > 2"
