@@ -144,12 +144,39 @@ def test_queries_against_duckdb(spark, duck, name):
     a = pd.DataFrame([tuple(r) for r in got.select(*cols).collect()], columns=cols, dtype=object)
     b = pd.DataFrame(want.fetchall(), columns=want.columns, dtype=object)[cols]
     assert len(a) == len(b)
-    keys = [c for c in ("series_id", "date", "check", "metric", "a", "b", "feature", "event_type") if c in cols]
+    keys = [c for c in ("series_id", "date", "start", "check", "metric", "advice", "a", "b", "feature", "event_type", "type", "event_id", "l_suppkey", "o_orderkey") if c in cols]
     a, b = (f.sort_values(keys, key=lambda s: s.astype(str)).reset_index(drop=True) for f in (a, b))
     for c in cols:
         for x, y in zip(a[c], b[c], strict=True):
             assert (x is None) == (y is None) and (x is None or x == y or abs(x - y) <= 2e-2 * max(1, 1e-6 * abs(y))), (c, x, y)
 
 
+def test_repair_and_advice(spark):
+    df = series(spark, [1.0, None, 2.0, 2.0, 3.0])
+    fixed, left = cleaning.repair(df, ["missing values in x", "duplicate rows", "odd units"], ["x"])
+    assert left == ["odd units"] and sorted(r.x for r in fixed.collect()) == [1.0, 2.0, 3.0]
+    assert quality.wrong_types(df.withColumn("y", F.lit("a")), ["x", "y", "absent"]) == ["y"]
+    checks = quality.verdicts(quality.completeness(df, ["x"]), {"null_pct_x": (None, 5)})
+    assert [r.advice for r in quality.recommendations(checks).collect()] == ["fill missing values"]
+
+
+def test_weighted_deviation_skips_nulls(spark):
+    values, keep = [None, 1.0, 4.0, None, 2.0], 1 - 2 / 6
+    got = column(series(spark, values).withColumn("sd", w.ewm_std("x", 5)), "sd")
+    for i, sd in enumerate(got):
+        pairs = [(keep ** (i - k), v) for k, v in enumerate(values[: i + 1]) if v is not None]
+        if len(pairs) < 2:
+            assert sd is None
+            continue
+        total, squares = sum(a for a, _ in pairs), sum(a * a for a, _ in pairs)
+        mean = sum(a * v for a, v in pairs) / total
+        assert sd == pytest.approx((sum(a * (v - mean) ** 2 for a, v in pairs) * total / (total * total - squares)) ** 0.5)
+
+
+def test_row_deviation_needs_two_values(spark):
+    df = spark.sql("SELECT double(null) a, double(null) b, double(1) c").select(features.row_stat([F.col("a"), F.col("b")], "std").alias("none"), features.row_stat([F.col("a"), F.col("c")], "std").alias("one"))
+    assert tuple(df.first()) == (None, None)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0

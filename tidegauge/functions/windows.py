@@ -110,18 +110,25 @@ def wilder(x, p: int) -> Column:
 
 
 def ewm_std(x, span: float) -> Column:
-    """Bias-corrected standard deviation with weights (1 - alpha) ** age over the values that are there."""
-    a = 2 / (span + 1)
-    n = ewm_rows(span)
-    frame = F.collect_list(F.struct(col(x).alias("x"))).over(by_date().rowsBetween(-n, 0))
-    size = F.size(frame)
-    parts = F.transform(frame, lambda v, i: F.when(v["x"].isNotNull(), F.struct(F.pow(F.lit(1 - a), size - 1 - i).alias("w"), v["x"].alias("x"))))
-    parts = F.filter(parts, lambda v: v.isNotNull())
-    total = lambda f: F.aggregate(parts, F.lit(0.0), lambda s, v: s + f(v))
-    w, w2, wx = total(lambda v: v["w"]), total(lambda v: v["w"] * v["w"]), total(lambda v: v["w"] * v["x"])
-    mean = F.try_divide(wx, w)
-    var = F.try_divide(total(lambda v: v["w"] * (v["x"] - mean) * (v["x"] - mean)), w)
-    return F.sqrt(var * F.try_divide(w * w, F.when(F.size(parts) > 1, w * w - w2)))
+    """Bias-corrected standard deviation with weights (1 - alpha) ** age over the values that are there.
+
+    One fold over a bounded frame carries the count, the weights, their squares, the mean and the squared deviations.
+    """
+    keep = 1 - 2 / (span + 1)
+    frame = F.collect_list(F.struct(col(x).alias("x"))).over(by_date().rowsBetween(-ewm_rows(span), 0))
+    zero = F.lit(0.0)
+    none = F.struct(F.lit(0).alias("n"), zero.alias("w"), zero.alias("w2"), zero.alias("mean"), zero.alias("dev"))
+
+    def step(s, v):
+        here = v["x"].isNotNull()
+        w, w2 = s["w"] * keep + here.cast("double"), s["w2"] * (keep * keep) + here.cast("double")
+        move = v["x"] - s["mean"]
+        mean = F.when(here, s["mean"] + move / w).otherwise(s["mean"])
+        dev = s["dev"] * keep + F.when(here, move * (v["x"] - (s["mean"] + move / w))).otherwise(0.0)
+        return F.struct((s["n"] + here.cast("int")).alias("n"), w.alias("w"), w2.alias("w2"), mean.alias("mean"), dev.alias("dev"))
+
+    # dev / w, times w * w / (w * w - w2) against the bias
+    return F.aggregate(frame, none, step, lambda s: F.when(s["n"] > 1, F.sqrt(s["dev"] * s["w"] / (s["w"] * s["w"] - s["w2"]))))
 
 
 def pct_rank(x, n: int) -> Column:

@@ -42,6 +42,21 @@ def clean(df: DataFrame, xs: list[str], ranges: dict[str, tuple[float, float]] |
     return drop_same_values(clip_ranges(df, ranges or {}), xs)
 
 
+def to_numbers(df: DataFrame, xs: list[str]) -> DataFrame:
+    """Text to double; what does not parse is NULL."""
+    return df.withColumns({x: F.col(x).try_cast("double") for x in xs})
+
+
+def repair(df: DataFrame, issues: list[str], xs: list[str]) -> tuple[DataFrame, list[str]]:
+    """Repairs by the words in issues: missing values are filled, outliers winsorized, duplicates dropped. Also what is left."""
+    steps = {"missing": lambda d: fill(d, xs), "outlier": lambda d: winsorize(d, xs), "duplicate": lambda d: drop_same_values(d, xs)}
+    wanted = dict.fromkeys(step for issue in issues for step in steps if step in issue.lower())
+    left = [issue for issue in issues if not any(step in issue.lower() for step in steps)]
+    for step in steps:
+        df = steps[step](df) if step in wanted else df
+    return df, left
+
+
 def standardize(df: DataFrame, at: str, order: str, zone: str | None = None) -> DataFrame:
     """Dates from timestamps (of a zone, if named); of several rows a date the last by `order` stays."""
     when = F.from_utc_timestamp(at, zone) if zone else col(at)

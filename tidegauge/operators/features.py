@@ -152,7 +152,7 @@ def row_stat(xs: list[Column], what: str) -> Column:
     mean = F.try_divide(total, F.size(v))
     if what == "mean":
         return mean
-    return F.sqrt(F.try_divide(F.aggregate(v, F.lit(0.0), lambda s, x: s + (x - mean) * (x - mean)), F.size(v) - 1))
+    return F.when(F.size(v) > 1, F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + (x - mean) * (x - mean)) / (F.size(v) - 1)))
 
 
 def stress_index(df: DataFrame, vix: str, em: str) -> DataFrame:

@@ -143,6 +143,46 @@ def summary(df: DataFrame, xs: list[str]) -> DataFrame:
     return _measure(df, "summary", m)
 
 
+def source_checks(df: DataFrame, limits: dict[str, tuple[float, float]], today: Column | None = None) -> DataFrame:
+    """For each column the share of rows inside its limits (a NULL is outside), its NULL share and its coverage; age of the newest row."""
+    m = {}
+    for x, (lo, hi) in limits.items():
+        inside = F.coalesce(col(x).between(lo, hi), F.lit(False)).cast("int")
+        m |= {f"valid_{x}": F.avg(inside), f"all_valid_{x}": F.min(inside), f"null_pct_{x}": F.avg(col(x).isNull().cast("int")) * 100, f"coverage_{x}": F.try_divide(F.count(x), F.count("*"))}
+    newest = {"days_old": F.date_diff(F.current_date() if today is None else today, F.max("date"))}
+    return _measure(df, "source", m | newest)
+
+
+def expected_correlations(df: DataFrame, expected: dict[tuple[str, str], tuple[float, float]]) -> DataFrame:
+    """Correlation of each named pair and whether it is where it is expected."""
+    row = df.agg(*[scorr(a, b).alias(f"{a}|{b}") for a, b in expected])
+    parts = ", ".join(f"'{a}', '{b}', `{a}|{b}`, `{a}|{b}` BETWEEN {lo} AND {hi}" for (a, b), (lo, hi) in expected.items())
+    return row.selectExpr(f"stack({len(expected)}, {parts}) AS (a, b, corr, expected)").withColumn("expected", F.coalesce(F.col("expected"), F.lit(False)).cast("int"))
+
+
+def redundant_pairs(df: DataFrame, xs: list[str], most: float = 0.95) -> DataFrame:
+    """Pairs of columns whose absolute correlation exceeds `most`."""
+    return correlation_matrix(df, xs).where(F.abs("corr") > most)
+
+
+#: What to do about an issue, by a word in it.
+ADVICE = {"null": "fill missing values", "duplicate": "drop duplicates", "z_": "winsorize outliers", "iqr_": "winsorize outliers", "extreme": "winsorize outliers", "gap": "align the calendar", "out_": "clip to the allowed range", "corr": "drop redundant columns"}
+
+
+def recommendations(checks: DataFrame) -> DataFrame:
+    """verdicts() rows -> (check, issue, advice) of every issue; the first word of ADVICE in it decides."""
+    advice = F.lit("look at it by hand")
+    for word, what in reversed(ADVICE.items()):
+        advice = F.when(F.contains(F.col("issue"), F.lit(word)), what).otherwise(advice)
+    return checks.select("check", F.explode("issues").alias("issue")).withColumn("advice", advice)
+
+
+def wrong_types(df: DataFrame, numeric: list[str]) -> list[str]:
+    """Columns that should be numeric and are not, from the schema alone."""
+    kinds = dict(df.dtypes)
+    return [x for x in numeric if x in kinds and not kinds[x].startswith(("tinyint", "smallint", "int", "bigint", "float", "double", "decimal"))]
+
+
 def verdicts(rows: DataFrame, limits: dict[str, tuple[float | None, float | None]]) -> DataFrame:
     """(check, metric, value) rows to one row for each check: passed, issues, metrics."""
     bad = F.lit(None).cast("string")

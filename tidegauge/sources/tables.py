@@ -64,12 +64,45 @@ def quotes_json(spark: SparkSession, path: str) -> DataFrame:
     return q.groupBy(F.to_date("ts").alias("date")).agg(F.max_by("q", "ts").alias("q")).select("date", "q.*")
 
 
-def stored_range(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Stored series between two dates; the filter reaches the Parquet scan."""
+def stored_range(spark: SparkSession, path: str, start: str | None = None, end: str | None = None, at: str = "date") -> DataFrame:
+    """Stored series between two dates, both included; the filter reaches the Parquet scan."""
     df = spark.read.parquet(path)
+    kind = dict(df.dtypes)[at]
     if start:
-        df = df.where(F.col("date") >= F.lit(start).cast("date"))
-    return df.where(F.col("date") <= F.lit(end).cast("date")) if end else df
+        df = df.where(F.col(at) >= F.lit(start).cast(kind))
+    return df.where(F.col(at) < F.date_add(F.lit(end).cast("date"), 1).cast(kind)) if end else df
+
+
+def latest(spark: SparkSession, path: str, days: int, at: str = "date") -> DataFrame:
+    """Rows of the last `days` days that are there; the newest date is read from the column alone."""
+    newest = spark.read.parquet(path).agg(F.date_sub(F.to_date(F.max(at)), days - 1).cast("string")).first()[0]
+    return stored_range(spark, path, newest, at=at)
+
+
+def spine(df: DataFrame, at: str = "date") -> DataFrame:
+    """Every day from the first to the last of df."""
+    ends = df.agg(F.to_date(F.min(at)).alias("a"), F.to_date(F.max(at)).alias("b")).where("a is not null")
+    return ends.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 DAY"))).alias("date"))
+
+
+def net_flows(long: DataFrame, name: str, value: str, names: list[str], total: str = "net") -> DataFrame:
+    """One column for each name and their sum; a missing one counts nothing."""
+    flows = wide(long, name, value, names)
+    parts = [F.coalesce(F.col(f"`{n}`"), F.lit(0.0)) for n in names]
+    return flows.withColumn(total, sum(parts[1:], parts[0]))
+
+
+def last_quote(quotes: DataFrame, key: str, at: str, fields: list[str]) -> DataFrame:
+    """The newest row of each key; its first field that is neither NULL nor 0 is the price."""
+    newest = quotes.groupBy(key).agg(F.max_by(F.struct(*fields), at).alias("q"))
+    return newest.select(key, F.coalesce(*[F.nullif(F.col(f"q.{f}"), F.lit(0)) for f in fields]).alias("price"))
+
+
+def quote_spread(quotes: DataFrame, at: str, key: str, bid: str, ask: str) -> DataFrame:
+    """Bid, ask and mid of the last quote of each key and day; `at` may be a struct that starts with `ts`."""
+    day = F.to_date(f"{at}.ts") if dict(quotes.dtypes)[at].startswith("struct") else F.to_date(at)
+    last = quotes.groupBy(F.col(key), day.alias("date")).agg(F.max_by(F.struct(F.col(bid).alias("bid"), F.col(ask).alias("ask")), F.col(at)).alias("q"))
+    return last.select(key, "date", "q.bid", "q.ask", ((F.col("q.bid") + F.col("q.ask")) / 2).alias("mid"))
 
 
 def option_chain(calls: DataFrame, puts: DataFrame) -> DataFrame:
