@@ -135,6 +135,16 @@ def test_urls(spark):
     assert urls.filter_urls(pages.limit(0)).count() == 0
 
 
+def test_urls_whatever_the_size_and_the_distance(spark):
+    """Distrust of 8e-10 (many blocked pages, many links to the one linked) and a host 14 hops away still block."""
+    rows = [(i, f"http://w.com/de/{i}", None) for i in range(2000)] + [(3000, "http://bad.com/de/", None), (3001, "http://y.org/", '<a href="//bad.com">' * 300_000), (3002, "http://x.net/", '<a href="//bad.com">')]
+    rows += [(4000 + i, f"http://h{i}.net/", f'<a href="//{f"h{i - 1}.net" if i else "w.com"}/">') for i in range(14)] + [(5000, "http://far.net/", "<a href='//elsewhere.net'>")]
+    got = {r.page_id: r for r in urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert 0 < got[3002].distrust < 1e-9 and got[3002].verdict == "block"
+    assert [got[4000 + i].verdict for i in range(14)] == ["block"] * 14
+    assert got[5000].verdict == "allow" and got[3001].verdict == "allow"
+
+
 def test_mixing(docs, none):
     runs = [sorted(map(tuple, mixing.mix(docs.repartition(n), bucket_rows=8, fan_in=2).fillna({"doc_id": -1, "source": "~"}).collect())) for n in (1, 5)]
     assert runs[0] == runs[1]

@@ -6,9 +6,11 @@ becomes one CASE expression.
 
 Hosts are joined by the absolute links of their pages and, both ways, to the host one label up if it has pages too.
 Trust is a personalised PageRank over these edges, seeded by each host's share of the pages that rules allow;
-distrust is the same over the reversed edges, seeded by the blocked pages. `steps` power steps are taken: what is
-left out is at most damping ** steps of the mass. A host whose distrust exceeds `ratio` times its trust is blocked,
-every other one allowed. All steps are DataFrame joins and pre-aggregated sums over one row for each pair of hosts.
+distrust is the same over the reversed edges, seeded by the blocked pages. At least `steps` power steps are taken, and
+then as many as it needs until no further host is reached and no score moves by more than SETTLED of itself. A host
+that distrust reaches is blocked if trust does not reach it or its distrust exceeds `ratio` times its trust, every other
+one allowed; no absolute floor enters, so the verdict does not depend on the size of the table. All steps are DataFrame
+joins and pre-aggregated sums over one row for each pair of hosts.
 
 Cases: a null url or one without "://" has empty host and path, fits no rule and is allowed by default; null html
 has no links; repeated rows are judged alike and count as pages; an empty table gives an empty result.
@@ -32,8 +34,10 @@ RULES = [
 ]
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s<>]+)"""
 DAMPING, STEPS, RATIO = 0.5, 10, 1.0
-#: Kept clear of rounding: distrust has to exceed trust by more than this share of it and this much.
+#: Kept clear of rounding: distrust has to exceed trust by more than this share of it. LEAST is in the SQL only.
 MARGIN, LEAST = 1e-6, 1e-9
+#: Scores that move by no more than this share of themselves in a step have settled.
+SETTLED = 1e-9
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -73,27 +77,38 @@ def host_edges(rows: DataFrame) -> DataFrame:
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, steps: int = STEPS) -> DataFrame:
-    """edges (src, dst, w), seeds (host, good, bad: pages) -> (host, trust, distrust)."""
+    """edges (src, dst, w), seeds (host, good, bad: pages) -> (host, trust, distrust, trusted, distrusted: reached at all)."""
     total = seeds.agg(F.sum("good").alias("g"), F.sum("bad").alias("b")).first()
     share = lambda c, n: F.col(c) / F.lit(float(n)) if n else F.lit(0.0)
     start = stored(seeds.select("host", share("good", total.g).alias("t0"), share("bad", total.b).alias("d0")), "seeds")
     edges = stored(edges, "host-edges")
     out = edges.groupBy("src").agg(F.sum("w").alias("n"))
     into = edges.groupBy("dst").agg(F.sum("w").alias("n"))
-    none = F.lit(0.0)
+    none, no = F.lit(0.0), F.lit(False)
     ahead = edges.join(out, "src").select(F.col("src").alias("host"), F.col("dst").alias("to"), (F.col("w") / F.col("n")).alias("t_share"), none.alias("d_share"))
     back = edges.join(into, "dst").select(F.col("dst").alias("host"), F.col("src").alias("to"), none.alias("t_share"), (F.col("w") / F.col("n")).alias("d_share"))
     ways = stored(ahead.union(back), "ways")
-    base = start.select("host", (F.col("t0") * (1 - damping)).alias("t"), (F.col("d0") * (1 - damping)).alias("d"))
-    now = start.select("host", F.col("t0").alias("t"), F.col("d0").alias("d"))
+    reached = ((F.col("t0") > 0).alias("tr"), (F.col("d0") > 0).alias("dr"))
+    base = start.select("host", (F.col("t0") * (1 - damping)).alias("t"), (F.col("d0") * (1 - damping)).alias("d"), *reached)
+    now = start.select("host", F.col("t0").alias("t"), F.col("d0").alias("d"), *reached)
+    result = ("host", F.col("t").alias("trust"), F.col("d").alias("distrust"), F.col("tr").alias("trusted"), F.col("dr").alias("distrusted"))
     if ways.isEmpty():
-        return base.select("host", F.col("t").alias("trust"), F.col("d").alias("distrust"))
-    for _ in range(steps):
-        sent = ways.join(now, "host").select(F.col("to").alias("host"), (F.col("t") * F.col("t_share") * damping).alias("t"), (F.col("d") * F.col("d_share") * damping).alias("d"))
-        after = stored(sent.union(base).groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d")), "ranks")
+        return base.select(*result)
+    new = (none.alias("t_old"), none.alias("d_old"), no.alias("tr_old"), no.alias("dr_old"))
+    taken, moving = 0, True
+    while taken < steps or moving:
+        t, d = F.col("t") * F.col("t_share") * damping, F.col("d") * F.col("d_share") * damping
+        sent = ways.join(now, "host").select(F.col("to").alias("host"), t.alias("t"), d.alias("d"), (F.col("tr") & (F.col("t_share") > 0)).alias("tr"), (F.col("dr") & (F.col("d_share") > 0)).alias("dr"), *new)
+        old = now.select("host", none.alias("t"), none.alias("d"), no.alias("tr"), no.alias("dr"), F.col("t").alias("t_old"), F.col("d").alias("d_old"), F.col("tr").alias("tr_old"), F.col("dr").alias("dr_old"))
+        sums = [F.sum(c).alias(c) for c in ("t", "d", "t_old", "d_old")] + [F.bool_or(c).alias(c) for c in ("tr", "dr", "tr_old", "dr_old")]
+        after = stored(sent.union(base.select("*", *new)).union(old).groupBy("host").agg(*sums), "ranks")
         forget(now)
-        now = after
-    return now.select("host", F.col("t").alias("trust"), F.col("d").alias("distrust"))
+        now, taken = after.select("host", "t", "d", "tr", "dr"), taken + 1
+        now._stored_at = after._stored_at
+        if taken >= steps:
+            shift = lambda c: F.abs(F.col(c) - F.col(f"{c}_old")) > F.col(c) * SETTLED
+            moving = not after.where(shift("t") | shift("d") | (F.col("tr") != F.col("tr_old")) | (F.col("dr") != F.col("dr_old"))).isEmpty()
+    return now.select(*result)
 
 
 def filter_urls(pages: DataFrame, rules=RULES, damping: float = DAMPING, steps: int = STEPS, ratio: float = RATIO) -> DataFrame:
@@ -103,7 +118,7 @@ def filter_urls(pages: DataFrame, rules=RULES, damping: float = DAMPING, steps:
     said = thin.where("host <> ''").groupBy("host").agg(F.count_if(F.col("said") == "allow").alias("good"), F.count_if(F.col("said") == "block").alias("bad"))
     scores = stored(propagate(host_edges(rows), said, damping, steps), "host-scores")
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
-    blocked = distrust > trust * (ratio + MARGIN) + LEAST
+    blocked = F.col("distrusted") & (~F.col("trusted") | (distrust > trust * (ratio + MARGIN)))
     verdict = F.coalesce("said", F.when(blocked, "block").otherwise("allow"))
     return thin.join(scores, "host", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"), trust.alias("trust"), distrust.alias("distrust"))
 
