@@ -206,6 +206,29 @@ def test_html(spark):
     assert html.extract(pages.limit(0), drawn=5).count() == 0
 
 
+ICONS = ['<svg class="icon"/>', "<math/>", "<object data=x>", "<select>", "<video>", '<video-player src="a"></video-player>', "<svg><text>hidden</text></svg>", "<svg/><svg>hidden</svg>"]
+
+
+@pytest.mark.parametrize("icon", ICONS)
+def test_html_text_after_an_icon_stays(icon):
+    path = ("html", "body", "article", "p")
+    got = html.leaves(f"<html><body><article><p>First part</p>{icon}<p>Second part</p><p>Third <b>part</b></p></article></body></html>")
+    assert [t for _, t, _ in got] == ["First part", "Second part", "Third part"]
+    assert all(p == path for p, _, _ in got) or icon.startswith("<video-")
+
+
+def test_html_formulas_and_objects_are_text():
+    page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> hold</p><object data='a.pdf'><p>Fallback text</p></object><script>var a</script></article>"
+    assert [t for _, t, _ in html.leaves(page)] == ["Let x=1 hold", "Fallback text"]
+    assert html.leaves("<p>a</p>" + "<select>" * 20_000)[0][1] == "a"
+
+
+def test_html_article_with_icons(spark):
+    rows = [(i, f"u{i}", PAGE.format(t=f"story {i} of words, the and of").replace("<p>Second", "<svg class='icon'/><math><mi>x</mi></math><p>Second")) for i in range(40)]
+    got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), sample=20, drawn=300).collect()
+    assert sum("Second block of" in r.text and "point one" in r.text for r in got) >= 36
+
+
 def test_lstm_gradient():
     rng = np.random.default_rng(1)
     net, reader = html.Labeller(2), html.Reader()

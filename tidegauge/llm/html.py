@@ -9,6 +9,8 @@ parameter), labelled by the meaning of their tags and class names, and on `drawn
 known labels and the words of these pages. Training is seeded, so equal samples give equal weights; they are a few
 hundred kB at any input size. Extraction itself covers every page and every block.
 
+Scripts, styles, titles, text areas and closed SKIPPED elements are no text; formulas and what objects hold are.
+
 Cases: null or empty html gives empty text; unclosed, stray or cut-off markup is read as far as it goes; a page without
 a main block gives empty text; repeated pages give equal rows; an empty table gives an empty result.
 """
@@ -31,7 +33,9 @@ SAMPLE, DRAWN, SEED = 300, 600, 11
 
 # Element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
+INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img math mi mo mn ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mstyle mpadded menclose mtable mtr mtd semantics".split())
+#: Left out with what they hold, where they are closed; a self-closed or unclosed one is an empty element.
+SKIPPED = frozenset("noscript template svg iframe select canvas audio video".split())
 CLOSES_ITSELF = {"p": "p", "li": "li", "dt": "dt", "dd": "dd", "tr": "tr", "td": "td", "th": "th", "option": "option"}
 LIMITS = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",), "p": ("div", "td", "li", "article", "section", "body")}
 # Words in tags, classes and ids that tell what a block is not, and what it is.
@@ -40,7 +44,7 @@ MAIN = frozenset("article main content post entry story body-text article-body p
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|title|svg|math|iframe|object|textarea|select|canvas|audio|video)\b[^<>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|title|textarea)(?=[\s/>])[^<>]*>.*?(?:</\1\s*>|\Z)"
     r"""|<(/?)([a-z][a-z0-9:-]*)((?:[^<>"']|"[^"<]*"|'[^'<]*')*)>"""
     r"|<(/?)([a-z][a-z0-9:-]*)([^<>]*)>"
     r"|<[!?][^>]*>"
@@ -49,6 +53,7 @@ TOKEN = re.compile(
 )
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORD = re.compile(r"[a-z]+")
+CLOSE = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in SKIPPED}
 
 Leaf = tuple[tuple[str, ...], str, int]  # tags, classes and ids above; text; characters within links
 
@@ -67,6 +72,7 @@ def leaves(page: str | None) -> list[Leaf]:
     out: list[Leaf] = []
     text: list[str] = []
     linked, links, last = 0, 0, 0
+    endless: set[str] = set()  # hidden elements that no tag closes from here on
 
     def flush():
         nonlocal linked
@@ -88,7 +94,7 @@ def leaves(page: str | None) -> list[Leaf]:
             if stack[i][0] in limits:
                 return
 
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.search(page, last):
         if m.start() > last:
             piece = page[last : m.start()]
             text.append(piece)
@@ -104,8 +110,18 @@ def leaves(page: str | None) -> list[Leaf]:
                 flush()
             shut(tag, ())
             continue
+        empty = (m[4] or m[7] or "").endswith("/")
+        if tag in SKIPPED:
+            end = None if empty or tag in endless else CLOSE[tag].search(page, last)
+            if end:
+                last = end.end()
+            elif not empty:
+                endless.add(tag)
+            continue
         if tag not in INLINE:
             flush()
+        if tag == "object" or tag == "math" and empty:  # what an object holds stands for it and is read as if it stood alone
+            continue
         if tag in CLOSES_ITSELF:
             shut(CLOSES_ITSELF[tag], LIMITS[tag])
         if tag in VOID:
