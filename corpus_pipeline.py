@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import langid, mixing, packing, simhash
+from tidegauge.llm import jaccard, langid, mixing, packing
 from tidegauge.llm.common import documents, stored
 
 
@@ -20,12 +20,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of linked documents the one with the smallest doc_id.
+    """Keeps of each group of linked documents (five-word shingles alike by 0.8 or more) the one with the smallest doc_id.
 
     Rows without doc_id take a negative id from the hash of the whole row; equal rows count as one document.
     """
     id_of = F.coalesce(F.col("doc_id").cast("long"), -F.abs(F.xxhash64(*docs.columns) % (1 << 62)) - 1)
-    groups = simhash.near_duplicates(docs.select(id_of.alias("doc_id"), "text"))
+    groups = jaccard.near_duplicates(docs.select(id_of.alias("doc_id"), "text"))
     first = stored(groups.where("doc_id = component_id").select(F.col("component_id").alias("_keep")).distinct(), "kept")
     marked = docs.withColumns({"_id": id_of, "_same": F.xxhash64("text")})
     return marked.join(first, F.col("_id") == F.col("_keep"), "left_semi").dropDuplicates(["_id", "_same"]).drop("_id", "_same")

@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidegauge.llm import ann, html, langid, licences, media, mixing, packing, sharding, simhash, urls
+from tidegauge.llm import ann, html, jaccard, langid, licences, media, mixing, packing, sharding, simhash, urls
 from tidegauge.llm.graph import components
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, size long, component_id string, shard string, key string, row string"
@@ -123,6 +123,36 @@ def test_no_link_is_lost(spark, bits, limit):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, got.values()))
 
 
+def test_near_dedup_at_similarity(spark):
+    """The pipeline's stage keeps what plain Python keeps at five words and 0.8, with copies on either side of the bound."""
+    import corpus_pipeline
+
+    rng, rows = np.random.default_rng(8), []
+    for _ in range(25):
+        base = [f"w{k}" for k in rng.integers(0, 400, int(rng.integers(6, 150)))]
+        for changed in (0, 0, 1, 1, 2, 3, 5):
+            copy = list(base)
+            for at in rng.integers(0, len(base), changed):
+                copy[at] = f"new{rng.integers(1000)}"
+            rows.append(" ".join(["the same words at the start of it all"] * (changed % 2) + copy))
+    rows += ["", None, "a b", "a b c"]
+
+    def cut(t):
+        w = (t or "").split()
+        return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets, root = [cut(t) for t in rows], list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = corpus_pipeline.near_dedup(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in got) == sorted(set(root)) and len(set(root)) < len(set(rows))
+    assert jaccard.near_duplicates(docs.limit(0)).count() == 0
+
+
 def test_urls(spark):
     rows = [(1, "https://A.example.org/es/1", None), (2, "http://x.net/p", '<a href="http://bad.com/">'), (3, "http://bad.com/de/1?q", "<a href='//x.net/z'>"), (4, None, None), (5, "nothing", ""), (6, "http://example.org/en/12", None), (6, "http://example.org/en/12", None), (7, "http://notorg/", None), (8, "x://h?q://z", None), (9, "http://y.org/#a", None)]
     pages = spark.createDataFrame([(*r, "clash", "clash") for r in rows], "page_id long, url string, html string, host string, verdict string").select("page_id", "url", "html", F.lit("x").alias("rule"))
