@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A-Z to a-z and every ASCII character that is no letter or digit to a space, in UTF-8 bytes.
@@ -27,20 +27,23 @@ def space_words(text: str | None) -> list[bytes]:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where it is unset (tests on one machine), one of our own."""
+    """The folder named by spark.checkpoint.dir. Where it is unset, a local session (tests on one machine) gets one of its
+    own; on a cluster that is an error, since executors would each write to their own disk."""
     conf = spark.sparkContext.getConf()
     root = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tidegauge-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write df once to the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tidegauge/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
@@ -59,19 +62,31 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def words_count(text) -> F.Column:
+def words_count(text) -> Column:
     """Number of runs of [^\\x20\\x09-\\x0D]; null: 0."""
     spaced = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
     return F.size(F.filter(F.split(spaced, " "), lambda w: w != "")).cast("long")
 
 
-def hash_sample(rows: DataFrame, key: str, size: int, seed: int) -> list:
-    """At most `size` rows, the first by hash of their key. A threshold on the hash, set from the row count so that
-    about twice as many pass, keeps what each task sends to the driver to its share of the sample."""
-    total = rows.count()
-    unit = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 40))
-    most = int((1 << 40) * min(1.0, (2 * size + 100) / total)) if total else 0
-    return rows.where(unit < most).orderBy(unit, key).limit(size).collect()
+def row_hash(df: DataFrame, seed: int = 42) -> Column:
+    """A hash of the whole row, whatever its columns are called; columns that hold maps are hashed as JSON."""
+    parts = []
+    for name, kind in df.dtypes:
+        c = df[quoted(name)]
+        parts.append(F.to_json(F.struct(c.alias("c"))) if "map<" in kind else c)
+    return F.xxhash64(F.lit(seed), *parts)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def hash_sample(rows: DataFrame, keys: list[str], size: int, seed: int) -> list:
+    """At most `size` rows, the first by hash of their keys. The hash of the last one is found from the keys alone, so
+    that a task sends the driver its share of the sample only (more where many rows have equal keys)."""
+    unit = F.xxhash64(F.lit(seed), *keys)
+    last = rows.select(unit.alias("unit")).orderBy("unit").limit(size).agg(F.max("unit")).first()[0]
+    return [] if last is None else rows.where(unit <= last).orderBy(unit, *keys).limit(size).collect()
 
 
 def rows_of(stream: Iterable[pa.RecordBatch], size: int = 256) -> Iterator[tuple]:

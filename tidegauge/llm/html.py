@@ -422,7 +422,7 @@ def extract_pages(net: Labeller, rows: list[tuple], reader: Reader, cells: int =
 
 def extract(table: DataFrame, sample: int = SAMPLE, drawn: int = DRAWN, seed: int = SEED) -> DataFrame:
     """table (page_id, url, html) -> page_id, url, text, n_chars, blocks, kept."""
-    some = hash_sample(table.where("html is not null").select("page_id", "html"), "page_id", sample, seed)
+    some = hash_sample(table.where("html is not null").select("page_id", "url", "html"), ["page_id", "url"], sample, seed)
     net = train([r.html for r in some], drawn, seed)
 
     def rows(stream):

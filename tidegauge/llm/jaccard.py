@@ -135,9 +135,8 @@ def links(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: float
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
-    """One row for each row of docs: doc_id, fp (key of its set), component_id (the smallest doc_id reachable).
-
-    doc_id must not be null.
+    """One row for each row of docs: doc_id, same (hash of the text), fp (key of its set), component_id (the smallest
+    doc_id reachable), root (the component's own name). doc_id must not be null.
     """
 
     def keys(stream):
@@ -145,7 +144,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: float = SIM
         for b in stream:
             for part in range(0, b.num_rows, 256):
                 some = b.slice(part, 256)
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array([_key(shingles(t, words, width)) for t in some.column(1).to_pylist()], pa.int64())], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(2), pa.array([_key(shingles(t, words, width)) for t in some.column(1).to_pylist()], pa.int64())], ["doc_id", "same", "fp"])
 
-    own = stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(keys, "doc_id long, fp long"), "set-keys")
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("same"))
+    own = stored(rows.mapInArrow(keys, "doc_id long, same long, fp long"), "set-keys")
     return grouped(own, lambda _: links(docs, own, width, similarity))

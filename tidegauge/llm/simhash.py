@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import rows_of, space_words, stored
+from tidegauge.llm.common import forget, rows_of, space_words, stored
 from tidegauge.llm.graph import components
 
 #: Shingle width, hash seed and threshold in bits of the near-duplicate contract.
@@ -156,7 +156,10 @@ def _compare(batches: Iterator[pa.RecordBatch], bits: int, limit: int) -> Iterat
         for k in np.flatnonzero(size[:-1] > 2):
             anchor, held, hot = None, prints[starts[k] : ends[k]], size[k] > limit
             yield from finish()
-        anchor, held, hot = keys[starts[-1]], prints[starts[-1] : ends[-1]].copy(), False
+        anchor, held, hot = keys[starts[-1]], prints[starts[-1] : ends[-1]].copy(), bool(size[-1] > limit)
+        if hot:
+            yield from passed_on(held)
+            held = np.empty(0, np.uint64)
     yield from finish()
 
 
@@ -198,14 +201,17 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE, seed: int = SEED) -> Dat
 
 
 def grouped(own: DataFrame, edges) -> DataFrame:
-    """own (doc_id, fp) and edges, which makes links (u, v) of a table of all fp: adds component_id."""
+    """own (doc_id, fp, ...) and edges, which makes links (u, v) of a table of all fp: adds component_id and root, the
+    component's own name (two components may have documents of one doc_id)."""
     firsts = stored(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "prints")
     roots = components(edges(firsts))
     rooted = firsts.join(roots, firsts.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     rooted = stored(rooted, "rooted")
     smallest = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
-    named = stored(rooted.join(smallest, "root").select("fp", "component_id"), "named")
-    return own.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = stored(rooted.join(smallest, "root").select("fp", "component_id", "root"), "named")
+    for old in (rooted, smallest, firsts):
+        forget(old)
+    return own.join(named, "fp").select(*own.columns, "component_id", "root")
 
 
 def near_duplicates(docs: DataFrame, bits: int = BITS, width: int = SHINGLE, seed: int = SEED) -> DataFrame:
