@@ -7,11 +7,13 @@ pairs two open documents and randomly moves words (p * size) from one to the oth
 for certain; expectations and the source's words stay the same. Documents are dealt to buckets of about `bucket_rows`
 by hash, each bucket is rounded as a sorted stream that leaves one open document, and these residuals are combined
 bucket by bucket, `fan_in` at a time, up a reduction tree to one for each source: the mix misses a target by less than
-one document, as a rule a short one, since each stream runs from long to short. All draws are hashes of (seed, level, place, doc_id), so reruns agree.
+one document, as a rule a short one, since each stream runs from long to short. All draws are hashes of the seed, the
+level and the documents, never of their place in a file or batch, so reruns agree.
 
-Cases: null text has size 0; an empty document is drawn by itself (it moves no words); null source is a source of its
-own; rows that are equal in doc_id, source and size are interchangeable; an empty table gives an empty result; other
-columns are not read here, and mixed() packs them into one struct, so their names cannot clash.
+Cases: null text has size 0; an empty document is drawn by itself (it moves no words) from its doc_id, its keys and its
+number among its equals; null source is a source of its own; rows that are equal in doc_id, source and size are
+interchangeable in mix(); an empty table gives an empty result; other columns are not read here, and mixed() packs them
+into one struct, so their names cannot clash. mixed() tells rows apart by 128 bits of hash.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from tidegauge.llm.common import stored, words_count
+from tidegauge.llm.common import quoted, row_hash, stored, words_count
 
 WEIGHTS, CAP, SEED = (1, 2, 3), 3, 17
 
@@ -72,6 +74,9 @@ def _round(batches: Iterator[pa.RecordBatch], schema: pa.Schema, level: int, las
     At most one open document is held; it waits as a slice of its own batch.
     """
     run, held = None, None  # held: its row (a table slice), mass, size, doc_id
+    names = [f.name for f in schema if f.name in ("source", "bucket", "size", "mass", "doc_id") or f.name.startswith("key")]
+    own = [n for n in names if n.startswith("key")]
+    same, times = None, 0  # the last empty document and how many equal ones came before it
 
     def with_result(rows: pa.RecordBatch, extra: list, mass: list) -> pa.RecordBatch:
         out = [pa.array(extra, pa.int32()) if f.name == "extra" else pa.array(mass, pa.float64()) if f.name == "mass" else rows.column(f.name) for f in schema]
@@ -84,7 +89,7 @@ def _round(batches: Iterator[pa.RecordBatch], schema: pa.Schema, level: int, las
         return with_result(row, [None], [mass])
 
     for batch in batches:
-        cols = {f.name: batch.column(f.name).to_pylist() for f in schema if f.name in ("source", "bucket", "size", "mass", "doc_id")}
+        cols = {n: batch.column(n).to_pylist() for n in names}
         n = batch.num_rows
         extra, mass, here = [None] * n, cols["mass"], None
         keep = [True] * n
@@ -98,7 +103,9 @@ def _round(batches: Iterator[pa.RecordBatch], schema: pa.Schema, level: int, las
                 run, held, here = key, None, None
             size, m, doc_id = cols["size"][i], mass[i], cols["doc_id"][i]
             if size == 0:
-                extra[i], mass[i] = int(_draw(seed, "empty", doc_id, i) < m), None
+                this = (*key, doc_id, *(cols[c][i] for c in own))
+                same, times = this, times + 1 if this == same else 0
+                extra[i], mass[i] = int(_draw(seed, "empty", doc_id, *this[3:], times) < m), None
             elif m <= 0 or m >= size:
                 extra[i], mass[i] = int(m >= size), None
             elif held is None and here is None:
@@ -132,30 +139,31 @@ def _round(batches: Iterator[pa.RecordBatch], schema: pa.Schema, level: int, las
         yield settle()
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: int = SEED, bucket_rows: int = 2048, fan_in: int = 16, key: Column | None = None) -> DataFrame:
-    """docs (doc_id, text, source) -> doc_id, source, size, source_size, target, copies, and key (a long) if one is given."""
-    own = [key.cast("long").alias("key")] if key is not None else []
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words_count(F.col("text")).alias("size"), *own)
+def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: int = SEED, bucket_rows: int = 2048, fan_in: int = 16, keys: tuple[Column, ...] = ()) -> DataFrame:
+    """docs (doc_id, text, source) -> doc_id, source, size, source_size, target, copies, and key0, key1, ... (longs) if keys are given."""
+    own = [k.cast("long").alias(f"key{i}") for i, k in enumerate(keys)]
+    # Where doc_id is missing, the text deals the rows.
+    place = F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.when(F.col("doc_id").isNull(), F.col("text")), *keys), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words_count(F.col("text")).alias("size"), place.alias("place"), *own)
     rows = stored(rows, "sizes")
     sums = stored(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), "sources")
     most = sums.agg(F.max("n")).first()[0]
     goal = stored(targets(sums.select("source", "source_size"), weights, cap), "targets").join(sums.select(F.col("source").alias("s"), "n"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     goal = stored(goal.withColumnRenamed("source", "of"), "goals")
-    place = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     rows = rows.join(goal, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     whole = F.least(F.floor("expected"), F.lit(cap)).cast("int")
     rows = rows.select(
         "*", whole.alias("whole"), ((F.col("expected") - F.floor("expected")) * F.greatest("size", F.when(F.col("size") == 0, 1).otherwise(0))).alias("mass"),
-        F.floor(place * F.ceil(F.col("n") / F.lit(float(bucket_rows)))).cast("long").alias("bucket"), place.alias("place"), F.lit(None).cast("int").alias("extra"),
+        F.floor(F.col("place") * F.ceil(F.col("n") / F.lit(float(bucket_rows)))).cast("long").alias("bucket"), F.lit(None).cast("int").alias("extra"),
     ).drop("n")
     levels = 1 + (math.ceil(math.log(max(1, math.ceil(most / bucket_rows))) / math.log(fan_in) - 1e-9) if most else 0)
-    open_rows, parts, schema = rows, [], rows.schema
+    open_rows, parts, schema, named = rows, [], rows.schema, [f"key{i}" for i in range(len(keys))]
     arrow = _arrow_schema(schema)
     for level in range(levels):
         last = level == levels - 1
         if level:
             open_rows = open_rows.withColumn("bucket", F.floor(F.col("bucket") / fan_in).cast("long"))
-        dealt = open_rows.repartition("source", "bucket").sortWithinPartitions("source", "bucket", F.desc("size"), "place", "doc_id")
+        dealt = open_rows.repartition("source", "bucket").sortWithinPartitions("source", "bucket", F.desc("size"), "place", "doc_id", *named)
         out = stored(dealt.mapInArrow(lambda it, k=level, z=last: _round(it, arrow, k, z, seed), schema), f"level{level}")
         parts.append(out.where("extra is not null"))
         open_rows = out.where("extra is null")
@@ -164,17 +172,17 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: int = SEED, buck
         done = done.union(p)
     copies = F.least(F.col("whole") + F.col("extra"), F.lit(cap)).cast("int")
     keep = ["doc_id", "source", "size", "source_size", "target", copies.alias("copies")]
-    return done.select(*keep, *(["key"] if own else []))
+    return done.select(*keep, *named)
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """The rows of docs as often as the mix takes them. Texts do not go through the rounding: equal rows are collapsed
-    by a hash of the whole row before the shuffle, and joined with the copies that all of them together are taken."""
-    key = F.xxhash64(*[docs[f"`{c}`"] for c in docs.columns])
-    taken = stored(mix(docs, key=key, **how).groupBy("key").agg(F.sum("copies").cast("int").alias("copies")).where("copies > 0"), "taken")
-    rows = docs.select(key.alias("key"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
-    once = rows.groupBy("key").agg(F.first("row").alias("row"))
-    return once.join(taken, "key").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+    by two hashes of the whole row before the shuffle, and joined with the copies that all of them together are taken."""
+    keys = (row_hash(docs, 42), row_hash(docs, 43))
+    taken = stored(mix(docs, keys=keys, **how).groupBy("key0", "key1").agg(F.sum("copies").cast("int").alias("copies")).where("copies > 0"), "taken")
+    rows = docs.select(keys[0].alias("key0"), keys[1].alias("key1"), F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("row"))
+    once = rows.groupBy("key0", "key1").agg(F.first("row").alias("row"))
+    return once.join(taken, ["key0", "key1"]).select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def _arrow_schema(schema: T.StructType) -> pa.Schema:
