@@ -2,16 +2,20 @@
 
 The forest is fitted on a bounded sample (`sample` vectors, the first by hash of vec_id; a parameter): a node splits
 by the hyperplane halfway between two of its sample vectors, at the median, `depth` levels deep. Every vector is then
-dropped down every tree and dealt by (tree, leaf); leaves of more than `leaf_rows` vectors are dealt in blocks of that
-size. A query searches all trees through one shared priority queue, best bound first, until the leaves it has opened
-hold `share` of the sampled vectors a tree; it is sent to these leaves, where inner products with all their vectors are
-taken, and the best candidates are reranked by an exact double-precision product of the original vectors.
+dropped down every tree and dealt by (tree, leaf), and the vectors of each leaf are counted (one row for each leaf). A
+query searches all trees through one shared priority queue, best bound first, until the leaves it has opened hold
+`share` of the sampled vectors a tree and at least `k` + 1 vectors in one tree; so however small the table, k results are
+found if there are that many candidates. The query is sent to these leaves, where inner products with all their vectors
+are taken, and the best candidates are reranked by an exact double-precision product of the original vectors.
 
-Equal vectors are collapsed beforehand to their `k` + 1 smallest ids: no result can name another one of them.
+Vectors and queries of a leaf meet in blocks of at most about `leaf_rows` and `query_rows`, so neither side of a group
+grows with the table. Equal vectors are collapsed beforehand to their `k` + 1 smallest ids (no result can name another one
+of them), and equal queries are searched once, for k + 1 results, from which each drops its own id.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do those of another
-length than most have; ties go to the smaller vec_id; repeated rows of one id count once; with fewer candidates than
-k all that are found are returned; an empty table gives an empty result.
+length than most have; ties go to the smaller vec_id; of several vectors of one id the smallest (component by component)
+counts; with fewer candidates than k all of them are returned; an empty table gives an empty result; other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from pyspark.sql.window import Window as W
 
 from tidegauge.llm.common import hash_sample, stored
 
-K, TREES, DEPTH, SHARE, SAMPLE, SEED = 20, 3, 6, 0.35, 16384, 7
+K, TREES, DEPTH, SHARE, SAMPLE, SEED = 20, 4, 6, 0.3, 16384, 7
 
 
 class Forest:
@@ -65,14 +69,16 @@ class Forest:
             out[:, t] = node - (2**self.depth - 1)
         return out
 
-    def search(self, query: np.ndarray, share: float) -> list[tuple[int, int]]:
-        """(tree, leaf) in order of the shared queue until share of the vectors a tree is opened.
+    def search(self, query: np.ndarray, share: float, held: np.ndarray, least: int) -> list[tuple[int, int]]:
+        """(tree, leaf) in order of the shared queue until share of the sampled vectors a tree is opened, and in one
+        tree leaves that hold `least` vectors by the counts `held`.
 
         A node's bound is the sum of the squared distances to the planes crossed to get there.
         """
         margin = self.normal @ query - self.offset
         inner, queue, found, opened = 2**self.depth - 1, [(0.0, t, 0) for t in range(self.trees)], [], 0.0
-        while queue and opened < share * self.trees:
+        there = [0] * self.trees
+        while queue and (opened < share * self.trees or max(there) < least):
             bound, t, node = heapq.heappop(queue)
             while node < inner:
                 m = float(margin[t, node])
@@ -81,85 +87,105 @@ class Forest:
                 node = near
             found.append((t, node - inner))
             opened += self.held[t, node - inner]
+            there[t] += int(held[t, node - inner])
         return found
 
 
 def usable(table: DataFrame) -> DataFrame:
-    """vec_id, embedding of the vectors that take part."""
+    """vec_id, embedding of the vectors that take part; components other than floats are read as doubles."""
     v = F.col("embedding")
     fine = v.isNotNull() & F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))), F.lit(False)) & F.exists(v, lambda x: x != 0)
-    rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding")).where(fine & F.col("vec_id").isNotNull())
+    kind = "array<float>" if dict(table.dtypes)["embedding"] == "array<float>" else "array<double>"
+    rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), v.cast(kind).alias("embedding")).where(fine & F.col("vec_id").isNotNull())
     most = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.where(F.size("embedding") == (most.n if most else 0)).dropDuplicates(["vec_id"])
+    return rows.where(F.size("embedding") == (most.n if most else 0)).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, width)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def nearest(table: DataFrame, is_query, k: int = K, trees: int = TREES, depth: int = DEPTH, share: float = SHARE, sample: int = SAMPLE, leaf_rows: int = 65536, seed: int = SEED) -> DataFrame:
+def _lists(m: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(np.arange(0, m.size + 1, m.shape[1], dtype=np.int32), pa.array(m.ravel()))
+
+
+def _best(q: np.ndarray, v: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row of q, row of v) of all that may be among the `keep` largest products, rounding allowed for."""
+    s = q @ v.T
+    if s.shape[1] <= keep:
+        return np.nonzero(np.ones(s.shape, bool))
+    least = np.partition(s, s.shape[1] - keep, axis=1)[:, s.shape[1] - keep, None]
+    return np.nonzero(s >= least - 1e-9 * np.maximum(1, np.abs(least)))
+
+
+def nearest(table: DataFrame, is_query, k: int = K, trees: int = TREES, depth: int = DEPTH, share: float = SHARE, sample: int = SAMPLE, leaf_rows: int = 65536, query_rows: int = 32768, seed: int = SEED) -> DataFrame:
     """The k nearest by inner product of every vector for which is_query(vec_id) holds: query_id, rank, vec_id, score."""
     rows = stored(usable(table), "vectors")
     same = W.partitionBy(F.xxhash64("embedding"), "embedding").orderBy("vec_id")
     kept = stored(rows.withColumn("place", F.row_number().over(same)).where(F.col("place") <= k + 1).drop("place"), "distinct-vectors")
-    queries = rows.where(is_query(F.col("vec_id")))
-    got = hash_sample(kept, "vec_id", sample, seed)
+    asking = rows.where(is_query(F.col("vec_id")))
+    # The smallest id of equal queries stands for all of them.
+    named = stored(asking.select("vec_id", F.min("vec_id").over(W.partitionBy(F.xxhash64("embedding"), "embedding")).alias("stands")), "queries")
+    queries = asking.join(named.where("vec_id = stands").select("vec_id"), "vec_id", "left_semi")
+    got = hash_sample(kept, ["vec_id"], sample, seed)
     if not got:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    width, count = len(got[0].embedding), kept.count()
+    kind, width = dict(kept.dtypes)["embedding"], len(got[0].embedding)
     forest = Forest(np.array([r.embedding for r in got], np.float32), trees, depth, seed)
-    blocks = max(1, -(-count // (leaf_rows * 2**depth // 2)))
-
-    def list_of(m: np.ndarray) -> pa.Array:
-        return pa.ListArray.from_arrays(np.arange(0, m.size + 1, width, dtype=np.int32), pa.array(m.astype(np.float32).ravel()))
 
     def drop(stream: Iterator[pa.RecordBatch]):
         for b in stream:
             ids, m = b.column(0).to_numpy(), _matrix(b.column(1), width)
             leaves = forest.leaves(m)
             for t in range(trees):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), t, np.int32)), pa.array(leaves[:, t]), pa.array(ids), list_of(m)], ["tree", "leaf", "vec_id", "embedding"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), t, np.int32)), pa.array(leaves[:, t]), pa.array(ids), _lists(m)], ["tree", "leaf", "vec_id", "embedding"])
+
+    dealt = kept.mapInArrow(drop, f"tree int, leaf long, vec_id long, embedding {kind}")
+    held = np.zeros((trees, 2**depth), np.int64)
+    for r in dealt.groupBy("tree", "leaf").count().collect():
+        held[r.tree, r["leaf"]] = r["count"]
 
     def ask(stream: Iterator[pa.RecordBatch]):
         for b in stream:
             ids, m = b.column(0).to_numpy(), _matrix(b.column(1), width)
             for part in range(0, len(ids), 64):
-                picked = [(i, *x) for i in range(part, min(len(ids), part + 64)) for x in forest.search(m[i], share)]
+                picked = [(i, *x) for i in range(part, min(len(ids), part + 64)) for x in forest.search(m[i], share, held, k + 1)]
                 if picked:
                     i, t, leaf = (np.array(c) for c in zip(*picked, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(t.astype(np.int32)), pa.array(leaf.astype(np.int64)), pa.array(ids[i]), list_of(m[i])], ["tree", "leaf", "query_id", "asked"])
+                    yield pa.RecordBatch.from_arrays([pa.array(t.astype(np.int32)), pa.array(leaf.astype(np.int64)), pa.array(ids[i]), _lists(m[i])], ["tree", "leaf", "query_id", "asked"])
 
-    block = F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(blocks)).cast("int")
-    dealt = kept.mapInArrow(drop, "tree int, leaf long, vec_id long, embedding array<float>").withColumn("block", block)
-    asked = queries.mapInArrow(ask, "tree int, leaf long, query_id long, asked array<float>").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    # How many blocks a leaf's vectors and queries make; the queries of a leaf are at most all queries.
+    most_asked = queries.count()
+    v_blocks = F.element_at(F.lit((1 + held // leaf_rows).ravel().tolist()), (F.col("tree") * 2**depth + F.col("leaf") + 1).cast("int"))
+    q_blocks = 1 + most_asked // query_rows
+    block = lambda name, n: F.pmod(F.xxhash64(F.lit(seed), name), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    dealt = dealt.withColumn("block", block("vec_id", v_blocks)).withColumn("part", every(F.lit(q_blocks)))
+    asked = queries.mapInArrow(ask, f"tree int, leaf long, query_id long, asked {kind}").withColumn("part", block("query_id", F.lit(q_blocks))).withColumn("block", every(v_blocks))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["query_id", "vec_id", "score"]
-        kinds = [pa.int64(), pa.int64(), pa.float64()]
+        names, kinds = ["query_id", "vec_id", "score"], [pa.int64(), pa.int64(), pa.float64()]
         if not len(left) or not len(right):
             return pa.Table.from_arrays([pa.array([], t) for t in kinds], names)
-        v, q = _matrix(left.column("embedding").combine_chunks(), width), _matrix(right.column("asked").combine_chunks(), width)
+        v, q = _matrix(left.column("embedding").combine_chunks(), width).astype(np.float64), _matrix(right.column("asked").combine_chunks(), width)
         ids, asks = left.column("vec_id").to_numpy(), right.column("query_id").to_numpy()
         out = [[], [], []]
-        for part in range(0, len(q), 256):
-            s = q[part : part + 256].astype(np.float64) @ v.T.astype(np.float64)
-            s[asks[part : part + 256][:, None] == ids[None, :]] = -np.inf
-            if s.shape[1] > k:  # all that may be among the k best, rounding of the product allowed for
-                least = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k, None]
-                i, j = np.nonzero((s >= least - 1e-9 * np.maximum(1, np.abs(least))) & np.isfinite(s))
-            else:
-                i, j = np.nonzero(np.isfinite(s))
-            exact = (q[part + i].astype(np.float64) * v[j].astype(np.float64)).sum(axis=1)
-            for o, x in zip(out, (asks[part + i], ids[j], exact), strict=True):
+        step = max(1, 2_000_000 // len(v))
+        for part in range(0, len(q), step):
+            some = q[part : part + step].astype(np.float64)
+            i, j = _best(some, v, k + 1)
+            for o, x in zip(out, (asks[part + i], ids[j], (some[i] * v[j]).sum(axis=1)), strict=True):
                 o.append(x)
         return pa.Table.from_arrays([pa.array(np.concatenate(o), t) for o, t in zip(out, kinds, strict=True)], names)
 
-    keys = ("tree", "leaf", "block")
+    keys = ("tree", "leaf", "block", "part")
     found = dealt.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(meet, "query_id long, vec_id long, score double")
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = lambda by: W.partitionBy(by).orderBy(F.desc("score"), "vec_id")
     # The same candidate from several trees has the same dense rank.
-    few = found.withColumn("rank", F.dense_rank().over(best)).where(F.col("rank") <= k).dropDuplicates(["query_id", "vec_id"])
-    return few.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    few = found.withColumn("rank", F.dense_rank().over(best("query_id"))).where(F.col("rank") <= k + 1).dropDuplicates(["query_id", "vec_id"]).drop("rank")
+    each = named.select(F.col("vec_id").alias("asks"), F.col("stands").alias("query_id")).join(few, "query_id").where(F.col("asks") != F.col("vec_id"))
+    ranked = each.withColumn("rank", F.row_number().over(best("asks")).cast("int")).where(F.col("rank") <= k)
+    return ranked.select(F.col("asks").alias("query_id"), "rank", "vec_id", "score")
 
 
 def op10_ann(spark, sf_dir: str) -> DataFrame:
