@@ -298,34 +298,107 @@ def test_language_id(docs, none, spark):
     assert {r.lang_pred for r in langid.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
-def test_packing(docs, none):
+SPECIAL = ["hello <|endoftext|> x", "<|endoftext|>", "<|endoftext", "a<|endoftext|><|endoftext|>b"]
+
+
+def test_packing(spark, docs, none):
     import public_tokenizers
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
-    rows = packing.pack(docs.repartition(2), shard_docs=7).collect()
+    every = texts() + SPECIAL
+    more = spark.createDataFrame([(len(texts()) + i, t) for i, t in enumerate(SPECIAL)], "doc_id long, text string")
+    docs = docs.withColumn("bucket", F.lit("clash")).unionByName(more, allowMissingColumns=True)
+    rows = packing.pack(docs.repartition(2), bucket_docs=16, shard_docs=7).collect()
     pieces, seqs = collections.defaultdict(list), collections.defaultdict(list)
     for r in rows:
         pieces[r.doc_id].append(r)
         seqs[r.sequence_id].append(r)
-    for i, t in enumerate(texts()):
+    for i, t in enumerate(every):
         ids = tok.encode(t or "", add_special_tokens=False).ids + [0]
-        once = len(pieces[i]) // (3 if i == 5 else 1)
-        assert sum(r.length for r in pieces[i]) == len(ids) * (3 if i == 5 else 1) and once
+        assert sum(r.length for r in pieces[i]) == len(ids) * (3 if i == 5 else 1)
         for r in pieces[i]:
             assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes())
     for s in seqs.values():
         s.sort(key=lambda r: r.offset)
         assert [r.offset for r in s] == [sum(x.length for x in s[:k]) for k in range(len(s))] and sum(r.length for r in s) <= 1024
-    assert sum(sum(r.length for r in s) < 1024 for s in seqs.values()) <= 2  # one open window a task
+    assert sum(sum(r.length for r in s) < 1024 for s in seqs.values()) <= len({q >> 32 for q in seqs})  # one open window a bucket
+    assert sorted(map(str, rows)) == sorted(map(str, packing.pack(docs.repartition(5), bucket_docs=16, shard_docs=7).collect()))
     assert packing.pack(none).count() == 0
 
 
-def test_bm25_prefers_shared_rare_ids():
-    docs = [np.array(x, np.uint16) for x in ([1, 2, 3, 0], [7, 8, 9, 0], [1, 2, 4, 0], [5, 6, 0], [10, 0], [11, 0], [12, 0])]
-    assert list(packing.chain(docs))[:2] == [0, 2]
-    assert sorted(packing.chain(docs)) == list(range(7))
+def plain_bm25(query, docs, df, n, mean):
+    out = []
+    for d in docs:
+        total = 0.0
+        for t in set(query):
+            idf = max(0.0, np.log((n - df[t] + 0.5) / (df[t] + 0.5)))
+            tf = list(d).count(t)
+            total += idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(d) / mean))
+        out.append(total)
+    return out
+
+
+def drawn_docs(seed, n=40):
+    rng = np.random.default_rng(seed)
+    return [np.r_[np.minimum(rng.zipf(1.3, int(rng.integers(1, 60))), 99), 0].astype(np.uint16) for _ in range(n)]
+
+
+def counted(docs):
+    df = np.zeros(100, np.int64)
+    for d in docs:
+        df[np.unique(d)] += 1
+    return df, float(np.mean([len(d) for d in docs]))
+
+
+def test_bm25():
+    docs = drawn_docs(2)
+    df, mean = counted(docs)
+    index = packing.Bm25(docs[:15], packing.idf(len(docs), df), mean)
+    for q in docs[10:20]:
+        assert np.allclose(index.scores(np.unique(q).astype(np.int64)), plain_bm25(q.tolist(), [d.tolist() for d in docs[:15]], df, len(docs), mean))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_fill_takes_the_seeds_neighbours(seed):
+    """Piece by piece against plain Python: a window's seed is the document that opens it, then its best unused follow."""
+    docs, window = drawn_docs(seed), 64
+    df, mean = counted(docs)
+    shards, packer = [docs[:25], docs[25:]], packing.Packer(0, window)
+    got = [p[0] for k, shard in enumerate(shards) for p in packing.fill([((k, i), d) for i, d in enumerate(shard)], packer, packing.idf(len(docs), df), mean)]
+    want, used, opened = [], 0, None
+    for k, shard in enumerate(shards):
+        left = list(range(len(shard)))
+        while left:
+            if opened is None:
+                at = left[0]
+            else:
+                scores = plain_bm25(opened, [d.tolist() for d in shard], df, len(docs), mean)
+                at = max(left, key=lambda i: (round(scores[i], 9), -i))
+            left.remove(at)
+            size = len(shard[at])
+            while size:
+                opened = shard[at].tolist() if not used else opened
+                take = min(size, window - used)
+                want.append((k, at))
+                size, used = size - take, (used + take) % window
+                opened = opened if used else None
+    assert got == want
+
+
+def test_documents_that_share_rare_ids_share_a_bucket(spark):
+    """Pairs with a rare word of their own lie far apart in the table and still in one bucket, hot texts in several."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rare = [w for i in range(20000, 40000) if (w := tok.decode([i])).isascii() and w[1:].isalpha() and w.startswith(" ")][:50]
+    rows = [(i, f"a pair of texts{rare[i % 50]}") for i in range(100)] + [(1000 + i, "the same text again") for i in range(300)]
+    keys = spark.createDataFrame(rows, "doc_id long, text string")
+    out = packing.pack(keys.repartition(3), bucket_docs=20).select("doc_id", (F.col("sequence_id") / 2**32).cast("int").alias("bucket")).distinct().collect()
+    of = {r.doc_id: r.bucket for r in out}
+    assert sum(of[i] == of[i + 50] for i in range(50)) >= 45
+    assert len({of[1000 + i] for i in range(300)}) >= 10
 
 
 def test_media(docs, none, spark):
@@ -364,8 +437,27 @@ def test_nearest(spark):
         assert [(-r.score, r.vec_id) for r in found] == sorted((-r.score, r.vec_id) for r in found)
     assert hits / (20 * len(got)) >= 0.9
     assert ann.nearest(table.limit(0), lambda c: c % 20 == 0).count() == 0
-    few = ann.nearest(table.where("vec_id < 5"), lambda c: c % 20 == 0).collect()
-    assert len(few) == 4
+
+
+@pytest.mark.parametrize("n,width,seed", [(2, 8, 1), (5, 8, 11), (5, 8, 12), (10, 64, 1), (22, 64, 2), (25, 64, 4)])
+def test_nearest_in_small_tables(spark, n, width, seed):
+    """Every query gets min(20, n - 1) rows, whatever the forest."""
+    v = np.random.default_rng(seed).standard_normal((n, width)).astype(np.float32)
+    rows = ann.nearest(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>"), lambda c: c % 20 == 0, leaf_rows=4, query_rows=1).collect()
+    for q in range(0, n, 20):
+        got = [r.vec_id for r in sorted((r for r in rows if r.query_id == q), key=lambda r: r.rank)]
+        assert len(got) == min(20, n - 1) and len(set(got)) == len(got) and q not in got
+        if n <= 21:
+            assert got == [i for i in np.argsort(-(v.astype(float) @ v[q].astype(float)), kind="stable") if i != q]
+
+
+def test_nearest_of_equal_and_double_vectors(spark):
+    """Equal queries drop their own id each; doubles are not rounded; the smallest vector of an id counts."""
+    rows = [(i, [1.0, 1e-12 * (i % 2)]) for i in range(60)] + [(7, [9.0, 9.0])]
+    got = collections.defaultdict(list)
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda c: c % 20 == 0, k=3, depth=2).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert got == {0: [1, 2, 3], 20: [0, 1, 2], 40: [0, 1, 2]}
 
 
 def test_pipeline(spark, docs):

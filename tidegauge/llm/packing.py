@@ -1,31 +1,44 @@
-"""Packing by lexical retrieval: a sharded BM25 index chains documents that share rare tokens.
-
-Each task reads its documents as a stream, in shards of `shard_docs` documents or `shard_tokens` ids. A shard gets an
-inverted index (token id -> documents with BM25 weights; ids in over half the shard's documents weigh nothing and
-have no postings). The first document seeds a window of `window` ids; whenever a document is used up, its nearest
-unused neighbour in the shard fills the window on, cut where the window ends. The open window goes on into the next
-shard, so a task pads one window at most and nothing is shuffled. An id lies in exactly one piece.
-
-Ids: the byte-level BPE of a public vocabulary file (a parameter; the rank file holds the same ids as the JSON file),
-then id 0 as end of document. Strings of special tokens in a text are ordinary text.
-
-Cases: null or empty text is the end id alone; repeated rows are packed as often as they stand; an empty table gives
-an empty result; sequence ids are (partition << 33) + number in the partition; only doc_id and text are read.
+"""Packing by lexical retrieval: a sharded BM25 index returns unused neighbours of each window's seed, which fill it up.
+
+Texts are encoded once. One aggregation over all documents counts in how many of them each id of the vocabulary stands,
+and their mean length; BM25 weights come from these counts alone, wherever a document lies. The index is sharded by
+content: a document's key is its rarest ids (the three that stand in the fewest documents, but in two at least), ids
+are dealt whole to buckets of about `bucket_docs` documents, an id with more is dealt on by its documents' second id,
+and a pair of ids with more by a hash of the document, so that a bucket holds documents that share rare ids, from all over
+the table, and no key is one task's load. Where a document stands in the input plays no part: the same documents give the
+same pieces however they are partitioned.
+
+Each bucket is read as a stream in the order of these keys, in shards of `shard_docs` documents or `shard_tokens` ids;
+a shard is an inverted index (id -> documents with BM25 weights; ids in over half of all documents weigh nothing and have no
+postings). A window's seed is the document whose piece opens it: the rest of one that was cut where the window before
+ended, otherwise the first unused of the shard. The seed's best unused neighbours follow, best first, until the window
+is full. The open window goes on into the bucket's next shard, so a bucket pads one window. An id lies in exactly one
+piece.
+
+Ids: the byte-level BPE of a public vocabulary file (a parameter; the rank file holds the same ids as the JSON file, which
+names the special tokens), then id 0 as end of document. A special token's string in a text gives its id, as
+`tokenizers` has it.
+
+Cases: null or empty text is the end id alone; repeated rows are packed as often as they stand; ties in BM25 go to the
+document that comes first in the bucket's order, ties in rarity to the smaller id; rows equal in doc_id and text are
+interchangeable; an empty table gives an empty result; sequence ids are (bucket << 32) + number in the bucket; other
+columns are not read.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from tidegauge.llm.common import batches, rows_of
+from tidegauge.llm.common import batches, forget, rows_of, stored
 
 WINDOW, END = 1024, 0
 K1, B = 1.2, 0.75
@@ -38,104 +51,209 @@ SCHEMA = pa.schema(
 DDL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def vocabulary_path() -> str:
+def vocabulary_paths() -> tuple[str, str]:
+    """The rank file and the JSON file of one vocabulary."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json")
 
 
-def encoder(path: str):
-    """text -> ids as uint16, by a vocabulary file of ranks."""
+def encoder(ranks_path: str, json_path: str):
+    """text -> ids (uint16 where the vocabulary fits, uint32 otherwise), END last; and the number of ids there are."""
     import public_tokenizers
     import tiktoken
 
-    with open(path, "rb") as file:
+    with open(ranks_path, "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-    plain = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    return lambda text: np.array([*plain(text), END], np.uint16)
+    with open(json_path, encoding="utf-8") as file:
+        special = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+    found = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    size = 1 + max([*ranks.values(), *special.values()])
+    kind = np.uint16 if size <= 1 << 16 else np.uint32
+
+    def encode(text: str) -> np.ndarray:
+        ids = found.encode(text, allowed_special="all") if any(t in text for t in special) else found.encode_ordinary(text)
+        return np.array([*ids, END], kind)
+
+    return encode, size
+
+
+def idf(n_docs: int, df: np.ndarray) -> np.ndarray:
+    """Weight of each id by the number of documents it stands in; none for those in over half of them."""
+    return np.maximum(0.0, np.log((n_docs - df + 0.5) / (df + 0.5)))
 
 
 class Bm25:
-    """Inverted index of one shard."""
+    """Inverted index of one shard, with the weights of the whole corpus."""
 
-    def __init__(self, docs: list[np.ndarray], k1: float = K1, b: float = B):
+    def __init__(self, docs: list[np.ndarray], weights: np.ndarray, mean_length: float, k1: float = K1, b: float = B):
         self.n = len(docs)
         parts = [np.unique(d, return_counts=True) for d in docs]
         sizes = np.array([len(t) for t, _ in parts])
         terms, tf = np.concatenate([t for t, _ in parts]).astype(np.int64), np.concatenate([c for _, c in parts]).astype(np.float64)
         owner = np.repeat(np.arange(self.n), sizes)
-        df = np.bincount(terms)
-        idf = np.maximum(0.0, np.log((self.n - df + 0.5) / (df + 0.5)))
         length = np.array([len(d) for d in docs], np.float64)
-        norm = k1 * (1 - b + b * length / length.mean())
-        weight = idf[terms] * tf * (k1 + 1) / (tf + norm[owner])
+        norm = k1 * (1 - b + b * length / mean_length)
+        weight = weights[terms] * tf * (k1 + 1) / (tf + norm[owner])
         keep = weight > 0
         terms, owner, weight = terms[keep], owner[keep], weight[keep]
         order = np.argsort(terms, kind="stable")
         self.owner, self.weight = owner[order], weight[order]
-        self.ends = np.cumsum(np.bincount(terms, minlength=len(df)))
+        self.ends = np.cumsum(np.bincount(terms, minlength=len(weights)))
         self.starts = np.r_[0, self.ends[:-1]]
         ends = np.cumsum(np.bincount(owner, minlength=self.n))
         self.terms = np.split(terms, ends[:-1])
 
-    def scores(self, doc: int) -> np.ndarray:
-        terms = self.terms[doc]
+    def scores(self, terms: np.ndarray) -> np.ndarray:
+        """BM25 of every document of the shard for a query of different ids."""
         start, size = self.starts[terms], self.ends[terms] - self.starts[terms]
         total = int(size.sum())
         at = np.repeat(start - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(total) if total else np.zeros(0, np.int64)
         return np.bincount(self.owner[at], self.weight[at], minlength=self.n)
 
 
-def chain(docs: list[np.ndarray]) -> Iterator[int]:
-    """Each document once: after a document comes its nearest unused one (ties and strangers: the first in the shard)."""
-    if not docs:
-        return
-    index, unused, at = Bm25(docs), np.ones(len(docs), bool), 0
-    for left in range(len(docs) - 1, -1, -1):
-        yield at
-        unused[at] = False
-        if left:
-            at = int(np.where(unused, index.scores(at), -1.0).argmax())
-
-
 class Packer:
+    """The open window of a bucket: its number, how full it is, and the ids of the document that seeds it."""
+
     def __init__(self, base: int, window: int = WINDOW):
-        self.window, self.sequence, self.used = window, base, 0
+        self.window, self.sequence, self.used, self.seed = window, base, 0, None
 
-    def place(self, doc_id, ids: np.ndarray) -> Iterator[tuple]:
+    def place(self, doc_id, ids: np.ndarray, terms: np.ndarray) -> Iterator[tuple]:
         total, start = len(ids), 0
         data = ids.astype("<u4").tobytes()
         while start < total:
             length = min(total - start, self.window - self.used)
+            if not self.used:
+                self.seed = terms
             yield doc_id, start, length, zlib.crc32(data[4 * start : 4 * (start + length)]), total, self.sequence, self.used
             start, self.used = start + length, self.used + length
             if self.used == self.window:
-                self.sequence, self.used = self.sequence + 1, 0
+                self.sequence, self.used, self.seed = self.sequence + 1, 0, None
 
 
-def pack(docs: DataFrame, window: int = WINDOW, shard_docs: int = 192, shard_tokens: int = 2_000_000, vocabulary: str | None = None) -> DataFrame:
+def fill(shard: list[tuple], packer: Packer, weights: np.ndarray, mean_length: float) -> Iterator[tuple]:
+    """Pieces of a shard's (doc_id, ids): each window is filled with the unused documents nearest to its seed."""
+    if not shard:
+        return
+    index = Bm25([ids for _, ids in shard], weights, mean_length)
+    unused, first, seed, near = np.ones(len(shard), bool), 0, None, None
+    for _ in shard:
+        if packer.seed is None:  # no window is open: the first unused document seeds one
+            while not unused[first]:
+                first += 1
+            at, seed = first, None
+        else:
+            if packer.seed is not seed:
+                seed, near = packer.seed, index.scores(packer.seed)
+            at = int(np.where(unused, near, -1.0).argmax())
+        unused[at] = False
+        yield from packer.place(*shard[at], index.terms[at])
+
+
+def encoded(docs: DataFrame, paths: tuple[str, str]) -> tuple[DataFrame, int, np.ndarray, float]:
+    """docs (doc_id, text) -> stored rows (doc_id, h, ids), their number, documents by id, and the mean length.
+
+    The counts are one row for each id of the vocabulary.
+    """
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, _ = encoder(*paths)
+        for b in stream:
+            for part in range(0, b.num_rows, 256):
+                some = b.slice(part, 256)
+                ids = [encode(t or "").tobytes() for t in some.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(ids, pa.binary())], ["doc_id", "h", "ids"])
+
+    thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("h"), "text")
+    rows = stored(thin.mapInArrow(run, "doc_id long, h long, ids binary"), "encoded", compression="zstd")
+    size = encoder(*paths)[1]
+    kind = _kind(size)
+
+    def count(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, docs_here, length = np.zeros(size + 2, np.int64), 0, 0
+        for (ids,) in rows_of(stream):
+            own = np.frombuffer(ids, kind)
+            df[np.unique(own)] += 1
+            docs_here, length = docs_here + 1, length + len(own)
+        df[size], df[size + 1] = docs_here, length
+        there = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(df[there])], ["id", "n"])
+
+    got = rows.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(size + 2, np.int64)
+    df[got["id"].to_numpy()] = got["n"].to_numpy()
+    return rows, int(df[size]), df[:size], float(df[size + 1]) / max(1, int(df[size]))
+
+
+def _kind(size: int):
+    return np.uint16 if size <= 1 << 16 else np.uint32
+
+
+def rarest(ids: np.ndarray, df: np.ndarray, most: int = 3) -> list[int]:
+    """The `most` ids that stand in the fewest documents, but in two at least; -1 where there are no more."""
+    own = np.unique(ids)
+    own = own[df[own] > 1]
+    best = own[np.lexsort((own, df[own]))[:most]].tolist()
+    return best + [-1] * (most - len(best))
+
+
+def dealt(keys: DataFrame, bucket_docs: int) -> DataFrame:
+    """keys (t1, t2, h, ...) -> with bucket, by content alone. What is collected or broadcast is one row for each id."""
+    counts = stored(keys.groupBy("t1", "t2").agg(F.count("*").alias("c")), "pair-counts")
+    firsts = sorted((r.t1, r.n) for r in counts.groupBy("t1").agg(F.sum("c").alias("n")).collect())
+    pairs = counts.where(F.col("c") > bucket_docs).select("t1", "t2", F.ceil(F.col("c") / bucket_docs).cast("long").alias("k"))
+    before = F.coalesce(F.sum("k").over(W.partitionBy("t1").orderBy("t2").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    pairs = stored(pairs.withColumn("before", before), "frequent-pairs")
+    forget(counts)
+    extra = {r.t1: r.k for r in pairs.groupBy("t1").agg(F.sum("k").alias("k")).collect()}
+    start, number, held = [], 0, 0
+    for t1, c in firsts:  # small ids share a bucket, a large one has buckets of its own
+        if held and held + c > bucket_docs:
+            number, held = number + 1, 0
+        m = max(1, -(-c // bucket_docs))
+        start.append([t1, number, m, 0])
+        held += c
+        if m > 1:
+            number, held = number + m, 0
+    number += bool(held)
+    for row in start:
+        row[3], number = number, number + extra.get(row[0], 0)
+    starts = keys.sparkSession.createDataFrame(start, "t1 int, first long, m long, last long")
+    own = F.col("first") + F.pmod(F.xxhash64("t2"), F.col("m"))
+    hot = F.col("last") + F.col("before") + F.pmod(F.col("h"), F.col("k"))
+    return keys.join(F.broadcast(starts), "t1").join(pairs, ["t1", "t2"], "left").withColumn("bucket", F.coalesce(hot, own)).drop("first", "m", "last", "k", "before")
+
+
+def pack(docs: DataFrame, window: int = WINDOW, bucket_docs: int = 1024, shard_docs: int = 1024, shard_tokens: int = 4_000_000, vocabulary: tuple[str, str] | None = None) -> DataFrame:
     """docs (doc_id, text) -> one row for each piece."""
-    path = vocabulary or vocabulary_path()
+    paths = vocabulary or vocabulary_paths()
+    rows, n_docs, df, mean_length = encoded(docs, paths)
+    kind, weights = _kind(len(df)), idf(n_docs, df)
 
-    def pieces(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        encode, packer = encoder(path), Packer(TaskContext.get().partitionId() << 33, window)
-        shard: list[tuple] = []
-        held = 0
+    def key(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in stream:
+            for part in range(0, b.num_rows, 1024):
+                some = b.slice(part, 1024)
+                t = np.array([rarest(np.frombuffer(i, kind)[:-1], df) for i in some.column(2).to_pylist()], np.int32).reshape(-1, 3)
+                yield pa.RecordBatch.from_arrays([*some.columns, *(pa.array(t[:, k]) for k in range(3))], ["doc_id", "h", "ids", "t1", "t2", "t3"])
 
-        def packed():
-            for i in chain([ids for _, ids in shard]):
-                yield from packer.place(*shard[i])
+    keyed = rows.mapInArrow(key, "doc_id long, h long, ids binary, t1 int, t2 int, t3 int")
+    ordered = dealt(keyed, bucket_docs).repartition("bucket").sortWithinPartitions("bucket", "t1", "t2", "t3", "h", "doc_id")
 
-        for doc_id, text in rows_of(stream):
-            ids = encode(text or "")
+    def pieces(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        bucket, packer, shard, held = None, None, [], 0
+        for here, doc_id, data in rows_of(stream):
+            ids = np.frombuffer(data, kind)
+            if here != bucket or len(shard) >= shard_docs or held >= shard_tokens:
+                yield from fill(shard, packer, weights, mean_length)
+                shard, held = [], 0
+            if here != bucket:
+                bucket, packer = here, Packer(here << 32, window)
             shard.append((doc_id, ids))
             held += len(ids)
-            if len(shard) >= shard_docs or held >= shard_tokens:
-                yield from packed()
-                shard, held = [], 0
-        yield from packed()
+        yield from fill(shard, packer, weights, mean_length)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: batches(pieces(it), SCHEMA), DDL)
+    return ordered.select("bucket", "doc_id", "ids").mapInArrow(lambda it: batches(pieces(it), SCHEMA), DDL)
 
 
 def op8_packing(spark, sf_dir: str) -> DataFrame:
