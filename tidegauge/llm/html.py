@@ -1,18 +1,23 @@
 """HTML extraction by a recurrent block labeller.
 
-A page becomes the sequence of its leaf blocks (text between block-level tags), each with the tags, classes and ids
-above it. A bidirectional LSTM in numpy reads hashed tag-path and word vectors and a few numbers for each leaf and
-labels every block as main text or not, with the whole page as context; the main blocks are joined by newlines.
-
-The labeller is trained at the start of the query: on at most `sample` pages (the first by hash of page_id; a
-parameter), labelled by the meaning of their tags and class names, and on `drawn` page layouts drawn at random with
-known labels and the words of these pages. Training is seeded, so equal samples give equal weights; they are a few
-hundred kB at any input size. Extraction itself covers every page and every block.
-
-Scripts, styles, titles, text areas and closed SKIPPED elements are no text; formulas and what objects hold are.
-
-Cases: null or empty html gives empty text; unclosed, stray or cut-off markup is read as far as it goes; a page without
-a main block gives empty text; repeated pages give equal rows; an empty table gives an empty result.
+A page becomes the sequence of its leaf blocks (text between block-level tags), each with the elements above it. A
+bidirectional LSTM in numpy reads hashed tag-path and word vectors and a few numbers for each leaf and labels every
+block as main text or not, with the whole page as context; the main blocks are joined by newlines. Names (classes, ids,
+roles) on html and body are not read, and elements that hold over half of a page's text have path tokens of their own: a name
+on a wrapper says little about what it wraps.
+
+The labeller is trained at the start of the query: on at most `sample` pages (the first by hash of page_id and url, none
+over `most_bytes`; parameters), labelled by the meaning of their tags and class names, and on `drawn` page layouts drawn
+at random with known labels and the words of these pages: some without any names, some wrapped into forms, most with
+names on wrappers that mislead. Training is seeded, so equal samples give equal weights; they are about a MB at any input
+size. With `weights`, a folder, they are read from there, or written there if nothing is there yet, so that a labeller
+is trained once for many runs. Extraction itself covers every page and every block.
+
+Scripts, styles, closed titles and text areas, and closed SKIPPED elements are no text; formulas and what objects hold are.
+
+Cases: null or empty html gives empty text; unclosed, stray or cut-off markup is read as far as it goes; of elements
+nested deeper than DEPTH the innermost DEPTH count (no text is lost); a page without a main block gives empty text; repeated
+pages give equal rows; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -20,7 +25,9 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,47 +36,55 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.common import batches, hash_sample
 
-SAMPLE, DRAWN, SEED = 300, 600, 11
+SAMPLE, MOST_BYTES, DRAWN, SEED, DEPTH = 300, 100_000, 1400, 11, 32
 
 # Element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img math mi mo mn ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mstyle mpadded menclose mtable mtr mtd semantics".split())
 #: Left out with what they hold, where they are closed; a self-closed or unclosed one is an empty element.
-SKIPPED = frozenset("noscript template svg iframe select canvas audio video".split())
+SKIPPED = frozenset("noscript template svg iframe select canvas audio video title textarea".split())
 CLOSES_ITSELF = {"p": "p", "li": "li", "dt": "dt", "dd": "dd", "tr": "tr", "td": "td", "th": "th", "option": "option"}
 LIMITS = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",), "p": ("div", "td", "li", "article", "section", "body")}
+#: Elements whose names say nothing.
+NAMELESS = frozenset(("html", "body"))
 # Words in tags, classes and ids that tell what a block is not, and what it is.
-BOILER = frozenset("nav menu header footer aside sidebar ad ads advert advertisement banner sponsor sponsored promo cookie consent notice alert popup modal form search newsletter subscribe login comment comments reply respond disqus share social related breadcrumb pagination pager widget toolbar button input select textarea copyright legal".split())
-MAIN = frozenset("article main content post entry story body-text article-body post-content entry-content blockquote".split())
+BOILER = frozenset("nav menu header footer aside sidebar ad ads advert advertisement banner sponsor sponsored promo cookie consent notice alert popup modal form search newsletter subscribe login share social related breadcrumb pagination pager widget toolbar button input select copyright legal".split())
+NEVER_MAIN = frozenset("nav footer aside button select comment comments reply respond disqus".split())
+MAIN = frozenset("article main content post entry story blockquote".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|title|textarea)(?=[\s/>])[^<>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style)(?=[\s/>])[^<>]*>.*?(?:</\1\s*>|\Z)"
     r"""|<(/?)([a-z][a-z0-9:-]*)((?:[^<>"']|"[^"<]*"|'[^'<]*')*)>"""
     r"|<(/?)([a-z][a-z0-9:-]*)([^<>]*)>"
-    r"|<[!?][^>]*>"
+    r"|<[!?][^<>]*>"
     r"|</?[a-z][^<>]*\Z",
     re.S | re.I,
 )
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORD = re.compile(r"[a-z]+")
+HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 CLOSE = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in SKIPPED}
 
-Leaf = tuple[tuple[str, ...], str, int]  # tags, classes and ids above; text; characters within links
+Element = tuple[str, tuple[str, ...], bool]  # tag, names, whether it holds over half of the page's text
+Leaf = tuple[tuple[Element, ...], str, int]  # the elements above, outermost first; text; characters within links
 
 
 def _names(attributes: str) -> tuple[str, ...]:
     if "=" not in attributes:
         return ()
-    return tuple(f"{m[1].lower()[0]}:{w}" for m in NAMED.finditer(attributes) for w in WORD.findall((m[2] or m[3] or m[4] or "").lower()))
+    return tuple(w for m in NAMED.finditer(attributes) for w in WORD.findall(HUMP.sub(" ", m[2] or m[3] or m[4] or "").lower()))
 
 
 def leaves(page: str | None) -> list[Leaf]:
     """The text blocks of a page in order."""
     if not page:
         return []
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    out: list[Leaf] = []
+    stack: list[tuple[str, int]] = []  # tag and number of every open element
+    opened: Counter = Counter()
+    elements: list[tuple[str, tuple[str, ...]]] = []
+    held: list[int] = []  # characters below each element
+    out: list[tuple[tuple[int, ...], str, int]] = []
     text: list[str] = []
     linked, links, last = 0, 0, 0
     endless: set[str] = set()  # hidden elements that no tag closes from here on
@@ -79,16 +94,21 @@ def leaves(page: str | None) -> list[Leaf]:
         if text:
             block = " ".join(entities.unescape("".join(text)).split())
             if block:
-                path = tuple(x for tag, names in stack if tag not in INLINE for x in (tag, *names))
+                path = tuple(k for tag, k in stack[-DEPTH:] if tag not in INLINE)
+                for k in path:
+                    held[k] += len(block)
                 out.append((path, block, linked))
             text.clear()
         linked = 0
 
     def shut(tag: str, limits: tuple[str, ...]):
+        if not opened[tag]:
+            return
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] == tag:
                 if tag not in INLINE:
                     flush()
+                opened.subtract(t for t, _ in stack[i:])
                 del stack[i:]
                 return
             if stack[i][0] in limits:
@@ -110,7 +130,8 @@ def leaves(page: str | None) -> list[Leaf]:
                 flush()
             shut(tag, ())
             continue
-        empty = (m[4] or m[7] or "").endswith("/")
+        attributes = m[4] or m[7] or ""
+        empty = attributes.endswith("/")
         if tag in SKIPPED:
             end = None if empty or tag in endless else CLOSE[tag].search(page, last)
             if end:
@@ -128,25 +149,41 @@ def leaves(page: str | None) -> list[Leaf]:
             continue
         if tag == "a":
             links += 1
-        stack.append((tag, _names(m[4] or m[7] or "")))
+        stack.append((tag, len(elements)))
+        opened[tag] += 1
+        elements.append((tag, () if tag in NAMELESS else _names(attributes)))
+        held.append(0)
     if last < len(page):
         text.append(page[last:])
         linked += len(page) - last if links else 0
     flush()
-    return out
+    half = sum(len(block) for _, block, _ in out) / 2
+    whole = [(tag, names, n > half) for (tag, names), n in zip(elements, held, strict=True)]
+    return [(tuple(whole[k] for k in path), block, n) for path, block, n in out]
 
 
-def meant(path: tuple[str, ...]) -> int:
-    """What tag and class names say of a block: 1 main text, 0 not, -1 nothing."""
-    plain = [x.partition(":")[2] or x for x in path]
-    if any(x in BOILER for x in plain):
+def meant(path: tuple[Element, ...]) -> int:
+    """What tag and class names say of a block: 1 main text, 0 not, -1 nothing. Inner elements say more than outer ones."""
+    if any(NEVER_MAIN.intersection((tag, *names)) for tag, names, _ in path):
         return 0
-    return 1 if any(x in MAIN for x in plain) else -1
+    tags = [tag for tag, _, _ in path]
+    for k in range(len(path) - 1, -1, -1):
+        tag, names, wide = path[k]
+        if tag in ("article", "main"):
+            return 1
+        if tag == "header" and ("article" in tags[:k] or "main" in tags[:k]):
+            continue
+        main, boiler = MAIN.intersection((tag, *names)), BOILER.intersection((tag, *names))
+        if main and not boiler:
+            return 1
+        if boiler and not wide:
+            return 0
+    return -1
 
 
 # --- the network ---------------------------------------------------------------------------------------------------
 
-PATHS, WORDS, PATH_DIM, WORD_DIM, NUMBERS, HIDDEN = 2048, 1024, 20, 8, 6, 20
+PATHS, WORDS, PATH_DIM, WORD_DIM, NUMBERS, HIDDEN = 8192, 4096, 20, 8, 10, 20
 
 
 def _hash(token: str, size: int) -> int:
@@ -178,10 +215,16 @@ class Reader:
     def __init__(self):
         self.paths: dict[tuple, np.ndarray] = {}
 
-    def path(self, path: tuple[str, ...]) -> np.ndarray:
+    def path(self, path: tuple[Element, ...]) -> np.ndarray:
         got = self.paths.get(path)
         if got is None:
-            got = np.array(sorted({_hash(x, PATHS) for x in (*path, f"leaf {path[-1] if path else ''}")}))
+            found = {f"leaf {path[-1][0] if path else ''}"}
+            for tag, names, wide in path:
+                mark = "wide " if wide else ""
+                if tag not in NAMELESS:
+                    found.add(mark + tag)
+                found.update(f"{mark}.{n}" for n in names)
+            got = np.array(sorted({_hash(x, PATHS) for x in found}))
             if len(self.paths) < 50_000:
                 self.paths[path] = got
         return got
@@ -193,7 +236,9 @@ class Reader:
         linked = np.array([k for _, _, k in blocks], np.float32)
         stops = np.array([t.count(".") + t.count(",") for _, t, _ in blocks], np.float32)
         at = np.arange(len(blocks), dtype=np.float32) / max(1, len(blocks))
-        numbers = np.stack([np.log1p(n) / 6, np.log1p(count) / 5, np.minimum(1, linked / n), np.minimum(1, stops / count), at, 1 - at], axis=1)
+        ends = np.array([t[-1] in ".!?\u3002" for _, t, _ in blocks], np.float32)
+        prose = np.maximum(0, n - linked)
+        numbers = np.stack([np.log1p(n) / 6, np.log1p(count) / 5, np.minimum(1, linked / n), np.minimum(1, stops / count), at, 1 - at, ends, np.log1p(prose) / np.log1p(max(1, prose.max())), n / max(1, n.sum()), np.full(len(n), np.log1p(len(n)) / 5)], axis=1)
         return [self.path(p) for p, _, _ in blocks], words, count, numbers.astype(np.float32)
 
 
@@ -201,6 +246,11 @@ def _means(table: np.ndarray, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray
     return np.add.reduceat(table[rows], np.r_[0, np.cumsum(sizes)[:-1]], axis=0) / sizes[:, None]
 
 
+def _scatter(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sums of values by row."""
+    return np.stack([np.bincount(rows, values[:, d], size) for d in range(values.shape[1])], axis=1)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -210,7 +260,7 @@ class Labeller:
 
     def __init__(self, seed: int = SEED):
         rng, width = np.random.default_rng(seed), PATH_DIM + WORD_DIM + NUMBERS
-        self.w = {"path": rng.normal(0, 0.5, (PATHS, PATH_DIM)), "word": rng.normal(0, 0.1, (WORDS, WORD_DIM)), "out": rng.normal(0, 0.2, (2 * HIDDEN + width, 1)), "bias": np.zeros(1)}
+        self.w = {"path": rng.normal(0, 0.3, (PATHS, PATH_DIM)), "word": rng.normal(0, 0.1, (WORDS, WORD_DIM)), "out": rng.normal(0, 0.2, (2 * HIDDEN + width, 1)), "bias": np.zeros(1)}
         for way in "fb":
             self.w[f"x{way}"] = rng.normal(0, width**-0.5, (width, 4 * HIDDEN))
             self.w[f"h{way}"] = rng.normal(0, HIDDEN**-0.5, (HIDDEN, 4 * HIDDEN))
@@ -287,16 +337,15 @@ class Labeller:
             grad[f"h{way}"], grad[f"c{way}"] = gh, dz_all.sum(axis=(0, 1))
             grad[f"x{way}"] = np.einsum("tbi,tbo->io", x, dz_all)
             dx += dz_all @ self.w[f"x{way}"].T
-        gp, gw = np.zeros_like(self.w["path"]), np.zeros_like(self.w["word"])
-        for k, (paths, words, count, _) in enumerate(pages):
-            own = dx[: len(paths), k]
-            sizes = np.array([len(r) for r in paths])
-            np.add.at(gp, np.concatenate(paths), np.repeat(own[:, :PATH_DIM] / sizes[:, None], sizes, axis=0))
-            np.add.at(gw, words, np.repeat(own[:, PATH_DIM : PATH_DIM + WORD_DIM] / count[:, None], count, axis=0))
+        paths = [r for p in pages for r in p[0]]
+        sizes, counts = np.array([len(r) for r in paths]), np.concatenate([p[2] for p in pages])
+        own = np.concatenate([dx[: len(p[0]), k] for k, p in enumerate(pages)])
+        gp = _scatter(np.concatenate(paths), np.repeat(own[:, :PATH_DIM] / sizes[:, None], sizes, axis=0), PATHS)
+        gw = _scatter(np.concatenate([p[1] for p in pages]), np.repeat(own[:, PATH_DIM : PATH_DIM + WORD_DIM] / counts[:, None], counts, axis=0), WORDS)
         return grad | {"path": gp, "word": gw}, loss
 
-    def fit(self, pages: list[tuple], labels: list[np.ndarray], rounds: int = 12, group: int = 24, rate: float = 0.02, seed: int = SEED) -> float:
-        """Adam over shuffled groups of pages of like length; returns the last mean loss."""
+    def fit(self, pages: list[tuple], labels: list[np.ndarray], rounds: int = 10, group: int = 40, rate: float = 0.02, seed: int = SEED) -> float:
+        """Adam over shuffled groups of pages of like length; returns the last mean loss. Tokens that no page has get vector 0."""
         rng, loss = np.random.default_rng(seed), 0.0
         m, v, step = {k: np.zeros_like(x) for k, x in self.w.items()}, {k: np.zeros_like(x) for k, x in self.w.items()}, 0
         order = np.argsort([len(p[0]) for p in pages], kind="stable")
@@ -314,31 +363,35 @@ class Labeller:
                     m[name], v[name] = 0.9 * m[name] + 0.1 * g, 0.99 * v[name] + 0.01 * g * g
                     self.w[name] -= now * (m[name] / (1 - 0.9**step)) / (np.sqrt(v[name] / (1 - 0.99**step)) + 1e-8)
             loss = float(np.mean(losses))
+        for name in ("path", "word"):
+            self.w[name][~v[name].any(axis=1)] = 0
         return loss
 
 
 # --- training pages ------------------------------------------------------------------------------------------------
 
-# How pages are laid out, as choices of path tokens, and stock phrases.
-LAYOUT = {
-    "nav": [("nav", "ul", "li"), ("nav",), ("div", "c:menu", "ul", "li"), ("ul", "i:nav", "li"), ("div", "c:breadcrumb"), ("div", "r:navigation", "ul", "li"), ("div", "c:main", "c:menu", "ul", "li")],
-    "header": [("header", "div"), ("header",), ("div", "i:header"), ("div", "c:site", "c:header"), ("header", "h1"), ("header", "p"), ("div", "c:header", "h1"), ("div", "r:banner", "p")],
-    "footer": [("footer",), ("footer", "p"), ("div", "i:footer"), ("div", "c:footer", "p"), ("footer", "ul", "li"), ("div", "c:site", "c:footer", "p"), ("div", "c:copyright"), ("div", "r:contentinfo", "p")],
-    "side": [("aside", "p"), ("aside", "ul", "li"), ("aside",), ("div", "c:sidebar", "p"), ("div", "i:sidebar", "ul", "li"), ("div", "c:widget", "p"), ("section", "c:related", "li"), ("aside", "h3"), ("div", "c:related", "c:posts", "p"), ("div", "r:complementary", "p")],
-    "notice": [("div", "c:cookie"), ("div", "c:cookie", "c:notice", "p"), ("div", "i:consent", "p"), ("div", "c:alert"), ("div", "c:popup", "p"), ("div", "c:notice", "p"), ("div", "c:modal", "p"), ("div", "c:cookie", "c:banner", "p"), ("div", "c:notice"), ("p", "c:notice"), ("div", "r:alert", "p")],
-    "ad": [("div", "c:ad"), ("div", "c:ads", "p"), ("div", "c:advert", "p"), ("div", "c:sponsored"), ("div", "c:banner"), ("div", "c:promo", "p"), ("div", "c:advertisement"), ("div", "i:ad", "p"), ("section", "c:sponsor", "p"), ("ins", "c:adsbygoogle"), ("p", "c:ad")],
-    "form": [("form",), ("form", "p"), ("form", "div"), ("div", "c:newsletter", "form", "p"), ("div", "c:subscribe", "p"), ("form", "c:search"), ("div", "c:login", "p"), ("button",), ("form", "button"), ("form", "fieldset", "legend"), ("form", "h3")],
-    "comment": [("div", "c:comments", "p"), ("section", "i:comments", "p"), ("div", "c:comment", "p"), ("ol", "c:comment", "c:list", "li", "p"), ("section", "c:comments", "h2"), ("div", "i:disqus", "c:thread", "p"), ("div", "c:reply", "p"), ("section", "c:comments", "article", "p"), ("ul", "c:comments", "li"), ("section", "c:comments", "div", "c:comment", "p"), ("div", "i:respond", "h3"), ("section", "c:reader", "c:comments", "p"), ("div", "c:comments", "article", "c:comment", "p")],
-    "share": [("div", "c:share"), ("div", "c:social", "ul", "li"), ("ul", "c:share", "li"), ("div", "c:pagination"), ("div", "c:toolbar")],
+# The tags and names that areas of a page go by, and stock phrases.
+AREAS = {
+    "nav": ("nav nav div ul section", "nav navbar navigation menu topnav breadcrumb breadcrumbs tabs links sitemap menubar submenu dropdown crumbs"),
+    "header": ("header header div section", "header masthead topbar banner brand branding logo head top"),
+    "footer": ("footer footer div section", "footer foot bottom copyright colophon legal credits contentinfo"),
+    "side": ("aside aside div section", "sidebar side aside widget widgets related recommended trending popular rail complementary latest also teaser"),
+    "notice": ("div div p section", "cookie cookies consent gdpr notice alert popup modal overlay toast announcement notification paywall privacy"),
+    "ad": ("div div aside section p", "ad ads advert advertisement adsbygoogle adsense sponsor sponsored promo promotion promoted adslot adbox"),
+    "form": ("form form div", "form search newsletter subscribe signup login register contact searchbox subscription"),
+    "comment": ("div section ol ul", "comments comment disqus thread replies reply respond discussion responses commentlist reader"),
+    "share": ("div ul div", "share sharing social toolbar pagination pager buttons tools follow"),
 }
-MAIN_AREA = [("article",), ("main",), ("main", "article"), ("div", "c:content"), ("div", "c:post"), ("div", "c:entry", "c:content"), ("div", "i:content"), ("article", "c:post"), ("section", "c:story"), ("div", "c:article", "c:body"), ("main", "div"), ("div", "r:main"), ("table", "tr", "td"), ("div", "i:main", "c:content"), ("article", "div", "c:post", "c:content"), ("article", "section"), ("article",), ("article",), ("article", "header"), ("main", "i:content", "article", "c:entry")]
-MAIN_LEAF = [("p",)] * 8 + [("h1",), ("h2",), ("h3",), ("ul", "li"), ("ol", "li"), ("blockquote",), ("blockquote", "p"), ("pre",), ("table", "tr", "td"), ("figure", "figcaption"), ("div",), (), ("dl", "dd")]
-WRAPPERS = ["wrapper", "container", "page", "row", "col", "site", "layout", "inner", "outer", "root", "app", "grid", "section", "box", "block", "x", "clearfix", "left", "right"]
+MAIN_TAGS, MAIN_NAMES = "article article article main main div div section td".split(), "content article post entry story main body text prose single detail hentry copy page".split()
+MAIN_LEAF = "p p p p p p p p h2 h3 li blockquote pre td figcaption div dd -".split()
+WRAPPERS = "wrapper container page row col site layout inner outer root app grid section box block clearfix left right center primary column area region module".split()
+STATES = "has no with open fixed hide show is js top sticky full wide dark".split()
 STOCK = "home about contact login sign in subscribe newsletter accept all cookies privacy policy terms of use copyright all rights reserved menu search comments reply posted by share tweet more related read next previous page top advertisement sponsored we use register password email".split()
+PARENT = {"li": "ul", "td": "table><tr", "figcaption": "figure", "dd": "dl"}
 
 
-def draw_page(rng: np.random.Generator, texts: list[list[str]]) -> tuple[list[Leaf], np.ndarray]:
-    """A page layout with known labels and words taken from `texts`."""
+def draw_page(rng: np.random.Generator, texts: list[list[str]]) -> tuple[str, np.ndarray]:
+    """A page of random layout, with words taken from `texts`, and the label of each of its blocks in order."""
 
     def pick(options):
         return options[int(rng.integers(len(options)))]
@@ -347,36 +400,98 @@ def draw_page(rng: np.random.Generator, texts: list[list[str]]) -> tuple[list[Le
         source = pick(texts)
         n = int(rng.integers(least, most + 1))
         at = int(rng.integers(max(1, len(source) - n)))
-        return " ".join(source[at : at + n]) or "text"
-
-    outer = ["html", "body"]
-    for _ in range(int(rng.integers(3))):
-        outer += ["div", f"{pick('ci')}:{pick(WRAPPERS)}"]
-    out: list[tuple[Leaf, int]] = []
-
-    def area(kind: str, within: tuple = ()):
-        path = (*(within or outer), *pick(LAYOUT[kind]))
-        for _ in range(int(rng.integers(1, 7 if kind in ("nav", "comment", "side") else 4))):
-            text = words(1, 4) if kind in ("nav", "share") else " ".join(pick(STOCK) for _ in range(int(rng.integers(1, 9)))) if rng.random() < 0.4 else words(2, 40)
-            tail = path if rng.random() < 0.6 else (*path, pick(["p", "div", "h3", "li", "span"]))
-            out.append(((tail, text, len(text) if kind in ("nav", "share") or rng.random() < 0.2 else 0), 0))
-
-    for kind, chance in (("header", 0.5), ("nav", 0.8), ("notice", 0.4), ("ad", 0.5), ("side", 0.2)):
-        if rng.random() < chance:
+        return entities.escape(" ".join(source[at : at + n]) or "text", quote=False)
+
+    plain = rng.random() < 0.2  # no names at all, and no tags that tell
+    out: list[str] = []
+    labels: list[int] = []
+
+    def names(*given: str) -> str:
+        if plain or not given:
+            return ""
+        how = rng.random()
+        value = "-".join(given) if how < 0.4 else " ".join(given) if how < 0.7 else "".join([given[0], *(g.title() for g in given[1:])]) if how < 0.85 else "_".join(given)
+        return f' {pick(["class", "class", "id", "role" if len(given) == 1 else "class"])}="{value}"'
+
+    def noise() -> list[str]:
+        """Names that tell what else a page has, as wrappers bear them."""
+        return [pick(STATES), pick(AREAS[pick(list(AREAS))][1].split())][int(rng.integers(2)) :] if rng.random() < 0.35 else []
+
+    def block(tag: str, text: str, label: int, linked: bool):
+        inner = f'<a href="/{len(out)}">{text}</a>' if linked else text if rng.random() < 0.9 else f"<b>{text}</b>"
+        if tag == "-":
+            out.append(f"{inner}<hr>")
+        elif tag in PARENT:
+            out.append(f"<{PARENT[tag]}><{tag}>{inner}</{tag}></{PARENT[tag].split('>')[0]}>")
+        else:
+            out.append(f"<{tag}>{inner}</{tag}>")
+        labels.append(label)
+
+    def area(kind: str):
+        tags, known = AREAS[kind]
+        tag = "div" if plain else pick(tags.split())
+        tells = tag in ("nav", "header", "footer", "aside", "form") and rng.random() < 0.5
+        own = [] if tells else [pick(known.split())] + [pick(WRAPPERS + known.split())] * int(rng.integers(2))
+        rng.shuffle(own)
+        if kind == "comment" and own and not set(own) & {"comments", "comment", "disqus", "commentlist", "respond", "replies"}:
+            own = ["comments", *own]
+        out.append(f"<{tag}{names(*own)}>")
+        short = kind in ("nav", "share")
+        if plain and kind in ("nav", "side", "share"):
+            short = True
+        for _ in range(1 if tag == "p" else int(rng.integers(1, 8 if kind in ("nav", "comment", "side") else 4))):
+            stock = rng.random() < (1 if plain and not short else 0.4)
+            text = words(1, 4) if short else " ".join(pick(STOCK) for _ in range(int(rng.integers(1, 9)))) if stock else words(2, 40)
+            inside = kind == "comment" and rng.random() < 0.4
+            if inside:
+                out.append(f"<{pick(['article', 'div', 'li'])}{names('comment') if rng.random() < 0.6 else ''}>")
+                last = out[-1][1:].split()[0].split(">")[0]
+            leaf = "span" if tag == "p" else "li" if short and rng.random() < 0.6 else pick(["p", "p", "div", "h3", "h1" if kind == "header" else "h4", "li"])
+            block(leaf, text, 0, short or rng.random() < 0.2)
+            if inside:
+                out.append(f"</{last}>")
+        if tag == "form" and rng.random() < 0.5:
+            out.append("<input type=text>")
+        out.append(f"</{tag}>")
+
+    def main():
+        ends = []
+        for level in range(1 + int(rng.integers(3))):
+            tag = "div" if plain else pick(MAIN_TAGS) if not level else pick(["div", "section", "article", "header" if rng.random() < 0.1 else "div"])
+            own = ([pick(MAIN_NAMES)] if tag in ("div", "section", "td") and not level or rng.random() < 0.4 else []) + ([pick(WRAPPERS)] if rng.random() < 0.2 else []) + noise()
+            out.append((f"<table><tr><td{names(*own)}>" if tag == "td" else f"<{tag}{names(*own)}>"))
+            ends.append("</td></tr></table>" if tag == "td" else f"</{tag}>")
+        if rng.random() < 0.6:
+            block("h1", words(1, 10), 1, False)
+        for _ in range(int(rng.integers(1, 16))):
+            block(pick(MAIN_LEAF), words(1, 4) if rng.random() < 0.15 and not plain else words(4, 90), 1, rng.random() < 0.05)
+            if rng.random() < 0.06 and not plain:
+                area(pick(["ad", "share", "side", "form", "notice"]))
+        if rng.random() < 0.15:
+            area("comment" if not plain else "share")
+        out.extend(reversed(ends))
+
+    ends = []
+    for _ in range(int(rng.integers(4))):
+        tag = "form" if rng.random() < 0.12 else "div"
+        out.append(f"<{tag}{names(*([pick(WRAPPERS)] + noise()))}>")
+        ends.append(f"</{tag}>")
+    first = rng.random() < 0.1
+    if first:
+        main()
+    for kind, chance in (("header", 0.5), ("nav", 0.8), ("notice", 0.4), ("ad", 0.5), ("side", 0.25)):
+        if rng.random() < chance and not (plain and kind == "ad"):
             area(kind)
-    main = (*outer, *pick(MAIN_AREA))
-    for _ in range(int(rng.integers(1, 16))):
-        text = words(1, 4) if rng.random() < 0.2 else words(4, 90)
-        out.append((((*main, *pick(MAIN_LEAF)), text, 0 if rng.random() < 0.9 else len(text) // 2), 1))
-        if rng.random() < 0.05:
-            area(pick(["ad", "share", "side", "form", "notice"]), main)
+    if not first:
+        main()
     for kind, chance in (("comment", 0.45), ("ad", 0.3), ("side", 0.4), ("form", 0.4), ("share", 0.2), ("notice", 0.15), ("footer", 0.8)):
-        if rng.random() < chance:
-            area(kind, main if rng.random() < 0.25 else ())
-    return [leaf for leaf, _ in out], np.array([y for _, y in out], np.float32)
+        if rng.random() < chance and not (plain and kind in ("ad", "comment")):
+            area(kind)
+    return f"<html><body>{''.join(out)}{''.join(reversed(ends))}</body></html>", np.array(labels, np.float32)
 
 
-def train(pages: list[str], drawn: int = DRAWN, seed: int = SEED, rounds: int = 12) -> Labeller:
+@lru_cache(maxsize=4)
+def train(pages: tuple[str, ...], drawn: int = DRAWN, seed: int = SEED, rounds: int = 10) -> Labeller:
     """The labeller of a bounded list of pages; nothing in it depends on the rest of the table."""
     rng, reader, net = np.random.default_rng(seed), Reader(), Labeller(seed)
     seqs, labels, texts = [], [], []
@@ -390,13 +505,29 @@ def train(pages: list[str], drawn: int = DRAWN, seed: int = SEED, rounds: int =
         texts += [t.split(" ") for (_, t, _), y in zip(blocks, told, strict=True) if y]
     texts = texts or [STOCK]
     for _ in range(drawn):
-        blocks, y = draw_page(rng, texts)
-        seqs.append(reader.page(blocks))
-        labels.append(y)
+        page, y = draw_page(rng, texts)
+        blocks = leaves(page)
+        if len(blocks) == len(y):
+            seqs.append(reader.page(blocks))
+            labels.append(y)
     net.fit(seqs, labels, rounds)
     return net
 
 
+def kept_labeller(spark, folder: str | None, make) -> Labeller:
+    """The labeller stored in a folder; if there is none, or no folder is given, the one that make() trains."""
+    if not folder:
+        return make()
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where):
+        net = make()
+        spark.createDataFrame([(name, list(x.shape), bytearray(np.ascontiguousarray(x, np.float32).tobytes())) for name, x in net.w.items()], "name string, shape array<int>, data binary").coalesce(1).write.parquet(folder)
+        return net
+    net = Labeller()
+    net.w = {r.name: np.frombuffer(bytes(r.data), np.float32).reshape(r["shape"]) for r in spark.read.parquet(folder).collect()}
+    return net
+
+
 RESULT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()), ("blocks", pa.int64()), ("kept", pa.int64())])
 
 
@@ -420,10 +551,14 @@ def extract_pages(net: Labeller, rows: list[tuple], reader: Reader, cells: int =
         yield page_id, url, text, len(text), len(blocks[i]), len(kept.get(i, []))
 
 
-def extract(table: DataFrame, sample: int = SAMPLE, drawn: int = DRAWN, seed: int = SEED) -> DataFrame:
+def extract(table: DataFrame, sample: int = SAMPLE, drawn: int = DRAWN, seed: int = SEED, most_bytes: int = MOST_BYTES, weights: str | None = None) -> DataFrame:
     """table (page_id, url, html) -> page_id, url, text, n_chars, blocks, kept."""
-    some = hash_sample(table.where("html is not null").select("page_id", "url", "html"), ["page_id", "url"], sample, seed)
-    net = train([r.html for r in some], drawn, seed)
+
+    def make() -> Labeller:
+        fit = table.where(F.octet_length("html") <= most_bytes).select("page_id", "url", "html")
+        return train(tuple(r.html for r in hash_sample(fit, ["page_id", "url"], sample, seed)), drawn, seed)
+
+    net = kept_labeller(table.sparkSession, weights, make)
 
     def rows(stream):
         reader = Reader()
