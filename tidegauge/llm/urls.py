@@ -4,7 +4,9 @@ Rules are (verdict, "host/path-prefix"); a rule fits its host and all subdomains
 path, and the longest wins. The rule list is a parameter of the query (meant for up to a few hundred entries) and
 becomes one CASE expression.
 
-Hosts are joined by the absolute links of their pages and, both ways, to the host one label up if it has pages too.
+Hosts are joined by the absolute links of their pages and, both ways, to the host one label up if it has pages too (with
+weight `hierarchy` each; 0 leaves these edges out). Scores are shares of all trust or distrust that is left, which is the same
+as if what reaches a host without links went back to the seeds.
 Trust is a personalised PageRank over these edges, seeded by each host's share of the pages that rules allow;
 distrust is the same over the reversed edges, seeded by the blocked pages. At least `steps` power steps are taken, and
 then as many as it needs until no further host is reached and no score moves by more than SETTLED of itself. A host
@@ -33,9 +35,9 @@ RULES = [
     ("block", "com/de/"),
 ]
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s<>]+)"""
-DAMPING, STEPS, RATIO = 0.5, 10, 1.0
-#: Kept clear of rounding: distrust has to exceed trust by more than this share of it. LEAST is in the SQL only.
-MARGIN, LEAST = 1e-6, 1e-9
+DAMPING, STEPS, RATIO, HIERARCHY = 0.5, 10, 1.0, 1.0
+#: Kept clear of rounding: distrust has to exceed trust by more than this share of it.
+MARGIN = 1e-6
 #: Scores that move by no more than this share of themselves in a step have settled.
 SETTLED = 1e-9
 
@@ -64,7 +66,7 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     return split.select("*", rule.alias("rule"), verdict.alias("said"))
 
 
-def host_edges(rows: DataFrame) -> DataFrame:
+def host_edges(rows: DataFrame, hierarchy: float = HIERARCHY) -> DataFrame:
     """(src, dst, w): links between different hosts and steps up and down the host hierarchy."""
     links = rows.where("host <> ''").select(F.col("host").alias("src"), F.explode(F.regexp_extract_all("html", F.lit(LINK), F.lit(1))).alias("dst"))
     links = links.select("src", F.translate("dst", UPPER, LOWER).alias("dst"))
@@ -72,8 +74,10 @@ def host_edges(rows: DataFrame) -> DataFrame:
     up = hosts.select(F.col("host").alias("src"), F.regexp_extract("host", r"^[^.]*\.(.*)$", 1).alias("dst")).where("dst <> ''")
     up = up.join(hosts.withColumnRenamed("host", "dst"), "dst", "left_semi").select("src", "dst")
     down = up.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    every = links.groupBy("src", "dst").agg(F.count("*").alias("w")).unionByName(up.union(down).withColumn("w", F.lit(1).cast("long")))
-    return every.where("src <> dst").groupBy("src", "dst").agg(F.sum("w").cast("double").alias("w"))
+    every = links.groupBy("src", "dst").agg(F.count("*").cast("double").alias("w"))
+    if hierarchy:
+        every = every.unionByName(up.union(down).withColumn("w", F.lit(float(hierarchy))))
+    return every.where("src <> dst").groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, steps: int = STEPS) -> DataFrame:
@@ -111,13 +115,14 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, step
     return now.select(*result)
 
 
-def filter_urls(pages: DataFrame, rules=RULES, damping: float = DAMPING, steps: int = STEPS, ratio: float = RATIO) -> DataFrame:
+def filter_urls(pages: DataFrame, rules=RULES, damping: float = DAMPING, steps: int = STEPS, ratio: float = RATIO, hierarchy: float = HIERARCHY) -> DataFrame:
     """pages (page_id, url, html) -> page_id, host, path, rule, verdict, trust, distrust."""
     rows = judged(pages, rules)
     thin = stored(rows.drop("html"), "judged")
     said = thin.where("host <> ''").groupBy("host").agg(F.count_if(F.col("said") == "allow").alias("good"), F.count_if(F.col("said") == "block").alias("bad"))
-    scores = stored(propagate(host_edges(rows), said, damping, steps), "host-scores")
-    trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
+    scores = stored(propagate(host_edges(rows, hierarchy), said, damping, steps), "host-scores")
+    total = scores.agg(F.sum("trust").alias("t"), F.sum("distrust").alias("d")).first()
+    trust, distrust = (F.coalesce(F.col(c) / F.lit(n or 1.0), F.lit(0.0)) for c, n in (("trust", total.t), ("distrust", total.d)))
     blocked = F.col("distrusted") & (~F.col("trusted") | (distrust > trust * (ratio + MARGIN)))
     verdict = F.coalesce("said", F.when(blocked, "block").otherwise("allow"))
     return thin.join(scores, "host", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"), trust.alias("trust"), distrust.alias("distrust"))
@@ -127,8 +132,8 @@ def op3_url_filter(spark, sf_dir: str) -> DataFrame:
     return filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet")).drop("trust", "distrust")
 
 
-def oracle_sql(rules=RULES, damping: float = DAMPING, steps: int = STEPS, ratio: float = RATIO) -> str:
-    """The same for DuckDB, with the power steps written out."""
+def oracle_sql(rules=RULES, damping: float = DAMPING, steps: int = 40, ratio: float = RATIO) -> str:
+    """The same for DuckDB, with `steps` power steps written out: enough where no host lies further from a seed."""
     case_rule, case_said = "CASE", "CASE"
     for says, text in sorted(rules, key=lambda r: (-len(r[1]), r[1])):
         h, _, p = text.partition("/")
@@ -158,5 +163,5 @@ def oracle_sql(rules=RULES, damping: float = DAMPING, steps: int = STEPS, ratio:
     ways AS MATERIALIZED (SELECT src AS host, dst AS "to", w / sum(w) OVER (PARTITION BY src) AS t_share, 0.0 AS d_share FROM edges
         UNION ALL SELECT dst, src, 0.0, w / sum(w) OVER (PARTITION BY dst) FROM edges),
     r0 AS (SELECT host, t0 AS t, d0 AS d FROM r_start){ranks}
-    SELECT page_id, host, path, rule, coalesce(said, CASE WHEN coalesce(d, 0) > coalesce(t, 0) * {ratio + MARGIN} + {LEAST} THEN 'block' ELSE 'allow' END) AS verdict
+    SELECT page_id, host, path, rule, coalesce(said, CASE WHEN coalesce(d, 0) > 0 AND d / (SELECT sum(d) FROM r{steps}) > coalesce(t / nullif((SELECT sum(t) FROM r{steps}), 0), 0) * {ratio + MARGIN} THEN 'block' ELSE 'allow' END) AS verdict
     FROM judged LEFT JOIN r{steps} USING (host)"""
