@@ -3,7 +3,8 @@
 Rows are ranked within their source in seeded hash order, the fractional rank (rank - 1/2) / n orders all sources
 together, and that order is cut into equal runs: every shard holds each source in proportion, to within a row or
 two. No window holds a whole source or the whole table: hash order is cut into buckets of about `bucket_rows`,
-ranks are taken within a bucket and a prefix sum of the bucket counts is added. Everything is DataFrame code.
+ranks are taken within a bucket and a prefix sum of the bucket counts is added, which is itself summed in runs of 4096
+buckets and then over these runs. Everything is DataFrame code.
 
 Cases: null text has size 1 and the CRC of nothing; null source is a source; rows equal in doc_id and text get
 different slots in no fixed order between them; an empty table gives an empty result; only doc_id, text and source
@@ -23,10 +24,16 @@ SHARDS, SEED = 16, 29
 
 def _ranked(rows: DataFrame, group: list[str], bucket: str, order: list[str], out: str) -> DataFrame:
     """row_number within group by (bucket, order), from ranks in each bucket and a prefix sum of bucket counts."""
-    counts = rows.groupBy(*group, bucket).agg(F.count("*").alias("c"))
-    span = W.partitionBy(*group) if group else W.partitionBy()
-    before = F.coalesce(F.sum("c").over(span.orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    offsets = stored(counts.select(*[F.col(g).alias(f"{g}_o") for g in group], F.col(bucket).alias("bucket_o"), before.alias("before")), "offsets")
+    counts = stored(rows.groupBy(*group, bucket).agg(F.count("*").alias("c")).withColumn("run", F.floor(F.col(bucket) / 4096).cast("long")), "bucket-counts")
+    earlier = lambda x, by, at: F.coalesce(F.sum(x).over(W.partitionBy(*by).orderBy(at).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    runs = counts.groupBy(*group, "run").agg(F.sum("c").alias("n"))
+    runs = runs.select(*[F.col(g).alias(f"{g}_r") for g in group], F.col("run").alias("run_r"), earlier("n", group, "run").alias("runs_before"))
+    of_run = F.col("run") == F.col("run_r")
+    for g in group:
+        of_run = of_run & F.col(g).eqNullSafe(F.col(f"{g}_r"))
+    before = F.col("runs_before") + F.col("in_run")
+    offsets = counts.withColumn("in_run", earlier("c", [*group, "run"], bucket)).join(runs, of_run)
+    offsets = stored(offsets.select(*[F.col(g).alias(f"{g}_o") for g in group], F.col(bucket).alias("bucket_o"), before.alias("before")), "offsets")
     within = F.row_number().over(W.partitionBy(*group, bucket).orderBy(*order))
     on = F.col(bucket) == F.col("bucket_o")
     for g in group:
