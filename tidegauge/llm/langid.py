@@ -144,9 +144,10 @@ def predictor(profiles: dict[str, np.ndarray], top: int = TOP):
     """A column function text -> struct<lang, score>."""
 
     @F.pandas_udf("lang string, score double")
-    def predict(text: pd.Series) -> pd.DataFrame:
+    def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = Model(profiles, top)
-        return pd.DataFrame([model.predict(t) for t in text], columns=["lang", "score"])
+        for text in texts:
+            yield pd.DataFrame([model.predict(t) for t in text], columns=["lang", "score"])
 
     return predict
 
