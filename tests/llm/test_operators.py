@@ -63,6 +63,25 @@ def test_licence_notice_needs_its_key_phrase(spark):
     assert got == {1: "mit-notice", 2: "", 3: ""}
 
 
+def test_whole_licence_texts_and_a_table_of_ones_own(spark):
+    mit, isc = (next(t for label, t, _ in licences.TEXTS if label == name) for name in ("mit-text", "isc-text"))
+    rows = [(1, f"Copyright 2020 someone. {mit} End."), (2, mit.replace("merge, publish,", "").replace("THE AUTHORS", "THE GOOD PEOPLE AND AUTHORS")), (3, isc), (4, mit[:300]), (5, "House rules: feed the cat. " + "other words " * 30)]
+    own = spark.createDataFrame([("house", "house rules feed the cat", ["feed the cat"])], "label string, text string, keys array<string>")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: set(r.labels.split(",")) for r in licences.scan(docs, notices=[*licences.NOTICES, *licences.TEXTS, *licences.notices_from(own)]).collect()}
+    assert "mit-text" in got[1] and "mit-text" in got[2] and got[3] == {"isc-notice", "isc-text"} and "mit-text" not in got[4] and got[5] == {"house"}
+    with pytest.raises(ValueError):
+        licences.notices_from(own, 0)
+
+
+def test_alignment_needs_two_words():
+    known = licences.templates({"red green blue": "rgb", "alone": "one"}, [])
+    index = licences.build_index(known, 100, {b"red": 5, b"green": 9, b"blue": 2, b"alone": 1})
+    assert set(index.postings) == {b"blue", b"alone"} and index.looked_up == {b"blue", b"red", b"alone"}
+    assert licences.aligned(index, b"blue x red green blue blue".split()) == {(0, 2)}
+    assert licences.scan_words(index, b"red green blue alone red x blue".split())[0] == [0, 3]
+
+
 def plain_print(t):
     w = re.findall(r"[^\x20\x09-\x0D]+", lower(t))
     s = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) >= 3 else [" ".join(w)] if w else []
@@ -123,6 +142,60 @@ def test_no_link_is_lost(spark, bits, limit):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, got.values()))
 
 
+def test_last_cell_of_a_batch_is_bounded():
+    """A run over the limit is passed on wherever it stands in its batch, in pieces or whole."""
+    import pyarrow as pa
+
+    prints = np.arange(300, dtype=np.int64)
+    for cuts in ([300], [100, 300], [50, 51, 300], [300]):
+        parts, start = [], 0
+        for end in cuts:
+            parts.append(pa.RecordBatch.from_arrays([pa.array(np.zeros(end - start, np.int64)), pa.array(prints[start:end])], ["anchor", "fp"]))
+            start = end
+        out = list(simhash._compare(iter(parts), 2, 60))
+        assert all(b.column("hot")[0].as_py() for b in out) and sum(b.num_rows for b in out) == 300 * 65
+
+
+def test_near_dedup_whatever_the_rows(spark):
+    """Copies go by text, not by doc_id alone; names cannot clash; maps and dots are no obstacle; one row of a group stays."""
+    import corpus_pipeline
+
+    t, u = "one two three four five six seven", "another text of quite other words it is"
+    docs = spark.createDataFrame([(3, t, "a", 1, 2, {"k": 1}), (5, t, "b", 3, 4, {"k": 2}), (5, u, "c", 5, 6, None), (5, u, "c", 5, 6, None), (5, u + ".", "c", 5, 6, None), (None, "", "d", 7, 8, {}), (None, None, "d", 7, 8, {})], "doc_id long, text string, `a.b` string, _id long, _same long, m map<string,int>").withColumns({"_keep": F.lit(1), "root": F.lit(2), "tie": F.lit("x"), "row": F.lit(0), "lang": F.lit("en"), "told": F.lit("y")})
+    got = corpus_pipeline.near_dedup(spark, docs, "")
+    assert got.columns == docs.columns
+    rows = got.collect()
+    assert sorted((r.doc_id or 0, r._id) for r in rows) == [(0, 7), (3, 1), (5, 5), (5, 5)] and {r.text for r in rows if r.doc_id == 5} == {u, u + "."}
+    kept = corpus_pipeline.language_id(spark, docs.withColumn("lang", F.lit("xx")), "")
+    assert kept.columns == docs.columns and {r.lang for r in kept.collect()} == {"xx"} and kept.count() == 5
+    assert mixing.mixed(docs.withColumn("source", F.lit("s"))).columns == [*docs.columns, "source"]
+
+
+def test_empty_documents_are_drawn_alike_however_they_come(spark):
+    docs = spark.createDataFrame([(i % 7 if i % 3 else None, "", "a" if i % 2 else "b", i) for i in range(200)] + [(900, "some words", "a", 0), (901, "many more words than the others have", "b", 0)], "doc_id long, text string, source string, n long").repartition(4)
+    runs = []
+    for batch in (10_000, 3):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        runs.append(sorted(map(str, mixing.mixed(docs).collect())))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
+    assert runs[0] == runs[1]
+
+
+def test_pairing_keeps_expected_copies():
+    """Over many seeds the words taken from each document come to its expectation."""
+    sizes, masses = [9.0, 7.0, 5.0, 4.0, 2.0], [3.0, 6.0, 1.0, 2.0, 1.5]
+    taken = np.zeros(5)
+    for run in range(4000):
+        held = (0, masses[0])
+        for i in range(1, 5):
+            a, b = mixing._pair(held[1], sizes[held[0]], masses[i], sizes[i], mixing._draw(run, i))
+            done, left = ((held[0], a), (i, b)) if a in (0.0, sizes[held[0]]) else ((i, b), (held[0], a))
+            taken[done[0]] += done[1]
+            held = left
+        taken[held[0]] += sizes[held[0]] * (mixing._draw(run, "last") * sizes[held[0]] < held[1])
+    assert np.abs(taken / 4000 - masses).max() < 0.25
+
+
 def test_near_dedup_at_similarity(spark):
     """The pipeline's stage keeps what plain Python keeps at five words and 0.8, with copies on either side of the bound."""
     import corpus_pipeline
@@ -211,6 +284,12 @@ def test_sharding(docs, none):
     sizes = [len(v) for v in by.values()]
     assert len(by) == 4 and max(sizes) - min(sizes) <= 1 and len(rows) == docs.count()
     assert all(sorted(r.slot for r in v) == list(range(len(v))) for v in by.values())
+    # the order: hash order in each source, then by fractional rank over all sources
+    groups = collections.defaultdict(list)
+    for r in rows:
+        groups[r.source].append((r.shard, r.slot))
+    order = sorted(((i + 0.5) / len(v), k or "", p) for k, v in groups.items() for i, p in enumerate(sorted(v)))
+    assert [p for _, _, p in order] == sorted(p for _, _, p in order)
     hot = [sum(r.source == "hot" for r in v) for v in by.values()]
     assert max(hot) - min(hot) <= 2
     assert sharding.interleave(none).count() == 0
@@ -286,6 +365,21 @@ def plain_profile(t, top):
     return [g for _, _, g in sorted((-c, code(g), code(g)) for g, c in grams.items())][:top]
 
 
+def test_out_of_place_distance():
+    """The model against the plain sum of rank differences."""
+    rng = np.random.default_rng(4)
+    own = lambda: ["".join(rng.choice(list("abcdeé "), 60)) + "x" for _ in range(6)]
+    profiles = {f"l{k}": langid.profile(*langid.ngrams(" ".join(own())), 40) for k in range(4)}
+    model = langid.Model(profiles, 40)
+    for t in own() * 5:
+        mine, cost = plain_profile(t, 40), {}
+        for lang, codes in profiles.items():
+            rank = {g: i for i, g in enumerate(codes.tolist())}
+            cost[lang] = sum(abs(rank[g] - i) if g in rank else 40 for i, g in enumerate(mine))
+        best = min(sorted(cost), key=cost.get)
+        assert model.predict(t) == (best, pytest.approx(1 - cost[best] / (40 * len(mine))))
+
+
 def test_language_id(docs, none, spark):
     for t in ("The End, of it", "é ü ñ", "a1b2", "ÄÖ straße", "мир и война", "".join(map(chr, range(0x4E00, 0x4E60)))):
         assert langid.profile(*langid.ngrams(t), 30).tolist() == plain_profile(t, 30)
@@ -410,7 +504,9 @@ def test_media(docs, none, spark):
         raw = ("no id" if r.doc_id is None else texts()[r.doc_id] or "").encode()
         full = raw + b"\xff" * (576 if not raw else -len(raw) % 576)
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(full), hashlib.sha256(full).hexdigest(), zlib.crc32(full[-32:]))
-        assert r.media_bytes > r.payload_bytes
+        declared, stored = media.store(full)
+        assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest())
+        assert r.declared == declared and r.type == media.STORED_TYPES[zlib.crc32(full) % 4] and f"corrected={str(r.type != declared).lower()}" in r.feature
     assert media.digests(none).count() == 0
     gif = b"GIF89a\x01\x00\x01\x00\x80\x00\x00" + bytes(6) + b"\x2c" + bytes(8) + b"\x00\x02\x02\x4c\x01\x00\x3b"
     files = [(1, "image/png", media.wav(b"a" * 576)), (2, None, b"junk BM P5 RIFF" + gif + b"tail" + media.au(b"x" * 576)), (3, "text/plain", b"BM is no bitmap"), (4, None, None), (5, "image/bmp", media.bmp(b"q" * 1152)[:-1])]
@@ -420,6 +516,18 @@ def test_media(docs, none, spark):
     assert got[3].type == "text/plain" and not got[3].corrected and got[4].type == media.UNKNOWN and got[5].embedded == []
 
 
+def test_media_within_a_text_and_hostile_files(spark):
+    import time
+
+    inner = media.pgm(b"q" * 576).decode()
+    r = media.digests(spark.createDataFrame([(1, "before " + inner + " after")], "doc_id long, text string")).first()
+    assert r.embedded == 1 and r.feature.endswith("carved=1:image/x-portable-graymap")
+    began = time.time()
+    for piece in (b"\xff\xfe\x00\x04\xff\xd8", b"OggS\0\0" + bytes(21), b"\0\0\0\x08ftyp", b"\xff\xd8\xff\xe0\xff\xff", b"GIF89a\0\0\0\0\0\0\0\x21\xf9\x0d", b"BM", b"RIFF"):
+        assert media.sniff(piece * (600_000 // len(piece))) == []
+    assert time.time() - began < 30
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(5)
     v = rng.standard_normal((600, 8)).astype(np.float32)
