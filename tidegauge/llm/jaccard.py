@@ -1,10 +1,20 @@
-"""Near-duplicates by the Jaccard similarity of word shingles, exactly: prefix filtering, then a check of each pair.
+"""Near-duplicates by the Jaccard similarity of word shingles: SimHash links with an exact check, and an exact way for the rest.
+
+64 bits cannot tell 0.8 from less (such pairs differ in about ten bits), so SimHash links alone would miss most of what
+is wanted. Fingerprints of the shingle sets are linked by anchor-point covering (simhash.links) and each link is checked
+on the whole sets; prefix filtering finds what SimHash does not.
 
 A text becomes the set of hashes of its `width`-word shingles. All hashes stand in one order, the rare ones first; two
 sets of at least the wanted similarity share a hash within the first n - ceil(similarity * n) + 1 of both, so only
-these are shuffled, and pairs that meet there and fit by size and position are compared whole. Texts with
+these are shuffled, and sets that meet at one of them and fit by size and position are compared whole. Texts with
 equal sets are collapsed first. The order comes from counts in BUCKETS hash buckets; it decides the work, not the result.
 
+What is wanted are groups, not pairs, so a group of many near copies is not compared pair by pair. In a first round each
+set is compared with the smallest key that it meets at each of its hashes, and with those that SimHash links; the links found
+make first groups. In a second
+round only sets of different groups that meet are compared; a hash at which a single group meets has nothing left to
+compare. Every link between two groups is found this way, and every pair within a group is linked already.
+
 Cases: null or empty text has an empty set, linked to its like only; a text of fewer than `width` words is one shingle;
 an empty table gives an empty result.
 """
@@ -17,8 +27,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm import simhash
 from tidegauge.llm.common import rows_of, space_words, stored
-from tidegauge.llm.simhash import grouped
+from tidegauge.llm.graph import components
+from tidegauge.llm.simhash import BITS, grouped
 
 WIDTH, SIMILARITY = 5, 0.8
 BUCKETS = 1 << 18
@@ -64,9 +76,21 @@ def _columns(names: list[str], *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
 
-def links(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
-    """Pairs (u, v) of set keys of at least the wanted similarity."""
+def sketched(own: DataFrame, bits: int = BITS) -> DataFrame:
+    """own (fp: set key, print; each once) -> pairs (u, v) of set keys: those of equal fingerprints with the smallest of them, and the
+    smallest of fingerprints that SimHash links."""
+    prints = stored(own.groupBy("print").agg(F.min("fp").alias("least")), "set-prints")
+    equal = own.join(prints, "print").where("fp <> least").select(F.col("least").alias("u"), F.col("fp").alias("v"))
+    named = lambda c, to: prints.select(F.col("print").alias(c), F.col("least").alias(to))
+    near = simhash.links(prints.select(F.col("print").alias("fp")), bits).select(F.col("u").alias("a"), F.col("v").alias("b"))
+    near = near.join(named("a", "x"), "a").join(named("b", "y"), "b").where("x <> y")
+    return equal.union(near.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")))
+
+
+def links(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY, bits: int = BITS) -> DataFrame:
+    """Pairs (u, v) of set keys of at least the wanted similarity that connect whatever has it; own (doc_id, fp, print)."""
     texts = docs.select(F.col("doc_id").cast("long"), "text")
+    own = stored(own.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.min("print").alias("print")), "sets-once")
 
     def count(stream):
         words, seen = Hashes(), np.zeros(BUCKETS, np.int64)
@@ -78,7 +102,7 @@ def links(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: float
     counts = texts.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     common = np.zeros(BUCKETS, np.int64)
     common[counts["bucket"].to_numpy()] = counts["n"].to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(common)
+    sizes_of = docs.sparkSession.sparkContext.broadcast(common)
 
     def prefixes(stream):
         words, done = Hashes(), set()
@@ -93,21 +117,40 @@ def links(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: float
                     if len(done) < 200_000:
                         done.add(key)
                     take = len(s) - int(_least(len(s), similarity)) + 1
-                    tokens.append(s[np.lexsort((s, shared.value[_bucket(s)]))[:take]].view(np.int64))
+                    tokens.append(s[np.lexsort((s, sizes_of.value[_bucket(s)]))[:take]].view(np.int64))
                     keys.append(np.full(take, key))
                     places.append(np.arange(take))
                     sizes.append(np.full(take, len(s)))
                 if tokens:
                     yield _columns(["token", "key", "at", "n"], *map(np.concatenate, (tokens, keys, places, sizes)))
 
-    rare = stored(texts.mapInArrow(prefixes, "token long, key long, at long, n long").dropDuplicates(["token", "key"]), "prefixes")
-    a = rare.select("token", F.col("key").alias("u"), F.col("at").alias("ua"), F.col("n").alias("un"))
-    b = rare.select("token", F.col("key").alias("v"), F.col("at").alias("va"), F.col("n").alias("vn"))
-    fits = F.least(F.col("un") - F.col("ua"), F.col("vn") - F.col("va")) >= (F.col("un") + F.col("vn")) * (similarity / (1 + similarity)) - 1e-6
-    pairs = stored(a.join(b, "token").where((F.col("u") < F.col("v")) & fits).select("u", "v").distinct(), "pairs")
-
-    meant = pairs.select(F.col("u").alias("fp")).union(pairs.select("v")).distinct()
-    ids = own.join(meant, "fp").groupBy("fp").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+    def met(stream):
+        """Rows of tokens that at least two keys have, from rows sorted by token and key; equal rows once."""
+        token0 = key0 = first = None  # of the last row; first: the only row of its token so far, not given yet
+        for b in stream:
+            token, key = b.column(0).to_numpy(), b.column(1).to_numpy()
+            if not len(token):
+                continue
+            fresh = np.r_[(token[0], key[0]) != (token0, key0), (token[1:] != token[:-1]) | (key[1:] != key[:-1])]
+            b, token, key = b.filter(pa.array(fresh)), token[fresh], key[fresh]
+            if not len(token):
+                continue
+            size = np.diff(np.r_[np.flatnonzero(np.r_[True, token[1:] != token[:-1]]), len(token)])
+            several = size > 1
+            if token[0] == token0:
+                several[0] = True
+                if first is not None:
+                    yield first
+            keep = np.repeat(several, size)
+            first = None if several[-1] else b.slice(len(token) - 1, 1)
+            token0, key0 = token[-1], key[-1]
+            if keep.any():
+                yield b.filter(pa.array(keep))
+
+    spread = texts.mapInArrow(prefixes, "token long, key long, at long, n long").repartition("token").sortWithinPartitions("token", "key")
+    shared = stored(spread.mapInArrow(met, "token long, key long, at long, n long"), "shared-prefixes")
+    meant = shared.select(F.col("key").alias("fp")).distinct()
+    ids = own.join(meant, "fp").select("doc_id").distinct()
 
     def sets(stream):
         words = Hashes()
@@ -130,13 +173,33 @@ def links(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: float
                 keep = np.array(near, bool)
                 yield _columns(["u", "v"], np.array(u, np.int64)[keep], np.array(v, np.int64)[keep])
 
-    met = pairs.join(held.select(F.col("key").alias("u"), F.col("hashes").alias("x")), "u").join(held.select(F.col("key").alias("v"), F.col("hashes").alias("y")), "v")
-    return met.select("u", "v", "x", "y").mapInArrow(compare, "u long, v long")
+    fits = F.least(F.col("un") - F.col("ua"), F.col("vn") - F.col("va")) >= (F.col("un") + F.col("vn")) * (similarity / (1 + similarity)) - 1e-6
+
+    def linked(pairs: DataFrame, label: str) -> DataFrame:
+        """Of pairs (u, v) those that are near enough."""
+        few = stored(pairs.distinct(), f"{label}-pairs")
+        both = few.join(held.select(F.col("key").alias("u"), F.col("hashes").alias("x")), "u").join(held.select(F.col("key").alias("v"), F.col("hashes").alias("y")), "v")
+        return stored(both.select("u", "v", "x", "y").mapInArrow(compare, "u long, v long"), f"{label}-links")
+
+    sides = [F.col("key").alias("v"), F.col("at").alias("va"), F.col("n").alias("vn")]
+    least = shared.groupBy("token").agg(F.min_by(F.struct("key", "at", "n"), "key").alias("least"))
+    stars = shared.join(least, "token").select(F.col("least.key").alias("u"), F.col("least.at").alias("ua"), F.col("least.n").alias("un"), *sides)
+    close = stars.where("u <> v").where(fits).select("u", "v").union(sketched(own, bits))
+    first_links = linked(close, "star")
+    roots = components(first_links)
+    named = shared.join(roots, shared.key == roots.node, "left").select("token", "key", "at", "n", F.coalesce("root", "key").alias("root"))
+    several = named.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
+    open_rows = stored(named.join(several, "token", "left_semi"), "several-groups")
+    groups = open_rows.select("token", "root").distinct()
+    across = groups.select("token", F.col("root").alias("ru")).join(groups.select("token", F.col("root").alias("rv")), "token").where("ru < rv")
+    u = open_rows.select("token", F.col("root").alias("ru"), F.col("key").alias("u"), F.col("at").alias("ua"), F.col("n").alias("un"))
+    v = open_rows.select("token", F.col("root").alias("rv"), *sides)
+    return first_links.union(linked(across.join(u, ["token", "ru"]).join(v, ["token", "rv"]).where(fits).select("u", "v"), "cross"))
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
-    """One row for each row of docs: doc_id, same (hash of the text), fp (key of its set), component_id (the smallest
-    doc_id reachable), root (the component's own name). doc_id must not be null.
+    """One row for each row of docs: doc_id, same (hash of the text), fp (key of its set), print (SimHash of the set),
+    component_id (the smallest doc_id reachable), root (the component's own name). doc_id must not be null.
     """
 
     def keys(stream):
@@ -144,8 +207,10 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: float = SIM
         for b in stream:
             for part in range(0, b.num_rows, 256):
                 some = b.slice(part, 256)
-                yield pa.RecordBatch.from_arrays([some.column(0), some.column(2), pa.array([_key(shingles(t, words, width)) for t in some.column(1).to_pylist()], pa.int64())], ["doc_id", "same", "fp"])
+                found = [shingles(t, words, width) for t in some.column(1).to_pylist()]
+                prints = np.fromiter(map(simhash.majority, found), np.uint64, len(found)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(2), pa.array([_key(f) for f in found], pa.int64()), pa.array(prints)], ["doc_id", "same", "fp", "print"])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("same"))
-    own = stored(rows.mapInArrow(keys, "doc_id long, same long, fp long"), "set-keys")
+    own = stored(rows.mapInArrow(keys, "doc_id long, same long, fp long, print long"), "set-keys")
     return grouped(own, lambda _: links(docs, own, width, similarity))

@@ -43,7 +43,11 @@ def fingerprint(text: str | None, width: int = SHINGLE, seed: int = SEED) -> int
         shingles = [b" ".join(words)]
     else:
         shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False))
-    h = np.fromiter((digest(s, seed) for s in shingles), np.uint64)
+    return majority(np.fromiter((digest(s, seed) for s in shingles), np.uint64))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that are set in over half the hashes."""
     ones = np.zeros(64, np.int64)
     for part in range(0, len(h), 65536):  # bounded memory on very long texts
         bits = np.unpackbits(h[part : part + 65536].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
