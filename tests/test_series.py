@@ -38,17 +38,37 @@ GAPS = [None, 1.0, None, 2.0, 4.0, None, None, None, None, None, None, 3.0, 5.0,
 
 
 @pytest.mark.parametrize("name,build,expect", [
-    ("ewm", lambda: w.ewm("x", 5), lambda s: s.ewm(span=5, adjust=False).mean()),
-    ("std", lambda: w.ewm_std("x", 5), lambda s: s.ewm(span=5).std()),
-    ("roll", lambda: w.roll(F.avg, "x", 3), lambda s: s.rolling(3).mean()),
-    ("sd", lambda: w.roll(F.stddev_samp, "x", 3), lambda s: s.rolling(3).std()),
-    ("ffill", lambda: w.ffill("x", 5), lambda s: s.ffill(limit=5)),
+    ("ewm", lambda d: w.ewm(d, {"y": ("x", 5)}), lambda s: s.ewm(span=5, adjust=False).mean()),
+    ("std", lambda d: w.ewm_std(d, "y", "x", 5), lambda s: s.ewm(span=5).std()),
+    ("roll", lambda d: d.withColumn("y", w.roll(F.avg, "x", 3)), lambda s: s.rolling(3).mean()),
+    ("sd", lambda d: d.withColumn("y", w.roll(F.stddev_samp, "x", 3)), lambda s: s.rolling(3).std()),
+    ("ffill", lambda d: d.withColumn("y", w.ffill("x", 5)), lambda s: s.ffill(limit=5)),
 ])
 def test_kernels(spark, name, build, expect):
-    got = column(series(spark, GAPS).withColumn("y", build()), "y")
+    got = column(build(series(spark, GAPS)), "y")
     assert close(got, expect(pd.Series(GAPS, dtype=float)).tolist(), 1e-8)
 
 
+def test_recursions_over_many_blocks(spark):
+    """Long series, long gaps and short spans: block-wise sums give what the recursion gives."""
+    rng = np.random.default_rng(6)
+    values = np.where(rng.random(6000) < 0.3, np.nan, 1000 + np.cumsum(rng.standard_normal(6000)))
+    values[2000:3500] = np.nan
+    s = pd.Series(values)
+    df = series(spark, [None if np.isnan(v) else float(v) for v in values])
+    got = w.ewm(df, {"a": ("x", 2), "b": ("x", 26), "c": ("x", 200)})
+    got = w.smooth(got, {"d": ("x", 0.1)}, ages=False)
+    got = w.ewm_std(w.wilder(got, {"e": "x"}, 14), "f", "x", 22).orderBy("date").toPandas()
+    assert np.allclose(got.a, s.ewm(span=2, adjust=False).mean(), rtol=1e-10, equal_nan=True)
+    assert np.allclose(got.b, s.ewm(span=26, adjust=False).mean(), rtol=1e-10, equal_nan=True)
+    assert np.allclose(got.c, s.ewm(span=200, adjust=False).mean(), rtol=1e-10, equal_nan=True)
+    assert np.allclose(got.d, s.ewm(alpha=0.1, adjust=False, ignore_na=True).mean(), rtol=1e-10, equal_nan=True)
+    assert np.allclose(got.f.astype(float), s.ewm(span=22).std(), rtol=1e-6, equal_nan=True)
+    there = s.dropna()
+    want = pd.concat([pd.Series([there.iloc[:14].mean()], index=[there.index[13]]), there.iloc[14:]]).ewm(alpha=1 / 14, adjust=False).mean()
+    assert np.allclose(got.e.astype(float).dropna(), want, rtol=1e-10) and got.e.notna().sum() == len(want)
+
+
 def test_padded_change_and_rank(spark):
     df = series(spark, [1.0, None, 2.0, 4.0]).withColumn("p", w.pad("x")).withColumn("y", w.pct("p", 1))
     assert column(df, "y") == [None, 0.0, 1.0, 1.0]
@@ -65,7 +85,7 @@ def test_constant_series(spark):
 def test_two_series_alone_or_together(spark):
     rng = np.random.default_rng(0)
     a, b = series(spark, rng.random(60).tolist(), "a"), series(spark, rng.random(60).tolist(), "b")
-    f = lambda d: column(d.withColumn("y", w.ewm("x", 9)), "y")
+    f = lambda d: column(w.ewm(d, {"y": ("x", 9)}), "y")
     assert f(a.union(b)) == f(a) + f(b)
 
 
@@ -162,7 +182,7 @@ def test_repair_and_advice(spark):
 
 def test_weighted_deviation_skips_nulls(spark):
     values, keep = [None, 1.0, 4.0, None, 2.0], 1 - 2 / 6
-    got = column(series(spark, values).withColumn("sd", w.ewm_std("x", 5)), "sd")
+    got = column(w.ewm_std(series(spark, values), "sd", "x", 5), "sd")
     for i, sd in enumerate(got):
         pairs = [(keep ** (i - k), v) for k, v in enumerate(values[: i + 1]) if v is not None]
         if len(pairs) < 2:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -81,54 +81,84 @@ def scorr(a, b, over=None, least: int = 2) -> Column:
     return F.when(at(F.count(x)) >= least, F.try_divide(at(F.covar_pop(x, y)), F.when(spread > 1e-12, spread)))
 
 
-def ewm_rows(span: float) -> int:
-    """Rows after which what is left of a value is below 1e-16."""
-    return math.ceil(36.84 / -math.log(1 - 2 / (span + 1)))
+#: Recursions run in blocks over which a value decays by e ** -BLOCK; what is older than a block and a bit is below 1e-40.
+BLOCK, MOST_DECAY = 200.0, 100.0
 
 
-def ewm(x, span: float) -> Column:
-    """Recursive mean with alpha = 2 / (span + 1); a null only ages the state. A fold over a bounded frame."""
-    a = 2 / (span + 1)
-    frame = F.collect_list(F.struct(col(x).alias("x"))).over(by_date().rowsBetween(-ewm_rows(span), 0))
-    none = F.struct(F.lit(None).cast("double").alias("avg"), F.lit(1.0).alias("w"))
+def _carried(df: DataFrame, blocks: dict[str, str], ends: list[tuple[str, str]]) -> DataFrame:
+    """Adds carry_<column>: the column's value in the last row of the block before. blocks: {column: its block column}."""
+    df = df.withColumns({f"_end_{c}": F.when(F.lead(blocks[c]).over(by_date()) != F.col(blocks[c]), F.col(c)) for c, _ in ends})
+    before = by_date().rowsBetween(Window.unboundedPreceding, -1)
+    return df.withColumns({carry: F.coalesce(F.last(f"_end_{c}", ignorenulls=True).over(before), F.lit(0.0)) for c, carry in ends}).drop(*[f"_end_{c}" for c, _ in ends])
 
-    def step(s, v):
-        aged = s["w"] * (1 - a)
-        fresh = F.when(s["avg"].isNull(), v["x"]).otherwise((aged * s["avg"] + a * v["x"]) / (aged + a))
-        return F.struct(F.when(v["x"].isNull(), s["avg"]).otherwise(fresh).alias("avg"), F.when(v["x"].isNull(), aged).otherwise(F.lit(1.0)).alias("w"))
 
-    return F.aggregate(frame, none, step, lambda s: s["avg"])
+def smooth(df: DataFrame, wanted: dict[str, tuple[str, float]], ages: bool = True) -> DataFrame:
+    """Recursive means {out: (column, alpha)}: avg = r * avg + (1 - r) * x with r = w / (w + alpha), w = (1 - alpha) ** rows
+    since the last value (`ages`; otherwise nulls don't count). A null row shows the mean so far.
 
-
-def wilder(x, p: int) -> Column:
-    """Smoothing by s = (s * (p - 1) + x) / p from the mean of the first p rows; x has no nulls."""
-    k = math.ceil(36.84 / -math.log(1 - 1 / p)) + p
-    a = F.collect_list(col(x)).over(rows(k))
-    start = F.aggregate(F.slice(a, 1, p), F.lit(0.0), lambda s, v: s + v) / p
-    later = F.slice(a, p + 1, F.greatest(F.size(a) - p, F.lit(0)))
-    return F.when(F.row_number().over(by_date()) >= p, F.aggregate(later, start, lambda s, v: (s * (p - 1) + v) / p))
-
-
-def ewm_std(x, span: float) -> Column:
+    The recursion is solved by running sums: within a block of rows, avg = exp(L) * sum((1 - r) * x * exp(-L)), L being the
+    running sum of log r; the mean at the end of the block before comes in with exp(L). Each row costs the same however
+    long the series is, and nothing is folded row by row.
+    """
+    up_to, before = by_date().rowsBetween(Window.unboundedPreceding, 0), by_date().rowsBetween(Window.unboundedPreceding, -1)
+    xs = list(dict.fromkeys(x for x, _ in wanted.values()))
+    df = df.withColumn("_at", F.row_number().over(by_date()))
+    df = df.withColumns({f"_last_{x}": F.last(F.when(col(x).isNotNull(), col("_at")), ignorenulls=True).over(before) for x in xs})
+    step, weight = {}, {}
+    for k, (x, a) in enumerate(wanted.values()):
+        w = F.pow(F.lit(1 - a), (col("_at") - col(f"_last_{x}")) if ages else F.lit(1))
+        later = col(x).isNotNull() & col(f"_last_{x}").isNotNull()
+        step[f"_step{k}"] = F.when(later, F.greatest(F.ln(w / (w + a)), F.lit(-MOST_DECAY))).otherwise(0.0)
+        weight[f"_w{k}"] = F.when(later, a / (w + a)).when(col(x).isNotNull(), 1.0).otherwise(0.0)
+    df = df.withColumns(step | weight)
+    df = df.withColumns({f"_block{k}": F.floor(-F.sum(f"_step{k}").over(up_to) / BLOCK) for k in range(len(wanted))} | {f"_n_{x}": F.count(x).over(up_to) for x in xs})
+    for k, (x, _) in enumerate(wanted.values()):
+        inside = Window.partitionBy("series_id", f"_block{k}").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+        df = df.withColumn(f"_l{k}", F.sum(f"_step{k}").over(inside))
+        df = df.withColumn(f"_s{k}", F.exp(f"_l{k}") * F.sum(F.coalesce(col(f"_w{k}") * col(x), F.lit(0.0)) * F.exp(-col(f"_l{k}"))).over(inside))
+    df = _carried(df, {f"_s{k}": f"_block{k}" for k in range(len(wanted))}, [(f"_s{k}", f"_c{k}") for k in range(len(wanted))])
+    df = df.withColumns({out: F.when(col(f"_n_{x}") > 0, col(f"_s{k}") + F.exp(f"_l{k}") * col(f"_c{k}")) for k, (out, (x, _)) in enumerate(wanted.items())})
+    return df.drop("_at", *[f"_{t}_{x}" for t in ("last", "n") for x in xs], *[f"_{t}{k}" for t in ("step", "w", "block", "l", "s", "c") for k in range(len(wanted))])
+
+
+def ewm(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> DataFrame:
+    """Recursive means {out: (column, span)} with alpha = 2 / (span + 1); a null only ages the state."""
+    return smooth(df, {out: (x, 2 / (span + 1)) for out, (x, span) in wanted.items()})
+
+
+def wilder(df: DataFrame, wanted: dict[str, str], p: int) -> DataFrame:
+    """{out: column} smoothed by s = (s * (p - 1) + x) / p from the mean of the first p values; NULL where x is."""
+    up_to = by_date().rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumns({f"_z_{x}": F.when(F.count(x).over(up_to) > p, col(x)).when((F.count(x).over(up_to) == p) & col(x).isNotNull(), F.avg(x).over(up_to)) for x in wanted.values()})
+    df = smooth(df, {out: (f"_z_{x}", 1 / p) for out, x in wanted.items()}, ages=False)
+    return df.withColumns({out: F.when(col(x).isNotNull(), col(out)) for out, x in wanted.items()}).drop(*[f"_z_{x}" for x in wanted.values()])
+
+
+def ewm_std(df: DataFrame, out: str, x: str, span: float) -> DataFrame:
     """Bias-corrected standard deviation with weights (1 - alpha) ** age over the values that are there.
 
-    One fold over a bounded frame carries the count, the weights, their squares, the mean and the squared deviations.
+    Running sums of the weights, their squares, the values and their squares, block by block as in smooth(); values
+    are taken from the first of the series, so that little cancels.
     """
     keep = 1 - 2 / (span + 1)
-    frame = F.collect_list(F.struct(col(x).alias("x"))).over(by_date().rowsBetween(-ewm_rows(span), 0))
-    zero = F.lit(0.0)
-    none = F.struct(F.lit(0).alias("n"), zero.alias("w"), zero.alias("w2"), zero.alias("mean"), zero.alias("dev"))
-
-    def step(s, v):
-        here = v["x"].isNotNull()
-        w, w2 = s["w"] * keep + here.cast("double"), s["w2"] * (keep * keep) + here.cast("double")
-        move = v["x"] - s["mean"]
-        mean = F.when(here, s["mean"] + move / w).otherwise(s["mean"])
-        dev = s["dev"] * keep + F.when(here, move * (v["x"] - (s["mean"] + move / w))).otherwise(0.0)
-        return F.struct((s["n"] + here.cast("int")).alias("n"), w.alias("w"), w2.alias("w2"), mean.alias("mean"), dev.alias("dev"))
-
-    # dev / w, times w * w / (w * w - w2) against the bias
-    return F.aggregate(frame, none, step, lambda s: F.when(s["n"] > 1, F.sqrt(s["dev"] * s["w"] / (s["w"] * s["w"] - s["w2"]))))
+    size = max(1, int(BLOCK / -math.log(keep)))
+    up_to = by_date().rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumns({"_at": F.row_number().over(by_date()) - 1, "_v": col(x) - F.first(x, ignorenulls=True).over(up_to), "_n": F.count(x).over(up_to)})
+    df = df.withColumns({"_block": F.floor(col("_at") / size), "_age": F.pmod("_at", F.lit(size))})
+    inside = Window.partitionBy("series_id", "_block").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    parts = {"_w": (1, F.lit(1.0)), "_q": (2, F.lit(1.0)), "_b": (1, col("_v")), "_d": (1, col("_v") * col("_v"))}
+    decay = lambda power, age: F.exp(age * (power * math.log(keep)))
+    df = df.withColumns({c: decay(k, col("_age")) * F.sum(F.when(col(x).isNotNull(), v * decay(k, -col("_age"))).otherwise(0.0)).over(inside) for c, (k, v) in parts.items()})
+    df = _carried(df, dict.fromkeys(parts, "_block"), [(c, f"_carry{c}") for c in parts])
+    df = df.withColumns({c: col(c) + decay(k, col("_age") + 1) * col(f"_carry{c}") for c, (k, _) in parts.items()})
+    mean = ratio("_b", "_w")
+    spread = F.greatest(ratio("_d", "_w") - mean * mean, F.lit(0.0))
+    free = col("_w") * col("_w") - col("_q")
+    now = F.when(col(x).isNotNull() & (col("_n") > 1) & (free > 1e-14 * col("_w") * col("_w")), F.sqrt(spread * col("_w") * col("_w") / free))
+    # Nulls age all weights alike, which changes nothing: their rows show what the last value's row does.
+    at_value = F.struct(F.when(col(x).isNotNull(), F.lit(1)).alias("there"), now.alias("sd"))
+    df = df.withColumn("_sd", F.when(col(x).isNotNull(), at_value)).withColumn(out, F.last("_sd", ignorenulls=True).over(up_to)["sd"]).drop("_sd")
+    return df.drop("_at", "_v", "_n", "_block", "_age", *parts, *[f"_carry{c}" for c in parts])
 
 
 def pct_rank(x, n: int) -> Column:

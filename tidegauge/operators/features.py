@@ -33,7 +33,8 @@ def yield_curve(df: DataFrame, long: str = "yield_long", short: str = "yield_sho
 
 def returns_and_volatility(df: DataFrame, p: str = "close") -> DataFrame:
     df = with_pct(df, p, {"returns": 1}).withColumn("log_returns", F.ln(ratio(p, shift(p, 1))))
-    df = df.withColumns({f"volatility_{n}d": roll(F.stddev_samp, "log_returns", n) * YEAR for n in WINDOWS} | {"volatility_ewma": ewm_std("log_returns", 22) * YEAR})
+    df = df.withColumns({f"volatility_{n}d": roll(F.stddev_samp, "log_returns", n) * YEAR for n in WINDOWS})
+    df = ewm_std(df, "volatility_ewma", "log_returns", 22).withColumn("volatility_ewma", col("volatility_ewma") * YEAR)
     v = "volatility_22d"
     df = df.withColumns({"vol_of_vol": roll(F.stddev_samp, v, 22), "volatility_zscore": ratio(col(v) - roll(F.avg, v, 252), roll(F.stddev_samp, v, 252))})
     return df.withColumn("high_vol_regime", flag(col("volatility_zscore") > 1))

@@ -3,8 +3,6 @@ as its definitions allow; all stages share one partitioning and order, so there
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -25,7 +23,7 @@ def moving_average_cross(df: DataFrame, p: str = "close", fast: int = 50, slow:
 
 
 def exponential_averages(df: DataFrame, p: str = "close", spans=(12, 26)) -> DataFrame:
-    df = df.withColumns({f"ema_{n}": ewm(p, n) for n in spans})
+    df = ewm(df, {f"ema_{n}": (p, n) for n in spans})
     return df.withColumns({f"price_to_ema_{n}": ratio(col(p) - col(f"ema_{n}"), f"ema_{n}") * 100 for n in spans})
 
 
@@ -35,7 +33,8 @@ def weighted_averages(df: DataFrame, p: str = "close") -> DataFrame:
 
 
 def macd(df: DataFrame, p: str = "close", fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
-    df = df.withColumn("macd_line", ewm(p, fast) - ewm(p, slow)).withColumn("macd_signal", ewm("macd_line", signal))
+    df = ewm(df, {"_fast": (p, fast), "_slow": (p, slow)}).withColumn("macd_line", col("_fast") - col("_slow"))
+    df = ewm(df, {"macd_signal": ("macd_line", signal)}).drop("_fast", "_slow")
     up, down = (col(p) > shift(p, 20)) & (col("macd_line") < shift("macd_line", 20)), (col(p) < shift(p, 20)) & (col("macd_line") > shift("macd_line", 20))
     return df.withColumns({
         "macd_histogram": col("macd_line") - col("macd_signal"), "macd_bullish_cross": cross_up("macd_line", "macd_signal"),
@@ -46,7 +45,7 @@ def macd(df: DataFrame, p: str = "close", fast: int = 12, slow: int = 26, signal
 def rsi(df: DataFrame, p: str = "close", n: int = 14) -> DataFrame:
     d = diff(p)
     df = df.withColumns({"_gain": F.coalesce(F.when(d > 0, d), F.lit(0.0)), "_loss": F.coalesce(F.when(d < 0, -d), F.lit(0.0))})
-    df = df.withColumns({"_g": wilder("_gain", n), "_l": wilder("_loss", n)}).withColumn("rsi", 100 - 100 / (1 + col("_g") / (col("_l") + EPS)))
+    df = wilder(df, {"_g": "_gain", "_l": "_loss"}, n).withColumn("rsi", 100 - 100 / (1 + col("_g") / (col("_l") + EPS)))
     df = df.withColumns({"_lo": roll(F.min, "rsi", n), "_hi": roll(F.max, "rsi", n)})
     return df.withColumns({
         "rsi_oversold": flag(col("rsi") < 30), "rsi_overbought": flag(col("rsi") > 70),
@@ -77,14 +76,7 @@ def true_range(h: str = "high", low: str = "low", c: str = "close"):
 
 def atr(df: DataFrame, n: int = 14) -> DataFrame:
     """Seeded at the first row with n true ranges, so a warm-up without highs and lows does not spoil the series."""
-    df = df.withColumn("true_range", true_range())
-    there = by_date().rowsBetween(Window.unboundedPreceding, 0)
-    smooth = F.when(col("true_range").isNotNull(), F.count("true_range").over(there))
-    k = math.ceil(36.84 / -math.log(1 - 1 / n)) + n
-    a = F.collect_list("true_range").over(rows(k))
-    start = F.aggregate(F.slice(a, 1, n), F.lit(0.0), lambda s, v: s + v) / n
-    later = F.slice(a, n + 1, F.greatest(F.size(a) - n, F.lit(0)))
-    df = df.withColumn("atr", F.when(smooth >= n, F.aggregate(later, start, lambda s, v: (s * (n - 1) + v) / n)))
+    df = wilder(df.withColumn("true_range", true_range()), {"atr": "true_range"}, n)
     df = df.withColumns({"atr_percent": ratio("atr", "close") * 100, "_m": roll(F.avg, "atr", 100)})
     return df.withColumns({"high_volatility": flag(col("atr") > 1.5 * col("_m")), "low_volatility": flag(col("atr") < 0.5 * col("_m"))}).drop("_m")
 
@@ -109,9 +101,9 @@ def adx(df: DataFrame, n: int = 14) -> DataFrame:
     df = df.withColumns({"_u": F.when(up.isNotNull(), F.greatest(up, zero)), "_d": F.when(down.isNotNull(), F.greatest(down, zero)), "_tr": true_range()})
     plus = F.when(col("_u") < col("_d"), zero).otherwise(col("_u"))
     df = df.withColumn("_p", plus).withColumn("_n", F.when(col("_d") < col("_p"), zero).otherwise(col("_d")))
-    df = df.withColumns({"_a": ewm("_tr", n), "_sp": ewm("_p", n), "_sn": ewm("_n", n)})
+    df = ewm(df, {"_a": ("_tr", n), "_sp": ("_p", n), "_sn": ("_n", n)})
     df = df.withColumns({"plus_di": 100 * ratio("_sp", "_a"), "minus_di": 100 * ratio("_sn", "_a")})
-    df = df.withColumn("_dx", 100 * F.abs(col("plus_di") - col("minus_di")) / (col("plus_di") + col("minus_di") + EPS)).withColumn("adx", ewm("_dx", n))
+    df = ewm(df.withColumn("_dx", 100 * F.abs(col("plus_di") - col("minus_di")) / (col("plus_di") + col("minus_di") + EPS)), {"adx": ("_dx", n)})
     return df.withColumns({
         "strong_trend": flag(col("adx") > 25), "weak_trend": flag(col("adx") < 20), "bullish_trend": flag((col("plus_di") > col("minus_di")) & (col("adx") > 25)),
         "bearish_trend": flag((col("minus_di") > col("plus_di")) & (col("adx") > 25)),
@@ -131,7 +123,7 @@ def ichimoku(df: DataFrame, p: str = "close") -> DataFrame:
 
 def channels(df: DataFrame, p: str = "close") -> DataFrame:
     """Keltner (needs atr) and Donchian channels."""
-    df = df.withColumn("keltner_middle", ewm(p, 20)).withColumns({"keltner_upper": col("keltner_middle") + 2 * col("atr"), "keltner_lower": col("keltner_middle") - 2 * col("atr")})
+    df = ewm(df, {"keltner_middle": (p, 20)}).withColumns({"keltner_upper": col("keltner_middle") + 2 * col("atr"), "keltner_lower": col("keltner_middle") - 2 * col("atr")})
     df = df.withColumn("keltner_position", (col(p) - col("keltner_lower")) / (col("keltner_upper") - col("keltner_lower") + EPS))
     for n in (20, 55):
         df = df.withColumns({f"donchian_upper_{n}": roll(F.max, p, n), f"donchian_lower_{n}": roll(F.min, p, n)})
@@ -141,7 +133,8 @@ def channels(df: DataFrame, p: str = "close") -> DataFrame:
 
 def momentum(df: DataFrame, p: str = "close") -> DataFrame:
     add = {f"roc_{n}": ratio(col(p) - shift(p, n), shift(p, n)) * 100 for n in (10, 20)} | {f"momentum_{n}": diff(p, n) for n in (10, 20)}
-    return df.withColumns(add | {"price_oscillator": ratio(ewm(p, 12) - ewm(p, 26), ewm(p, 26)) * 100})
+    df = ewm(df.withColumns(add), {"_fast": (p, 12), "_slow": (p, 26)})
+    return df.withColumn("price_oscillator", ratio(col("_fast") - col("_slow"), "_slow") * 100).drop("_fast", "_slow")
 
 
 def volume_indicators(df: DataFrame, p: str = "close", v: str = "volume") -> DataFrame:
@@ -177,7 +170,11 @@ def patterns(df: DataFrame, p: str = "close") -> DataFrame:
 
 
 def all_indicators(df: DataFrame) -> DataFrame:
-    """Every family in the order in which they build on each other."""
-    for step in (moving_averages, exponential_averages, weighted_averages, macd, adx, ichimoku, rsi, oscillators, momentum, bollinger, atr, channels, volume_indicators, pivots, patterns):
+    """Every family in the order in which they build on each other; sources without a range of their own get one first."""
+    if not {"high", "low"} <= set(df.columns):
+        df = synthetic_range(df)
+    if "volume" not in df.columns:
+        df = df.withColumn("volume", F.lit(None).cast("double"))
+    for step in (moving_averages, moving_average_cross, exponential_averages, weighted_averages, macd, adx, ichimoku, rsi, oscillators, momentum, bollinger, atr, channels, volume_indicators, pivots, patterns):
         df = df.transform(step)
     return df
