@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -114,16 +116,52 @@ def p_value(t: float, df: int) -> float:
 
 
 def drift(df: DataFrame, x: str, limit: float = 0.2) -> DataFrame:
-    """Change of the coefficient of variation between the halves of each series; 0 for under 20 rows or under 11 values a half."""
+    """Change of the coefficient of variation between the halves of each series; 0 for under 20 rows or under 11 values."""
     one = lambda k: F.struct(F.count(F.when(col("_half") == k, col(x))).alias("n"), F.try_divide(F.stddev_samp(F.when(col("_half") == k, col(x))), F.abs(F.avg(F.when(col("_half") == k, col(x))))).alias("cv"))
     s = _halves(df).groupBy("series_id").agg(F.count("*").alias("rows"), one(1).alias("a"), one(2).alias("b"))
-    enough = (col("rows") >= 20) & (col("a.n") > 10) & (col("b.n") > 10)
+    enough = (col("rows") >= 20) & (col("a.n") + col("b.n") > 10)
     score = F.when(enough, F.coalesce(F.abs(F.coalesce(col("b.cv"), F.lit(0.0)) - F.coalesce(col("a.cv"), F.lit(0.0))), F.lit(0.0))).otherwise(0.0)
     return s.select("series_id", score.alias("drift_score"), (score > limit).cast("int").alias("drifted"))
 
 
-def business_rules(df: DataFrame, never_negative: list[str], percent: list[str]) -> DataFrame:
-    return _measure(df, "business_rules", {f"negative_{x}": F.count_if(col(x) < 0) for x in never_negative} | {f"outside_{x}": F.count_if(~col(x).between(0, 100)) for x in percent})
+def business_rules(df: DataFrame, never_negative: list[str], percent: list[str], rates: list[str] = (), opposed: list[tuple[str, str]] = ()) -> DataFrame:
+    """Counts of values that cannot be: below 0, outside 0 to 100, rates outside -1 to 100; and correlations of pairs that should
+    not move together."""
+    m = {f"negative_{x}": F.count_if(col(x) < 0) for x in never_negative} | {f"outside_{x}": F.count_if(~col(x).between(0, 100)) for x in percent}
+    m |= {f"unreasonable_{x}": F.count_if(~col(x).between(-1, 100)) for x in rates} | {f"corr_{a}_{b}": scorr(a, b) for a, b in opposed}
+    return _measure(df, "business_rules", m)
+
+
+def correlations(df: DataFrame, xs: list[str], most: float = 0.95) -> DataFrame:
+    """Mean and largest absolute correlation of the pairs of columns, and how many pairs exceed `most`."""
+    size = F.abs("corr")
+    return as_rows(correlation_matrix(df, xs).agg(F.avg(size).alias("mean_abs_corr"), F.max(size).alias("max_abs_corr"), F.count_if(size > most).alias("redundant_pairs")), "correlations")
+
+
+def types(df: DataFrame, numeric: list[str]) -> DataFrame:
+    """How many of the columns that should be numeric are missing or are not."""
+    bad = len(wrong_types(df, numeric)) + sum(x not in df.columns for x in numeric)
+    return as_rows(df.limit(0).agg(F.count("*").alias("n")).select(F.lit(bad).alias("wrong_types")), "data_types")
+
+
+def drifted_series(df: DataFrame, xs: list[str], limit: float = 0.2) -> DataFrame:
+    """How many series drift, for each column."""
+    counts = [drift(df, x, limit).agg(F.sum("drifted").alias(f"drifted_{x}")) for x in xs]
+    return as_rows(reduce(lambda a, b: a.crossJoin(b), counts), "drift")
+
+
+def isolated(checks: dict) -> DataFrame:
+    """{name: () -> rows}: all rows together; a check that cannot be planned (columns that are not there, say) gives one row
+    with the metric `error` and leaves the others standing."""
+    done, spark = [], SparkSession.active()
+    for name, build in checks.items():
+        try:
+            rows = build()
+            rows.schema  # noqa: B018 (analyses the plan)
+        except (AnalysisException, KeyError, ValueError):
+            rows = spark.createDataFrame([(name, "error", 1.0)], "check string, metric string, value double")
+        done.append(rows)
+    return reduce(DataFrame.unionByName, done)
 
 
 def extreme_values(df: DataFrame, xs: list[str], k: float = 5.0) -> DataFrame:

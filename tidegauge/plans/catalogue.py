@@ -17,12 +17,26 @@ QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
-def shown(df: DataFrame, out: dict[str, int | None], keys=("series_id", "date")) -> DataFrame:
-    return df.select(*keys, *[F.col(c) if d is None else F.round(F.col(c), d).alias(c) for c, d in out.items()])
+def shown(df: DataFrame, out: dict[str, int | str | None], keys=("series_id", "date")) -> DataFrame:
+    """Columns with their decimals; "9" (text) stands for nine significant digits, for values of any size."""
 
+    def one(c: str, d):
+        if d is None:
+            return F.col(c)
+        if isinstance(d, int):
+            return F.round(F.col(c), d).alias(c)
+        return F.when(F.col(c).isNotNull(), F.format_string(f"%.{int(d) - 1}e", F.col(c))).cast("double").alias(c)
 
-def register(name: str, build, steps: list | None, out: dict[str, int | None], **how) -> None:
+    return df.select(*keys, *[one(c, d) for c, d in out.items()])
+
+
+#: The result columns of the queries over bars.
+OUTS: dict[str, dict] = {}
+
+
+def register(name: str, build, steps: list | None, out: dict[str, int | str | None], **how) -> None:
     """build(bars) -> frame; steps as in sql.chain (None: no SQL)."""
+    OUTS[name] = out
     QUERIES[name] = lambda spark, sf, b=build, o=out: shown(b(src.bars(spark, sf)), o)
     if steps is not None:
         ORACLES[name] = s.chain(steps, out, **how)
@@ -52,7 +66,7 @@ register("i06_macd", ind.macd, [
     s.numbered(), s.ewm("close", 12, "e12"), s.ewm("close", 26, "e26"), {"macd_line": "e12 - e26"}, s.ewm("macd_line", 9, "macd_signal"),
     {"macd_histogram": "macd_line - macd_signal", "macd_bullish_cross": f"CASE WHEN rn > 1 THEN {s.up('macd_line', 'macd_signal')} ELSE 0 END", "macd_bearish_cross": f"CASE WHEN rn > 1 THEN {s.down('macd_line', 'macd_signal')} ELSE 0 END",
      "macd_bearish_divergence": s.flag(f"close > {s.lag('close', 20)} AND macd_line < {s.lag('macd_line', 20)}"), "macd_bullish_divergence": s.flag(f"close < {s.lag('close', 20)} AND macd_line > {s.lag('macd_line', 20)}")}],
-    {"macd_line": 2, "macd_signal": 2, "macd_histogram": 2, "macd_bearish_divergence": None, "macd_bullish_divergence": None})
+    {"macd_line": 2, "macd_signal": 2, "macd_histogram": 2, "macd_bullish_cross": None, "macd_bearish_cross": None, "macd_bearish_divergence": None, "macd_bullish_divergence": None})
 register("i09_rsi", ind.rsi, [
     s.numbered() | {"gain": f"coalesce(greatest(close - {s.lag('close', 1)}, 0), 0)", "loss": f"coalesce(greatest({s.lag('close', 1)} - close, 0), 0)"}, s.wilder("gain", 14, "g"), s.wilder("loss", 14, "l"),
     {"rsi": f"100 - 100 / (1 + g / (l + {EPS}))"},
@@ -70,8 +84,8 @@ register("i18_oscillators", ind.oscillators, [
     {"hh": s.roll("max", "high", 14), "ll": s.roll("min", "low", 14), "tp": "(high + low + close) / 3"},
     {"stoch_k": f"100 * (close - ll) / (hh - ll + {EPS})", "williams_r": f"-100 * (hh - close) / (hh - ll + {EPS})", "tm": s.roll("avg", "tp", 20), "tps": f"list(tp) {s.over(20)}"},
     {"stoch_d": s.roll("avg", "stoch_k", 3), "cci": f"(tp - tm) / (0.015 * list_sum(list_transform(tps, lambda v: abs(v - tm))) / 20 + {EPS})"},
-    {"stoch_oversold": s.flag("stoch_k < 20"), "stoch_overbought": s.flag("stoch_k > 80"), "williams_oversold": s.flag("williams_r < -80"), "williams_overbought": s.flag("williams_r > -20"), "cci_oversold": s.flag("cci < -100"), "cci_overbought": s.flag("cci > 100")}],
-    {"stoch_k": 5, "stoch_d": 5, "williams_r": 5, "cci": 3, "stoch_oversold": None, "stoch_overbought": None, "williams_oversold": None, "williams_overbought": None, "cci_oversold": None, "cci_overbought": None})
+    {"stoch_oversold": s.flag("stoch_k < 20"), "stoch_overbought": s.flag("stoch_k > 80"), "stoch_bullish_cross": s.up("stoch_k", "stoch_d"), "stoch_bearish_cross": s.down("stoch_k", "stoch_d"), "williams_oversold": s.flag("williams_r < -80"), "williams_overbought": s.flag("williams_r > -20"), "cci_oversold": s.flag("cci < -100"), "cci_overbought": s.flag("cci > 100")}],
+    {"stoch_k": 5, "stoch_d": 5, "williams_r": 5, "cci": 3, "stoch_oversold": None, "stoch_overbought": None, "stoch_bullish_cross": None, "stoch_bearish_cross": None, "williams_oversold": None, "williams_overbought": None, "cci_oversold": None, "cci_overbought": None})
 register("i19_adx", ind.adx, [
     s.numbered() | {"u": f"CASE WHEN {s.lag('high', 1)} IS NOT NULL THEN greatest(high - {s.lag('high', 1)}, 0) END", "d": f"CASE WHEN {s.lag('low', 1)} IS NOT NULL THEN greatest({s.lag('low', 1)} - low, 0) END", "t": s.tr()},
     {"p": "CASE WHEN u < d THEN 0 ELSE u END"}, {"n": "CASE WHEN d < p THEN 0 ELSE d END"}, s.ewm("t", 14, "a"), s.ewm("p", 14, "sp", 2), s.ewm("n", 14, "sn", 2),
@@ -94,8 +108,8 @@ for _n in (20, 55):
     _donchian |= {f"donchian_upper_{_n}": s.roll("max", "close", _n), f"donchian_lower_{_n}": s.roll("min", "close", _n)}
 register("i24_channels", lambda b: ind.channels(ind.atr(b)), [
     s.numbered() | {"true_range": s.tr()}, s.wilder("true_range", 14, "atr"), s.ewm("close", 20, "keltner_middle"), {"keltner_upper": "keltner_middle + 2 * atr", "keltner_lower": "keltner_middle - 2 * atr"} | _donchian,
-    {"keltner_position": f"(close - keltner_lower) / (keltner_upper - keltner_lower + {EPS})", "donchian_middle_20": "(donchian_upper_20 + donchian_lower_20) / 2", "donchian_breakout_up_20": s.flag("close >= donchian_upper_20"), "donchian_breakout_down_55": s.flag("close <= donchian_lower_55")}],
-    {"keltner_middle": 2, "keltner_upper": 2, "keltner_lower": 2, "keltner_position": 4, "donchian_upper_20": 4, "donchian_lower_55": 4, "donchian_middle_20": 4, "donchian_breakout_up_20": None, "donchian_breakout_down_55": None})
+    {"keltner_position": f"(close - keltner_lower) / (keltner_upper - keltner_lower + {EPS})", **{f"donchian_middle_{n}": f"(donchian_upper_{n} + donchian_lower_{n}) / 2" for n in (20, 55)}, **{f"donchian_breakout_up_{n}": s.flag(f"close >= donchian_upper_{n}") for n in (20, 55)}, **{f"donchian_breakout_down_{n}": s.flag(f"close <= donchian_lower_{n}") for n in (20, 55)}}],
+    {"keltner_middle": 2, "keltner_upper": 2, "keltner_lower": 2, "keltner_position": 4} | {f"donchian_{k}_{n}": d for n in (20, 55) for k, d in (("upper", 4), ("lower", 4), ("middle", 4), ("breakout_up", None), ("breakout_down", None))})
 register("i26_momentum", ind.momentum, [
     s.numbered(), s.ewm("close", 12, "e12"), s.ewm("close", 26, "e26"),
     {f"roc_{n}": f"(close - {s.lag('close', n)}) / nullif({s.lag('close', n)}, 0) * 100" for n in (10, 20)} | {f"momentum_{n}": f"close - {s.lag('close', n)}" for n in (10, 20)} | {"price_oscillator": "(e12 - e26) / e26 * 100"}],
@@ -106,22 +120,16 @@ register("i27_volume", ind.volume_indicators, [
     {"obv": f"sum(coalesce(sign(d), 0) * volume) {_cum}", "vpt": f"CASE WHEN vp IS NOT NULL THEN sum(vp) {_cum} END", "volume_sma_20": "sv", "volume_ratio": "volume / sv", "i": "CASE WHEN d > 0 THEN close * volume ELSE 0 END", "o": "CASE WHEN d < 0 THEN close * volume ELSE 0 END"},
     {"obv_sma_20": s.roll("avg", "obv", 20), "mfi": f"100 - 100 / (1 + {s.roll('sum', 'i', 14)} / ({s.roll('sum', 'o', 14)} + {EPS}))"}],
     {"obv": 1, "obv_sma_20": 4, "volume_sma_20": 4, "volume_ratio": 5, "vpt": 3, "mfi": 4})
-def _pivots(b: DataFrame) -> DataFrame:
-    """Where highs equal lows the index divides by nearly nothing; such values are not shown."""
-    b = ind.pivots(b)
-    return b.withColumns({c: F.when(F.abs(c) < 1e6, F.col(c)) for c in ("rvi", "rvi_signal")})
-
-
-register("i31_pivots_strength", _pivots, [
+register("i31_pivots_strength", ind.pivots, [
     {"pivot_point": "(high + low + close) / 3", "span": "high - low", "pc": s.pct("close", 1), "dc": f"close - {s.lag('close', 1)}"},
     {"r1": "2 * pivot_point - low", "s1": "2 * pivot_point - high", "r2": "pivot_point + span", "s2": "pivot_point - span", "fib_r1": "pivot_point + 0.382 * span", "fib_s1": "pivot_point - 0.382 * span", "fib_r2": "pivot_point + 0.618 * span", "fib_s2": "pivot_point - 0.618 * span", "currency_strength": f"{s.roll('avg', 'pc', 14)} * 100", "rvi": f"{s.roll('avg', 'dc', 10)} / ({s.roll('avg', 'span', 10)} + {EPS})"},
-    {"rvi_signal": s.roll("avg", "rvi", 4)}, "SELECT * REPLACE (CASE WHEN abs(rvi) < 1e6 THEN rvi END AS rvi, CASE WHEN abs(rvi_signal) < 1e6 THEN rvi_signal END AS rvi_signal) FROM {prev}"],
-    {"pivot_point": 3, "r1": 3, "s1": 3, "r2": 3, "s2": 3, "fib_r1": 2, "fib_s1": 2, "fib_r2": 2, "fib_s2": 2, "currency_strength": 3, "rvi": 4, "rvi_signal": 4})
+    {"rvi_signal": s.roll("avg", "rvi", 4)}],
+    {"pivot_point": 3, "r1": 3, "s1": 3, "r2": 3, "s2": 3, "fib_r1": 2, "fib_s1": 2, "fib_r2": 2, "fib_s2": 2, "currency_strength": 3, "rvi": "9", "rvi_signal": "9"})
 _pat = ["higher_high", "higher_low", "lower_high", "lower_low", "uptrend", "downtrend", "consolidation", "breakout_up", "breakout_down", "gap_up", "gap_down"]
 register("i34_patterns", ind.patterns, [
     {"h5": s.roll("max", "close", 5), "l5": s.roll("min", "close", 5), "sd": s.roll("stddev_samp", "close", 20), "mx": s.roll("max", "close", 20), "mn": s.roll("min", "close", 20)},
     {"q": f"CASE WHEN count(sd) {s.over(100)} >= 100 THEN quantile_cont(sd, 0.25) {s.over(100)} END"},
-    {"higher_high": s.flag(f"h5 > {s.lag('h5', 5)}"), "higher_low": s.flag(f"l5 > {s.lag('l5', 5)}"), "lower_high": s.flag(f"h5 < {s.lag('h5', 5)}"), "lower_low": s.flag(f"l5 < {s.lag('l5', 5)}"), "consolidation": s.flag("sd < q - 1e-9"), "breakout_up": s.flag(f"close > {s.lag('mx', 1)}"), "breakout_down": s.flag(f"close < {s.lag('mn', 1)}"), "gap_up": s.flag(f"low > {s.lag('high', 1)}"), "gap_down": s.flag(f"high < {s.lag('low', 1)}")},
+    {"higher_high": s.flag(f"h5 > {s.lag('h5', 5)}"), "higher_low": s.flag(f"l5 > {s.lag('l5', 5)}"), "lower_high": s.flag(f"h5 < {s.lag('h5', 5)}"), "lower_low": s.flag(f"l5 < {s.lag('l5', 5)}"), "consolidation": s.flag("sd < q"), "breakout_up": s.flag(f"close > {s.lag('mx', 1)}"), "breakout_down": s.flag(f"close < {s.lag('mn', 1)}"), "gap_up": s.flag(f"low > {s.lag('high', 1)}"), "gap_down": s.flag(f"high < {s.lag('low', 1)}")},
     {"uptrend": "higher_high * higher_low", "downtrend": "lower_high * lower_low"}], dict.fromkeys(_pat))
 
 # --- features
@@ -164,17 +172,17 @@ for _k in (1, 2, 5, 10, 22, 44, 66):
     _lags |= {f"gappy_lag_{_k}": s.lag("gappy", _k), f"gappy_return_{_k}": s.pct("pd", _k), f"gappy_diff_{_k}": f"gappy - {s.lag('gappy', _k)}"}
 register("f18_lags", lambda b: ft.lag_features(gappy(b), ["gappy"]), [s.GAPPY, {"pd": s.pad("gappy")}, _lags], {c: None if "_lag_" in c else 3 if "_diff_" in c else 5 for c in _lags})
 _rolls, _ranks = {}, {}
-for _n in (5, 22, 66):
-    _rolls |= {f"close_mean_{_n}": s.roll("avg", "close", _n), f"sd{_n}": s.roll("stddev_samp", "close", _n), f"close_min_{_n}": s.roll("min", "close", _n), f"close_max_{_n}": s.roll("max", "close", _n), f"c{_n}": f"count(*) {s.over(_n)}", f"l{_n}": f"list(close) {s.over(_n)}"}
-    _ranks |= {f"close_zscore_{_n}": f"(close - close_mean_{_n}) / (sd{_n} + 1e-8)", f"close_rank_{_n}": f"CASE WHEN c{_n} >= {_n} THEN (len(list_filter(l{_n}, lambda v: v < close)) + len(list_filter(l{_n}, lambda v: v <= close)) + 1) * 50.0::DOUBLE / {_n} / 100 END"}
-register("f19_rolling_stats", lambda b: ft.rolling_features(b, ["close"], (5, 22, 66)), [_rolls, _ranks],
-         {f"close_{k}_{n}": d for n in (5, 22, 66) for k, d in (("mean", 4), ("min", None), ("max", None), ("zscore", 4), ("rank", 6))})
+for _n in ft.WINDOWS:
+    _rolls |= {f"close_mean_{_n}": s.roll("avg", "close", _n), f"close_std_{_n}": s.roll("stddev_samp", "close", _n), f"close_min_{_n}": s.roll("min", "close", _n), f"close_max_{_n}": s.roll("max", "close", _n), f"c{_n}": f"count(*) {s.over(_n)}", f"l{_n}": f"list(close) {s.over(_n)}"}
+    _ranks |= {f"close_zscore_{_n}": f"(close - close_mean_{_n}) / (close_std_{_n} + 1e-8)", f"close_rank_{_n}": f"CASE WHEN c{_n} >= {_n} THEN (len(list_filter(l{_n}, lambda v: v < close)) + len(list_filter(l{_n}, lambda v: v <= close)) + 1) * 50.0::DOUBLE / {_n} / 100 END"}
+register("f19_rolling_stats", lambda b: ft.rolling_features(b, ["close"]), [_rolls, _ranks],
+         {f"close_{k}_{n}": d for n in ft.WINDOWS for k, d in (("mean", 4), ("std", 3), ("min", None), ("max", None), ("zscore", 4), ("rank", 6))})
 _first = f"first_value(close) OVER ({s.W} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
 _lo, _hi = s.roll("min", "close", 252, 63), s.roll("max", "close", 252, 63)
 register("f10_index_risk", lambda b: ft.risk_score(ft.weighted_index(b, {"close": 0.6, "high": 0.4, "absent": 0.3}), {"close": 0.3, "low": 0.2}), [
     {"commodity_index": f"close / {_first} * 60 + high / {_first.replace('close', 'high')} * 40", "sc": f"(close - {_lo}) / nullif({_hi} - {_lo}, 0) * 100", "sl": f"(low - {_lo.replace('close', 'low')}) / nullif({_hi.replace('close', 'low')} - {_lo.replace('close', 'low')}, 0) * 100"},
-    {"commodity_index_momentum_5d": s.pct("commodity_index", 5), "risk_sentiment_score": "sc * 0.6 + sl * 0.4"}, {"risk_off": s.flag("risk_sentiment_score > 60"), "risk_on": s.flag("risk_sentiment_score < 40")}],
-    {"commodity_index": 3, "commodity_index_momentum_5d": 4, "risk_sentiment_score": 3, "risk_off": None, "risk_on": None})
+    {"commodity_index_momentum_5d": s.pct("commodity_index", 5), "commodity_index_momentum_22d": s.pct("commodity_index", 22), "risk_sentiment_score": "sc * 0.6 + sl * 0.4"}, {"risk_off": s.flag("risk_sentiment_score > 60"), "risk_on": s.flag("risk_sentiment_score < 40")}],
+    {"commodity_index": 3, "commodity_index_momentum_5d": 4, "commodity_index_momentum_22d": 4, "risk_sentiment_score": 3, "risk_off": None, "risk_on": None})
 
 
 def _rates(b: DataFrame) -> DataFrame:
@@ -186,10 +194,10 @@ def _rates(b: DataFrame) -> DataFrame:
 
 _R = "real_interest_differential"
 register("f01_rates_carry", _rates, [
-    {_R: "(close / 10000 - low / 20000) - (open / 30000 - high / 40000)", "yield_curve_slope": "close / 10000 - open / 30000", "lr": f"ln(close / {s.lag('close', 1)})", "policy_rate_x_inflation": "close / 10000 * (low / 20000)", "policy_rate_x_inflation_us": "close / 10000 / (high / 40000 + 1e-8)"},
-    {"yield_curve_inverted": s.flag("yield_curve_slope < 0"), "real_diff_ma_5": s.roll("avg", _R, 5), "real_diff_change_5d": f"{_R} - {s.lag(_R, 5)}", "v": f"{s.roll('stddev_samp', 'lr', 22)} * sqrt(252)"},
-    {"carry_attractiveness": f"{_R} / 100 / ({s.roll('avg', 'v', 22)} + 0.01)"}, {"carry_momentum": f"carry_attractiveness - {s.lag('carry_attractiveness', 22)}"}],
-    {_R: 8, "yield_curve_slope": 8, "yield_curve_inverted": None, "real_diff_ma_5": 8, "real_diff_change_5d": 8, "carry_attractiveness": 6, "carry_momentum": 6, "policy_rate_x_inflation": 5, "policy_rate_x_inflation_us": 5})
+    {"real_rate": "close / 10000 - low / 20000", "us_real_rate": "open / 30000 - high / 40000", _R: "(close / 10000 - low / 20000) - (open / 30000 - high / 40000)", "yield_curve_slope": "close / 10000 - open / 30000", "lr": f"ln(close / {s.lag('close', 1)})", "policy_rate_x_inflation": "close / 10000 * (low / 20000)", "policy_rate_x_inflation_us": "close / 10000 / (high / 40000 + 1e-8)"},
+    {"yield_curve_inverted": s.flag("yield_curve_slope < 0"), "carry_return": f"{_R} / 100", **{f"real_diff_ma_{n}": s.roll("avg", _R, n) for n in (5, 22, 66)}, **{f"real_diff_change_{n}d": f"{_R} - {s.lag(_R, n)}" for n in (5, 22)}, "v": f"{s.roll('stddev_samp', 'lr', 22)} * sqrt(252)"},
+    {"carry_attractiveness": f"{_R} / 100 / ({s.roll('avg', 'v', 22)} + 0.01)"}, {"carry_momentum": f"carry_attractiveness - {s.lag('carry_attractiveness', 22)}", "carry_above_ma": s.flag(f"carry_attractiveness > {s.roll('avg', 'carry_attractiveness', 66)}")}],
+    {"real_rate": 8, "us_real_rate": 8, _R: 8, "yield_curve_slope": 8, "yield_curve_inverted": None, **{f"real_diff_ma_{n}": 10 for n in (5, 22, 66)}, "real_diff_change_5d": 8, "real_diff_change_22d": 8, "carry_return": 11, "carry_attractiveness": 6, "carry_momentum": 6, "carry_above_ma": None, "policy_rate_x_inflation": 5, "policy_rate_x_inflation_us": 5})
 
 
 def _stress(b: DataFrame) -> DataFrame:
@@ -234,8 +242,9 @@ ORACLES["j04_align"] = f"""WITH {s.BARS}, m AS (SELECT o_orderpriority AS series
 # --- aggregates
 QUERIES["a01_daily_last"] = lambda spark, sf: src.daily_last(src.table(spark, sf, "events").withColumn("at", F.struct("ts", "event_id")), "at", "event_type", "value")
 ORACLES["a01_daily_last"] = "SELECT event_type, CAST(ts AS DATE) AS date, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY ALL"
-QUERIES["a02_pivot"] = lambda spark, sf: shown(src.wide(src.table(spark, sf, "events").select(F.to_date("ts").alias("date"), "event_type", "value"), "event_type", "value", ["click", "view", "purchase"]), {"click": 4, "view": 4, "purchase": 4}, ("date",))
-ORACLES["a02_pivot"] = "SELECT CAST(ts AS DATE) AS date, round(avg(value) FILTER (event_type = 'click'), 4) AS click, round(avg(value) FILTER (event_type = 'view'), 4) AS view, round(avg(value) FILTER (event_type = 'purchase'), 4) AS purchase FROM events GROUP BY ALL"
+_KINDS = ["click", "error", "purchase", "signup", "view"]
+QUERIES["a02_pivot"] = lambda spark, sf: shown(src.wide(src.table(spark, sf, "events").select(F.to_date("ts").alias("date"), "event_type", "value"), "event_type", "value", _KINDS), dict.fromkeys(_KINDS, 4), ("date",))
+ORACLES["a02_pivot"] = "SELECT CAST(ts AS DATE) AS date, " + ", ".join(f"round(avg(value) FILTER (event_type = '{k}'), 4) AS {k}" for k in _KINDS) + " FROM events GROUP BY ALL"
 _m = lambda df, d=3: df.select("check", "metric", F.round("value", d).alias("value"))
 
 
@@ -275,11 +284,11 @@ ORACLES["q09_business_rules"] = _metrics("business_rules", {"negative_change": "
 QUERIES["q10_cross_source"] = lambda spark, sf: _m(qu.cross_source(_assets(src.bars(spark, sf), spark, sf), "close", "asset"))
 ORACLES["q10_cross_source"] = _metrics("cross_source", {"mean_abs_pct_diff": "avg(abs((close - asset) / asset)) * 100"}, "bars LEFT JOIN asset USING (date)")
 QUERIES["q12_drift"] = lambda spark, sf: qu.drift(src.bars(spark, sf), "close").withColumn("drift_score", F.round("drift_score", 6))
-ORACLES["q12_drift"] = f"""WITH {s.BARS}, {_half}, g AS (SELECT series_id, stddev_samp(close) FILTER (k = 1) / abs(avg(close) FILTER (k = 1)) AS a, stddev_samp(close) FILTER (k = 2) / abs(avg(close) FILTER (k = 2)) AS b FROM h GROUP BY series_id)
-    SELECT series_id, round(abs(b - a), 6) AS drift_score, (abs(b - a) > 0.2)::INTEGER AS drifted FROM g"""
+ORACLES["q12_drift"] = f"""WITH {s.BARS}, {_half}, g AS (SELECT series_id, count(*) AS n, count(close) AS there, coalesce(stddev_samp(close) FILTER (k = 1) / nullif(abs(avg(close) FILTER (k = 1)), 0), 0) AS a, coalesce(stddev_samp(close) FILTER (k = 2) / nullif(abs(avg(close) FILTER (k = 2)), 0), 0) AS b FROM h GROUP BY series_id),
+    r AS (SELECT series_id, CASE WHEN n >= 20 AND there > 10 THEN abs(b - a) ELSE 0 END AS score FROM g) SELECT series_id, round(score, 6) AS drift_score, (score > 0.2)::INTEGER AS drifted FROM r"""
 QUERIES["q14_extreme_values"] = lambda spark, sf: _m(qu.extreme_values(src.bars(spark, sf), ["close", "volume"], 2.5))
 ORACLES["q14_extreme_values"] = _metrics("extreme_values", {f"extreme_{x}": f"count(*) FILTER (abs({x} - m_{x}) > 2.5 * s_{x})" for x in ("close", "volume")}, "(SELECT * FROM bars, (SELECT " + ", ".join(f"avg({x}) m_{x}, stddev_samp({x}) s_{x}" for x in ("close", "volume")) + " FROM bars))")
 QUERIES["c05_standardize"] = lambda spark, sf: cl.standardize(src.table(spark, sf, "events").withColumnRenamed("event_type", "series_id").withColumn("seq", F.struct("ts", "event_id")), "ts", "seq").select("series_id", "date", "event_id", "value")
 ORACLES["c05_standardize"] = "SELECT event_type AS series_id, CAST(ts AS DATE) AS date, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1"
-QUERIES["a05_gaps"] = lambda spark, sf: qu.gaps(src.bars(spark, sf)).where("gap_days > 2")
-ORACLES["a05_gaps"] = f"WITH {s.BARS}, g AS (SELECT series_id, {s.lag('date', 1)} AS start, date AS \"end\" FROM bars) SELECT series_id, start, \"end\", (\"end\" - start)::INTEGER AS gap_days FROM g WHERE \"end\" - start > 2"
+QUERIES["a05_gaps"] = lambda spark, sf: qu.gaps(src.bars(spark, sf))
+ORACLES["a05_gaps"] = f"WITH {s.BARS}, g AS (SELECT series_id, {s.lag('date', 1)} AS start, date AS \"end\" FROM bars) SELECT series_id, start, \"end\", (\"end\" - start)::INTEGER AS gap_days FROM g WHERE start IS NOT NULL"

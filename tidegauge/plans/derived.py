@@ -12,7 +12,7 @@ from tidegauge.operators import macro as ma
 from tidegauge.operators import quality as qu
 from tidegauge.plans import pipeline
 from tidegauge.plans import sql as s
-from tidegauge.plans.catalogue import ORACLES, QUERIES, gappy, register, shown
+from tidegauge.plans.catalogue import ORACLES, OUTS, QUERIES, gappy, register, shown
 from tidegauge.sources import tables as src
 from tidegauge.streaming.bars import windowed_bars
 
@@ -122,8 +122,8 @@ def _ewm_std_sql() -> str:
 
 
 register("f06_ewma_volatility", ft.returns_and_volatility, [s.numbered() | {"lr": f"ln(close / {s.lag('close', 1)})"}, _ewm_std_sql()], {"volatility_ewma": 4})
-_temporal = {f"close_lag_{k}": s.lag("close", k) for k in (1, 22)} | {"close_rolling_mean_22": s.roll("avg", "close", 22), "day_of_week": "(isodow(date) - 1)::INTEGER", "day_of_month": "day(date)::INTEGER", "quarter": "quarter(date)::INTEGER", "is_month_end": s.flag("last_day(date) = date"), "is_quarter_end": s.flag("last_day(date) = date AND month(date) % 3 = 0"), "day_of_week_cos": "cos(2 * pi() * (isodow(date) - 1) / 7)", "month_sin": "sin(2 * pi() * month(date) / 12)"}
-register("t04_temporal", lambda b: ma.temporal(b, ["close"], ["close"]), [_temporal], {c: 4 if "rolling" in c else 6 if c.endswith(("sin", "cos")) else None for c in _temporal})
+_temporal = {f"close_lag_{k}": s.lag("close", k) for k in (1, 2, 5, 10, 22)} | {f"close_rolling_{k}_{n}": s.roll(f, "close", n) for k, f in (("mean", "avg"), ("std", "stddev_samp")) for n in (5, 22, 66)} | {"day_of_week": "(isodow(date) - 1)::INTEGER", "day_of_month": "day(date)::INTEGER", "quarter": "quarter(date)::INTEGER", "is_month_end": s.flag("last_day(date) = date"), "is_quarter_end": s.flag("last_day(date) = date AND month(date) % 3 = 0"), "day_of_week_cos": "cos(2 * pi() * (isodow(date) - 1) / 7)", "month_sin": "sin(2 * pi() * month(date) / 12)"}
+register("t04_temporal", lambda b: ma.temporal(b, ["close"], ["close"]), [_temporal], {c: 3 if "rolling" in c else 6 if c.endswith(("sin", "cos")) else None for c in _temporal})
 
 # --- whole chains
 _low = "least(greatest({x}, q_{x}[1] - 1.5 * (q_{x}[2] - q_{x}[1])), q_{x}[2] + 1.5 * (q_{x}[2] - q_{x}[1])) AS {x}"
@@ -136,8 +136,46 @@ register("c00_clean", lambda b: cl.clean(gappy(b).select("series_id", "date", F.
 register("q16_repair", lambda b: cl.repair(gappy(b), ["missing values", "outliers"], ["gappy"])[0], [
     s.GAPPY, f"SELECT series_id, date, coalesce({s.pad('gappy')}, first_value(gappy IGNORE NULLS) OVER ({s.W} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS gappy FROM {{prev}}",
     f"SELECT series_id, date, {_low.format(x='gappy')} FROM {{prev}}, (SELECT quantile_cont(gappy, [0.25, 0.75]) AS q_gappy FROM {{prev}})"], {"gappy": 3})
-table_query("i39_all_indicators", lambda spark, sf: ind.all_indicators(src.bars(spark, sf)), None)
-table_query("f23_engineered", lambda spark, sf: pipeline.engineer(src.bars(spark, sf), pipeline.Settings()), None)
+_families = ["i01_sma", "i05_moving_average_cross", "i02_ema", "i03_wma_hma", "i06_macd", "i19_adx", "i22_ichimoku", "i09_rsi", "i18_oscillators", "i26_momentum", "i12_bollinger", "i15_atr", "i24_channels", "i27_volume", "i31_pivots_strength", "i34_patterns"]
+
+
+def _side_by_side(families: list[str]) -> tuple[dict, list[str], str]:
+    """Result columns of queries, each column once, and SQL that joins their oracles."""
+    out, picked = {}, []
+    for k, name in enumerate(families):
+        new = {c: d for c, d in OUTS[name].items() if c not in out}
+        out |= new
+        picked += [f"o{k}.{c}" for c in new]
+    return out, picked, s.joined([ORACLES[n] for n in families], picked)
+
+
+_all_out, _, _all_sql = _side_by_side(_families)
+table_query("i39_all_indicators", lambda spark, sf: shown(ind.all_indicators(src.bars(spark, sf)), _all_out), _all_sql)
+register("f04_close_volatility", lambda b: ft.parkinson(ft.returns_and_volatility(b)), [
+    {"log_returns": f"ln(close / {s.lag('close', 1)})", "returns": s.pct("close", 1), "hl": "power(ln(high / low), 2)"},
+    {"parkinson_vol": f"sqrt({s.roll('avg', 'hl', 22)} * 252 / (4 * ln(2)))"} | {f"volatility_{n}d": f"{s.roll('stddev_samp', 'log_returns', n)} * sqrt(252)" for n in ft.WINDOWS}],
+    {"returns": 5, "log_returns": 5, "parkinson_vol": 5} | {f"volatility_{n}d": 5 for n in ft.WINDOWS})
+_close_lags = {}
+for _k in ft.LAGS:
+    _close_lags |= {f"close_lag_{_k}": s.lag("close", _k), f"close_return_{_k}": s.pct("close", _k), f"close_diff_{_k}": f"close - {s.lag('close', _k)}"}
+register("f18_close_lags", lambda b: ft.lag_features(b, ["close"]), [_close_lags], {c: None if "_lag_" in c else 3 if "_diff_" in c else 5 for c in _close_lags})
+OUTS["f13_rolling_correlation"] = {"corr_asset_22d": 5, "corr_asset_66d": 5, "correlation_stability": 5}
+
+
+def _engineered(spark, sf) -> DataFrame:
+    """Every stage, with stand-ins for the columns that the test tables lack."""
+    b = src.bars(spark, sf).join(src.asset2(spark, sf), "date", "left")
+    b = b.withColumns({"policy_rate": F.col("close") / 10000, "inflation": F.col("low") / 20000, "policy_rate_us": F.col("open") / 30000, "inflation_us": F.col("high") / 40000})
+    settings = pipeline.Settings(curve=("policy_rate", "policy_rate_us"), index_weights={"close": 0.6, "high": 0.4}, risk_weights={"close": 0.3, "low": 0.2}, levels={"volume": ((5, 22), (1, 2))}, others=["asset"], rolled=["close"],
+                                 pairs=[("policy_rate", "inflation", "multiply"), ("policy_rate", "inflation_us", "divide")])
+    return pipeline.engineer(b, settings)
+
+
+_stages = ["f01_rates_carry", "f04_close_volatility", "f06_ewma_volatility", "f08_vol_regime", "f09_level_flags", "f10_index_risk", "f13_rolling_correlation", "f14_price_action", "f15_calendar", "f18_close_lags", "f19_rolling_stats"]
+_engineered_out, _, _engineered_sql = _side_by_side(_stages)
+_whole = {c for c, d in _engineered_out.items() if d is None and not ("_lag_" in c or c in ("resistance_1m", "support_1m") or c.startswith(("close_min_", "close_max_")))} | {c for c in _engineered_out if c.endswith(("_sin", "_cos"))}
+_filled = ", ".join(c if c in _whole else f"last_value({c} IGNORE NULLS) OVER ({s.W} ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS {c}" for c in _engineered_out)
+table_query("f23_engineered", lambda spark, sf: shown(_engineered(spark, sf), _engineered_out), f"SELECT series_id, date, {_filled} FROM ({_engineered_sql})")
 
 
 # --- checks
@@ -165,10 +203,32 @@ def _verdict(spark, sf):
 table_query("q11_recommendations", _verdict, f"WITH {s.BARS}, g AS ({s.GAPPY}) SELECT 'completeness' AS \"check\", 'fill missing values' AS advice FROM g HAVING avg((gappy IS NULL)::INT) > 0.05 UNION ALL SELECT 'completeness', 'look at it by hand' FROM g HAVING count(*) < 100 UNION ALL SELECT 'ranges', 'clip to the allowed range' FROM g HAVING count(*) FILTER (close < 1000 OR close > 400000) > 0")
 
 
+_limits = {"rows": (100, None), "longest_gap": (None, 30), "redundant_pairs": (None, 0), "duplicate_keys": (None, 0), "drifted_close": (None, 0)}
+
+
 def _combined(spark, sf):
     b = src.bars(spark, sf).withColumn("volume", F.col("volume").cast("double"))
-    out = pipeline.validate(b, pipeline.Settings(), {"rows": (100, None), "longest_gap": (None, 30)})
+    out = pipeline.validate(b, pipeline.Settings(numeric=["high", "close", "volume"]), _limits, 1)
     return out.select("check", F.col("passed").cast("int").alias("passed"), F.size("issues").alias("issues"), F.size("metrics").alias("metrics"))
 
 
-table_query("q15_combined_validation", _combined, None)
+_part = lambda n: ORACLES[n].rstrip()
+table_query("q15_combined_validation", _combined, f"""WITH {s.BARS}, g AS (SELECT date - {s.lag('date', 1)} AS d FROM bars), dr AS ({_part('q12_drift')}),
+    bad("check", issues, metrics) AS (
+        SELECT 'completeness', (count(*) < 100)::INT, 4 FROM bars UNION ALL SELECT 'data_types', 0, 1 UNION ALL SELECT 'ranges', 0, 12 UNION ALL SELECT 'outliers', 0, 6
+        UNION ALL SELECT 'duplicates', (count(*) > count(DISTINCT (series_id, date)))::INT, 2 FROM bars UNION ALL SELECT 'time_integrity', (max(d) > 30)::INT, 5 FROM g
+        UNION ALL SELECT 'correlations', (greatest(abs(corr(high, close)), abs(corr(high, volume)), abs(corr(close, volume))) > 0.95)::INT, 3 FROM bars
+        UNION ALL SELECT 'business_rules', 0, 3 UNION ALL SELECT 'extreme_values', 0, 3 UNION ALL SELECT 'drift', (sum(drifted) > 0)::INT, 3 FROM dr)
+    SELECT "check", (issues = 0)::INT AS passed, issues::INT AS issues, metrics::INT AS metrics FROM bad""")
+
+
+def _rules(spark, sf):
+    b = src.bars(spark, sf).withColumn("change", (F.col("close") - F.col("open")) / 1000)
+    return qu.business_rules(b, ["change"], [], ["change"], [("close", "volume")]).unionByName(qu.correlations(b, ["open", "high", "low", "close"], 0.6)).unionByName(qu.types(b, ["open", "series_id", "absent"])).withColumn("value", F.round("value", 6))
+
+
+_abs = [f"abs(corr({a}, {b}))" for i, a in enumerate(("open", "high", "low", "close")) for b in ("open", "high", "low", "close")[i + 1 :]]
+table_query("q09_rules_and_correlations", _rules, f"""WITH {s.BARS}, one AS (SELECT (count(*) FILTER (close < open))::DOUBLE AS negative_change, (count(*) FILTER ((close - open) / 1000 NOT BETWEEN -1 AND 100))::DOUBLE AS unreasonable_change, corr(close, volume) AS corr_close_volume FROM bars),
+    two AS (SELECT ({' + '.join(_abs)}) / 6 AS mean_abs_corr, greatest({', '.join(_abs)}) AS max_abs_corr, ({' + '.join(f'({x} > 0.6)::INT' for x in _abs)})::DOUBLE AS redundant_pairs FROM bars)
+    SELECT 'business_rules' AS "check", metric, round(value, 6) AS value FROM (UNPIVOT one ON COLUMNS(*) INTO NAME metric VALUE value)
+    UNION ALL SELECT 'correlations', metric, round(value, 6) FROM (UNPIVOT two ON COLUMNS(*) INTO NAME metric VALUE value) UNION ALL SELECT 'data_types', 'wrong_types', 2.0::DOUBLE""")

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidegauge.operators import cleaning, features, indicators, quality
 from tidegauge.plans import sinks
@@ -18,15 +19,44 @@ class Settings:
     numeric: list[str] = field(default_factory=lambda: ["open", "high", "low", "close"])
     ranges: dict[str, tuple[float, float]] = field(default_factory=dict)
     lags: tuple[int, ...] = (1, 2, 5, 10, 22, 44, 66)
+    #: Policy rate and inflation here and abroad; long and short yield.
+    rates: tuple[str, str, str, str] = ("policy_rate", "inflation", "policy_rate_us", "inflation_us")
+    curve: tuple[str, str] = ("yield_long", "yield_short")
+    index_weights: dict[str, float] = field(default_factory=dict)
+    risk_weights: dict[str, float] = field(default_factory=dict)
+    levels: dict[str, tuple[tuple[int, ...], tuple[float, ...]]] = field(default_factory=dict)
+    others: list[str] = field(default_factory=list)
+    rolled: list[str] = field(default_factory=list)
+    pairs: list[tuple[str, str, str]] = field(default_factory=list)
     #: Rows that the longest windows look back: 252 and 66 on top of each other, 479 for the slowest recursive mean.
     look_back: int = 800
 
 
 def engineer(df: DataFrame, s: Settings) -> DataFrame:
+    """All feature stages in order: rates and yield curve, volatility, index, levels, risk score, carry, correlations, price
+    action, calendar, lags, rolling statistics, interactions, cleaning. A stage whose columns are missing is left out."""
+    has = lambda *xs: set(xs) <= set(df.columns)
+    if has(*s.rates):
+        df = features.real_rates(df, *s.rates)
+    if has(*s.curve):
+        df = features.yield_curve(df, *s.curve)
     df = features.returns_and_volatility(df, s.price)
-    df = features.price_action(df, s.price)
-    df = indicators.moving_averages(df, s.price)
-    return features.calendar_features(features.lag_features(df, [s.price], s.lags))
+    if has("high", "low"):
+        df = features.parkinson(df)
+    if has(*s.index_weights) and s.index_weights:
+        df = features.weighted_index(df, s.index_weights)
+    for x, (means, above) in s.levels.items():
+        df = features.level_flags(df, x, means, above) if has(x) else df
+    if any(has(x) for x in s.risk_weights):
+        df = features.risk_score(df, s.risk_weights)
+    if has("real_interest_differential"):
+        df = features.carry(df)
+    if others := [x for x in s.others if has(x)]:
+        df = features.rolling_correlations(df, s.price, others)
+    df = features.calendar_features(features.price_action(df, s.price))
+    df = features.lag_features(df, [s.price], s.lags)
+    df = features.rolling_features(df, [x for x in s.rolled if has(x)])
+    return features.drop_sparse(features.interactions(df, s.pairs))
 
 
 def run(frames: list[DataFrame], s: Settings, out: str | None = None, kind: str = "parquet", dry_run: bool = False) -> tuple[DataFrame, dict | None]:
@@ -37,12 +67,21 @@ def run(frames: list[DataFrame], s: Settings, out: str | None = None, kind: str
 
 
 def incremental(history: DataFrame, s: Settings, since: date) -> DataFrame:
-    """Features of the dates from `since` on, from a history cut to what their windows can see."""
-    start = since - timedelta(days=2 * s.look_back)
-    return engineer(history.where(F.col("date") >= F.lit(start)), s).where(F.col("date") >= F.lit(since))
+    """Features of the dates from `since` on, from a history cut to what their windows can see: of each series the last
+    `look_back` rows before `since`, whatever its frequency. Cleaning is that of run()."""
+    place = F.row_number().over(Window.partitionBy("series_id").orderBy(F.desc("date")))
+    old = history.where(F.col("date") < F.lit(since)).withColumn("_place", place).where(F.col("_place") <= s.look_back).drop("_place")
+    df = old.unionByName(history.where(F.col("date") >= F.lit(since)))
+    return engineer(cleaning.clip_ranges(cleaning.fill(df, s.numeric), s.ranges), s).where(F.col("date") >= F.lit(since))
 
 
-def validate(df: DataFrame, s: Settings, limits: dict[str, tuple[float | None, float | None]]) -> DataFrame:
-    """One row for each check: passed, issues, metrics."""
-    rows = quality.completeness(df, s.numeric).unionByName(quality.time_integrity(df)).unionByName(quality.extreme_values(df, s.numeric))
-    return quality.verdicts(rows, limits)
+def validate(df: DataFrame, s: Settings, limits: dict[str, tuple[float | None, float | None]], extra: int = 5) -> DataFrame:
+    """One row for each check: passed, issues, metrics. A check that cannot run fails and leaves the others standing."""
+    xs = s.numeric
+    rows = quality.isolated({
+        "completeness": lambda: quality.completeness(df, xs), "data_types": lambda: quality.types(df, xs), "ranges": lambda: quality.ranges(df, s.ranges or dict.fromkeys(xs, (float("-inf"), float("inf")))),
+        "outliers": lambda: quality.outliers(df, xs), "duplicates": lambda: quality.duplicates(df, ["series_id", "date"], xs), "time_integrity": lambda: quality.time_integrity(df, extra),
+        "correlations": lambda: quality.correlations(df, xs), "business_rules": lambda: quality.business_rules(df, xs, [x for x in ("risk_sentiment_score",) if x in df.columns]),
+        "extreme_values": lambda: quality.extreme_values(df, xs), "drift": lambda: quality.drifted_series(df, xs),
+    })
+    return quality.verdicts(rows, {"error": (None, 0), "wrong_types": (None, 0), **limits})

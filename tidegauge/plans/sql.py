@@ -47,6 +47,19 @@ def tr() -> str:
     return f"greatest(high - low, abs(high - {lag('close', 1)}), abs(low - {lag('close', 1)}))"
 
 
+def shown(c: str, d) -> str:
+    """A column as it is (None), rounded (a number), or with so many significant digits (text)."""
+    if d is None:
+        return c
+    return f"round({c}, {d}) AS {c}" if isinstance(d, int) else f"CASE WHEN {c} IS NOT NULL THEN CAST(printf('%.{int(d) - 1}e', {c}) AS DOUBLE) END AS {c}"
+
+
+def joined(oracles: list[str], columns: list[str], keys: str = "series_id, date") -> str:
+    """Queries of the same keys side by side."""
+    parts = [f"o{k} AS MATERIALIZED ({sql})" for k, sql in enumerate(oracles)]
+    return f"WITH {', '.join(parts)} SELECT {keys}, {', '.join(columns)} FROM o0 " + " ".join(f"JOIN o{k} USING ({keys})" for k in range(1, len(oracles)))
+
+
 def chain(steps: list, out: dict[str, int | None], keys: str = "series_id, date", ctes: tuple[str, ...] = (BARS,), base: str = "bars", tail: str = "") -> str:
     """steps: dicts of new columns, each seeing the ones before, or SQL with {prev}. out: decimals by column (None: as it is)."""
     parts, prev = list(ctes), base
@@ -54,7 +67,7 @@ def chain(steps: list, out: dict[str, int | None], keys: str = "series_id, date"
         body = s.format(prev=prev) if isinstance(s, str) else f"SELECT *, {', '.join(f'{e} AS {c}' for c, e in s.items())} FROM {prev}"
         parts.append(f"t{k} AS MATERIALIZED ({body})")
         prev = f"t{k}"
-    cols = ", ".join(f"{c}" if d is None else f"round({c}, {d}) AS {c}" for c, d in out.items())
+    cols = ", ".join(shown(c, d) for c, d in out.items())
     return f"WITH {', '.join(parts)} SELECT {keys}{', ' if keys else ''}{cols} FROM {prev} {tail}"
 
 
