@@ -13,7 +13,9 @@ What is wanted are groups, not pairs, so a group of many near copies is not comp
 set is compared with the smallest key that it meets at each of its hashes, and with those that SimHash links; the links found
 make first groups. In a second
 round only sets of different groups that meet are compared; a hash at which a single group meets has nothing left to
-compare. Every link between two groups is found this way, and every pair within a group is linked already.
+compare. Every link between two groups is found this way, and every pair within a group is linked already. Pairs that
+cannot be near enough are left out of the join by a parity sketch of each set: as many bits as two sketches
+differ in, as many hashes at least stand in one of the two sets only.
 
 Cases: null or empty text has an empty set, linked to its like only; a text of fewer than `width` words is one shingle;
 an empty table gives an empty result.
@@ -60,6 +62,16 @@ def shingles(text: str | None, words: Hashes, width: int = WIDTH) -> np.ndarray:
     return np.unique(out)
 
 
+#: Sketches have 64 bits in each of these columns.
+SKETCH = ("b0", "b1", "b2", "b3")
+
+
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """For each of 256 buckets whether it holds an odd number of the hashes, as four longs."""
+    odd = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % 256, minlength=256) % 2
+    return np.packbits(odd.astype(bool), bitorder="little").view("<i8")
+
+
 def _key(hashes: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(hashes.tobytes()) - (1 << 63)
 
@@ -90,7 +102,7 @@ def sketched(own: DataFrame, bits: int = BITS) -> DataFrame:
 def links(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY, bits: int = BITS) -> DataFrame:
     """Pairs (u, v) of set keys of at least the wanted similarity that connect whatever has it; own (doc_id, fp, print)."""
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    own = stored(own.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.min("print").alias("print")), "sets-once")
+    own = stored(own.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.min("print").alias("print"), *[F.min(c).alias(c) for c in SKETCH]), "sets-once")
 
     def count(stream):
         words, seen = Hashes(), np.zeros(BUCKETS, np.int64)
@@ -181,20 +193,22 @@ def links(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: float
         both = few.join(held.select(F.col("key").alias("u"), F.col("hashes").alias("x")), "u").join(held.select(F.col("key").alias("v"), F.col("hashes").alias("y")), "v")
         return stored(both.select("u", "v", "x", "y").mapInArrow(compare, "u long, v long"), f"{label}-links")
 
-    sides = [F.col("key").alias("v"), F.col("at").alias("va"), F.col("n").alias("vn")]
+    side = lambda key, at, n: [F.col("key").alias(key), F.col("at").alias(at), F.col("n").alias(n)]
     least = shared.groupBy("token").agg(F.min_by(F.struct("key", "at", "n"), "key").alias("least"))
-    stars = shared.join(least, "token").select(F.col("least.key").alias("u"), F.col("least.at").alias("ua"), F.col("least.n").alias("un"), *sides)
+    stars = shared.join(least, "token").select(F.col("least.key").alias("u"), F.col("least.at").alias("ua"), F.col("least.n").alias("un"), *side("v", "va", "vn"))
     close = stars.where("u <> v").where(fits).select("u", "v").union(sketched(own, bits))
     first_links = linked(close, "star")
     roots = components(first_links)
     named = shared.join(roots, shared.key == roots.node, "left").select("token", "key", "at", "n", F.coalesce("root", "key").alias("root"))
     several = named.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
-    open_rows = stored(named.join(several, "token", "left_semi"), "several-groups")
-    groups = open_rows.select("token", "root").distinct()
-    across = groups.select("token", F.col("root").alias("ru")).join(groups.select("token", F.col("root").alias("rv")), "token").where("ru < rv")
-    u = open_rows.select("token", F.col("root").alias("ru"), F.col("key").alias("u"), F.col("at").alias("ua"), F.col("n").alias("un"))
-    v = open_rows.select("token", F.col("root").alias("rv"), *sides)
-    return first_links.union(linked(across.join(u, ["token", "ru"]).join(v, ["token", "rv"]).where(fits).select("u", "v"), "cross"))
+    open_rows = named.join(several, "token", "left_semi").join(own.select(F.col("fp").alias("key"), *SKETCH), "key")
+    open_rows = stored(open_rows, "several-groups")
+    u = open_rows.select("token", F.col("root").alias("ru"), *side("u", "ua", "un"), *[F.col(c).alias(f"u_{c}") for c in SKETCH])
+    v = open_rows.select("token", F.col("root").alias("rv"), *side("v", "va", "vn"), *[F.col(c).alias(f"v_{c}") for c in SKETCH])
+    apart = sum((F.bit_count(F.col(f"u_{c}").bitwiseXOR(F.col(f"v_{c}"))) for c in SKETCH[1:]), F.bit_count(F.col("u_b0").bitwiseXOR(F.col("v_b0"))))
+    like = apart <= (F.col("un") + F.col("vn")) * ((1 - similarity) / (1 + similarity)) + 1e-6
+    across = u.join(v, "token").where((F.col("u") < F.col("v")) & (F.col("ru") != F.col("rv")) & fits & like)
+    return first_links.union(linked(across.select("u", "v"), "cross"))
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
@@ -209,8 +223,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: float = SIM
                 some = b.slice(part, 256)
                 found = [shingles(t, words, width) for t in some.column(1).to_pylist()]
                 prints = np.fromiter(map(simhash.majority, found), np.uint64, len(found)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([some.column(0), some.column(2), pa.array([_key(f) for f in found], pa.int64()), pa.array(prints)], ["doc_id", "same", "fp", "print"])
+                sketches = np.array([sketch(f) for f in found], np.int64).reshape(-1, 4)
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(2), pa.array([_key(f) for f in found], pa.int64()), pa.array(prints), *map(pa.array, sketches.T.copy())], ["doc_id", "same", "fp", "print", *SKETCH])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("same"))
-    own = stored(rows.mapInArrow(keys, "doc_id long, same long, fp long, print long"), "set-keys")
+    own = stored(rows.mapInArrow(keys, "doc_id long, same long, fp long, print long, b0 long, b1 long, b2 long, b3 long"), "set-keys")
     return grouped(own, lambda _: links(docs, own, width, similarity))
