@@ -9,11 +9,11 @@ sets of at least the wanted similarity share a hash within the first n - ceil(si
 these are shuffled, and sets that meet at one of them and fit by size and position are compared whole. Texts with
 equal sets are collapsed first. The order comes from counts in BUCKETS hash buckets; it decides the work, not the result.
 
-What is wanted are groups, not pairs, so a group of many near copies is not compared pair by pair. In a first round each
-set is compared with the smallest key that it meets at each of its hashes, and with those that SimHash links; the links found
-make first groups. In a second
-round only sets of different groups that meet are compared; a hash at which a single group meets has nothing left to
-compare. Every link between two groups is found this way, and every pair within a group is linked already. Pairs that
+What is wanted are groups, not pairs, so a group of many near copies is not compared pair by pair. In the first rounds
+each set is compared with a few pivots at each of its hashes (the smallest keys there; PIVOTS says how many in which round),
+and with those that SimHash links; the links found make groups. In the last round all sets of different groups that meet
+are compared; a hash at which a single group meets has nothing left to compare. Pivots decide the work, not the result: every
+link between two groups is found in the last round, and every pair within a group is linked already. Pairs that
 cannot be near enough are left out of the join by a parity sketch of each set: as many bits as two sketches
 differ in, as many hashes at least stand in one of the two sets only.
 
@@ -23,18 +23,22 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from tidegauge.llm import simhash
 from tidegauge.llm.common import rows_of, space_words, stored
 from tidegauge.llm.graph import components
 from tidegauge.llm.simhash import BITS, grouped
 
-WIDTH, SIMILARITY = 5, 0.8
+WIDTH, SIMILARITY, PIVOTS = 5, 0.8, (8, 24)
 BUCKETS = 1 << 18
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -185,30 +189,41 @@ def links(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: float
                 keep = np.array(near, bool)
                 yield _columns(["u", "v"], np.array(u, np.int64)[keep], np.array(v, np.int64)[keep])
 
-    fits = F.least(F.col("un") - F.col("ua"), F.col("vn") - F.col("va")) >= (F.col("un") + F.col("vn")) * (similarity / (1 + similarity)) - 1e-6
-
     def linked(pairs: DataFrame, label: str) -> DataFrame:
         """Of pairs (u, v) those that are near enough."""
         few = stored(pairs.distinct(), f"{label}-pairs")
         both = few.join(held.select(F.col("key").alias("u"), F.col("hashes").alias("x")), "u").join(held.select(F.col("key").alias("v"), F.col("hashes").alias("y")), "v")
         return stored(both.select("u", "v", "x", "y").mapInArrow(compare, "u long, v long"), f"{label}-links")
 
-    side = lambda key, at, n: [F.col("key").alias(key), F.col("at").alias(at), F.col("n").alias(n)]
-    least = shared.groupBy("token").agg(F.min_by(F.struct("key", "at", "n"), "key").alias("least"))
-    stars = shared.join(least, "token").select(F.col("least.key").alias("u"), F.col("least.at").alias("ua"), F.col("least.n").alias("un"), *side("v", "va", "vn"))
-    close = stars.where("u <> v").where(fits).select("u", "v").union(sketched(own, bits))
-    first_links = linked(close, "star")
-    roots = components(first_links)
-    named = shared.join(roots, shared.key == roots.node, "left").select("token", "key", "at", "n", F.coalesce("root", "key").alias("root"))
-    several = named.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
-    open_rows = named.join(several, "token", "left_semi").join(own.select(F.col("fp").alias("key"), *SKETCH), "key")
-    open_rows = stored(open_rows, "several-groups")
-    u = open_rows.select("token", F.col("root").alias("ru"), *side("u", "ua", "un"), *[F.col(c).alias(f"u_{c}") for c in SKETCH])
-    v = open_rows.select("token", F.col("root").alias("rv"), *side("v", "va", "vn"), *[F.col(c).alias(f"v_{c}") for c in SKETCH])
-    apart = sum((F.bit_count(F.col(f"u_{c}").bitwiseXOR(F.col(f"v_{c}"))) for c in SKETCH[1:]), F.bit_count(F.col("u_b0").bitwiseXOR(F.col("v_b0"))))
-    like = apart <= (F.col("un") + F.col("vn")) * ((1 - similarity) / (1 + similarity)) + 1e-6
-    across = u.join(v, "token").where((F.col("u") < F.col("v")) & (F.col("ru") != F.col("rv")) & fits & like)
-    return first_links.union(linked(across.select("u", "v"), "cross"))
+    told = stored(shared.join(own.select(F.col("fp").alias("key"), *SKETCH), "key"), "sketched-prefixes")
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select("token", *[F.col(c).alias(f"{name}{c}") for c in ("key", "at", "n", "root", *SKETCH)])
+
+    together = F.col("un") + F.col("vn")
+    fits = F.least(F.col("un") - F.col("uat"), F.col("vn") - F.col("vat")) >= together * (similarity / (1 + similarity)) - 1e-6
+    apart = reduce(add, [F.bit_count(F.col(f"u{c}").bitwiseXOR(F.col(f"v{c}"))) for c in SKETCH])
+    like = apart <= together * ((1 - similarity) / (1 + similarity)) + 1e-6
+
+    def meeting(some: DataFrame, rows: DataFrame) -> DataFrame:
+        """Pairs of different groups that meet at a token and may be near enough."""
+        once = F.col("uroot") < F.col("vroot") if some is rows else F.col("uroot") != F.col("vroot")
+        pairs = side(some, "u").join(side(rows, "v"), "token").where(once & fits & like)
+        return pairs.select(F.least("ukey", "vkey").alias("u"), F.greatest("ukey", "vkey").alias("v"))
+
+    found = linked(sketched(own, bits), "simhash")
+    for most in (*PIVOTS, None):
+        roots = components(found)
+        named = told.join(roots, told.key == roots.node, "left").select(*told.columns, F.coalesce("root", "key").alias("root"))
+        several = named.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
+        rows = stored(named.join(several, "token", "left_semi"), "several-groups")
+        if most:
+            place = F.row_number().over(W.partitionBy("token").orderBy("key"))
+            pairs = meeting(rows.withColumn("place", place).where(F.col("place") <= most).drop("place"), rows)
+        else:
+            pairs = meeting(rows, rows)
+        found = stored(found.union(linked(pairs, "met")), "links")
+    return found
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
