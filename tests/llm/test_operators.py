@@ -142,6 +142,32 @@ def test_no_link_is_lost(spark, bits, limit):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, got.values()))
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_components_grow(spark, seed):
+    """Stars, chains, hubs, loops and repeats; later edges are added to the components of the earlier ones."""
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    ends = lambda low, high, n: [tuple(map(int, e)) for e in rng.integers(low, high, (n, 2))]
+    first = ends(0, 60, 25) + [(k, k + 1) for k in range(100, 120)] + [(200, k) for k in range(201, 230)] + [(7, 7), (None, 3), (3, None)]
+    second = ends(0, 130, 6) + [(120, 215), (228, 300), (9, 9)]
+    frame = lambda e: spark.createDataFrame(e, "u long, v long").repartition(3)
+
+    def plain(edges):
+        root = {n: n for e in edges for n in e if n is not None}
+        for _ in root:
+            for u, v in edges:
+                if u is not None and v is not None:
+                    root[u] = root[v] = min(root[u], root[v])
+        return {n: r for n, r in root.items() if n != r}
+
+    roots = components(frame(first))
+    assert {r.node: r.root for r in roots.collect()} == plain(first)
+    more = components(frame(second), roots)
+    assert {r.node: r.root for r in more.collect()} == plain(first + second) and more.count() == len(plain(first + second))
+    assert components(frame([]), roots).count() == roots.count() and components(frame([]), components(frame([]))).count() == 0
+
+
 def test_last_cell_of_a_batch_is_bounded():
     """A run over the limit is passed on wherever it stands in its batch, in pieces or whole."""
     import pyarrow as pa

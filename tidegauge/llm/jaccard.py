@@ -103,8 +103,9 @@ def sketched(own: DataFrame, bits: int = BITS) -> DataFrame:
     return equal.union(near.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")))
 
 
-def links(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY, bits: int = BITS) -> DataFrame:
-    """Pairs (u, v) of set keys of at least the wanted similarity that connect whatever has it; own (doc_id, fp, print)."""
+def groups(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY, bits: int = BITS) -> DataFrame:
+    """(node, root) of set keys that links of at least the wanted similarity connect, as graph.components has it; own
+    (doc_id, fp, print, sketch)."""
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     own = stored(own.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.min("print").alias("print"), *[F.min(c).alias(c) for c in SKETCH]), "sets-once")
 
@@ -211,9 +212,8 @@ def links(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: float
         pairs = side(some, "u").join(side(rows, "v"), "token").where(once & fits & like)
         return pairs.select(F.least("ukey", "vkey").alias("u"), F.greatest("ukey", "vkey").alias("v"))
 
-    found = linked(sketched(own, bits), "simhash")
+    roots = components(linked(sketched(own, bits), "simhash"))
     for most in (*PIVOTS, None):
-        roots = components(found)
         named = told.join(roots, told.key == roots.node, "left").select(*told.columns, F.coalesce("root", "key").alias("root"))
         several = named.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
         rows = stored(named.join(several, "token", "left_semi"), "several-groups")
@@ -222,8 +222,8 @@ def links(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: float
             pairs = meeting(rows.withColumn("place", place).where(F.col("place") <= most).drop("place"), rows)
         else:
             pairs = meeting(rows, rows)
-        found = stored(found.union(linked(pairs, "met")), "links")
-    return found
+        roots = components(linked(pairs, "met"), roots)
+    return roots
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
@@ -243,4 +243,4 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: float = SIM
 
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("same"))
     own = stored(rows.mapInArrow(keys, "doc_id long, same long, fp long, print long, b0 long, b1 long, b2 long, b3 long"), "set-keys")
-    return grouped(own, lambda _: links(docs, own, width, similarity))
+    return grouped(own, lambda _: groups(docs, own, width, similarity))

@@ -204,11 +204,11 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE, seed: int = SEED) -> Dat
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
-def grouped(own: DataFrame, edges) -> DataFrame:
-    """own (doc_id, fp, ...) and edges, which makes links (u, v) of a table of all fp: adds component_id and root, the
+def grouped(own: DataFrame, roots_of) -> DataFrame:
+    """own (doc_id, fp, ...) and roots_of, which makes (node, root) of a table of all fp: adds component_id and root, the
     component's own name (two components may have documents of one doc_id)."""
     firsts = stored(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "prints")
-    roots = components(edges(firsts))
+    roots = roots_of(firsts)
     rooted = firsts.join(roots, firsts.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     rooted = stored(rooted, "rooted")
     smallest = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
@@ -221,7 +221,7 @@ def grouped(own: DataFrame, edges) -> DataFrame:
 def near_duplicates(docs: DataFrame, bits: int = BITS, width: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """One row for each row of docs: doc_id, fp (long), component_id (the smallest doc_id reachable)."""
     own = stored(fingerprints(docs, width, seed), "fingerprints")
-    return grouped(own, lambda firsts: links(firsts, bits))
+    return grouped(own, lambda firsts: components(links(firsts, bits)))
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:
