@@ -73,12 +73,14 @@ class Forest:
         """(tree, leaf) in order of the shared queue until share of the sampled vectors a tree is opened, and in one
         tree leaves that hold `least` vectors by the counts `held`.
 
-        A node's bound is the sum of the squared distances to the planes crossed to get there.
+        A node's bound is the sum of the squared distances to the planes crossed to get there. A query that lies on a plane, up
+        to rounding, stands on both of its sides: neither is left out, however much is opened already.
         """
+        on = 1e-12 * float(query @ query)
         margin = self.normal @ query - self.offset
         inner, queue, found, opened = 2**self.depth - 1, [(0.0, t, 0) for t in range(self.trees)], [], 0.0
         there = [0] * self.trees
-        while queue and (opened < share * self.trees or max(there) < least):
+        while queue and (opened < share * self.trees or max(there) < least or queue[0][0] <= on):
             bound, t, node = heapq.heappop(queue)
             while node < inner:
                 m = float(margin[t, node])
