@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tidegauge.functions import windows as w
+from tidegauge.functions.quantiles import quantiles
 from tidegauge.operators import cleaning, features, indicators, quality
 from tidegauge.plans import catalogue, pipeline, sinks
-from tidegauge.sources import tables
+from tidegauge.sources import panels, tables
 from tidegauge.streaming.bars import windowed_bars
 
 SMALL = "/root/testdata/sf0.001"
@@ -139,6 +140,39 @@ def test_pipeline_modes(spark):
     assert broken["outliers"] == (False, ["error = 1.0"]) and broken["data_types"][0] is False and broken["time_integrity"][0] and broken["duplicates"][0] is False
 
 
+@pytest.mark.parametrize("n,spread", [(1, 3), (2, 9), (37, 5), (4000, 1 << 40), (4000, 7)])
+def test_quantiles_are_exact(spark, n, spread):
+    """Small and large columns, many ties, NULLs, a constant column and one without values, coarse sketches."""
+    rng = np.random.default_rng(n + spread % 1000)
+    rows = [(float(v) if k % 5 else None, 3.0, None) for k, v in enumerate(rng.integers(-spread, spread, n + 1))]
+    df = spark.createDataFrame(rows, "a double, `b.c` double, d double").withColumnRenamed("b.c", "b")
+    qs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    got = quantiles(df, ["a", "b", "d"], qs, accuracy=50).first()
+    there = [r[0] for r in rows if r[0] is not None]
+    assert np.allclose(got["_q_a"], np.quantile(there, qs), rtol=1e-12) and got["_q_b"] == [3.0] * 6 and got["_q_d"] is None
+    assert quantiles(df.limit(0), ["a"], qs).first()["_q_a"] is None
+
+
+def test_panels(spark, tmp_path):
+    one = lambda rows: spark.createDataFrame(rows, "series_id string, date date, value double")
+    rows = [("a", DAY + timedelta(days=k), float(k)) for k in range(2)]
+    later = one([("a", DAY + timedelta(days=k), -1.0) for k in range(10)])
+    sources = {"x.y": lambda: one(rows + rows[:1]), "z": lambda: later, "gone": lambda: spark.read.parquet(str(tmp_path / "none")), "other": lambda: one(rows).drop("value"), "text": lambda: later.withColumn("value", F.lit("1.5"))}
+    long, failed = panels.scan(sources)
+    assert sorted(failed) == ["gone", "other"] and panels.scan({})[0] is None
+    out = {r.date: (r["x.y"], r.z, r.text) for r in panels.panel(long, ["x.y", "z", "text"], 5).collect()}
+    assert [out[DAY + timedelta(days=k)] for k in (0, 1, 6, 7)] == [(0.0, -1.0, 1.5), (1.0, -1.0, 1.5), (1.0, -1.0, 1.5), (None, -1.0, 1.5)]
+    twice = panels.concat([one(rows), one(rows[:1]), one([])], ["series_id", "date"])
+    assert twice.columns == ["series_id", "date", "value", "value_2", "value_3"] and {r.value_2 for r in twice.collect()} == {0.0, None}
+    assert panels.missing_columns(twice, ["date", "close"]) == ["close"]
+
+
+def test_narrow_text(spark):
+    df = spark.createDataFrame([("0", "0", "0"), ("1", None, "2")], "a string, b string, c string")
+    out = sinks.narrow_types(df)
+    assert [t for _, t in out.dtypes] == ["boolean", "string", "string"] and [r.a for r in out.collect()] == [False, True]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     events = tables.table(spark, SMALL, "events")
     events.write.parquet(str(tmp_path / "in"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidegauge.functions.quantiles import quantiles
 from tidegauge.functions.windows import by_date, bfill, col, ffill, pad
 
 
@@ -18,8 +19,7 @@ def fill(df: DataFrame, xs: list[str]) -> DataFrame:
 
 def winsorize(df: DataFrame, xs: list[str], k: float = 1.5) -> DataFrame:
     """Clip to the quartiles of the whole column widened by k interquartile ranges; one row of bounds is broadcast."""
-    bounds = df.agg(*[F.percentile(x, F.array(F.lit(0.25), F.lit(0.75))).alias(f"_q_{x}") for x in xs])
-    df = df.crossJoin(F.broadcast(bounds))
+    df = df.crossJoin(F.broadcast(quantiles(df, xs, [0.25, 0.75])))
     clip = {}
     for x in xs:
         q1, q3 = col(f"_q_{x}")[0], col(f"_q_{x}")[1]

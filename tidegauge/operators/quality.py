@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidegauge.functions.quantiles import quantiles
 from tidegauge.functions.windows import by_date, col, scorr, shift
 
 
@@ -36,11 +37,11 @@ def ranges(df: DataFrame, limits: dict[str, tuple[float, float]]) -> DataFrame:
 
 def outliers(df: DataFrame, xs: list[str], z: float = 4.0) -> DataFrame:
     """Counts beyond z population deviations and beyond 1.5 interquartile ranges; one row of statistics is broadcast."""
-    stats = df.agg(*[F.struct(F.avg(x).alias("m"), F.stddev_pop(x).alias("s"), F.percentile(x, F.array(F.lit(0.25), F.lit(0.75))).alias("q")).alias(f"_{x}") for x in xs])
-    df = df.crossJoin(F.broadcast(stats))
+    stats = df.agg(*[F.struct(F.avg(x).alias("m"), F.stddev_pop(x).alias("s")).alias(f"_{x}") for x in xs])
+    df = df.crossJoin(F.broadcast(stats)).crossJoin(F.broadcast(quantiles(df, xs, [0.25, 0.75])))
     m = {}
     for x in xs:
-        s, q = col(f"_{x}"), col(f"_{x}")["q"]
+        s, q = col(f"_{x}"), col(f"_q_{x}")
         span = q[1] - q[0]
         m |= {f"z_{x}": F.count_if(F.abs(col(x) - s["m"]) > z * s["s"]), f"iqr_{x}": F.count_if((col(x) < q[0] - 1.5 * span) | (col(x) > q[1] + 1.5 * span))}
     return _measure(df, "outliers", m)
@@ -175,10 +176,11 @@ def cross_source(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def summary(df: DataFrame, xs: list[str]) -> DataFrame:
-    m = {}
+    plain, ranked = [], []
     for x in xs:
-        m |= {f"{x}_mean": F.avg(x), f"{x}_std": F.stddev_samp(x), f"{x}_min": F.min(x), f"{x}_max": F.max(x), f"{x}_q25": F.percentile(x, F.lit(0.25)), f"{x}_median": F.percentile(x, F.lit(0.5)), f"{x}_q75": F.percentile(x, F.lit(0.75))}
-    return _measure(df, "summary", m)
+        plain += [F.avg(x).alias(f"{x}_mean"), F.stddev_samp(x).alias(f"{x}_std"), F.min(x).alias(f"{x}_min"), F.max(x).alias(f"{x}_max")]
+        ranked += [col(f"_q_{x}")[i].alias(f"{x}_{name}") for i, name in enumerate(("q25", "median", "q75"))]
+    return as_rows(df.agg(*plain).crossJoin(quantiles(df, xs, [0.25, 0.5, 0.75]).select(*ranked)), "summary")
 
 
 def source_checks(df: DataFrame, limits: dict[str, tuple[float, float]], today: Column | None = None) -> DataFrame:

@@ -10,9 +10,10 @@ from tidegauge.operators import features as ft
 from tidegauge.operators import indicators as ind
 from tidegauge.operators import macro as ma
 from tidegauge.operators import quality as qu
-from tidegauge.plans import pipeline
+from tidegauge.plans import pipeline, sinks
 from tidegauge.plans import sql as s
 from tidegauge.plans.catalogue import ORACLES, OUTS, QUERIES, gappy, register, shown
+from tidegauge.sources import panels
 from tidegauge.sources import tables as src
 from tidegauge.streaming.bars import windowed_bars
 
@@ -90,6 +91,68 @@ def _bars(spark, sf):
 table_query("st01_windowed_bars", _bars, "SELECT event_type AS series_id, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS start, arg_min(value, ts) AS open, max(value) AS high, min(value) AS low, arg_max(value, ts) AS close, count(*) AS volume FROM events GROUP BY ALL")
 
 
+LINES = {1: "first", 2: "second", 3: "third", 4: "fourth"}
+_PRICE = {"first": "l_extendedprice", "second": "l_extendedprice", "third": "l_quantity", "fourth": "l_tax", "lost": "l_absent"}
+
+
+def _panel(spark, sf):
+    """Four sources by line number and one whose column is not there; it alone fails."""
+    number = {name: n for n, name in LINES.items()}
+
+    def source(name):
+        li = src.table(spark, sf, "lineitem").where(F.col("l_linenumber") == number.get(name, 1))
+        return lambda: li.groupBy(F.col("l_returnflag").alias("series_id"), F.to_date("l_shipdate").alias("date")).agg(F.max(_PRICE[name]).alias("value"))
+
+    long, failed = panels.scan({name: source(name) for name in _PRICE})
+    out = panels.panel(long, [*LINES.values()]).withColumn("failed", F.lit(",".join(failed)))
+    return shown(out, {name: 4 for name in LINES.values()} | {"failed": None})
+
+
+_wide = ", ".join(f"(max({_PRICE[n]}) FILTER (l_linenumber = {m}))::DOUBLE AS {n}" for m, n in LINES.items())
+table_query("s07_composite_panel", _panel, f"WITH w AS (SELECT l_returnflag AS series_id, CAST(l_shipdate AS DATE) AS date, {_wide} FROM lineitem WHERE l_linenumber IN (1, 2, 3, 4) GROUP BY ALL) SELECT series_id, date, "
+            + ", ".join(f"round(last_value({n} IGNORE NULLS) OVER ({s.W} ROWS BETWEEN 5 PRECEDING AND CURRENT ROW), 4) AS {n}" for n in LINES.values()) + ", 'lost' AS failed FROM w")
+TICKERS = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium", "5-LOW": "low"}
+_market_out = {"urgent": 2, "urgent_high": 2, "urgent_low": 2, "urgent_volume": None, "high": 2, "high_return": 6, "medium": 2, "low": 2, "low_return": 6}
+
+
+def _market(spark, sf):
+    return shown(panels.market(src.bars(spark, sf), TICKERS, ["urgent"], ["high", "low"]), _market_out, ("date",))
+
+
+_of = lambda t, c, name: f"max({c}) FILTER (series_id = '{t}') AS {name}"
+_ticks = [_of(t, "close", n) for t, n in TICKERS.items()] + [_of("1-URGENT", c, f"urgent_{c}") for c in ("high", "low", "volume")] + [_of(t, "r", f"{TICKERS[t]}_return") for t in ("2-HIGH", "5-LOW")]
+table_query("s13_market_scan", _market, f"WITH {s.BARS}, b AS (SELECT *, {s.pct('close', 1)} AS r FROM bars), w AS (SELECT date, {', '.join(_ticks)} FROM b WHERE series_id IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW') GROUP BY ALL) SELECT date, {', '.join(s.shown(c, d) for c, d in _market_out.items())} FROM w")
+
+
+def _concat(spark, sf):
+    b = src.bars(spark, sf)
+    keys = ["series_id", "date"]
+    return shown(panels.concat([b.select(*keys, "close"), b.where("volume > 1").select(*keys, F.col("high").alias("close")), b.where("day(date) = 1").select(*keys, "close")], keys), {"close": 2, "close_2": 2, "close_3": 2})
+
+
+table_query("j02_concat", _concat, f"WITH {s.BARS} SELECT series_id, date, round(close, 2) AS close, CASE WHEN volume > 1 THEN round(high, 2) END AS close_2, CASE WHEN day(date) = 1 THEN round(close, 2) END AS close_3 FROM bars")
+
+
+def _sparse(spark, sf):
+    b = gappy(src.bars(spark, sf)).withColumn("seldom", F.when(F.day("date") == 1, F.col("close")))
+    out = ft.drop_sparse(b)
+    return shown(out, {"gappy": 2} | ({"seldom": 2} if "seldom" in out.columns else {}))
+
+
+table_query("c07_drop_sparse", _sparse, f"WITH {s.BARS}, g AS ({s.GAPPY}) SELECT series_id, date, round(last_value(gappy IGNORE NULLS) OVER ({s.W} ROWS BETWEEN 5 PRECEDING AND CURRENT ROW), 2) AS gappy FROM g")
+
+
+def _narrowed(spark, sf):
+    li = src.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_discount", F.when(F.col("l_tax") > 0.04, "1").otherwise("0").alias("taxed"))
+    out = sinks.narrow_types(li)
+    kinds = dict(out.dtypes)
+    return out.select(F.col("l_orderkey").cast("long").alias("l_orderkey"), F.col("l_linenumber").cast("int").alias("l_linenumber"), F.round(F.col("l_discount").cast("double"), 2).alias("l_discount"), F.col("taxed").cast("int").alias("taxed"),
+                      F.lit(",".join(kinds[c] for c in ("l_linenumber", "l_discount", "taxed"))).alias("types"))
+
+
+table_query("k07_narrow_types", _narrowed, "SELECT l_orderkey::BIGINT AS l_orderkey, l_linenumber::INTEGER AS l_linenumber, round(l_discount::DOUBLE, 2) AS l_discount, (l_tax > 0.04)::INTEGER AS taxed, 'smallint,float,boolean' AS types FROM lineitem")
+
+
 # --- series derived by sources
 def _growth(spark, sf):
     return shown(ma.growth(src.monthly(spark, sf), "low_freq"), {f"low_freq_{c}": 3 for c in ("yoy", "mom", "3m_annualized", "change", "change_3_avg")})

@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.functions.quantiles import quantiles
+
 CODECS = {"none": None, "gzip": "gzip", "bz2": "bzip2"}
 #: Integer types by range (strict bounds, unsigned ones widened).
 NARROW = [(0, 255, "short"), (0, 65535, "int"), (-128, 127, "byte"), (-32768, 32767, "short")]
@@ -24,12 +26,15 @@ def tier_columns(df: DataFrame, wanted: list[str], always: list[str]) -> DataFra
 
 
 def narrow_types(df: DataFrame) -> DataFrame:
-    """Whole doubles and integers to the least type that holds them, other doubles below 1e6 to float; one aggregation."""
+    """Whole doubles and integers to the least type that holds them, other doubles below 1e6 to float, text that is 0 or 1 only
+    (no NULL) to boolean; one aggregation."""
     xs = [c for c, t in df.dtypes if t in ("double", "bigint", "int")]
-    if not xs:
+    texts = [c for c, t in df.dtypes if t == "string"]
+    if not xs and not texts:
         return df
-    row = df.agg(*[F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count_if(F.col(x).isNull()).alias("nulls"), F.bool_and(F.col(x) == F.floor(x)).alias("whole")).alias(x) for x in xs]).first()
-    casts = {}
+    bits = [F.bool_and(F.coalesce(F.col(c).isin("0", "1"), F.lit(False))).alias(c) for c in texts]
+    row = df.agg(*bits, *[F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count_if(F.col(x).isNull()).alias("nulls"), F.bool_and(F.col(x) == F.floor(x)).alias("whole")).alias(x) for x in xs]).first()
+    casts = {c: F.col(c) == "1" for c in texts if row[c]}
     for x in xs:
         s = row[x]
         if s.lo is None:
@@ -77,13 +82,17 @@ def export_all(frames: dict[str, DataFrame], folder: str, kind: str) -> dict[str
 
 
 def metadata(df: DataFrame, most: int = 20) -> str:
-    """Shape, dates, types, null counts and statistics of the first numeric columns as JSON, from one aggregation."""
+    """Shape, dates, types, null counts and statistics of the first numeric columns as JSON."""
     numeric = [c for c, t in df.dtypes if t in ("double", "float", "int", "bigint")][:most]
     aggs = [F.count("*").alias("rows")] + [F.count_if(F.col(c).isNull()).alias(f"nulls|{c}") for c in df.columns]
-    aggs += [F.struct(F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"), F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("quartiles")).alias(f"stats|{c}") for c in numeric]
+    aggs += [F.struct(F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")).alias(f"stats|{c}") for c in numeric]
     if "date" in df.columns:
         aggs += [F.min("date").cast("string").alias("first"), F.max("date").cast("string").alias("last")]
     row = df.agg(*aggs).first().asDict(recursive=True)
+    if numeric:
+        quartiles = quantiles(df, numeric, [0.25, 0.5, 0.75]).first().asDict()
+        for c in numeric:
+            row[f"stats|{c}"]["quartiles"] = quartiles[f"_q_{c}"]
     return json.dumps({
         "rows": row["rows"], "columns": len(df.columns), "dates": [row.get("first"), row.get("last")], "types": dict(df.dtypes),
         "nulls": {c: row[f"nulls|{c}"] for c in df.columns}, "statistics": {c: row[f"stats|{c}"] for c in numeric},
