@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidegauge.llm import ann, html, langid, licences, media, mixing, packing, sharding, simhash, urls
+from tidegauge.llm import ann, html, langid, licences, media, mixing, packing, quality, sharding, simhash, spelling, turns, urls
 
 
 def queries() -> dict:
@@ -17,6 +17,9 @@ def queries() -> dict:
         "op8_packing": packing.op8_packing,
         "op9_media": media.op9_media,
         "op10_ann": ann.op10_ann,
+        "op11_spelling_variants": spelling.op11_spelling_variants,
+        "op12_quality": quality.op12_quality,
+        "op13_turn_repair": turns.op13_turn_repair,
     }
 
 
