@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tidegauge.llm.common import documents, rows_of
 
 BITS, PASSES = 18, 5
-MOST_ROWS, MOST_BYTES = 16_384, 48 << 20
+MOST_ROWS, MOST_BYTES = 4096, 12 << 20
 ALPHA, BETA, L1, L2 = 4.0, 1.0, 1e-3, 1e-5
 THRESHOLD = 0.3
 #: Places before at which a repeated word or pair is looked for.
@@ -100,8 +100,8 @@ def logistic(s):
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], passes: int = PASSES, bits: int = BITS) -> np.ndarray:
     """(places, values, label) in order -> weights, the bias last."""
-    leader, bias = Leader(bits), (1 << bits) + MARKS
-    ready = [(np.r_[at, bias], np.r_[x, np.float32(1)].astype(float), label) for at, x, label in rows]
+    leader, bias = Leader(bits), np.int32((1 << bits) + MARKS)
+    ready = [(np.append(at, bias), np.append(x, np.float32(1)), label) for at, x, label in rows]
     for _ in range(passes):
         for row in ready:
             leader.learn(*row)
