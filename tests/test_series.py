@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tidegauge.functions import windows as w
+from tidegauge.functions.orders import Rank, with_order_stats
 from tidegauge.functions.quantiles import quantiles
 from tidegauge.operators import cleaning, features, indicators, quality
 from tidegauge.plans import catalogue, pipeline, sinks
@@ -73,7 +74,7 @@ def test_recursions_over_many_blocks(spark):
 def test_padded_change_and_rank(spark):
     df = series(spark, [1.0, None, 2.0, 4.0]).withColumn("p", w.pad("x")).withColumn("y", w.pct("p", 1))
     assert column(df, "y") == [None, 0.0, 1.0, 1.0]
-    df = series(spark, [1.0, 1.0, 2.0]).withColumn("y", w.pct_rank("x", 3))
+    df = with_order_stats(series(spark, [1.0, 1.0, 2.0]), {"y": Rank("x", 3)})
     assert column(df, "y")[:2] == [None, None] and abs(column(df, "y")[2] - 1.0) < 1e-12
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.windows import col, diff, flag, pad, pct, ratio, roll, rows, scorr, shift
-from tidegauge.operators.features import first_valid, rolling_quantile, row_stat
+from tidegauge.operators.features import first_valid, rolling_quantiles, row_stat
 
 #: The weights of the recession score.
 RECESSION = {"inversion": 0.3, "unemployment": 0.2, "production": 0.15, "stress": 0.15, "spread": 0.1, "sentiment": 0.1}
@@ -34,6 +34,9 @@ def recession(df: DataFrame, **series: str) -> DataFrame:
         raise ValueError(f"no such part: {sorted(unknown)}")
     if "production" in series:
         df = df.withColumn("_pad", pad(series["production"]))
+    ranked = {part: 0.2 if part == "sentiment" else 0.8 for part in ("stress", "spread", "sentiment") if part in series}
+    if ranked:
+        df = rolling_quantiles(df, {f"_q_{part}": (series[part], q) for part, q in ranked.items()})
     flags: dict[str, Column] = {}
     for part, x in series.items():
         if part == "inversion":
@@ -42,14 +45,12 @@ def recession(df: DataFrame, **series: str) -> DataFrame:
             flags[part] = roll(F.avg, x, 3) - roll(F.min, x, 12) > 0.5
         elif part == "production":
             flags[part] = pct("_pad", 12) < 0
-        elif part == "sentiment":
-            flags[part] = col(x) < rolling_quantile(x, 0.2)
         else:
-            flags[part] = col(x) > rolling_quantile(x, 0.8)
+            flags[part] = col(x) < col(f"_q_{part}") if part == "sentiment" else col(x) > col(f"_q_{part}")
     df = df.withColumns({f"_f_{part}": flag(c) for part, c in flags.items()})
     score = reduce(lambda a, b: a + b, [col(f"_f_{part}") * RECESSION[part] for part in flags])
     df = df.withColumn("recession_probability_score", F.least(F.greatest(score, F.lit(0.0)), F.lit(1.0)))
-    return df.withColumn("recession_risk_high", flag(col("recession_probability_score") > 0.5)).drop("_pad", *[f"_f_{part}" for part in flags])
+    return df.withColumn("recession_risk_high", flag(col("recession_probability_score") > 0.5)).drop("_pad", *[f"_{k}_{part}" for k in "fq" for part in flags])
 
 
 def cross_asset(df: DataFrame, risk_on: list[str], risk_off: list[str], basket: list[str]) -> DataFrame:

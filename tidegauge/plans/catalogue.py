@@ -203,7 +203,7 @@ register("f01_rates_carry", _rates, [
 def _stress(b: DataFrame) -> DataFrame:
     b = ft.with_pct(ft.stress_index(b, "close", "high"), "close", {"yoy": 12, "mom": 1}, 100)
     b = b.withColumns({"row_std": ft.row_stat([F.col("open"), F.col("high"), F.col("low"), F.col("close")], "std"), "row_mean": ft.row_stat([F.col("high"), F.col("low")], "mean")})
-    b = b.withColumn("q80", ft.rolling_quantile("close", 0.8))
+    b = ft.rolling_quantiles(b, {"q80": ("close", 0.8)})
     return ft.recession_score(b, {"high": (F.col("close") > F.col("q80"), 0.3), "falling": (F.col("yoy") < 0, 0.4)})
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.functions.windows import by_blocks
 from tidegauge.operators import cleaning as cl
 from tidegauge.operators import features as ft
 from tidegauge.operators import indicators as ind
@@ -88,7 +89,7 @@ def _bars(spark, sf):
     return shown(windowed_bars(_events(spark, sf)).select("series_id", F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "open", "high", "low", "close", "volume"), {c: None for c in ("open", "high", "low", "close", "volume")}, ("series_id", "start"))
 
 
-table_query("st01_windowed_bars", _bars, "SELECT event_type AS series_id, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS start, arg_min(value, ts) AS open, max(value) AS high, min(value) AS low, arg_max(value, ts) AS close, count(*) AS volume FROM events GROUP BY ALL")
+table_query("st01_windowed_bars", _bars, "SELECT event_type AS series_id, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS start, arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low, arg_max(value, (ts, event_id)) AS close, count(*) AS volume FROM events GROUP BY ALL")
 
 
 LINES = {1: "first", 2: "second", 3: "third", 4: "fourth"}
@@ -234,13 +235,31 @@ def _engineered(spark, sf) -> DataFrame:
     return pipeline.engineer(b, settings)
 
 
-_stages = ["f01_rates_carry", "f04_close_volatility", "f06_ewma_volatility", "f08_vol_regime", "f09_level_flags", "f10_index_risk", "f13_rolling_correlation", "f14_price_action", "f15_calendar", "f18_close_lags", "f19_rolling_stats"]
+_momentum = {f"{x}_momentum_{n}d": s.pct(c, n) for x, c in (("policy_rate", "close"), ("policy_rate_us", "open")) for n in (5, 22)}
+register("f03_rate_momentum", lambda b: ft.rate_momentum(b.withColumns({"policy_rate": F.col("close"), "policy_rate_us": F.col("open")}), ["policy_rate", "policy_rate_us"]), [_momentum], dict.fromkeys(_momentum, 5))
+_stages = ["f01_rates_carry", "f03_rate_momentum", "f04_close_volatility", "f06_ewma_volatility", "f08_vol_regime", "f09_level_flags", "f10_index_risk", "f13_rolling_correlation", "f14_price_action", "f15_calendar", "f18_close_lags", "f19_rolling_stats"]
 _engineered_out, _, _engineered_sql = _side_by_side(_stages)
 _whole = {c for c, d in _engineered_out.items() if d is None and not ("_lag_" in c or c in ("resistance_1m", "support_1m") or c.startswith(("close_min_", "close_max_")))} | {c for c in _engineered_out if c.endswith(("_sin", "_cos"))}
 _filled = ", ".join(c if c in _whole else f"last_value({c} IGNORE NULLS) OVER ({s.W} ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS {c}" for c in _engineered_out)
 table_query("f23_engineered", lambda spark, sf: shown(_engineered(spark, sf), _engineered_out), f"SELECT series_id, date, {_filled} FROM ({_engineered_sql})")
 
 
+# --- series in blocks
+_split = ["i01_sma", "i02_ema", "i12_bollinger", "i27_volume", "f14_price_action", "f18_close_lags"]
+_split_out, _, _split_sql = _side_by_side(_split)
+
+
+def _in_blocks(df: DataFrame) -> DataFrame:
+    for family in (ind.moving_averages, ind.exponential_averages, ind.bollinger, ind.volume_indicators, ft.price_action, lambda d: ft.lag_features(d, ["close"])):
+        df = family(df)
+    return df
+
+
+table_query("w01_series_in_blocks", lambda spark, sf: shown(by_blocks(src.bars(spark, sf), _in_blocks, 500), _split_out), _split_sql)
+_range = [{"high": s.roll("max", "close", 9), "low": s.roll("min", "close", 9)}]
+register("i14_synthetic_range", lambda b: ind.synthetic_range(b.drop("high", "low")), ["SELECT series_id, date, close FROM {prev}", *_range], {"high": 2, "low": 2})
+
+
 # --- checks
 def _sources(spark, sf):
     return qu.source_checks(gappy(src.bars(spark, sf)), {"gappy": (5000, 450000), "volume": (1, 3)}, F.lit("2002-01-01").cast("date")).withColumn("value", F.round("value", 4))

@@ -33,11 +33,12 @@ class Settings:
 
 
 def engineer(df: DataFrame, s: Settings) -> DataFrame:
-    """All feature stages in order: rates and yield curve, volatility, index, levels, risk score, carry, correlations, price
+    """All feature stages in order: rates, their momentum and the yield curve, volatility, index, levels, risk score, carry, correlations, price
     action, calendar, lags, rolling statistics, interactions, cleaning. A stage whose columns are missing is left out."""
     has = lambda *xs: set(xs) <= set(df.columns)
     if has(*s.rates):
         df = features.real_rates(df, *s.rates)
+    df = features.rate_momentum(df, [x for x in (s.rates[0], s.rates[2]) if has(x)])
     if has(*s.curve):
         df = features.yield_curve(df, *s.curve)
     df = features.returns_and_volatility(df, s.price)
