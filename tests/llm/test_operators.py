@@ -575,6 +575,30 @@ def test_nearest(spark):
     assert ann.nearest(table.limit(0), lambda c: c % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["unit", "lengths", "isotropic", "offset", "clusters"])
+def test_recall_whatever_the_lengths(spark, kind):
+    """0.93 of the 20 largest inner products, on tables whose vectors differ in length or lie off the origin."""
+    rng = np.random.default_rng(6)
+    v = rng.standard_normal((1600, 48))
+    if kind in ("unit", "lengths"):
+        v /= np.linalg.norm(v, axis=1, keepdims=True)
+    if kind in ("lengths", "isotropic"):
+        v *= rng.lognormal(0, 0.5, (len(v), 1))
+    if kind == "offset":
+        v += 3 * rng.standard_normal(48)
+    if kind == "clusters":
+        v += 2 * rng.standard_normal((30, 48))[rng.integers(0, 30, len(v))]
+    v = v.astype(np.float32)
+    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    got = collections.defaultdict(set)
+    for r in ann.nearest(rows, lambda c: c % 20 == 0).collect():
+        got[r.query_id].add(r.vec_id)
+    products = v.astype(float) @ v.astype(float).T
+    np.fill_diagonal(products, -np.inf)
+    hits = [len(got[q] & set(np.argsort(-products[q])[:20].tolist())) / 20 for q in range(0, len(v), 20)]
+    assert np.mean(hits) >= 0.93
+
+
 @pytest.mark.parametrize("n,width,seed", [(2, 8, 1), (5, 8, 11), (5, 8, 12), (10, 64, 1), (22, 64, 2), (25, 64, 4)])
 def test_nearest_in_small_tables(spark, n, width, seed):
     """Every query gets min(20, n - 1) rows, whatever the forest."""

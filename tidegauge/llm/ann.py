@@ -8,6 +8,10 @@ query searches all trees through one shared priority queue, best bound first, un
 found if there are that many candidates. The query is sent to these leaves, where inner products with all their vectors
 are taken, and the best candidates are reranked by an exact double-precision product of the original vectors.
 
+The largest inner product is not the least distance, by which trees bound, unless all vectors are of one length. So the forest
+works on lifted vectors: with one component more, sqrt(M^2 - |x|^2), M being the longest length in the table, all
+vectors have length M, and a query of length M with 0 there is nearest to those with the largest products.
+
 Vectors and queries of a leaf meet in blocks of at most about `leaf_rows` and `query_rows`, so neither side of a group
 grows with the table. Equal vectors are collapsed beforehand to their `k` + 1 smallest ids (no result can name another one
 of them), and equal queries are searched once, for k + 1 results, from which each drops its own id.
@@ -31,7 +35,20 @@ from pyspark.sql.window import Window as W
 
 from tidegauge.llm.common import hash_sample, stored
 
-K, TREES, DEPTH, SHARE, SAMPLE, SEED = 20, 4, 6, 0.3, 16384, 7
+K, TREES, DEPTH, SHARE, SAMPLE, SEED = 20, 4, 7, 0.3, 16384, 7
+#: Vectors that a leaf holds on average before trees get shallower than DEPTH.
+FEWEST = 16
+
+
+def lifted(vectors: np.ndarray, longest: float, query: bool = False) -> np.ndarray:
+    """Vectors of one length with the inner products of the given ones (queries: up to a factor)."""
+    v = vectors.astype(np.float64)
+    length = np.sqrt((v * v).sum(axis=1))
+    if query:
+        v, more = v * (longest / np.maximum(length, 1e-300))[:, None], np.zeros(len(v))
+    else:
+        more = np.sqrt(np.maximum(0.0, longest * longest - length * length))
+    return np.c_[v, more]
 
 
 class Forest:
@@ -120,8 +137,11 @@ def _best(q: np.ndarray, v: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarr
     return np.nonzero(s >= least - 1e-9 * np.maximum(1, np.abs(least)))
 
 
-def nearest(table: DataFrame, is_query, k: int = K, trees: int = TREES, depth: int = DEPTH, share: float = SHARE, sample: int = SAMPLE, leaf_rows: int = 65536, query_rows: int = 32768, seed: int = SEED) -> DataFrame:
-    """The k nearest by inner product of every vector for which is_query(vec_id) holds: query_id, rank, vec_id, score."""
+def nearest(table: DataFrame, is_query, k: int = K, trees: int = TREES, depth: int | None = None, share: float = SHARE, sample: int = SAMPLE, leaf_rows: int = 65536, query_rows: int = 32768, seed: int = SEED) -> DataFrame:
+    """The k nearest by inner product of every vector for which is_query(vec_id) holds: query_id, rank, vec_id, score.
+
+    Without a depth, trees have DEPTH levels, or fewer where leaves would hold less than FEWEST vectors.
+    """
     rows = stored(usable(table), "vectors")
     same = W.partitionBy(F.xxhash64("embedding"), "embedding").orderBy("vec_id")
     kept = stored(rows.withColumn("place", F.row_number().over(same)).where(F.col("place") <= k + 1).drop("place"), "distinct-vectors")
@@ -133,12 +153,17 @@ def nearest(table: DataFrame, is_query, k: int = K, trees: int = TREES, depth: i
     if not got:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     kind, width = dict(kept.dtypes)["embedding"], len(got[0].embedding)
-    forest = Forest(np.array([r.embedding for r in got], np.float32), trees, depth, seed)
+    square = F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x.cast("double") * x)
+    table_size = kept.agg(F.count("*").alias("n"), F.max(square).alias("square")).first()
+    longest = float(table_size.square) ** 0.5
+    if depth is None:
+        depth = max(2, min(DEPTH, (table_size.n // FEWEST).bit_length()))
+    forest = Forest(lifted(np.array([r.embedding for r in got]), longest).astype(np.float32), trees, depth, seed)
 
     def drop(stream: Iterator[pa.RecordBatch]):
         for b in stream:
             ids, m = b.column(0).to_numpy(), _matrix(b.column(1), width)
-            leaves = forest.leaves(m)
+            leaves = forest.leaves(lifted(m, longest))
             for t in range(trees):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), t, np.int32)), pa.array(leaves[:, t]), pa.array(ids), _lists(m)], ["tree", "leaf", "vec_id", "embedding"])
 
@@ -150,8 +175,9 @@ def nearest(table: DataFrame, is_query, k: int = K, trees: int = TREES, depth: i
     def ask(stream: Iterator[pa.RecordBatch]):
         for b in stream:
             ids, m = b.column(0).to_numpy(), _matrix(b.column(1), width)
+            up = lifted(m, longest, query=True)
             for part in range(0, len(ids), 64):
-                picked = [(i, *x) for i in range(part, min(len(ids), part + 64)) for x in forest.search(m[i], share, held, k + 1)]
+                picked = [(i, *x) for i in range(part, min(len(ids), part + 64)) for x in forest.search(up[i], share, held, k + 1)]
                 if picked:
                     i, t, leaf = (np.array(c) for c in zip(*picked, strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(t.astype(np.int32)), pa.array(leaf.astype(np.int64)), pa.array(ids[i]), _lists(m[i])], ["tree", "leaf", "query_id", "asked"])
