@@ -142,8 +142,8 @@ def test_no_link_is_lost(spark, bits, limit):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, got.values()))
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_components_grow(spark, seed):
+@pytest.mark.parametrize("seed,few", [(0, 1000), (1, 0), (2, 20)])
+def test_components_grow(spark, seed, few):
     """Stars, chains, hubs, loops and repeats; later edges are added to the components of the earlier ones."""
     import numpy as np
 
@@ -161,9 +161,9 @@ def test_components_grow(spark, seed):
                     root[u] = root[v] = min(root[u], root[v])
         return {n: r for n, r in root.items() if n != r}
 
-    roots = components(frame(first))
+    roots = components(frame(first), few_edges=few)
     assert {r.node: r.root for r in roots.collect()} == plain(first)
-    more = components(frame(second), roots)
+    more = components(frame(second), roots, few_edges=few)
     assert {r.node: r.root for r in more.collect()} == plain(first + second) and more.count() == len(plain(first + second))
     assert components(frame([]), roots).count() == roots.count() and components(frame([]), components(frame([]))).count() == 0
 
@@ -182,6 +182,15 @@ def test_last_cell_of_a_batch_is_bounded():
         assert all(b.column("hot")[0].as_py() for b in out) and sum(b.num_rows for b in out) == 300 * 65
 
 
+def test_near_dedup_of_short_texts_of_one_form(spark):
+    """Texts that share all shingles but one, none alike by 0.8, and pairs among them that are."""
+    form = "thank you for your order number is confirmed {} please keep this letter for your records until it has come {}"
+    rows = [(k, form.format(f"x{k}", "")) for k in range(1500)] + [(5000 + k, form.format(f"x{k}", "soon")) for k in range(0, 1500, 100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()}
+    assert all(got[5000 + k] == k for k in range(0, 1500, 100)) and all(got[k] == k for k in range(1500))
+
+
 def test_near_dedup_whatever_the_rows(spark):
     """Copies go by text, not by doc_id alone; names cannot clash; maps and dots are no obstacle; one row of a group stays."""
     import corpus_pipeline

@@ -1,4 +1,4 @@
-"""Connected components of an edge table by alternating large-star and small-star steps.
+"""Connected components of an edge table by alternating large-star and small-star steps; of a small one, in one task.
 
 Cases: loops and repeated edges count once; edges that hold a null are left out; no edges, or only loops, give no rows; a hub
 with any number of neighbours is pre-aggregated; other columns are not read.
@@ -6,10 +6,33 @@ with any number of neighbours is pre-aggregated; other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import forget, stored
+from tidegauge.llm.common import batches, forget, rows_of, stored
+
+#: Edges that one task walks at once (some 30 MB); more are walked by all tasks, in rounds.
+FEW_EDGES = 1 << 17
+
+
+def _walk(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All of a few edges (u, v) to (node, root), roots being the smallest nodes."""
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (above := up.get(x, x)) != x:
+            up[x] = up.get(above, above)
+            x = above
+        return x
+
+    for u, v in rows_of(stream):
+        a, b = top(u), top(v)
+        if a != b:
+            up[max(a, b)] = min(a, b)
+    yield from batches(((x, top(x)) for x in list(up)), pa.schema([("node", pa.int64()), ("root", pa.int64())]))
 
 
 def _smallest(pairs: DataFrame, label: str) -> DataFrame:
@@ -31,7 +54,7 @@ def _named(edges: DataFrame, roots: DataFrame) -> DataFrame:
     return edges
 
 
-def components(edges: DataFrame, roots: DataFrame | None = None, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, roots: DataFrame | None = None, rounds: int = 60, few_edges: int = FEW_EDGES) -> DataFrame:
     """edges (u long, v long) -> (node long, root long); root is the smallest node reachable.
 
     A row for every node that has a smaller one in its component; roots and lone nodes have none. `roots` is an earlier
@@ -43,7 +66,8 @@ def components(edges: DataFrame, roots: DataFrame | None = None, rounds: int = 6
     edges = edges.select("u", "v")
     edges = (_named(edges, roots) if roots is not None else edges).where("u <> v")
     now = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    for _ in range(rounds):
+    few = now.count() <= few_edges
+    for _ in range(0 if few else rounds):
         if _settled(now):
             break
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -56,8 +80,12 @@ def components(edges: DataFrame, roots: DataFrame | None = None, rounds: int = 6
             forget(old)
         now = after
     else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
+        if not few:
+            raise RuntimeError(f"components did not settle in {rounds} rounds")
     found = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    if few:
+        found = stored(found.coalesce(1).mapInArrow(_walk, "node long, root long"), "walked")
+        forget(now)
     if roots is None:
         return found
     moved = found.select(F.col("node").alias("root"), F.col("root").alias("_to"))

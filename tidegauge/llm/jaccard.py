@@ -9,20 +9,25 @@ sets of at least the wanted similarity share a hash within the first n - ceil(si
 these are shuffled, and sets that meet at one of them and fit by size and position are compared whole. Texts with
 equal sets are collapsed first. The order comes from counts in BUCKETS hash buckets; it decides the work, not the result.
 
-What is wanted are groups, not pairs, so a group of many near copies is not compared pair by pair. In the first rounds
-each set is compared with a few pivots at each of its hashes (the smallest keys there; PIVOTS says how many in which round),
+What is wanted are groups, not pairs, so a group of many near copies is not compared pair by pair. In the first round
+each set is compared with a few pivots at each of its hashes (the PIVOTS smallest keys there),
 and with those that SimHash links; the links found make groups. In the last round all sets of different groups that meet
 are compared; a hash at which a single group meets has nothing left to compare. Pivots decide the work, not the result: every
 link between two groups is found in the last round, and every pair within a group is linked already. Pairs that
 cannot be near enough are left out of the join by a parity sketch of each set: as many bits as two sketches
 differ in, as many hashes at least stand in one of the two sets only.
 
+Many sets may meet at one hash although none of them fit: a frequent hash stands late in all their orders. So the sets of
+a hash are put into classes by size and by how much of the set is still to come, and classes are joined before rows are; only
+the rows of classes that may hold a fitting pair meet, and where none may, none do.
+
 Cases: null or empty text has an empty set, linked to its like only; a text of fewer than `width` words is one shingle;
 an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import add
 
@@ -34,11 +39,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tidegauge.llm import simhash
-from tidegauge.llm.common import rows_of, space_words, stored
+from tidegauge.llm.common import forget, rows_of, space_words, stored
 from tidegauge.llm.graph import components
 from tidegauge.llm.simhash import BITS, grouped
 
-WIDTH, SIMILARITY, PIVOTS = 5, 0.8, (8, 24)
+WIDTH, SIMILARITY, PIVOTS = 5, 0.8, 8
+#: Sizes within a factor, and shares of a set still to come within a step, are one class.
+FACTOR, STEP = 1.1, 0.02
 BUCKETS = 1 << 18
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -193,36 +200,58 @@ def groups(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: floa
     def linked(pairs: DataFrame, label: str) -> DataFrame:
         """Of pairs (u, v) those that are near enough."""
         few = stored(pairs.distinct(), f"{label}-pairs")
-        both = few.join(held.select(F.col("key").alias("u"), F.col("hashes").alias("x")), "u").join(held.select(F.col("key").alias("v"), F.col("hashes").alias("y")), "v")
-        return stored(both.select("u", "v", "x", "y").mapInArrow(compare, "u long, v long"), f"{label}-links")
+        one, other = (held.select(F.col("key").alias(k), F.col("hashes").alias(h)) for k, h in (("u", "x"), ("v", "y")))
+        both = few.join(one, "u").join(other, "v").select("u", "v", "x", "y")
+        links = stored(both.mapInArrow(compare, "u long, v long"), f"{label}-links")
+        forget(few)
+        return links
 
     told = stored(shared.join(own.select(F.col("fp").alias("key"), *SKETCH), "key"), "sketched-prefixes")
+    forget(shared)
+    share = similarity / (1 + similarity)
+    left = F.col("n") - F.col("at")
+    kind = [F.floor(F.ln("n") / math.log(FACTOR)).alias("size"), F.floor(left / F.col("n") / STEP).alias("rest")]
 
     def side(rows: DataFrame, name: str) -> DataFrame:
-        return rows.select("token", *[F.col(c).alias(f"{name}{c}") for c in ("key", "at", "n", "root", *SKETCH)])
+        return rows.select("token", *[F.col(c).alias(f"{name}{c}") for c in rows.columns if c != "token"])
 
     together = F.col("un") + F.col("vn")
-    fits = F.least(F.col("un") - F.col("uat"), F.col("vn") - F.col("vat")) >= together * (similarity / (1 + similarity)) - 1e-6
+    fits = F.least(F.col("un") - F.col("uat"), F.col("vn") - F.col("vat")) >= together * share - 1e-6
     apart = reduce(add, [F.bit_count(F.col(f"u{c}").bitwiseXOR(F.col(f"v{c}"))) for c in SKETCH])
     like = apart <= together * ((1 - similarity) / (1 + similarity)) + 1e-6
 
+    def classes(rows: DataFrame) -> DataFrame:
+        """For each class of a token: its smallest set, the most that is to come in one, and its groups from and to."""
+        most = F.max(left).alias("left")
+        return rows.groupBy("token", "size", "rest").agg(F.min("n").alias("n"), most, F.min("root").alias("low"), F.max("root").alias("high"))
+
     def meeting(some: DataFrame, rows: DataFrame) -> DataFrame:
         """Pairs of different groups that meet at a token and may be near enough."""
         once = F.col("uroot") < F.col("vroot") if some is rows else F.col("uroot") != F.col("vroot")
-        pairs = side(some, "u").join(side(rows, "v"), "token").where(once & fits & like)
+        may = F.least("uleft", "vleft") >= together * share - 1e-6
+        several = (F.least("ulow", "vlow") < F.greatest("uhigh", "vhigh"))
+        which = side(classes(some), "u").join(side(classes(rows), "v"), "token").where(may & several).select("token", "usize", "urest", "vsize", "vrest")
+        pairs = side(some, "u").join(which, ["token", "usize", "urest"]).join(side(rows, "v"), ["token", "vsize", "vrest"]).where(once & fits & like)
         return pairs.select(F.least("ukey", "vkey").alias("u"), F.greatest("ukey", "vkey").alias("v"))
 
-    roots = components(linked(sketched(own, bits), "simhash"))
-    for most in (*PIVOTS, None):
-        named = told.join(roots, told.key == roots.node, "left").select(*told.columns, F.coalesce("root", "key").alias("root"))
+    found = linked(sketched(own, bits), "simhash")
+    roots = components(found)
+    forget(found)
+    for most in (PIVOTS, None):
+        named = told.join(roots, told.key == roots.node, "left").select(*told.columns, F.coalesce("root", "key").alias("root"), *kind)
         several = named.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
         rows = stored(named.join(several, "token", "left_semi"), "several-groups")
+        some = rows
         if most:
             place = F.row_number().over(W.partitionBy("token").orderBy("key"))
-            pairs = meeting(rows.withColumn("place", place).where(F.col("place") <= most).drop("place"), rows)
-        else:
-            pairs = meeting(rows, rows)
-        roots = components(linked(pairs, "met"), roots)
+            some = rows.withColumn("place", place).where(F.col("place") <= most).drop("place")
+        found = linked(meeting(some, rows), "met")
+        after = components(found, roots)
+        for old in (rows, found, roots):
+            forget(old)
+        roots = after
+    for old in (told, held, own):
+        forget(old)
     return roots
 
 
