@@ -15,6 +15,7 @@ import __spark_entry__ as entry
 from tidegauge.functions import windows as w
 from tidegauge.functions.orders import Rank, with_order_stats
 from tidegauge.functions.quantiles import quantiles
+from tidegauge.functions.tails import ln_gamma, student_t_p
 from tidegauge.operators import cleaning, features, indicators, quality
 from tidegauge.plans import catalogue, pipeline, sinks
 from tidegauge.sources import panels, tables
@@ -106,8 +107,30 @@ def test_sparse_columns_go(spark):
     assert features.drop_sparse(df).columns == ["series_id", "date", "x", "half"]
 
 
-def test_p_values():
-    assert abs(quality.p_value(0.0, 10) - 1) < 1e-12 and abs(quality.p_value(2.228138852, 10) - 0.05) < 1e-8 and abs(quality.p_value(12.7062047, 1) - 0.05) < 1e-8
+def test_p_values(spark):
+    """Student's t against its known quantiles and closed forms, small and large degrees of freedom."""
+    def sums(t, n):
+        """Finite sums for whole degrees of freedom."""
+        th, odd = math.atan(t / math.sqrt(n)), n % 2
+        of = lambda k: math.lgamma(k + 1) - math.lgamma(k + 1.5) + math.log(math.pi) / 2 - math.log(2) if odd else math.lgamma(k + 0.5) - math.lgamma(k + 1) - math.log(math.pi) / 2
+        total = math.sin(th) * sum(math.exp(of(k) + (2 * k + odd) * math.log(math.cos(th))) for k in range((n - 2 - odd) // 2 + 1))
+        return 1 - (2 / math.pi * (th + total) if odd else total)
+
+    cases = [(0.0, 10, 1.0), (2.228138852, 10, 0.05), (12.7062047362, 1, 0.05), (-12.7062047362, 1, 0.05), (3.0, 2, 1 - 3 / 11**0.5), (1.959963985, 10**7, 0.05)]
+    cases += [(t, n, sums(t, n)) for t, n in ((40.0, 5), (0.5, 1700), (2.5, 33), (1.0, 4))]
+    df = spark.createDataFrame(cases, "t double, df long, want double").withColumn("p", student_t_p(F.col("t"), F.col("df")))
+    for r in df.collect():
+        assert r.p == pytest.approx(r.want, rel=2e-4 if r.want < 1e-3 else 1e-6, abs=2e-7 if r.df > 10**6 else 1e-12), r
+    assert spark.createDataFrame([(None, 3), (1.0, 0)], "t double, df long").select(student_t_p(F.col("t"), F.col("df")).alias("p")).where("p is not null").count() == 0
+    g = spark.range(1, 60).select("id", ln_gamma(F.col("id") / 2).alias("g")).collect()
+    assert all(abs(r.g - math.lgamma(r.id / 2)) <= 1e-12 * max(1, abs(r.g)) for r in g)
+
+
+def test_a_check_that_fails_while_it_runs(spark):
+    """Its rows say so, and the others stand."""
+    bars = tables.bars(spark, SMALL)
+    rows = quality.isolated({"fine": lambda: quality.completeness(bars, ["close"]), "late": lambda: quality.completeness(bars.withColumn("close", F.raise_error(F.lit("broken")).cast("double")), ["close"])})
+    assert [(c, m) for c, m, _ in rows] == [("completeness", "rows"), ("completeness", "null_pct_close"), ("late", "error")]
 
 
 def test_name_clash_is_an_error(spark):

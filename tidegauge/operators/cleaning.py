@@ -103,3 +103,36 @@ def align(high: DataFrame, low: DataFrame, x: str, method: str = "ffill") -> Dat
     daily = days.join(low, ["series_id", "date"], "left")
     daily = daily.withColumn(x, pad(x) if method == "ffill" else bfill(x)) if method in ("ffill", "bfill") else fill_missing(daily, [x], "interpolate", 1 << 30)
     return high.join(daily.select("series_id", "date", x), ["series_id", "date"], "full")
+
+
+def asof_join(left: DataFrame, right: DataFrame, x: list[str], by: str = "series_id", at: str = "date", tie: str | None = None,
+              direction: str = "backward", tolerance: float | None = None) -> DataFrame:
+    """left with columns x of the row of right that is next in time: the last at or before it (backward), the first at or
+    after it (forward), or the nearer of both (nearest; the earlier of equally near ones). Beyond `tolerance` seconds: NULL.
+
+    Both sides are stacked and the last right row is carried over the left ones by a window, so each row is shuffled once and
+    nothing is made for the time between. `by` may be NULL, which is a key of its own; a NULL time meets nothing. Of right rows
+    of one time the last by `tie` counts. Columns of right take the place of those of left with the same name.
+    """
+    if direction not in ("backward", "forward", "nearest"):
+        raise ValueError(f"no such direction: {direction!r}")
+    order = F.col(tie) if tie else F.lit(0)
+    when = F.col(at).cast("timestamp").cast("double")
+    found = F.when(when.isNotNull(), F.struct(when.alias("when"), *x))
+    rows = left.select(F.col(by).alias("_by"), when.alias("_when"), F.struct(*left.columns).alias("_left"))
+    rows = rows.unionByName(right.select(F.col(by).alias("_by"), when.alias("_when"), order.alias("_tie"), found.alias("_right")), allowMissingColumns=True)
+    mine = F.col("_left").isNotNull()
+    upto = (Window.unboundedPreceding, 0)
+    # Right rows stand before left ones of the same time, in either direction; those of one time by tie.
+    after = Window.partitionBy("_by").orderBy("_when", mine, "_tie").rowsBetween(*upto)
+    ahead = Window.partitionBy("_by").orderBy(F.desc("_when"), mine, "_tie").rowsBetween(*upto)
+    near = lambda w: F.when(F.col("_when").isNotNull(), F.last("_right", ignorenulls=True).over(w))
+    if direction == "nearest":
+        rows = rows.withColumns({"_a": near(after), "_b": near(ahead)})
+        nearer = F.col("_b.when") - F.col("_when") < F.col("_when") - F.col("_a.when")
+        rows = rows.withColumn("_right", F.when(F.col("_a").isNull() | nearer, F.coalesce("_b", "_a")).otherwise(F.col("_a")))
+    else:
+        rows = rows.withColumn("_right", near(after if direction == "backward" else ahead))
+    if tolerance is not None:
+        rows = rows.withColumn("_right", F.when(F.abs(F.col("_right.when") - F.col("_when")) <= tolerance, F.col("_right")))
+    return rows.where(mine).select(*[F.col("_left")[c].alias(c) for c in left.columns if c not in x], *[F.col("_right")[c].alias(c) for c in x])

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidegauge.functions.quantiles import quantiles
+from tidegauge.functions.tails import student_t_p
 from tidegauge.functions.windows import by_date, col, scorr, shift
 
 
@@ -86,43 +87,35 @@ def _halves(df: DataFrame) -> DataFrame:
 
 
 def halves_t_test(df: DataFrame, x: str) -> DataFrame:
-    """Pooled two-sample t of the first against the second half of each series; p_value() gives its probability."""
+    """Pooled two-sample t of the first against the second half of each series, its degrees of freedom, and the probability of a
+    larger one (both sides)."""
     side = lambda f, k: f(F.when(col("_half") == k, col(x)))
     s = _halves(df).groupBy("series_id").agg(*[side(f, k).alias(f"{n}{k}") for f, n in ((F.count, "n"), (F.avg, "m"), (F.var_samp, "v")) for k in (1, 2)])
     pooled = ((col("n1") - 1) * col("v1") + (col("n2") - 1) * col("v2")) / (col("n1") + col("n2") - 2)
     t = F.try_divide(col("m1") - col("m2"), F.sqrt(pooled * (1 / col("n1") + 1 / col("n2"))))
-    return s.where("n1 > 1 and n2 > 1").select("series_id", t.alias("t"), (col("n1") + col("n2") - 2).alias("df"))
+    tested = s.where("n1 > 1 and n2 > 1").select("series_id", t.alias("t"), (col("n1") + col("n2") - 2).alias("df"))
+    return tested.withColumn("p", student_t_p(col("t"), col("df")))
 
 
-def p_value(t: float, df: int) -> float:
-    """Two-sided probability of Student's t by the continued fraction of the incomplete beta function."""
-    x, a, b = df / (df + t * t), df / 2, 0.5
-    if x >= 1:
-        return 1.0
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x))
+def _drifts(df: DataFrame, xs: list[str]) -> DataFrame:
+    """series_id and the drift score of each column, from one aggregation."""
+    def one(x, k):
+        part = F.when(col("_half") == k, col(x))
+        return F.struct(F.count(part).alias("n"), F.try_divide(F.stddev_samp(part), F.abs(F.avg(part))).alias("cv")).alias(f"_{k}_{x}")
 
-    def fraction(x, a, b):
-        tiny = 1e-300
-        c, d = 1.0, 1 / ((1 - (a + b) * x / (a + 1)) or tiny)
-        h = d
-        for m in range(1, 500):
-            for num in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
-                d, c = 1 / ((1 + num * d) or tiny), (1 + num / c) or tiny
-                h *= d * c
-            if abs(d * c - 1) < 1e-15:
-                break
-        return h
-
-    return front * fraction(x, a, b) / a if x < (a + 1) / (a + b + 2) else 1 - front * fraction(1 - x, b, a) / b
+    s = _halves(df).groupBy("series_id").agg(F.count("*").alias("_rows"), *[one(x, k) for x in xs for k in (1, 2)])
+    scores = []
+    for x in xs:
+        a, b = col(f"_1_{x}"), col(f"_2_{x}")
+        change = F.abs(F.coalesce(b["cv"], F.lit(0.0)) - F.coalesce(a["cv"], F.lit(0.0)))
+        scores.append(F.when((col("_rows") >= 20) & (a["n"] + b["n"] > 10), F.coalesce(change, F.lit(0.0))).otherwise(0.0).alias(f"_score_{x}"))
+    return s.select("series_id", *scores)
 
 
 def drift(df: DataFrame, x: str, limit: float = 0.2) -> DataFrame:
     """Change of the coefficient of variation between the halves of each series; 0 for under 20 rows or under 11 values."""
-    one = lambda k: F.struct(F.count(F.when(col("_half") == k, col(x))).alias("n"), F.try_divide(F.stddev_samp(F.when(col("_half") == k, col(x))), F.abs(F.avg(F.when(col("_half") == k, col(x))))).alias("cv"))
-    s = _halves(df).groupBy("series_id").agg(F.count("*").alias("rows"), one(1).alias("a"), one(2).alias("b"))
-    enough = (col("rows") >= 20) & (col("a.n") + col("b.n") > 10)
-    score = F.when(enough, F.coalesce(F.abs(F.coalesce(col("b.cv"), F.lit(0.0)) - F.coalesce(col("a.cv"), F.lit(0.0))), F.lit(0.0))).otherwise(0.0)
-    return s.select("series_id", score.alias("drift_score"), (score > limit).cast("int").alias("drifted"))
+    score = col(f"_score_{x}")
+    return _drifts(df, [x]).select("series_id", score.alias("drift_score"), (score > limit).cast("int").alias("drifted"))
 
 
 def business_rules(df: DataFrame, never_negative: list[str], percent: list[str], rates: list[str] = (), opposed: list[tuple[str, str]] = ()) -> DataFrame:
@@ -147,22 +140,48 @@ def types(df: DataFrame, numeric: list[str]) -> DataFrame:
 
 def drifted_series(df: DataFrame, xs: list[str], limit: float = 0.2) -> DataFrame:
     """How many series drift, for each column."""
-    counts = [drift(df, x, limit).agg(F.sum("drifted").alias(f"drifted_{x}")) for x in xs]
-    return as_rows(reduce(lambda a, b: a.crossJoin(b), counts), "drift")
+    return as_rows(_drifts(df, xs).agg(*[F.count_if(col(f"_score_{x}") > limit).alias(f"drifted_{x}") for x in xs]), "drift")
+
 
+Row = tuple[str, str, float | None]
 
-def isolated(checks: dict) -> DataFrame:
-    """{name: () -> rows}: all rows together; a check that cannot be planned (columns that are not there, say) gives one row
-    with the metric `error` and leaves the others standing."""
-    done, spark = [], SparkSession.active()
+
+def isolated(checks: dict[str, Callable[[], DataFrame]]) -> list[Row]:
+    """{name: () -> (check, metric, value)}: the rows of all checks, a few for each. A check that cannot be planned or fails while
+    it runs gives one row with the metric `error` and leaves the others standing."""
+    rows: list[Row] = []
     for name, build in checks.items():
         try:
-            rows = build()
-            rows.schema  # noqa: B018 (analyses the plan)
-        except (AnalysisException, KeyError, ValueError):
-            rows = spark.createDataFrame([(name, "error", 1.0)], "check string, metric string, value double")
-        done.append(rows)
-    return reduce(DataFrame.unionByName, done)
+            rows += [(r["check"], r["metric"], r["value"]) for r in build().select("check", "metric", "value").collect()]
+        except (PySparkException, KeyError, ValueError):
+            rows.append((name, "error", 1.0))
+    return rows
+
+
+def observed(df: DataFrame, metrics: dict[str, dict[str, Column]], write: Callable[[DataFrame], object]) -> list[Row]:
+    """{check: {metric: aggregate}} measured while write(df) runs, so that df is computed once for both."""
+    found = Observation()
+    named = {f"{check}|{metric}": c.cast("double") for check, of in metrics.items() for metric, c in of.items()}
+    write(df.observe(found, *[c.alias(name) for name, c in named.items()]))
+    got = found.get
+    return [(*name.split("|", 1), got[name]) for name in named]
+
+
+def plain_metrics(df: DataFrame, xs: list[str], limits: dict[str, tuple[float, float]], percent: list[str], most: float = 0.95) -> dict[str, dict[str, Column]]:
+    """The checks that one pass of aggregates can answer: completeness, ranges, business rules and correlations."""
+    m: dict[str, dict[str, Column]] = {"completeness": {"rows": F.count(F.lit(1))} | {f"null_pct_{x}": F.avg(col(x).isNull().cast("int")) * 100 for x in xs}}
+    m["ranges"] = {}
+    for x, (lo, hi) in limits.items():
+        out = F.when(col(x).isNotNull(), ((col(x) < lo) | (col(x) > hi)).cast("int"))
+        m["ranges"] |= {f"out_{x}": F.coalesce(F.sum(out), F.lit(0)), f"min_{x}": F.min(x), f"max_{x}": F.max(x), f"ok_{x}": (F.avg(out) <= 0.01).cast("int")}
+    m["business_rules"] = {f"negative_{x}": F.count_if(col(x) < 0) for x in xs} | {f"outside_{x}": F.count_if(~col(x).between(0, 100)) for x in percent}
+    size = [F.abs(scorr(a, b)) for i, a in enumerate(xs) for b in xs[i + 1 :]]
+    if size:
+        there = [c for s in size for c in (F.coalesce(s, F.lit(0.0)), s.isNotNull().cast("int"))]
+        total, n = reduce(lambda a, b: a + b, there[::2]), reduce(lambda a, b: a + b, there[1::2])
+        over = reduce(lambda a, b: a + b, [F.coalesce((s > most).cast("int"), F.lit(0)) for s in size])
+        m["correlations"] = {"mean_abs_corr": F.try_divide(total, n), "max_abs_corr": F.greatest(*size) if len(size) > 1 else size[0], "redundant_pairs": over}
+    return m
 
 
 def extreme_values(df: DataFrame, xs: list[str], k: float = 5.0) -> DataFrame:

@@ -260,9 +260,15 @@ ORACLES["a07_correlation_matrix"] = f"WITH {s.BARS} " + " UNION ALL ".join(f"SEL
 QUERIES["a08_autocorrelation"] = lambda spark, sf: qu.autocorrelation(src.bars(spark, sf), "close").withColumn("autocorr_1", F.round("autocorr_1", 6))
 ORACLES["a08_autocorrelation"] = f"WITH {s.BARS}, l AS (SELECT series_id, close, {s.lag('close', 1)} AS p FROM bars) SELECT series_id, round(corr(close, p), 6) AS autocorr_1 FROM l GROUP BY series_id"
 _half = f"h AS (SELECT *, CASE WHEN row_number() OVER ({s.W}) <= floor(count(*) OVER (PARTITION BY series_id) / 2) THEN 1 ELSE 2 END AS k FROM bars)"
-QUERIES["a09_halves_t_test"] = lambda spark, sf: qu.halves_t_test(src.bars(spark, sf), "close").withColumn("t", F.round("t", 5))
-ORACLES["a09_halves_t_test"] = f"""WITH {s.BARS}, {_half}, g AS (SELECT series_id, count(*) FILTER (k = 1) AS n1, count(*) FILTER (k = 2) AS n2, avg(close) FILTER (k = 1) AS m1, avg(close) FILTER (k = 2) AS m2, var_samp(close) FILTER (k = 1) AS v1, var_samp(close) FILTER (k = 2) AS v2 FROM h GROUP BY series_id)
-    SELECT series_id, round((m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1 / n1 + 1 / n2)), 5) AS t, n1 + n2 - 2 AS df FROM g"""
+QUERIES["a09_halves_t_test"] = lambda spark, sf: qu.halves_t_test(src.bars(spark, sf), "close").withColumns({"t": F.round("t", 5), "p": F.round("p", 7)})
+# The finite sums of Student's t for whole degrees of freedom: powers of cos(atan(t / sqrt(df))), by parity.
+ORACLES["a09_halves_t_test"] = f"""WITH {s.BARS}, {_half}, g AS (SELECT series_id, count(*) FILTER (k = 1) AS n1, count(*) FILTER (k = 2) AS n2, avg(close) FILTER (k = 1) AS m1, avg(close) FILTER (k = 2) AS m2, var_samp(close) FILTER (k = 1) AS v1, var_samp(close) FILTER (k = 2) AS v2 FROM h GROUP BY series_id),
+    r AS (SELECT series_id, (m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1 / n1 + 1 / n2)) AS t, n1 + n2 - 2 AS df FROM g),
+    a AS (SELECT *, atan(abs(t) / sqrt(df)) AS th, df % 2 AS odd FROM r),
+    e AS (SELECT *, unnest(generate_series(0, ((df - 2 - odd) / 2)::BIGINT)) AS k FROM a),
+    c AS (SELECT series_id, t, df, th, odd, sum(CASE WHEN odd = 0 THEN exp(lgamma(k + 0.5) - lgamma(k + 1) - 0.5 * ln(pi()) + 2 * k * ln(cos(th)))
+        ELSE exp(lgamma(k + 1) - lgamma(k + 1.5) + 0.5 * ln(pi()) - ln(2) + (2 * k + 1) * ln(cos(th))) END) AS total FROM e GROUP BY ALL)
+    SELECT series_id, round(t, 5) AS t, df, round(1 - CASE WHEN odd = 0 THEN sin(th) * total ELSE 2 / pi() * (th + sin(th) * total) END, 7) AS p FROM c"""
 QUERIES["a14_importance"] = lambda spark, sf: ft.importance(src.bars(spark, sf), "close", ["open", "high", "low", "volume"]).withColumn("importance", F.round("importance", 6))
 ORACLES["a14_importance"] = f"WITH {s.BARS}, c AS (SELECT *, {s.pct('close', 5)} AS r FROM bars), t AS (SELECT *, {s.lag('r', -5)} AS y FROM c) " + " UNION ALL ".join(f"SELECT '{x}' AS feature, round(abs(corr({x}, y)), 6) AS importance FROM t" for x in ("open", "high", "low", "volume"))
 

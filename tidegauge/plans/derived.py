@@ -14,7 +14,7 @@ from tidegauge.operators import quality as qu
 from tidegauge.plans import pipeline, sinks
 from tidegauge.plans import sql as s
 from tidegauge.plans.catalogue import ORACLES, OUTS, QUERIES, gappy, register, shown
-from tidegauge.sources import panels
+from tidegauge.sources import files, panels
 from tidegauge.sources import tables as src
 from tidegauge.streaming.bars import windowed_bars
 
@@ -244,6 +244,36 @@ _filled = ", ".join(c if c in _whole else f"last_value({c} IGNORE NULLS) OVER ({
 table_query("f23_engineered", lambda spark, sf: shown(_engineered(spark, sf), _engineered_out), f"SELECT series_id, date, {_filled} FROM ({_engineered_sql})")
 
 
+# --- joins in time, files
+def _asof(spark, sf):
+    """Each view of a user with the value of the user's last purchase, of at most five days before."""
+    e = _events(spark, sf).withColumnsRenamed({"user_id": "series_id", "ts": "date"})
+    bought = e.where("event_type = 'purchase'").select("series_id", "date", F.col("value").alias("last_value"), F.col("event_id").alias("last_id"))
+    views = e.where("event_type = 'view'").select("series_id", "date", "event_id")
+    out = cl.asof_join(views, bought, ["last_value", "last_id"], tie="last_id", tolerance=5 * 86400)
+    return out.select("event_id", F.col("series_id").alias("user_id"), "last_id", "last_value")
+
+
+table_query("j05_asof_join", _asof, """WITH p AS (SELECT user_id, ts, max(event_id) AS last_id, arg_max(value, event_id) AS last_value FROM events WHERE event_type = 'purchase' GROUP BY ALL),
+    v AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'view'),
+    n AS (SELECT v.event_id, p.last_id, p.last_value, row_number() OVER (PARTITION BY v.event_id ORDER BY p.ts DESC) AS k FROM v JOIN p ON v.user_id = p.user_id AND p.ts <= v.ts AND p.ts >= v.ts - INTERVAL 5 DAY)
+    SELECT v.event_id, v.user_id, n.last_id, n.last_value FROM v LEFT JOIN n ON v.event_id = n.event_id AND n.k = 1""")
+
+
+def _files(spark, sf):
+    """Daily highs written as a file for each series and year, one more that is broken, and a stretch of them read again."""
+    path = files.shared_path(spark, "series")
+    o = src.table(spark, sf, "orders")
+    days = o.groupBy(F.col("o_orderpriority").alias("series_id"), F.to_date("o_orderdate").alias("date")).agg(F.max("o_totalprice").alias("value"))
+    files.write_series_files(days, path)
+    broken = days.groupBy().agg(F.lit("broken").alias("series_id"), F.lit(1997).alias("year"), F.lit("{not a record").alias("record"))
+    broken.write.mode("append").partitionBy("series_id", "year").text(path)
+    got = files.series_files(spark, path).where("date >= '1996-07-01' and date < '1998-03-01'")
+    return got.select("series_id", "date", F.round("value", 2).alias("value"), F.col("error").isNotNull().cast("int").alias("failed"))
+
+
+table_query("s11_series_files", _files, "SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS date, round(max(o_totalprice), 2) AS value, 0 AS failed FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1996-07-01' AND CAST(o_orderdate AS DATE) < DATE '1998-03-01' GROUP BY ALL UNION ALL SELECT 'broken', NULL, NULL, 1")
+
 # --- series in blocks
 _split = ["i01_sma", "i02_ema", "i12_bollinger", "i27_volume", "f14_price_action", "f18_close_lags"]
 _split_out, _, _split_sql = _side_by_side(_split)
@@ -286,22 +316,51 @@ table_query("q11_recommendations", _verdict, f"WITH {s.BARS}, g AS ({s.GAPPY}) S
 
 
 _limits = {"rows": (100, None), "longest_gap": (None, 30), "redundant_pairs": (None, 0), "duplicate_keys": (None, 0), "drifted_close": (None, 0)}
+_checked = ["high", "close", "volume"]
 
 
 def _combined(spark, sf):
+    """Every metric of every check, whether the check passed, and its issues."""
     b = src.bars(spark, sf).withColumn("volume", F.col("volume").cast("double"))
-    out = pipeline.validate(b, pipeline.Settings(numeric=["high", "close", "volume"]), _limits, 1)
-    return out.select("check", F.col("passed").cast("int").alias("passed"), F.size("issues").alias("issues"), F.size("metrics").alias("metrics"))
-
-
-_part = lambda n: ORACLES[n].rstrip()
-table_query("q15_combined_validation", _combined, f"""WITH {s.BARS}, g AS (SELECT date - {s.lag('date', 1)} AS d FROM bars), dr AS ({_part('q12_drift')}),
-    bad("check", issues, metrics) AS (
-        SELECT 'completeness', (count(*) < 100)::INT, 4 FROM bars UNION ALL SELECT 'data_types', 0, 1 UNION ALL SELECT 'ranges', 0, 12 UNION ALL SELECT 'outliers', 0, 6
-        UNION ALL SELECT 'duplicates', (count(*) > count(DISTINCT (series_id, date)))::INT, 2 FROM bars UNION ALL SELECT 'time_integrity', (max(d) > 30)::INT, 5 FROM g
-        UNION ALL SELECT 'correlations', (greatest(abs(corr(high, close)), abs(corr(high, volume)), abs(corr(close, volume))) > 0.95)::INT, 3 FROM bars
-        UNION ALL SELECT 'business_rules', 0, 3 UNION ALL SELECT 'extreme_values', 0, 3 UNION ALL SELECT 'drift', (sum(drifted) > 0)::INT, 3 FROM dr)
-    SELECT "check", (issues = 0)::INT AS passed, issues::INT AS issues, metrics::INT AS metrics FROM bad""")
+    out = pipeline.validate(b, pipeline.Settings(numeric=_checked), _limits, 1)
+    rows = out.select("check", F.col("passed").cast("int").alias("passed"), F.array_join("issues", "; ").alias("issues"), F.explode("metrics").alias("metric", "value"))
+    return rows.withColumn("value", F.round("value", 4))
+
+
+def _unpivot(check: str, metrics: dict[str, str], source: str) -> str:
+    one = ", ".join(f"({e})::DOUBLE AS {m}" for m, e in metrics.items())
+    return f"SELECT '{check}' AS \"check\", metric, value FROM (UNPIVOT (SELECT {one} FROM {source}) ON COLUMNS(*) INTO NAME metric VALUE value)"
+
+
+def _each(**metrics: str) -> dict[str, str]:
+    """{metric_x: expression of x} for every column checked."""
+    return {f"{m}_{x}": e.format(x=x) for x in _checked for m, e in metrics.items()}
+
+
+_of_all = ", ".join(f"avg({x}) AS m_{x}, stddev_pop({x}) AS p_{x}, stddev_samp({x}) AS s_{x}, quantile_cont({x}, 0.25) AS a_{x}, quantile_cont({x}, 0.75) AS b_{x}" for x in _checked)
+_sizes = [f"abs(corr({a}, {b}))" for i, a in enumerate(_checked) for b in _checked[i + 1 :]]
+_beyond = "({x} < '-infinity'::DOUBLE OR {x} > 'infinity'::DOUBLE)"
+_cv = lambda x, k: f"coalesce(stddev_samp({x}) FILTER (k = {k}) / nullif(abs(avg({x}) FILTER (k = {k})), 0), 0)"
+_moved = ", ".join(f"CASE WHEN count(*) >= 20 AND count({x}) > 10 THEN abs({_cv(x, 2)} - {_cv(x, 1)}) ELSE 0 END AS d_{x}" for x in _checked)
+_half_sql = f"SELECT *, CASE WHEN row_number() OVER ({s.W}) <= floor(count(*) OVER (PARTITION BY series_id) / 2) THEN 1 ELSE 2 END AS k FROM b"
+_parts = [
+    _unpivot("completeness", {"rows": "count(*)"} | _each(null_pct="avg(({x} IS NULL)::INT) * 100"), "b"),
+    _unpivot("data_types", {"wrong_types": " + ".join(f"(typeof(any_value({x})) <> 'DOUBLE')::INT" for x in _checked)}, "b"),
+    _unpivot("ranges", _each(out=f"count(*) FILTER ({_beyond})", min="min({x})", max="max({x})", ok=f"(avg({_beyond}::INT) <= 0.01)::INT"), "b"),
+    _unpivot("outliers", _each(z="count(*) FILTER (abs({x} - m_{x}) > 4 * p_{x})", iqr="count(*) FILTER ({x} < a_{x} - 1.5 * (b_{x} - a_{x}) OR {x} > b_{x} + 1.5 * (b_{x} - a_{x}))"), "b, st"),
+    _unpivot("extreme_values", _each(extreme="count(*) FILTER (abs({x} - m_{x}) > 5 * s_{x})"), "b, st"),
+    _unpivot("business_rules", _each(negative="count(*) FILTER ({x} < 0)"), "b"),
+    _unpivot("correlations", {"mean_abs_corr": f"({' + '.join(_sizes)}) / {len(_sizes)}", "max_abs_corr": f"greatest({', '.join(_sizes)})", "redundant_pairs": " + ".join(f"({c} > 0.95)::INT" for c in _sizes)}, "b"),
+    _unpivot("duplicates", {"duplicate_keys": "count(*) - count(DISTINCT (series_id, date))", "duplicate_rows": f"count(*) - count(DISTINCT (series_id, date, {', '.join(_checked)}))"}, "b"),
+    f"SELECT * FROM ({ORACLES['q06_time_integrity']})",
+    _unpivot("drift", _each(drifted="count(*) FILTER (d_{x} > 0.2)"), "dr"),
+]
+_issue = " ".join(f"WHEN metric = '{m}' AND (value < {lo if lo is not None else '-1e300'} OR value > {hi if hi is not None else '1e300'}) THEN metric || ' = ' || value" for m, (lo, hi) in (_limits | {"wrong_types": (None, 0)}).items())
+table_query("q15_combined_validation", _combined, f"""WITH {s.BARS}, b AS (SELECT * REPLACE (volume::DOUBLE AS volume) FROM bars), st AS (SELECT {_of_all} FROM b),
+    h AS ({_half_sql}), dr AS (SELECT {_moved} FROM h GROUP BY series_id),
+    m AS ({' UNION ALL '.join(_parts)}), i AS (SELECT *, CASE {_issue} END AS issue FROM m),
+    g AS (SELECT "check", count(issue) AS n, coalesce(string_agg(issue, '; ' ORDER BY issue), '') AS issues FROM i GROUP BY "check")
+    SELECT "check", (n = 0)::INT AS passed, issues, metric, round(value, 4) AS value FROM i JOIN g USING ("check")""")
 
 
 def _rules(spark, sf):

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from tidegauge.operators import cleaning, features, indicators, quality
 from tidegauge.plans import sinks
+from tidegauge.sources import files
 
 
 @dataclass
@@ -77,12 +78,29 @@ def incremental(history: DataFrame, s: Settings, since: date) -> DataFrame:
 
 
 def validate(df: DataFrame, s: Settings, limits: dict[str, tuple[float | None, float | None]], extra: int = 5) -> DataFrame:
-    """One row for each check: passed, issues, metrics. A check that cannot run fails and leaves the others standing."""
-    xs = s.numeric
-    rows = quality.isolated({
-        "completeness": lambda: quality.completeness(df, xs), "data_types": lambda: quality.types(df, xs), "ranges": lambda: quality.ranges(df, s.ranges or dict.fromkeys(xs, (float("-inf"), float("inf")))),
-        "outliers": lambda: quality.outliers(df, xs), "duplicates": lambda: quality.duplicates(df, ["series_id", "date"], xs), "time_integrity": lambda: quality.time_integrity(df, extra),
-        "correlations": lambda: quality.correlations(df, xs), "business_rules": lambda: quality.business_rules(df, xs, [x for x in ("risk_sentiment_score",) if x in df.columns]),
-        "extreme_values": lambda: quality.extreme_values(df, xs), "drift": lambda: quality.drifted_series(df, xs),
+    """One row for each check: passed, issues, metrics; see measured()."""
+    return quality.verdicts(measured(df, s, extra), {"error": (None, 0), "wrong_types": (None, 0), **limits})
+
+
+def measured(df: DataFrame, s: Settings, extra: int = 5) -> DataFrame:
+    """(check, metric, value) of all checks. df is computed once: its keys and numeric columns are written to the shared folder while
+    what one pass can tell is observed; checks that need statistics first read the columns written. A check that fails, in
+    planning or while it runs, gives the metric `error` and leaves the others standing."""
+    spark = df.sparkSession
+    xs = [x for x in s.numeric if x in df.columns and not quality.wrong_types(df, [x])]
+    ranges = {x: r for x, r in s.ranges.items() if x in xs} or dict.fromkeys(xs, (float("-inf"), float("inf")))
+    percent = [x for x in ("risk_sentiment_score",) if x in df.columns]
+    path = files.shared_path(spark, "checked")
+    narrow = df.select(*dict.fromkeys(["series_id", "date", *xs, *percent]))
+    rows = quality.observed(narrow, quality.plain_metrics(narrow, xs, ranges, percent), lambda d: d.write.parquet(path))
+    kept = spark.read.schema(narrow.schema).parquet(path)
+    absent = len(xs) < len(s.numeric)
+    numeric = s.numeric if absent else xs  # a column that is not there fails the checks that need it, and no others
+    if absent:
+        rows = [r for r in rows if r[0] == "completeness"] + [(c, "error", 1.0) for c in ("ranges", "business_rules", "correlations")]
+    rows += quality.isolated({
+        "data_types": lambda: quality.types(df, s.numeric), "outliers": lambda: quality.outliers(kept, numeric),
+        "duplicates": lambda: quality.duplicates(kept, ["series_id", "date"], numeric), "time_integrity": lambda: quality.time_integrity(kept, extra),
+        "extreme_values": lambda: quality.extreme_values(kept, numeric), "drift": lambda: quality.drifted_series(kept, numeric),
     })
-    return quality.verdicts(rows, {"error": (None, 0), "wrong_types": (None, 0), **limits})
+    return spark.createDataFrame(rows, "check string, metric string, value double")
