@@ -80,3 +80,13 @@ def test_documents(spark):
     assert got.columns == ["word", "form", "root", "n", "n_near", "form_n"]
     assert {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in got.collect()} == by_hand(rows)
     assert spelling.variants(spelling.counted(docs.limit(0))).count() == 0
+
+
+def test_query_against_duckdb(spark):
+    import duckdb
+
+    con, path = duckdb.connect(), "/root/testdata/sf0.001"
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/documents.parquet'")
+    got = spelling.op11_spelling_variants(spark, path)
+    want = con.sql(spelling.oracle_sql())
+    assert got.columns == want.columns and {tuple(r) for r in got.collect()} == set(want.fetchall())

@@ -24,4 +24,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op3_url_filter": urls.oracle_sql()}
+    return {"op3_url_filter": urls.oracle_sql(), "op11_spelling_variants": spelling.oracle_sql()}

@@ -243,3 +243,26 @@ def variants(words: DataFrame) -> DataFrame:
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = counted(documents(spark, sf_dir))
     return variants(words.where((F.length("word") >= SHORTEST) & (F.col("n") >= RAREST)))
+
+
+def oracle_sql() -> str:
+    """The same in DuckDB SQL: crc32 by its table, made from the polynomial, and near words by deleted letters."""
+    return """
+    WITH RECURSIVE bits AS (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) AS t(i)),
+    crc AS (SELECT list(v ORDER BY i) AS t FROM bits),
+    runs AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents WHERE text IS NOT NULL),
+    low AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM runs GROUP BY ALL),
+    bytes AS (SELECT run, n, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)] ELSE [192 + (ord(c) >> 6), 128 + (ord(c) & 63)] END)) AS b FROM low),
+    hashed AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS h FROM bytes, crc),
+    slipped AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, n FROM hashed),
+    words AS (SELECT word, sum(n)::BIGINT AS n FROM slipped GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3),
+    places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS k FROM words),
+    less AS (SELECT word, n, k, substr(word, 1, k - 1) || substr(word, k + 1) AS rest FROM places),
+    pairs AS (SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.rest = b.rest AND a.k = b.k AND a.word <> b.word
+    UNION SELECT w.word, w.n, l.word, l.n FROM words w JOIN less l ON l.rest = w.word UNION SELECT l.word, l.n, w.word, w.n FROM words w JOIN less l ON l.rest = w.word),
+    best AS (SELECT word, n, count(*) AS n_near, arg_min(near, (-near_n, near)) AS near, max(near_n) AS near_n FROM pairs GROUP BY word, n),
+    forms AS (SELECT word, near AS form, near_n AS form_n FROM best WHERE near_n >= 2 * n),
+    walk AS (SELECT word, form AS root FROM forms UNION ALL SELECT w.word, f.form FROM walk w JOIN forms f ON w.root = f.word),
+    ends AS (SELECT word, root FROM walk WHERE root NOT IN (SELECT word FROM forms))
+    SELECT w.word, f.form, coalesce(e.root, w.word) AS root, w.n, coalesce(b.n_near, 0) AS n_near, f.form_n FROM words w LEFT JOIN best b ON w.word = b.word LEFT JOIN forms f ON w.word = f.word LEFT JOIN ends e ON w.word = e.word
+    """
