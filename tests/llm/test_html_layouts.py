@@ -31,6 +31,11 @@ PAGES = {
     "content wrapper": (f'<html><body><div class="no-sidebar menu-closed"><div class="main-content"><h1>{H}</h1>{ARTICLE}</div></div><div id="footer">{FOOT}</div></body></html>', [], [FOOT[3:-4]]),
     "plain with links": (f"<html><body><div>{NAV}</div><div><h1>{H}</h1>{ARTICLE}</div><div>{FOOT}</div></body></html>", [], ["Home", "News", "Sport", "About us"]),
     "main with nav first": (f'<html><body><div id="app"><div class="topbar"><a href="/">Quay</a><a href="/in">Log in</a></div><div class="breadcrumbs"><a href="/">Home</a> / <a href="/news">News</a></div><main class="page"><h1>{H}</h1>{ARTICLE}<div class="share-buttons"><a href="#">Share this</a></div></main></div></body></html>', [], ["QuayLog in", "Home / News", "Share this"]),
+    "recipe": (f'<html><body><header class="site"><nav>{NAV}</nav></header><main><h1>{H}</h1><p>{P[0]}</p><h2>Ingredients</h2><ul class="ingredients"><li>2 eggs</li><li>100 g flour</li><li>a pinch of salt</li><li>half a litre of milk</li></ul><h2>Method</h2><ol><li>Beat the eggs.</li><li>Add flour and salt.</li><li>Stir in the milk and let it rest for an hour.</li></ol><p>{P[1]}</p><p>{P[2]}</p></main><footer>{FOOT}</footer></body></html>', ["2 eggs", "100 g flour", "a pinch of salt", "half a litre of milk", "Beat the eggs.", "Add flour and salt.", "Stir in the milk and let it rest for an hour."], ["Home", "News", FOOT[3:-4]]),
+    "table": (f'<html><body><nav>{NAV}</nav><article><h1>{H}</h1><p>{P[0]}</p><table><tr><th>Key</th><th>Value</th></tr><tr><td>Length</td><td>240 m</td></tr><tr><td>Depth at low water</td><td>6 m</td></tr></table><p>{P[1]}</p><p>{P[2]}</p></article><footer>{FOOT}</footer></body></html>', ["Key", "Value", "Length", "240 m", "Depth at low water", "6 m"], ["Home", "News", FOOT[3:-4]]),
+    "question": (f'<html><body><nav class="topbar">{NAV}</nav><div id="content"><div class="question"><h1>{H}</h1><p>{P[0]}</p></div><div class="answer"><p>{P[1]}</p></div><div class="answer"><p>{P[2]}</p></div></div><footer>{FOOT}</footer></body></html>', [], ["Home", "News", FOOT[3:-4]]),
+    "glossary": (f'<html><body><nav>{NAV}</nav><main class="content"><h1>{H}</h1><p>{P[0]}</p><dl><dt>Pier</dt><dd>A wall that runs out into the sea.</dd><dt>Quay</dt><dd>A wall along the shore, where ships lie.</dd></dl><p>{P[1]}</p><p>{P[2]}</p></main></body></html>', ["Pier", "A wall that runs out into the sea.", "Quay", "A wall along the shore, where ships lie."], ["Home", "News"]),
+    "photo story": (f'<html><body><header><nav>{NAV}</nav></header><article class="post"><h1>{H}</h1><p>{P[0]}</p><figure><img src="1.jpg"><figcaption>The first ferry, Monday.</figcaption></figure><p>{P[1]}</p><figure><img src="2.jpg"><figcaption>Divers at the north pier</figcaption></figure><p>{P[2]}</p></article><footer>{FOOT}</footer></body></html>', ["The first ferry, Monday.", "Divers at the north pier"], ["Home", "Sport", FOOT[3:-4]]),
 }
 
 
@@ -61,7 +66,7 @@ def test_blocks_are_told_apart(net):
             right, wrong = right + (text in got), wrong + (text not in got)
         for text in others:
             right, wrong = right + (text not in got), wrong + (text in got)
-    assert right / (right + wrong) >= 0.95
+    assert right / (right + wrong) >= 0.97
 
 
 def test_odd_markup_takes_linear_time():

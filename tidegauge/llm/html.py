@@ -384,6 +384,9 @@ AREAS = {
 }
 MAIN_TAGS, MAIN_NAMES = "article article article main main div div section td".split(), "content article post entry story main body text prose single detail hentry copy page".split()
 MAIN_LEAF = "p p p p p p p p h2 h3 li blockquote pre td figcaption div dd -".split()
+#: Runs of short blocks within the main text: what holds them, what stands round each few of them, and their tags.
+RUNS = [("ul", "", ["li"]), ("ol", "", ["li"]), ("ul", "", ["li"]), ("dl", "", ["dt", "dd"]), ("table", "tr", ["th", "td"]), ("table", "tr", ["td", "td", "td"]), ("div", "figure", ["figcaption"]), ("div", "div", ["p"]), ("div", "pre", ["code"])]
+RUN_NAMES = "ingredients steps instructions method recipe question answer faq list items specs table data qa notes features timeline details".split()
 WRAPPERS = "wrapper container page row col site layout inner outer root app grid section box block clearfix left right center primary column area region module".split()
 STATES = "has no with open fixed hide show is js top sticky full wide dark".split()
 STOCK = "home about contact login sign in subscribe newsletter accept all cookies privacy policy terms of use copyright all rights reserved menu search comments reply posted by share tweet more related read next previous page top advertisement sponsored we use register password email".split()
@@ -421,6 +424,8 @@ def draw_page(rng: np.random.Generator, texts: list[list[str]]) -> tuple[str, np
         inner = f'<a href="/{len(out)}">{text}</a>' if linked else text if rng.random() < 0.9 else f"<b>{text}</b>"
         if tag == "-":
             out.append(f"{inner}<hr>")
+        elif tag[0] == "_":  # within its parent already
+            out.append(f"<{tag[1:]}>{inner}</{tag[1:]}>")
         elif tag in PARENT:
             out.append(f"<{PARENT[tag]}><{tag}>{inner}</{tag}></{PARENT[tag].split('>')[0]}>")
         else:
@@ -454,6 +459,18 @@ def draw_page(rng: np.random.Generator, texts: list[list[str]]) -> tuple[str, np
             out.append("<input type=text>")
         out.append(f"</{tag}>")
 
+    def run():
+        """A list, a table or the like in the main text, its items short and without links."""
+        holder, group, tags = pick(RUNS)
+        out.append(f"<{holder}{names(pick(RUN_NAMES)) if rng.random() < 0.35 else ''}>")
+        most = int(pick([4, 8, 25]))
+        for _ in range(int(rng.integers(2, 9))):
+            out.append(f"<{group}{names(pick(RUN_NAMES)) if group == 'div' and rng.random() < 0.7 else ''}>" if group else "")
+            for tag in tags:
+                block(f"_{tag}", words(1, most), 1, False)
+            out.append(f"</{group}>" if group else "")
+        out.append(f"</{holder}>")
+
     def main():
         ends = []
         for level in range(1 + int(rng.integers(3))):
@@ -464,6 +481,8 @@ def draw_page(rng: np.random.Generator, texts: list[list[str]]) -> tuple[str, np
         if rng.random() < 0.6:
             block("h1", words(1, 10), 1, False)
         for _ in range(int(rng.integers(1, 16))):
+            if rng.random() < 0.14:
+                run()
             block(pick(MAIN_LEAF), words(1, 4) if rng.random() < 0.15 and not plain else words(4, 90), 1, rng.random() < 0.05)
             if rng.random() < 0.06 and not plain:
                 area(pick(["ad", "share", "side", "form", "notice"]))
