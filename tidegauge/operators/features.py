@@ -216,11 +216,17 @@ def importance(df: DataFrame, p: str, xs: list[str], ahead: int = 5) -> DataFram
     return row.selectExpr(f"stack({len(xs)}, {pairs}) AS (feature, importance)").orderBy(F.desc("importance"), "feature")
 
 
-def drop_sparse(df: DataFrame, keys=("series_id", "date"), limit: int = 5, most: float = 0.5) -> DataFrame:
-    """Infinities to NULL, forward fill of at most `limit` rows, then columns with over half NULL go (one pass of counts)."""
+def settle(df: DataFrame, keys=("series_id", "date"), limit: int = 5) -> DataFrame:
+    """Infinities to NULL, then forward fill of at most `limit` rows."""
     xs = [c for c, t in df.dtypes if c not in keys and t in ("double", "float")]
     bad = lambda x: F.isnan(col(x)) | (F.abs(col(x)) == float("inf"))
     df = df.withColumns({x: F.when(~bad(x), col(x)) for x in xs})
-    df = stage(df, limit, lambda d: d.withColumns({x: ffill(x, limit) for x in xs}))
+    return stage(df, limit, lambda d: d.withColumns({x: ffill(x, limit) for x in xs}))
+
+
+def drop_sparse(df: DataFrame, keys=("series_id", "date"), limit: int = 5, most: float = 0.5) -> DataFrame:
+    """settle(), then columns with over half NULL go (one pass of counts)."""
+    df = settle(df, keys, limit)
+    xs = [c for c, t in df.dtypes if c not in keys and t in ("double", "float")]
     share = df.agg(*[F.avg(col(x).isNull().cast("int")).alias(x) for x in xs]).first()
     return df.drop(*[x for x in xs if share[x] is not None and share[x] > most])

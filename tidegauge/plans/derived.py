@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -274,6 +276,42 @@ def _files(spark, sf):
 
 table_query("s11_series_files", _files, "SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS date, round(max(o_totalprice), 2) AS value, 0 AS failed FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1996-07-01' AND CAST(o_orderdate AS DATE) < DATE '1998-03-01' GROUP BY ALL UNION ALL SELECT 'broken', NULL, NULL, 1")
 
+def _replaced(spark, sf):
+    """Bars stored by year, then all from a date on written anew with another close; read back."""
+    path, b = files.shared_path(spark, "bars"), src.bars(spark, sf).select("series_id", "date", "close")
+    sinks.export(b, path, "parquet")
+    since = date(1998, 5, 17)
+    sinks.replace_since(b.where(F.col("date") >= F.lit(since)).withColumn("close", -F.col("close")), path, since)
+    return spark.read.parquet(path).select("series_id", "date", "close", F.col("year").cast("int").alias("year"))
+
+
+table_query("k02_replace_since", _replaced, f"WITH {s.BARS} SELECT series_id, date, CASE WHEN date >= DATE '1998-05-17' THEN -close ELSE close END AS close, year(date)::INTEGER AS year FROM bars")
+
+
+def _csv(spark, sf):
+    """Bars written as CSV with fixed decimals and read back."""
+    path, b = files.shared_path(spark, "csv"), src.bars(spark, sf)
+    sinks.export(b.select("series_id", "date", F.col("close") / 7, "volume").toDF("series_id", "date", "part", "volume"), path, "csv", compression="gzip")
+    return spark.read.option("header", True).schema("series_id string, date date, part double, volume long").csv(path)
+
+
+table_query("k01_csv_round_trip", _csv, f"WITH {s.BARS} SELECT series_id, date, round(close / 7, 6) AS part, volume FROM bars")
+_daily_out = {"close_lag_66": None, "volatility_66d": 5, "volatility_ewma": 4, "distance_from_ma_50": 5, "roc_22d": 5}
+
+
+def _daily(spark, sf):
+    """Features of the whole history stored by year, then the last months anew from a cut history; read back."""
+    path, b = files.shared_path(spark, "features"), src.bars(spark, sf).withColumn("volume", F.col("volume").cast("double"))
+    picked = pipeline.Settings(lags=(66,))
+    whole = pipeline.engineer(cl.fill(b, picked.numeric), picked)
+    sinks.export(whole.where("date < '2001-04-01'"), path, "parquet")
+    pipeline.daily(b, picked, date(2001, 2, 10), path)
+    return shown(spark.read.parquet(path), _daily_out)
+
+
+_fresh = {"lr": f"ln(close / {s.lag('close', 1)})"}
+table_query("k13_daily_run", _daily, s.chain([s.numbered() | _fresh, _ewm_std_sql(), {"close_lag_66": s.lag("close", 66), "volatility_66d": f"{s.roll('stddev_samp', 'lr', 66)} * sqrt(252)", "distance_from_ma_50": f"(close - {s.roll('avg', 'close', 50)}) / {s.roll('avg', 'close', 50)}", "roc_22d": s.pct("close", 22)}, f"SELECT *, {', '.join(f'last_value({c} IGNORE NULLS) OVER ({s.W} ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS f_{c}' for c in _daily_out)} FROM {{prev}}", f"SELECT series_id, date, {', '.join(f'f_{c} AS {c}' for c in _daily_out)} FROM {{prev}}"], _daily_out))
+
 # --- series in blocks
 _split = ["i01_sma", "i02_ema", "i12_bollinger", "i27_volume", "f14_price_action", "f18_close_lags"]
 _split_out, _, _split_sql = _side_by_side(_split)

@@ -33,7 +33,7 @@ class Settings:
     look_back: int = 800
 
 
-def engineer(df: DataFrame, s: Settings) -> DataFrame:
+def engineer(df: DataFrame, s: Settings, keep_sparse: bool = False) -> DataFrame:
     """All feature stages in order: rates, their momentum and the yield curve, volatility, index, levels, risk score, carry, correlations, price
     action, calendar, lags, rolling statistics, interactions, cleaning. A stage whose columns are missing is left out."""
     has = lambda *xs: set(xs) <= set(df.columns)
@@ -58,7 +58,8 @@ def engineer(df: DataFrame, s: Settings) -> DataFrame:
     df = features.calendar_features(features.price_action(df, s.price))
     df = features.lag_features(df, [s.price], s.lags)
     df = features.rolling_features(df, [x for x in s.rolled if has(x)])
-    return features.drop_sparse(features.interactions(df, s.pairs))
+    df = features.interactions(df, s.pairs)
+    return features.settle(df) if keep_sparse else features.drop_sparse(df)
 
 
 def run(frames: list[DataFrame], s: Settings, out: str | None = None, kind: str = "parquet", dry_run: bool = False) -> tuple[DataFrame, dict | None]:
@@ -70,11 +71,16 @@ def run(frames: list[DataFrame], s: Settings, out: str | None = None, kind: str
 
 def incremental(history: DataFrame, s: Settings, since: date) -> DataFrame:
     """Features of the dates from `since` on, from a history cut to what their windows can see: of each series the last
-    `look_back` rows before `since`, whatever its frequency. Cleaning is that of run()."""
+    `look_back` rows before `since`, whatever its frequency. Cleaning is that of run(); no column goes as sparse, which a cut history cannot tell."""
     place = F.row_number().over(Window.partitionBy("series_id").orderBy(F.desc("date")))
     old = history.where(F.col("date") < F.lit(since)).withColumn("_place", place).where(F.col("_place") <= s.look_back).drop("_place")
     df = old.unionByName(history.where(F.col("date") >= F.lit(since)))
-    return engineer(cleaning.clip_ranges(cleaning.fill(df, s.numeric), s.ranges), s).where(F.col("date") >= F.lit(since))
+    return engineer(cleaning.clip_ranges(cleaning.fill(df, s.numeric), s.ranges), s, keep_sparse=True).where(F.col("date") >= F.lit(since))
+
+
+def daily(history: DataFrame, s: Settings, since: date, target: str) -> dict:
+    """Features from `since` on into a stored target, whose earlier dates stay: what a daily run or a backfill writes."""
+    return sinks.replace_since(incremental(history, s, since), target, since)
 
 
 def validate(df: DataFrame, s: Settings, limits: dict[str, tuple[float | None, float | None]], extra: int = 5) -> DataFrame:

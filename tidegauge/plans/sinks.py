@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.quantiles import quantiles
+from tidegauge.sources import files
 
 CODECS = {"none": None, "gzip": "gzip", "bz2": "bzip2"}
 #: Integer types by range (strict bounds, unsigned ones widened).
@@ -58,11 +59,32 @@ def write_csv(df: DataFrame, path: str, compression: str = "none", single: bool
     return {"path": path, "format": "csv", "columns": df.columns}
 
 
-def write_parquet(df: DataFrame, path: str) -> dict:
-    df.withColumn("year", F.year("date")).write.mode("overwrite").option("compression", "snappy").partitionBy("year").parquet(path)
+def write_parquet(df: DataFrame, path: str, years: str = "all") -> dict:
+    """One folder a year. `years`: "all" replaces everything there; "given" replaces the years that df has and leaves the others, as
+    daily runs and backfills need it. A given year is replaced as a whole: df must hold all of its rows."""
+    if years not in ("all", "given"):
+        raise ValueError(f"years are 'all' or 'given', not {years!r}")
+    mode = "dynamic" if years == "given" else "static"
+    writer = df.withColumn("year", F.year("date")).write.mode("overwrite").option("compression", "snappy").option("partitionOverwriteMode", mode)
+    writer.partitionBy("year").parquet(path)
     return {"path": path, "format": "parquet", "columns": df.columns}
 
 
+def replace_since(df: DataFrame, path: str, since: date) -> dict:
+    """df (dates from `since` on) in place of what a stored target has from that date on; earlier rows stay.
+
+    The target's columns are written; those that df lacks are NULL from `since` on. The year that `since` lies in is written anew from its stored rows before `since` and df's; older years are not read.
+    """
+    spark = df.sparkSession
+    stored = spark.read.parquet(path)
+    kept = stored.where((F.col("year") == since.year) & (F.col("date") < F.lit(since))).drop("year")
+    mine = [F.col(c).cast(t) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in kept.dtypes]
+    both = kept.unionByName(df.where(F.col("date") >= F.lit(since)).select(*mine))
+    aside = files.shared_path(spark, "replaced")  # the target cannot be read while it is overwritten
+    both.write.parquet(aside)
+    return write_parquet(spark.read.schema(both.schema).parquet(aside), path, "given")
+
+
 def write_table(df: DataFrame, name: str) -> dict:
     df.write.mode("overwrite").saveAsTable(name)
     return {"path": name, "format": "table", "columns": df.columns}
