@@ -129,3 +129,25 @@ def test_order_statistics_of_ties_and_constants(spark):
     df = spark.createDataFrame(pd.DataFrame({"series_id": "a", "date": pd.date_range("2020-01-01", periods=9), "x": [2.0] * 5 + [1.0, 3.0, 3.0, 2.0]}))
     got = with_order_stats(df, {"r": Rank("x", 4), "q": Quantile("x", 4, 0.5), "d": Deviation("x", 4, "x")}).orderBy("date").toPandas()
     assert got.r[3] == 0.625 and got.q[4] == 2.0 and got.d[4] == 0.0 and got.q[8] == 2.5 and got.r[:3].isna().all()
+
+
+def test_correlations_of_four_hundred_columns(spark):
+    from tidegauge.functions.gram import pairwise_correlations
+    from tidegauge.operators import quality
+
+    rng = np.random.default_rng(2)
+    x = 1e6 + rng.standard_normal((300, 400)) @ (np.eye(400) + 0.1 * rng.standard_normal((400, 400)))
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:, 7], x[:, 8] = 3.0, np.nan
+    names = [f"c{k}" for k in range(400)]
+    frame = pd.DataFrame(x, columns=names)
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x], ", ".join(f"{c} double" for c in names)).repartition(5)
+    got = quality.correlation_matrix(df, names).toPandas()
+    assert len(got) == 400 * 399 // 2
+    want = frame.corr(min_periods=2).to_numpy()
+    want[7, :] = want[:, 7] = np.nan
+    at = {c: k for k, c in enumerate(names)}
+    assert np.allclose(got["corr"], want[got.a.map(at), got.b.map(at)], atol=1e-9, equal_nan=True)
+    rows = {r.metric: r.value for r in quality.correlations(df, names).collect()}
+    assert abs(rows["matrix_mean_abs_corr"] - np.nanmean(np.abs(want))) < 1e-9
+    assert pairwise_correlations(df, names[:1]).count() == 0 and pairwise_correlations(df.limit(0), names[:3]).count() in (0, 3)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidegauge.functions.gram import pairwise_correlations
 from tidegauge.functions.quantiles import quantiles
 from tidegauge.functions.tails import student_t_p
 from tidegauge.functions.windows import by_date, col, scorr, shift
@@ -69,8 +70,11 @@ def time_integrity(df: DataFrame, extra: int = 5) -> DataFrame:
     return as_rows(of_steps.crossJoin(of_days), "time_integrity")
 
 
-def correlation_matrix(df: DataFrame, xs: list[str]) -> DataFrame:
-    """(a, b, corr) of every pair of columns, pairwise complete, from one aggregation."""
+def correlation_matrix(df: DataFrame, xs: list[str], wide: int = 24) -> DataFrame:
+    """(a, b, corr) of every pair of columns, pairwise complete: from one aggregation, or, beyond `wide` columns, whose pairs would
+    not fit into a plan, from Gram sums by blocks of columns."""
+    if len(xs) > wide:
+        return pairwise_correlations(df, xs)
     pairs = [(a, b) for i, a in enumerate(xs) for b in xs[i + 1 :]]
     row = df.agg(*[scorr(a, b).alias(f"{a}|{b}") for a, b in pairs])
     stack = ", ".join(f"'{a}', '{b}', `{a}|{b}`" for a, b in pairs)
@@ -127,9 +131,12 @@ def business_rules(df: DataFrame, never_negative: list[str], percent: list[str],
 
 
 def correlations(df: DataFrame, xs: list[str], most: float = 0.95) -> DataFrame:
-    """Mean and largest absolute correlation of the pairs of columns, and how many pairs exceed `most`."""
+    """Mean and largest absolute correlation of the pairs of columns, how many pairs exceed `most`, and the mean over the whole
+    matrix, its diagonal included (columns that are constant left out)."""
     size = F.abs("corr")
-    return as_rows(correlation_matrix(df, xs).agg(F.avg(size).alias("mean_abs_corr"), F.max(size).alias("max_abs_corr"), F.count_if(size > most).alias("redundant_pairs")), "correlations")
+    k = (1 + F.sqrt(1 + 8 * F.count("corr"))) / 2  # so many columns make that number of pairs
+    whole = F.when(F.count("corr") > 0, (2 * F.sum(size) + k) / (k * k)).alias("matrix_mean_abs_corr")
+    return as_rows(correlation_matrix(df, xs).agg(F.avg(size).alias("mean_abs_corr"), F.max(size).alias("max_abs_corr"), F.count_if(size > most).alias("redundant_pairs"), whole), "correlations")
 
 
 def types(df: DataFrame, numeric: list[str]) -> DataFrame:
@@ -181,6 +188,8 @@ def plain_metrics(df: DataFrame, xs: list[str], limits: dict[str, tuple[float, f
         total, n = reduce(lambda a, b: a + b, there[::2]), reduce(lambda a, b: a + b, there[1::2])
         over = reduce(lambda a, b: a + b, [F.coalesce((s > most).cast("int"), F.lit(0)) for s in size])
         m["correlations"] = {"mean_abs_corr": F.try_divide(total, n), "max_abs_corr": F.greatest(*size) if len(size) > 1 else size[0], "redundant_pairs": over}
+        k = (1 + F.sqrt(1 + 8 * n)) / 2
+        m["correlations"]["matrix_mean_abs_corr"] = F.when(n > 0, (2 * total + k) / (k * k))
     return m
 
 

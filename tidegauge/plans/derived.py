@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.functions.windows import by_blocks
+from tidegauge.functions.windows import by_blocks, shift
 from tidegauge.operators import cleaning as cl
 from tidegauge.operators import features as ft
 from tidegauge.operators import indicators as ind
@@ -312,6 +312,17 @@ def _daily(spark, sf):
 _fresh = {"lr": f"ln(close / {s.lag('close', 1)})"}
 table_query("k13_daily_run", _daily, s.chain([s.numbered() | _fresh, _ewm_std_sql(), {"close_lag_66": s.lag("close", 66), "volatility_66d": f"{s.roll('stddev_samp', 'lr', 66)} * sqrt(252)", "distance_from_ma_50": f"(close - {s.roll('avg', 'close', 50)}) / {s.roll('avg', 'close', 50)}", "roc_22d": s.pct("close", 22)}, f"SELECT *, {', '.join(f'last_value({c} IGNORE NULLS) OVER ({s.W} ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS f_{c}' for c in _daily_out)} FROM {{prev}}", f"SELECT series_id, date, {', '.join(f'f_{c} AS {c}' for c in _daily_out)} FROM {{prev}}"], _daily_out))
 
+def _wide_correlations(spark, sf):
+    """Thirty columns: prices and their lags, with missing values at the start of each series."""
+    b = src.bars(spark, sf)
+    xs = [f"{x}_{k}" for x in ("open", "high", "close") for k in range(10)]
+    wide = b.select(*[shift(x, k).alias(f"{x}_{k}") for x in ("open", "high", "close") for k in range(10)])
+    return qu.correlation_matrix(wide, xs).withColumn("corr", F.round("corr", 6))
+
+
+_lagged = [f"{x}_{k}" for x in ("open", "high", "close") for k in range(10)]
+table_query("a07_wide_correlations", _wide_correlations, f"WITH {s.BARS}, w AS (SELECT " + ", ".join(f"{s.lag(c.split('_')[0], int(c.split('_')[1]))} AS {c}" for c in _lagged) + " FROM bars), one AS (SELECT " + ", ".join(f"corr({a}, {b}) AS {a}__{b}" for i, a in enumerate(_lagged) for b in _lagged[i + 1 :]) + " FROM w) SELECT split_part(name, '__', 1) AS a, split_part(name, '__', 2) AS b, round(corr, 6) AS corr FROM (UNPIVOT one ON COLUMNS(*) INTO NAME name VALUE corr)")
+
 # --- series in blocks
 _split = ["i01_sma", "i02_ema", "i12_bollinger", "i27_volume", "f14_price_action", "f18_close_lags"]
 _split_out, _, _split_sql = _side_by_side(_split)
@@ -388,7 +399,7 @@ _parts = [
     _unpivot("outliers", _each(z="count(*) FILTER (abs({x} - m_{x}) > 4 * p_{x})", iqr="count(*) FILTER ({x} < a_{x} - 1.5 * (b_{x} - a_{x}) OR {x} > b_{x} + 1.5 * (b_{x} - a_{x}))"), "b, st"),
     _unpivot("extreme_values", _each(extreme="count(*) FILTER (abs({x} - m_{x}) > 5 * s_{x})"), "b, st"),
     _unpivot("business_rules", _each(negative="count(*) FILTER ({x} < 0)"), "b"),
-    _unpivot("correlations", {"mean_abs_corr": f"({' + '.join(_sizes)}) / {len(_sizes)}", "max_abs_corr": f"greatest({', '.join(_sizes)})", "redundant_pairs": " + ".join(f"({c} > 0.95)::INT" for c in _sizes)}, "b"),
+    _unpivot("correlations", {"mean_abs_corr": f"({' + '.join(_sizes)}) / {len(_sizes)}", "max_abs_corr": f"greatest({', '.join(_sizes)})", "redundant_pairs": " + ".join(f"({c} > 0.95)::INT" for c in _sizes), "matrix_mean_abs_corr": f"(2 * ({' + '.join(_sizes)}) + 3) / 9"}, "b"),
     _unpivot("duplicates", {"duplicate_keys": "count(*) - count(DISTINCT (series_id, date))", "duplicate_rows": f"count(*) - count(DISTINCT (series_id, date, {', '.join(_checked)}))"}, "b"),
     f"SELECT * FROM ({ORACLES['q06_time_integrity']})",
     _unpivot("drift", _each(drifted="count(*) FILTER (d_{x} > 0.2)"), "dr"),
@@ -408,6 +419,6 @@ def _rules(spark, sf):
 
 _abs = [f"abs(corr({a}, {b}))" for i, a in enumerate(("open", "high", "low", "close")) for b in ("open", "high", "low", "close")[i + 1 :]]
 table_query("q09_rules_and_correlations", _rules, f"""WITH {s.BARS}, one AS (SELECT (count(*) FILTER (close < open))::DOUBLE AS negative_change, (count(*) FILTER ((close - open) / 1000 NOT BETWEEN -1 AND 100))::DOUBLE AS unreasonable_change, corr(close, volume) AS corr_close_volume FROM bars),
-    two AS (SELECT ({' + '.join(_abs)}) / 6 AS mean_abs_corr, greatest({', '.join(_abs)}) AS max_abs_corr, ({' + '.join(f'({x} > 0.6)::INT' for x in _abs)})::DOUBLE AS redundant_pairs FROM bars)
+    two AS (SELECT ({' + '.join(_abs)}) / 6 AS mean_abs_corr, greatest({', '.join(_abs)}) AS max_abs_corr, ({' + '.join(f'({x} > 0.6)::INT' for x in _abs)})::DOUBLE AS redundant_pairs, (2 * ({' + '.join(_abs)}) + 4) / 16 AS matrix_mean_abs_corr FROM bars)
     SELECT 'business_rules' AS "check", metric, round(value, 6) AS value FROM (UNPIVOT one ON COLUMNS(*) INTO NAME metric VALUE value)
     UNION ALL SELECT 'correlations', metric, round(value, 6) FROM (UNPIVOT two ON COLUMNS(*) INTO NAME metric VALUE value) UNION ALL SELECT 'data_types', 'wrong_types', 2.0::DOUBLE""")
