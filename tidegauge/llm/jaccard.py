@@ -198,16 +198,14 @@ def groups(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: floa
                 yield _columns(["u", "v"], np.array(u, np.int64)[keep], np.array(v, np.int64)[keep])
 
     def linked(pairs: DataFrame, label: str) -> DataFrame:
-        """Of pairs (u, v) those that are near enough."""
-        few = stored(pairs.distinct(), f"{label}-pairs")
+        """Of stored pairs (u, v) those that are near enough; the pairs go."""
         one, other = (held.select(F.col("key").alias(k), F.col("hashes").alias(h)) for k, h in (("u", "x"), ("v", "y")))
-        both = few.join(one, "u").join(other, "v").select("u", "v", "x", "y")
+        both = pairs.join(one, "u").join(other, "v").select("u", "v", "x", "y")
         links = stored(both.mapInArrow(compare, "u long, v long"), f"{label}-links")
-        forget(few)
+        forget(pairs)
         return links
 
-    told = stored(shared.join(own.select(F.col("fp").alias("key"), *SKETCH), "key"), "sketched-prefixes")
-    forget(shared)
+    sketches = own.select(F.col("fp").alias("key"), *SKETCH)
     share = similarity / (1 + similarity)
     left = F.col("n") - F.col("at")
     kind = [F.floor(F.ln("n") / math.log(FACTOR)).alias("size"), F.floor(left / F.col("n") / STEP).alias("rest")]
@@ -229,28 +227,36 @@ def groups(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: floa
         """Pairs of different groups that meet at a token and may be near enough."""
         once = F.col("uroot") < F.col("vroot") if some is rows else F.col("uroot") != F.col("vroot")
         may = F.least("uleft", "vleft") >= together * share - 1e-6
-        several = (F.least("ulow", "vlow") < F.greatest("uhigh", "vhigh"))
-        which = side(classes(some), "u").join(side(classes(rows), "v"), "token").where(may & several).select("token", "usize", "urest", "vsize", "vrest")
-        pairs = side(some, "u").join(which, ["token", "usize", "urest"]).join(side(rows, "v"), ["token", "vsize", "vrest"]).where(once & fits & like)
-        return pairs.select(F.least("ukey", "vkey").alias("u"), F.greatest("ukey", "vkey").alias("v"))
-
-    found = linked(sketched(own, bits), "simhash")
+        several = F.least("ulow", "vlow") < F.greatest("uhigh", "vhigh")
+        which = side(classes(some), "u").join(side(classes(rows), "v"), "token").where(may & several)
+        which = stored(which.select("token", "usize", "urest", "vsize", "vrest"), "classes")
+        told = lambda of, name: side(of.join(which.select("token").distinct(), "token", "left_semi").join(sketches, "key"), name)
+        pairs = told(some, "u").join(which, ["token", "usize", "urest"]).join(told(rows, "v"), ["token", "vsize", "vrest"]).where(once & fits & like)
+        few = stored(pairs.select(F.least("ukey", "vkey").alias("u"), F.greatest("ukey", "vkey").alias("v")).distinct(), "met-pairs")
+        forget(which)
+        return few
+
+    found = linked(stored(sketched(own, bits).distinct(), "simhash-pairs"), "simhash")
     roots = components(found)
     forget(found)
+    left_over = shared
     for most in (PIVOTS, None):
-        named = told.join(roots, told.key == roots.node, "left").select(*told.columns, F.coalesce("root", "key").alias("root"), *kind)
+        # Tokens at which several groups meet; those of the first round hold those of the last.
+        base = left_over.select("token", "key", "at", "n")
+        named = base.join(roots, base.key == roots.node, "left").select("token", "key", "at", "n", F.coalesce("root", "key").alias("root"), *kind)
         several = named.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
         rows = stored(named.join(several, "token", "left_semi"), "several-groups")
+        forget(left_over)
         some = rows
         if most:
             place = F.row_number().over(W.partitionBy("token").orderBy("key"))
             some = rows.withColumn("place", place).where(F.col("place") <= most).drop("place")
         found = linked(meeting(some, rows), "met")
         after = components(found, roots)
-        for old in (rows, found, roots):
+        for old in (found, roots):
             forget(old)
-        roots = after
-    for old in (told, held, own):
+        roots, left_over = after, rows
+    for old in (left_over, held, own):
         forget(old)
     return roots
 
