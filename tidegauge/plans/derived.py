@@ -373,7 +373,7 @@ def _combined(spark, sf):
     b = src.bars(spark, sf).withColumn("volume", F.col("volume").cast("double"))
     out = pipeline.validate(b, pipeline.Settings(numeric=_checked), _limits, 1)
     rows = out.select("check", F.col("passed").cast("int").alias("passed"), F.array_join("issues", "; ").alias("issues"), F.explode("metrics").alias("metric", "value"))
-    return rows.withColumn("value", F.round("value", 4))
+    return rows.withColumn("value", F.round("value", 3))
 
 
 def _unpivot(check: str, metrics: dict[str, str], source: str) -> str:
@@ -409,7 +409,7 @@ table_query("q15_combined_validation", _combined, f"""WITH {s.BARS}, b AS (SELEC
     h AS ({_half_sql}), dr AS (SELECT {_moved} FROM h GROUP BY series_id),
     m AS ({' UNION ALL '.join(_parts)}), i AS (SELECT *, CASE {_issue} END AS issue FROM m),
     g AS (SELECT "check", count(issue) AS n, coalesce(string_agg(issue, '; ' ORDER BY issue), '') AS issues FROM i GROUP BY "check")
-    SELECT "check", (n = 0)::INT AS passed, issues, metric, round(value, 4) AS value FROM i JOIN g USING ("check")""")
+    SELECT "check", (n = 0)::INT AS passed, issues, metric, round(value, 3) AS value FROM i JOIN g USING ("check")""")
 
 
 def _rules(spark, sf):
