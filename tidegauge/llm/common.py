@@ -39,11 +39,21 @@ def shared_folder(spark: SparkSession) -> str:
     return root
 
 
+#: Spark deletes the shuffle files of a query when it ends; else they stay until the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
-    """Write df once to the shared folder and read it back: cuts the lineage and survives lost executors."""
+    """Write df once to the shared folder and read it back: cuts the lineage and survives lost executors. The shuffle files of
+    the write go with it."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tidegauge/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path, compression=compression)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path, compression=compression)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out

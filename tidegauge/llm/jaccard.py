@@ -112,9 +112,10 @@ def sketched(own: DataFrame, bits: int = BITS) -> DataFrame:
 
 def groups(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY, bits: int = BITS) -> DataFrame:
     """(node, root) of set keys that links of at least the wanted similarity connect, as graph.components has it; own
-    (doc_id, fp, print, sketch)."""
+    (doc_id, same, fp, print, sketch)."""
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    own = stored(own.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.min("print").alias("print"), *[F.min(c).alias(c) for c in SKETCH]), "sets-once")
+    own = own.groupBy("fp").agg(F.min(F.struct("doc_id", "same")).alias("one"), F.min("print").alias("print"), *[F.min(c).alias(c) for c in SKETCH])
+    own = stored(own.select("fp", "one.doc_id", "one.same", "print", *SKETCH), "sets-once")
 
     def count(stream):
         words, seen = Hashes(), np.zeros(BUCKETS, np.int64)
@@ -173,8 +174,6 @@ def groups(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: floa
 
     spread = texts.mapInArrow(prefixes, "token long, key long, at long, n long").repartition("token").sortWithinPartitions("token", "key")
     shared = stored(spread.mapInArrow(met, "token long, key long, at long, n long"), "shared-prefixes")
-    meant = shared.select(F.col("key").alias("fp")).distinct()
-    ids = own.join(meant, "fp").select("doc_id").distinct()
 
     def sets(stream):
         words = Hashes()
@@ -183,8 +182,6 @@ def groups(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: floa
                 some = [shingles(t, words, width) for t in b.column(1).slice(part, 256).to_pylist()]
                 yield _columns(["key", "hashes"], np.array([_key(s) for s in some], np.int64), [s.tobytes() for s in some])
 
-    held = stored(texts.join(ids, "doc_id", "left_semi").mapInArrow(sets, "key long, hashes binary").dropDuplicates(["key"]), "sets")
-
     def compare(stream):
         for b in stream:
             for part in range(0, b.num_rows, 256):
@@ -198,11 +195,16 @@ def groups(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: floa
                 yield _columns(["u", "v"], np.array(u, np.int64)[keep], np.array(v, np.int64)[keep])
 
     def linked(pairs: DataFrame, label: str) -> DataFrame:
-        """Of stored pairs (u, v) those that are near enough; the pairs go."""
+        """Of stored pairs (u, v) those that are near enough; the pairs go. Only the sets of these pairs are made, each from one text."""
+        meant = pairs.select(F.explode(F.array("u", "v")).alias("fp")).distinct()
+        ones = own.join(meant, "fp").select("doc_id", "same")
+        some = texts.withColumn("same", F.xxhash64("text")).join(ones, ["doc_id", "same"], "left_semi").dropDuplicates(["doc_id", "same"])
+        held = stored(some.select("doc_id", "text").mapInArrow(sets, "key long, hashes binary"), f"{label}-sets")
         one, other = (held.select(F.col("key").alias(k), F.col("hashes").alias(h)) for k, h in (("u", "x"), ("v", "y")))
         both = pairs.join(one, "u").join(other, "v").select("u", "v", "x", "y")
         links = stored(both.mapInArrow(compare, "u long, v long"), f"{label}-links")
-        forget(pairs)
+        for old in (pairs, held):
+            forget(old)
         return links
 
     sketches = own.select(F.col("fp").alias("key"), *SKETCH)
@@ -256,7 +258,7 @@ def groups(docs: DataFrame, own: DataFrame, width: int = WIDTH, similarity: floa
         for old in (found, roots):
             forget(old)
         roots, left_over = after, rows
-    for old in (left_over, held, own):
+    for old in (left_over, own):
         forget(old)
     return roots
 
