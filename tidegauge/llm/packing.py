@@ -29,7 +29,9 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,6 +60,17 @@ def vocabulary_paths() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _kind(size: int):
+    return np.uint16 if size <= 1 << 16 else np.uint32
+
+
+#: How the vocabulary's pattern ends: a run of white space leaves its last place to what follows. That takes a look ahead, which
+#: is slow. Where no run has two places, the last rule is all there is. Unicode's white space, which is not Python's.
+ENDING = r"|\s+(?!\S)|\s+"
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+RUN = re.compile(f"[{SPACE}][{SPACE}]")
+
+
 def encoder(ranks_path: str, json_path: str):
     """text -> ids (uint16 where the vocabulary fits, uint32 otherwise), END last; and the number of ids there are."""
     import public_tokenizers
@@ -67,13 +80,20 @@ def encoder(ranks_path: str, json_path: str):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
     with open(json_path, encoding="utf-8") as file:
         special = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
-    found = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    pattern = public_tokenizers.PATTERN
+    short = pattern.removesuffix(ENDING) + r"|\s" if pattern.endswith(ENDING) else pattern
+    whole, plain = (tiktoken.Encoding("ranks", pat_str=p, mergeable_ranks=ranks, special_tokens=special) for p in (pattern, short))
     size = 1 + max([*ranks.values(), *special.values()])
-    kind = np.uint16 if size <= 1 << 16 else np.uint32
+    kind = _kind(size)
+    code = "H" if kind is np.uint16 else "I"
 
     def encode(text: str) -> np.ndarray:
-        ids = found.encode(text, allowed_special="all") if any(t in text for t in special) else found.encode_ordinary(text)
-        return np.array([*ids, END], kind)
+        if any(t in text for t in special):
+            ids = whole.encode(text, allowed_special="all")
+        else:
+            ids = (whole if RUN.search(text) else plain).encode_ordinary(text)
+        ids.append(END)
+        return np.frombuffer(array(code, ids), kind)
 
     return encode, size
 
@@ -88,7 +108,7 @@ class Bm25:
 
     def __init__(self, docs: list[np.ndarray], weights: np.ndarray, mean_length: float, k1: float = K1, b: float = B):
         self.n = len(docs)
-        parts = [np.unique(d, return_counts=True) for d in docs]
+        parts = [np.unique(d.astype(np.int32), return_counts=True) for d in docs]  # sorts faster than 16 bits
         sizes = np.array([len(t) for t, _ in parts])
         terms, tf = np.concatenate([t for t, _ in parts]).astype(np.int64), np.concatenate([c for _, c in parts]).astype(np.float64)
         owner = np.repeat(np.arange(self.n), sizes)
@@ -97,12 +117,21 @@ class Bm25:
         weight = weights[terms] * tf * (k1 + 1) / (tf + norm[owner])
         keep = weight > 0
         terms, owner, weight = terms[keep], owner[keep], weight[keep]
-        order = np.argsort(terms, kind="stable")
-        self.owner, self.weight = owner[order], weight[order]
-        self.ends = np.cumsum(np.bincount(terms, minlength=len(weights)))
-        self.starts = np.r_[0, self.ends[:-1]]
         ends = np.cumsum(np.bincount(owner, minlength=self.n))
         self.terms = np.split(terms, ends[:-1])
+        order = np.argsort(terms, kind="stable")
+        self.term, self.owner, self.weight, self.size = terms[order], owner[order], weight[order], len(weights)
+        self._bounds()
+
+    def _bounds(self) -> None:
+        self.ends = np.cumsum(np.bincount(self.term, minlength=self.size))
+        self.starts = np.r_[0, self.ends[:-1]]
+
+    def without(self, used: np.ndarray) -> None:
+        """Drops the postings of documents that are used; their scores are 0 from now on."""
+        keep = ~used[self.owner]
+        self.term, self.owner, self.weight = self.term[keep], self.owner[keep], self.weight[keep]
+        self._bounds()
 
     def scores(self, terms: np.ndarray) -> np.ndarray:
         """BM25 of every document of the shard for a query of different ids."""
@@ -137,7 +166,9 @@ def fill(shard: list[tuple], packer: Packer, weights: np.ndarray, mean_length: f
         return
     index = Bm25([ids for _, ids in shard], weights, mean_length)
     unused, first, seed, near = np.ones(len(shard), bool), 0, None, None
-    for _ in shard:
+    for done in range(len(shard)):
+        if done and done % max(64, len(shard) // 8) == 0:
+            index.without(~unused)
         if packer.seed is None:  # no window is open: the first unused document seeds one
             while not unused[first]:
                 first += 1
@@ -153,48 +184,52 @@ def fill(shard: list[tuple], packer: Packer, weights: np.ndarray, mean_length: f
 def encoded(docs: DataFrame, paths: tuple[str, str]) -> tuple[DataFrame, int, np.ndarray, float]:
     """docs (doc_id, text) -> stored rows (doc_id, h, ids), their number, documents by id, and the mean length.
 
-    The counts are one row for each id of the vocabulary.
+    The counts are one row for each id of the vocabulary; each task writes its own (id, n) beside its documents.
     """
+    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("ids", pa.binary()), ("id", pa.int64()), ("n", pa.int64())])
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, _ = encoder(*paths)
+        encode, size = encoder(*paths)
+        df, none = np.zeros(size + 2, np.int64), lambda n, c: pa.nulls(n, schema.types[c])
         for b in stream:
             for part in range(0, b.num_rows, 256):
                 some = b.slice(part, 256)
-                ids = [encode(t or "").tobytes() for t in some.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(ids, pa.binary())], ["doc_id", "h", "ids"])
+                ids = [encode(t or "") for t in some.column(2).to_pylist()]
+                for own in ids:
+                    df[np.unique(own.astype(np.int32))] += 1
+                df[size], df[size + 1] = df[size] + len(ids), df[size + 1] + sum(map(len, ids))
+                n = some.num_rows
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array([i.tobytes() for i in ids], pa.binary()), none(n, 3), none(n, 4)], schema=schema)
+        there = np.flatnonzero(df)
+        n = len(there)
+        yield pa.RecordBatch.from_arrays([none(n, 0), none(n, 1), none(n, 2), pa.array(there), pa.array(df[there])], schema=schema)
 
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("h"), "text")
-    rows = stored(thin.mapInArrow(run, "doc_id long, h long, ids binary"), "encoded", compression="zstd")
+    both = stored(thin.mapInArrow(run, "doc_id long, h long, ids binary, id long, n long"), "encoded", compression="zstd")
     size = encoder(*paths)[1]
-    kind = _kind(size)
-
-    def count(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, docs_here, length = np.zeros(size + 2, np.int64), 0, 0
-        for (ids,) in rows_of(stream):
-            own = np.frombuffer(ids, kind)
-            df[np.unique(own)] += 1
-            docs_here, length = docs_here + 1, length + len(own)
-        df[size], df[size + 1] = docs_here, length
-        there = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(df[there])], ["id", "n"])
-
-    got = rows.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    got = both.where("id is not null").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(size + 2, np.int64)
     df[got["id"].to_numpy()] = got["n"].to_numpy()
-    return rows, int(df[size]), df[:size], float(df[size + 1]) / max(1, int(df[size]))
+    return both, int(df[size]), df[:size], float(df[size + 1]) / max(1, int(df[size]))
 
 
-def _kind(size: int):
-    return np.uint16 if size <= 1 << 16 else np.uint32
+def ranked(df: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each id when those in the fewest documents, but in two at least, come first; and the id at each place, -1 at
+    that of all others."""
+    order = np.lexsort((np.arange(len(df)), df))
+    order = order[df[order] > 1]
+    place = np.full(len(df), len(order), np.int32)
+    place[order] = np.arange(len(order))
+    return place, np.r_[order, -1]
 
 
-def rarest(ids: np.ndarray, df: np.ndarray, most: int = 3) -> list[int]:
+def rarest(ids: np.ndarray, place: np.ndarray, by_place: np.ndarray, most: int = 3) -> list[int]:
     """The `most` ids that stand in the fewest documents, but in two at least; -1 where there are no more."""
-    own = np.unique(ids)
-    own = own[df[own] > 1]
-    best = own[np.lexsort((own, df[own]))[:most]].tolist()
-    return best + [-1] * (most - len(best))
+    places, last, best = place[ids], len(by_place) - 1, []
+    for _ in range(most):
+        best.append(int(places.min(initial=last)))
+        places = places[places > best[-1]]
+    return by_place[best].tolist()
 
 
 def dealt(keys: DataFrame, bucket_docs: int) -> DataFrame:
@@ -227,17 +262,19 @@ def dealt(keys: DataFrame, bucket_docs: int) -> DataFrame:
 def pack(docs: DataFrame, window: int = WINDOW, bucket_docs: int = 1024, shard_docs: int = 1024, shard_tokens: int = 4_000_000, vocabulary: tuple[str, str] | None = None) -> DataFrame:
     """docs (doc_id, text) -> one row for each piece."""
     paths = vocabulary or vocabulary_paths()
-    rows, n_docs, df, mean_length = encoded(docs, paths)
-    kind, weights = _kind(len(df)), idf(n_docs, df)
+    both, n_docs, df, mean_length = encoded(docs, paths)
+    rows = both.where("id is null").select("doc_id", "h", "ids")
+    kind, weights, places = _kind(len(df)), idf(n_docs, df), ranked(df)
 
     def key(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in stream:
             for part in range(0, b.num_rows, 1024):
                 some = b.slice(part, 1024)
-                t = np.array([rarest(np.frombuffer(i, kind)[:-1], df) for i in some.column(2).to_pylist()], np.int32).reshape(-1, 3)
+                t = np.array([rarest(np.frombuffer(i, kind)[:-1], *places) for i in some.column(2).to_pylist()], np.int32).reshape(-1, 3)
                 yield pa.RecordBatch.from_arrays([*some.columns, *(pa.array(t[:, k]) for k in range(3))], ["doc_id", "h", "ids", "t1", "t2", "t3"])
 
-    keyed = rows.mapInArrow(key, "doc_id long, h long, ids binary, t1 int, t2 int, t3 int")
+    keyed = stored(rows.mapInArrow(key, "doc_id long, h long, ids binary, t1 int, t2 int, t3 int"), "keyed", compression="zstd")
+    forget(both)
     ordered = dealt(keyed, bucket_docs).repartition("bucket").sortWithinPartitions("bucket", "t1", "t2", "t3", "h", "doc_id")
 
     def pieces(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
